@@ -1,0 +1,163 @@
+"""Tables of one source below its state folder, and the commit protocol.
+
+A batch writes its change sets and logs to folders named by its query and batch
+number, then its commit record. Readers use committed batches only, so a batch
+that is replayed overwrites its own folders and shows once. The target is the
+last snapshot plus the change sets committed since; ``publish`` folds them into
+a new snapshot, bucketed by key, so that the state itself is not shuffled.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Sequence
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from tributary.functions.rescue import quoted
+from tributary.operators.merge import apply_changes, newest_changes
+
+COMMIT = (
+    "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
+    "merged long, deleted long, label string, committed timestamp, sinks array<string>"
+)
+SNAPSHOT = "version long, folded_seq long, end_id long, buckets int, deleted_rows long, path string"
+
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str, target: DataFrame, buckets: int | None = None):
+        """``target`` gives the columns and the rows before the first batch."""
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.target = target
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # folders
+
+    def folder(self, dataset: str, query_id: str, batch_id: int) -> str:
+        return f"{self.root}/{dataset}/query_id={query_id}/batch_id={batch_id}"
+
+    def write(self, rows: DataFrame, dataset: str, query_id: str, batch_id: int) -> DataFrame:
+        path = self.folder(dataset, query_id, batch_id)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def read(self, dataset: str, commits: Sequence[Row] | None = None) -> DataFrame | None:
+        """The dataset's rows of the given committed batches, all by default."""
+        commits = self.commits() if commits is None else commits
+        paths = [self.folder(dataset, c["query_id"], c["batch_id"]) for c in commits]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    # commit records: one row per batch
+
+    def commits(self, after: int = 0) -> list[Row]:
+        return self._records("commits", COMMIT, lambda r: r.filter(F.col("seq") > after).orderBy("seq"))
+
+    def last_commit(self) -> Row | None:
+        rows = self._records("commits", COMMIT, lambda r: r.orderBy(F.col("seq").desc()).limit(1))
+        return rows[0] if rows else None
+
+    def is_committed(self, query_id: str, batch_id: int) -> bool:
+        folder = f"commits/query_id={query_id}/batch_id={batch_id}"
+        return bool(self._records(folder, COMMIT, lambda r: r))
+
+    def commit(self, **values) -> None:
+        self._record(f"commits/query_id={values['query_id']}/batch_id={values['batch_id']}", COMMIT, values)
+
+    def _records(self, folder: str, schema: str, pick) -> list[Row]:
+        try:
+            rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.root}/{folder}")
+        except AnalysisException:
+            return []
+        return pick(rows).collect()
+
+    def _record(self, folder: str, schema: str, values: dict) -> None:
+        names = T.StructType.fromDDL(schema).names
+        row = self.spark.createDataFrame([tuple(values.get(n) for n in names)], schema)
+        row.coalesce(1).write.mode("overwrite").json(f"{self.root}/{folder}")
+
+    # target state
+
+    def snapshot(self) -> Row | None:
+        rows = self._records("snapshots", SNAPSHOT, lambda r: r.orderBy(F.col("version").desc()).limit(1))
+        return rows[0] if rows else None
+
+    def base(self, snapshot: Row | None) -> DataFrame:
+        if snapshot is None:
+            return self.target
+        return self._bucketed(snapshot["path"], snapshot["buckets"])
+
+    def _bucketed(self, path: str, buckets: int) -> DataFrame:
+        """A snapshot folder as a table that declares its buckets."""
+        name = self._table(path)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.target.schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(name)
+
+    def _table(self, path: str) -> str:
+        return "tributary_" + hashlib.md5(path.encode()).hexdigest()
+
+    def changes(self, commits: Sequence[Row]) -> DataFrame | None:
+        if not commits:
+            return None
+        key = self.target.schema["id"].dataType
+        return newest_changes(self.read("upserts", commits), self.read("deletes", commits), key)
+
+    def current(self) -> DataFrame:
+        """The target as of the last commit, change sets merged on read."""
+        snapshot = self.snapshot()
+        pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
+        changes = self.changes(pending)
+        base = self.base(snapshot)
+        return base if changes is None else apply_changes(base, changes)
+
+    def pending_sinks(self) -> list[str] | None:
+        """Columns written by the last change set not folded yet."""
+        snapshot = self.snapshot()
+        pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
+        return list(pending[-1]["sinks"]) if pending else None
+
+    def publish(self) -> Row | None:
+        """Fold the pending change sets into a new snapshot; its record is written last.
+
+        Both sides are partitioned by key into as many parts as there are buckets,
+        the state by reading its buckets; each task then holds one bucket and
+        writes one file.
+        """
+        snapshot = self.snapshot()
+        pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
+        if not pending:
+            return snapshot
+        version = snapshot["version"] + 1 if snapshot else 1
+        path = f"{self.root}/target/v={version}"
+        base = self.base(snapshot)
+        if snapshot is None or snapshot["buckets"] != self.buckets:
+            base = base.repartition(self.buckets, "id")
+        merged = apply_changes(base, self.changes(pending).repartition(self.buckets, "id"))
+        name = self._table(path)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        merged.write.format("parquet").mode("overwrite").bucketBy(self.buckets, "id").option("path", path).saveAsTable(name)
+        folded_before = snapshot["end_id"] if snapshot else 0
+        newly_deleted = self.spark.table(name).filter((F.col("deleted_flag") == "Y") & (F.col("sourceid") > folded_before))
+        values = {
+            "version": version,
+            "folded_seq": pending[-1]["seq"],
+            "end_id": pending[-1]["end_id"],
+            "buckets": self.buckets,
+            "deleted_rows": newly_deleted.count(),
+            "path": path,
+        }
+        self._record(f"snapshots/v={version}", SNAPSHOT, values)
+        if snapshot is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(snapshot['path'])}")
+        return self.snapshot()
+
+
+def now() -> datetime:
+    return datetime.now(timezone.utc)
