@@ -31,7 +31,8 @@ def map_columns(rows: DataFrame, mapping: Sequence[MappedColumn], *extra: str |
             continue
         dtype = present[m.source]
         out = as_text_list(F.col(quoted(m.source)), dtype)
-        if m.type is not None and not isinstance(dtype, T.ArrayType) and m.type != dtype:
+        held = T.StringType() if isinstance(dtype, T.ArrayType) else dtype
+        if m.type is not None and m.type != held:
             out = out.try_cast(m.type)
         columns.append(out.alias(m.sink))
     if not columns:
@@ -55,23 +56,27 @@ def record_schema(
 ) -> T.StructType:
     """Types in which the records are read.
 
-    A mapped scalar takes its sink type, from the mapping or else from the target
-    table, so a value that does not fit shows as off-schema. Arrays stay arrays,
-    nested objects stay JSON text.
+    A mapped scalar takes its sink type, so a value that does not fit shows as
+    off-schema. Arrays stay arrays, nested objects stay JSON text.
     """
-    wanted = {m.source: m.type or _sink_type(target, m.sink) for m in mapping}
+    wanted = {m.source: m.type for m in sink_types(mapping, target)}
     fields = []
     for f in source:
         dtype = f.dataType
         if not isinstance(dtype, T.ArrayType):
             sink = wanted.get(f.name)
-            dtype = T.StringType() if sink is None or isinstance(sink, _NESTED) else sink
+            dtype = T.StringType() if sink is None else sink
         fields.append(T.StructField(f.name, dtype))
     return T.StructType(fields)
 
 
-_NESTED = (T.ArrayType, T.StructType, T.MapType)
+def sink_types(mapping: Sequence[MappedColumn], target: T.StructType | None) -> tuple[MappedColumn, ...]:
+    """The mapping with the type each sink is written in: the target's, where there is one."""
+    out = []
+    for m in mapping:
+        dtype = target[m.sink].dataType if target is not None and m.sink in target.names else m.type
+        out.append(m._replace(type=None if isinstance(dtype, _NESTED) else dtype))
+    return tuple(out)
 
 
-def _sink_type(target: T.StructType | None, sink: str) -> T.DataType | None:
-    return target[sink].dataType if target is not None and sink in target.names else None
+_NESTED = (T.ArrayType, T.StructType, T.MapType)

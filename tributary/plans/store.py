@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.rescue import quoted
@@ -24,6 +24,17 @@ COMMIT = (
     "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
     "merged long, deleted long, label string, committed timestamp, sinks array<string>"
 )
+# The commit field that tells whether a batch wrote the dataset.
+COUNTED_BY = {
+    "files": "seq",
+    "upserts": "merged",
+    "deletes": "deleted",
+    "file_process_logs": "files",
+    "file_schema_validation_errors": "rejected",
+    "etl_error_log": "rejected",
+    "quarantine": "rejected",
+}
+DELETES = "id string, sourceid long, loaddtm timestamp"
 SNAPSHOT = "version long, folded_seq long, end_id long, buckets int, deleted_rows long, path string"
 
 
@@ -45,10 +56,19 @@ class Store:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def write_counted(self, rows: DataFrame, dataset: str, query_id: str, batch_id: int) -> int:
+        """Write, and count the rows on the way."""
+        written = Observation()
+        self.write(rows.observe(written, F.count(F.lit(1)).alias("n")), dataset, query_id, batch_id)
+        return written.get["n"]
+
     def read(self, dataset: str, commits: Sequence[Row] | None = None) -> DataFrame | None:
-        """The dataset's rows of the given committed batches, all by default."""
+        """The dataset's rows of the given committed batches, all by default.
+
+        A batch whose count for the dataset is zero has no folder.
+        """
         commits = self.commits() if commits is None else commits
-        paths = [self.folder(dataset, c["query_id"], c["batch_id"]) for c in commits]
+        paths = [self.folder(dataset, c["query_id"], c["batch_id"]) for c in commits if c[COUNTED_BY[dataset]]]
         return self.spark.read.parquet(*paths) if paths else None
 
     # commit records: one row per batch
@@ -75,9 +95,9 @@ class Store:
         return pick(rows).collect()
 
     def _record(self, folder: str, schema: str, values: dict) -> None:
-        names = T.StructType.fromDDL(schema).names
-        row = self.spark.createDataFrame([tuple(values.get(n) for n in names)], schema)
-        row.coalesce(1).write.mode("overwrite").json(f"{self.root}/{folder}")
+        fields = T.StructType.fromDDL(schema)
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+        row.write.mode("overwrite").json(f"{self.root}/{folder}")
 
     # target state
 
@@ -107,7 +127,12 @@ class Store:
         if not commits:
             return None
         key = self.target.schema["id"].dataType
-        return newest_changes(self.read("upserts", commits), self.read("deletes", commits), key)
+        upserts, deletes = self.read("upserts", commits), self.read("deletes", commits)
+        if upserts is None:
+            upserts = self.target.select("id", "sourceid").limit(0)
+        if deletes is None:
+            deletes = self.spark.createDataFrame([], DELETES)
+        return newest_changes(upserts, deletes, key)
 
     def current(self) -> DataFrame:
         """The target as of the last commit, change sets merged on read."""
@@ -120,7 +145,7 @@ class Store:
     def pending_sinks(self) -> list[str] | None:
         """Columns written by the last change set not folded yet."""
         snapshot = self.snapshot()
-        pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
+        pending = [c for c in self.commits(snapshot["folded_seq"] if snapshot else 0) if c["merged"]]
         return list(pending[-1]["sinks"]) if pending else None
 
     def publish(self) -> Row | None:

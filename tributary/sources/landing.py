@@ -71,8 +71,7 @@ def landed_files(batch: DataFrame) -> list[LandedFile]:
     Distinct, because a name with glob characters in a batch makes the file
     source list the batch's other files twice.
     """
-    rows = batch.select("path", "length").distinct().orderBy("path").collect()
-    return [LandedFile(r["path"], r["length"]) for r in rows]
+    return sorted({LandedFile(r["path"], r["length"]) for r in batch.select("path", "length").collect()})
 
 
 def literal_path(path: str) -> str:
@@ -81,24 +80,32 @@ def literal_path(path: str) -> str:
 
 
 def read_records(
-    spark: SparkSession, files: Sequence[LandedFile], schema: T.StructType, large_bytes: int = LARGE_FILE_BYTES
+    spark: SparkSession,
+    files: Sequence[LandedFile],
+    schema: T.StructType,
+    key: str | None = None,
+    large_bytes: int = LARGE_FILE_BYTES,
 ) -> DataFrame:
-    """Records of the files: path, name, position, off-schema data, then the schema's columns."""
+    """Records of the files: path, name, position, off-schema data, then the schema's columns.
+
+    The ``key`` field is checked against its type but kept as its text: deletes
+    compare keys as text.
+    """
     small = [literal_path(f.path) for f in files if f.length <= large_bytes]
     large = [f.path for f in files if f.length > large_bytes]
     parts = []
     if small:
         texts = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
-        parts.append(parse_texts(texts, schema))
+        parts.append(parse_texts(texts, schema, key))
     if large:
-        parts.extend(_large_records(spark, large, schema))
+        parts.extend(_large_records(spark, large, schema, key))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
     return rows
 
 
-def parse_texts(texts: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
     """Records of whole-file texts ``(_input_file_path, value)``.
 
     A file without records keeps one row with no position, so it is still seen.
@@ -115,15 +122,19 @@ def parse_texts(texts: DataFrame, schema: T.StructType) -> DataFrame:
         NAME,
         F.col(POS).cast("long").alias(POS),
         off_schema.alias(RESCUED),
-        *[rescue.value(F.col("_record"), f).alias(f.name) for f in schema],
+        *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
     )
 
 
+def _kept(schema: T.StructType, key: str | None) -> list[T.StructField]:
+    return [T.StructField(f.name, T.StringType() if f.name == key else f.dataType) for f in schema]
+
+
 def _json(spark: SparkSession):
     return spark.read.option("multiLine", "true").option("primitivesAsString", "true")
 
 
-def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> list[DataFrame]:
+def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructType, key: str | None) -> list[DataFrame]:
     """The same rows for files too large for one value, read with the streaming JSON parser.
 
     That parser skips unknown fields, so each file's own field names are inferred
@@ -154,7 +165,7 @@ def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
                 NAME,
                 POS,
                 rescue.rescued(F.col("_record"), schema).alias(RESCUED),
-                *[rescue.value(F.col("_record"), f).alias(f.name) for f in schema],
+                *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
             )
         )
     for path, problem in rejected:
@@ -165,7 +176,7 @@ def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
                 NAME,
                 F.lit(None).cast("long").alias(POS),
                 F.lit(problem).alias(RESCUED),
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in _kept(schema, key)],
             )
         )
     return parts

@@ -5,18 +5,19 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.functions.scalars import MANUAL_RUN
+from tributary.functions.scalars import MANUAL_RUN, is_delete_name
 from tributary.operators import audit, config as cfg_ops
-from tributary.operators.files import NAME, PATH, RESCUED, SID, with_filename
-from tributary.operators.mapping import MappedColumn, MappingError, record_schema
+from tributary.operators.files import NAME, PATH, SID
+from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
 from tributary.plans.batch import number_files, plan_changes
 from tributary.plans.store import Store, now
 from tributary.sources import landing
@@ -158,11 +159,16 @@ class Ingest:
         self.spark = spark
         self.cfg = cfg
         self.last: Row | None = None
+        self._schema: T.StructType | None = None
 
     @cached_property
     def store(self) -> Store:
         return Store(self.spark, self.cfg.root, self.spark.table(self.cfg.target), self.cfg.buckets)
 
+    @cached_property
+    def mapping(self) -> tuple[MappedColumn, ...]:
+        return sink_types(self.cfg.mapping, self.store.target.schema)
+
     # stream
 
     def start(self) -> StreamingQuery:
@@ -193,7 +199,7 @@ class Ingest:
             return
         files = landing.landed_files(batch)
         if files:
-            self.run_batch(lambda schema: landing.read_records(self.spark, files, schema, self.cfg.large_bytes), query_id, batch_id)
+            self.run_batch(lambda schema: landing.read_records(self.spark, files, schema, self.cfg.id_source, self.cfg.large_bytes), query_id, batch_id)
 
     # batches
 
@@ -205,14 +211,20 @@ class Ingest:
         self.last = self.store.last_commit()
 
     def schema(self) -> T.StructType:
-        source = landing.source_schema(self.spark, self.cfg.source_path, self.cfg.schema_location)
-        return record_schema(source, self.cfg.mapping, self.store.target.schema)
+        """Types in which records are read; empty until the folder holds a readable file."""
+        if self._schema is None or not self._schema.fields:
+            source = landing.source_schema(self.spark, self.cfg.source_path, self.cfg.schema_location)
+            self._schema = record_schema(source, self.mapping)
+        return self._schema
 
     def run_batch(self, read: Callable[[T.StructType], DataFrame], query_id: str, batch_id: int) -> None:
         """Write one batch's change sets and logs, then commit it."""
         label = f"{self.cfg.run_id}_{batch_id}"
         try:
-            self._run_batch(read(self.schema()), query_id, batch_id, label)
+            schema = self.schema()
+            if schema.fields and self.cfg.id_source not in schema.names:
+                raise MappingError("The field mapped to id is not in the source schema.")
+            self._run_batch(read(schema), query_id, batch_id, label)
         except Exception as error:
             self.log_error(audit.STEP_BATCH, str(error), label)
             raise
@@ -225,32 +237,35 @@ class Ingest:
         # The parsed rows are written once; every later step reads the columns it needs.
         parsed = store.write(records, "records", query_id, 0)
         files = store.write(number_files(parsed, last_id).coalesce(1), "files", query_id, batch_id)
+        is_delete = is_delete_name(F.col(NAME))
         counts = files.agg(
             F.count(SID).alias("files"),
             F.coalesce(F.max(SID), F.lit(last_id)).alias("end_id"),
             F.count_if("drifted").alias("rejected"),
+            F.coalesce(F.sum(F.when(~is_delete & ~F.col("drifted"), F.col("file_rows"))), F.lit(0)).alias("regular"),
+            F.coalesce(F.sum(F.when(is_delete & ~F.col("drifted"), F.col("file_rows"))), F.lit(0)).alias("deletes"),
         ).first()
 
-        changes = plan_changes(parsed, files, cfg.mapping, cfg.id_source, at, counts["files"] + counts["rejected"])
-        staged = store.write(self._to_target(changes.staged), "upserts", query_id, batch_id)
-        deletes = store.write(changes.deletes.withColumn("loaddtm", at), "deletes", query_id, batch_id)
-        merged, deleted = staged.count(), deletes.count()
-
-        accepted, drifted = files.filter(F.col(SID).isNotNull()), files.filter("drifted")
-        log_args = (F.lit(label), at)
-        store.write(
-            audit.file_log(accepted, cfg.table, F.lit(merged).cast("long"), etl_id, *log_args, F.lit(batch_id).cast("long")),
-            "file_process_logs", query_id, batch_id,
-        )
-        store.write(
-            audit.schema_error_log(drifted, cfg.table, etl_id, *log_args),
-            "file_schema_validation_errors", query_id, batch_id,
-        )
-        store.write(
-            audit.error_log(drifted, cfg.table, audit.STEP_SCHEMA_DRIFT, F.lit(audit.DRIFT_MESSAGE), etl_id, *log_args),
-            "etl_error_log", query_id, batch_id,
-        )
-        self._quarantine(drifted, counts["rejected"], query_id, batch_id)
+        changes = plan_changes(parsed, files, self.mapping, cfg.id_source, at, counts["files"] + counts["rejected"])
+        merged = deleted = 0
+        if counts["regular"]:
+            merged = store.write_counted(changes.staged, "upserts", query_id, batch_id)
+        if counts["deletes"]:
+            deleted = store.write_counted(changes.deletes.withColumn("loaddtm", at), "deletes", query_id, batch_id)
+
+        stamp = (etl_id, F.lit(label), at)
+        if counts["files"]:
+            accepted = files.filter(F.col(SID).isNotNull())
+            total = F.lit(merged).cast("long")
+            rows = audit.file_log(accepted, cfg.table, total, *stamp, F.lit(batch_id).cast("long"))
+            store.write(rows, "file_process_logs", query_id, batch_id)
+        if counts["rejected"]:
+            drifted = files.filter("drifted")
+            rows = audit.schema_error_log(drifted, cfg.table, *stamp)
+            store.write(rows, "file_schema_validation_errors", query_id, batch_id)
+            rows = audit.error_log(drifted, cfg.table, audit.STEP_SCHEMA_DRIFT, F.lit(audit.DRIFT_MESSAGE), *stamp)
+            store.write(rows, "etl_error_log", query_id, batch_id)
+            self._quarantine(drifted, query_id, batch_id)
 
         values = dict(
             seq=self.last["seq"] + 1 if self.last else 1,
@@ -269,27 +284,14 @@ class Ingest:
         store.commit(**values)
         self.last = Row(**values)
 
-    def _to_target(self, staged: DataFrame) -> DataFrame:
-        """Staged columns in the target's types."""
-        target = self.store.target.schema
-        missing = [m.sink for m in self.cfg.mapping if m.sink not in staged.columns]
-        if "id" in missing:
-            raise MappingError("The field mapped to id is not in the source schema.")
-        return staged.select(*[F.col(f"`{c}`").try_cast(target[c].dataType).alias(c) for c in staged.columns])
-
     # quarantine
 
-    def _quarantine(self, drifted: DataFrame, count: int, query_id: str, batch_id: int) -> None:
+    def _quarantine(self, drifted: DataFrame, query_id: str, batch_id: int) -> None:
         """Keep the rejected files' texts; a file too large for one value by its path."""
-        if query_id == REPLAY:
-            return
-        schema = f"{PATH} string, value string"
-        rows = self.spark.createDataFrame([], schema)
-        if count:
+        if query_id != REPLAY:
             names = [r[PATH] for r in drifted.select(PATH).collect()]
-            texts = self._texts(names)
-            rows = drifted.select(PATH).join(texts, PATH, "left")
-        self.store.write(rows, "quarantine", query_id, batch_id)
+            rows = drifted.select(PATH).join(self._texts(names), PATH, "left")
+            self.store.write(rows, "quarantine", query_id, batch_id)
 
     def _texts(self, uris: Sequence[str]) -> DataFrame:
         """Whole texts of the files that fit in one value."""
@@ -316,16 +318,17 @@ class Ingest:
             schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
             landing.save_schema(self.spark, schema, self.cfg.schema_location)
         self.prepare()
+        self._schema = None
         held = self.quarantined()
         if held is None or held.isEmpty():
             return
         by_path = [_decoded(r[PATH]) for r in held.filter(F.col("value").isNull()).select(PATH).collect()]
 
         def read(record_types: T.StructType) -> DataFrame:
-            rows = landing.parse_texts(held.filter(F.col("value").isNotNull()), record_types)
+            rows = landing.parse_texts(held.filter(F.col("value").isNotNull()), record_types, self.cfg.id_source)
             if by_path:
                 large = [landing.LandedFile(p, self.cfg.large_bytes + 1) for p in by_path]
-                rows = rows.unionByName(landing.read_records(self.spark, large, record_types, self.cfg.large_bytes))
+                rows = rows.unionByName(landing.read_records(self.spark, large, record_types, self.cfg.id_source, self.cfg.large_bytes))
             return rows
 
         done = [c["batch_id"] for c in self.store.commits() if c["query_id"] == REPLAY]
@@ -362,7 +365,7 @@ class Ingest:
     def staging(self, dataset: str = "upserts") -> DataFrame | None:
         """Staged rows whose files are not logged as loaded: none once a batch is through."""
         rows, done = self.store.read(dataset), self.file_log()
-        return None if rows is None else audit.clean_staging(rows, done, self.cfg.table)
+        return None if rows is None or done is None else audit.clean_staging(rows, done, self.cfg.table)
 
     def summary(self, after: int = 0) -> DataFrame:
         """Totals per committed batch."""
@@ -384,8 +387,6 @@ class Ingest:
 
 
 def _decoded(uri: str) -> str:
-    from urllib.parse import unquote
-
     return unquote(uri)
 
 
@@ -406,6 +407,3 @@ def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[st
             outcome[ecname] = error
         ingest.publish()
     return outcome
-
-
-__all__ = ["ConfigError", "Ingest", "IngestConfig", "load_config", "replace", "run_sources", "RESCUED", "with_filename"]
