@@ -12,6 +12,7 @@ from operator import add, and_
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
+BLANKS = " \t\r\n\ufeff"
 RECORDS = "array<map<string,string>>"
 
 
@@ -24,7 +25,7 @@ def records(text: Column) -> Column:
 
     A single object counts as an array of one; blank text as an empty array.
     """
-    body = F.regexp_replace(text, r"^[\s\x{FEFF}]+", "")
+    body = F.ltrim(text, F.lit(BLANKS))
     wrapped = F.when(body == "", "[]").when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]")))
     return F.from_json(wrapped.otherwise(body), RECORDS)
 

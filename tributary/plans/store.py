@@ -13,12 +13,12 @@ import hashlib
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.rescue import quoted
 from tributary.operators.merge import apply_changes, newest_changes
+from tributary.session import exists
 
 COMMIT = (
     "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
@@ -88,10 +88,9 @@ class Store:
         self._record(f"commits/query_id={values['query_id']}/batch_id={values['batch_id']}", COMMIT, values)
 
     def _records(self, folder: str, schema: str, pick) -> list[Row]:
-        try:
-            rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.root}/{folder}")
-        except AnalysisException:
+        if not exists(self.spark, f"{self.root}/{folder}"):
             return []
+        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.root}/{folder}")
         return pick(rows).collect()
 
     def _record(self, folder: str, schema: str, values: dict) -> None:

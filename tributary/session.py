@@ -31,3 +31,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="tributary-")
     return f"{root.rstrip('/')}/tributary/{label}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tributary.functions import rescue
 from tributary.operators.files import NAME, PATH, POS, RESCUED, SID, with_filename
+from tributary.session import exists
 
 GLOB = "*.json"
 RESERVED = (PATH, NAME, POS, RESCUED, SID)
@@ -111,9 +112,9 @@ def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None)
     A file without records keeps one row with no position, so it is still seen.
     """
     parsed = texts.select(PATH, rescue.records(F.col("value")).alias("_records"))
-    rows = parsed.select(
-        PATH, F.col("_records").isNull().alias("_malformed"), F.posexplode_outer("_records").alias(POS, "_record")
-    )
+    # The flag is set below the explode, so that no exploded row carries the whole array.
+    parsed = parsed.withColumn("_malformed", F.col("_records").isNull())
+    rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias(POS, "_record"))
     off_schema = F.when(F.col("_malformed"), F.lit(_MALFORMED)).when(
         F.col(POS).isNotNull(), rescue.rescued(F.col("_record"), schema)
     )
@@ -185,7 +186,7 @@ def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
 def _large_problem(spark: SparkSession, path: str, schema: T.StructType) -> str | None:
     """Why a large file is off-schema, or None. Only its first mark and field names come back."""
     before_array = spark.read.option("lineSep", "[").text(literal_path(path)).first()
-    if before_array is None or before_array["value"].strip(" \t\r\n﻿"):
+    if before_array is None or before_array["value"].strip(rescue.BLANKS):
         return _MALFORMED
     try:
         names = set(_json(spark).json(literal_path(path)).schema.names)
@@ -222,10 +223,9 @@ def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(location, wholetext=True).take(1)
-    except AnalysisException:
+    if not exists(spark, location):
         return None
+    rows = spark.read.text(location, wholetext=True).take(1)
     return T._parse_datatype_json_string(rows[0]["value"]) if rows else None
 
 

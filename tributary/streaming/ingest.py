@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from functools import cached_property
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +19,7 @@ from tributary.operators.files import NAME, PATH, SID
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
 from tributary.plans.batch import number_files, plan_changes
 from tributary.plans.store import Store, now
+from tributary.session import exists
 from tributary.sources import landing
 
 log = logging.getLogger(__name__)
@@ -356,10 +356,9 @@ class Ingest:
     def errors(self) -> DataFrame | None:
         """Rejected files and failures."""
         drifted = self.store.read("etl_error_log")
-        try:
-            failures = self.spark.read.parquet(f"{self.cfg.root}/failures")
-        except AnalysisException:
+        if not exists(self.spark, f"{self.cfg.root}/failures"):
             return drifted
+        failures = self.spark.read.parquet(f"{self.cfg.root}/failures")
         return failures if drifted is None else drifted.unionByName(failures)
 
     def staging(self, dataset: str = "upserts") -> DataFrame | None:
