@@ -1,0 +1,273 @@
+"""Stream behaviour: JSON shapes, drift, replay, caps, archive, quarantine, configuration."""
+
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from landing import Landing, mappings
+from tributary.streaming.ingest import ConfigError, Ingest, run_sources
+
+KV = {"id": "string", "v": "double"}
+
+
+def rows(land):
+    return land.state("id", "v", "deleted_flag")
+
+
+@pytest.mark.parametrize("large_bytes", [128 * 1024 * 1024, 1], ids=["text", "streamed"])
+def test_json_shapes(spark, tmp_path, large_bytes):
+    """Clean, empty, single-object, drifted and malformed files, by either reader."""
+    columns = {"id": "string", "v": "double", "t": "string"}
+    land = Landing(spark, tmp_path, columns)
+    land.put("a_clean.json", '﻿ [{"id": "1", "v": 1.5, "t": ["x", null, "y"]}, {"id": "2", "v": null, "t": []}, {"id": 3}]')
+    land.put("b space [1].json", [{"id": "4", "v": "7"}])
+    land.put("c_empty.json", " \n [ ] ")
+    land.put("d_zero.json", "")
+    land.put("e_unknown.json", [{"id": "5"}, {"id": "6", "new": 1}])
+    land.put("f_null_unknown.json", [{"id": "7", "other": None}])
+    land.put("g_type.json", [{"id": "8", "v": "much"}])
+    land.put("h_case.json", [{"ID": "9"}])
+    land.put("i_bad.json", '[{"id": "10"')
+    land.put("j_scalars.json", "[1, 2]")
+    land.put("k_lines.json", '{"id": "11"}\n{"id": "12"}')
+    land.put("l_array.json", [{"id": "13", "t": "not an array"}])
+    land.put("x.done", "[]")
+    from pyspark.sql import types as T
+
+    ingest = land.ingest(large_bytes=large_bytes)
+    from tributary.sources.landing import save_schema
+
+    save_schema(spark, T.StructType.fromDDL("id string, v string, t array<string>"), ingest.cfg.schema_location)
+    totals = ingest.run().first()
+    assert land.state("id", "v", "t") == [("1", 1.5, "x,y"), ("2", None, ""), ("3", None, ""), ("4", 7.0, "")]
+    rejected = sorted(r["filename"] for r in ingest.schema_errors().collect())
+    assert [name[0] for name in rejected] == list("efghijkl")
+    assert sorted(r["filename"] for r in ingest.errors().collect()) == rejected
+    logged = {r["filename"]: r["file_rows"] for r in ingest.file_log().collect()}
+    assert logged == {"a_clean.json": 3, "b%20space%20%5B1%5D.json": 1, "c_empty.json": 0}
+    assert (totals["files"], totals["rejected"]) == (3, 8)
+
+
+def test_schema_of_odd_names(spark, tmp_path):
+    """Inference takes part in names that are patterns elsewhere."""
+    land = Landing(spark, tmp_path, {"id": "string", "v": "double", "t": "string"})
+    land.put("a [1].json", [{"id": "1", "v": 1, "t": ["x", "y"]}])
+    land.put("b{2}*.json", [{"id": "2", "v": 2}])
+    land.ingest().run()
+    assert land.state("id", "v", "t") == [("1", 1.0, "x,y"), ("2", 2.0, "")]
+
+
+def test_same_file_and_same_name(spark, tmp_path):
+    """The last position in a file wins; one name in two folders is two files."""
+    land = Landing(spark, tmp_path, KV)
+    land.put("p/x.json", [{"id": "1", "v": 1}, {"id": "2", "v": 1}, {"id": "1", "v": 2}])
+    land.put("q/x.json", [{"id": "2", "v": 5}])
+    ingest = land.ingest()
+    ingest.run()
+    assert land.state("id", "v", "sourceid") == [("1", 2.0, 1), ("2", 5.0, 2)]
+    assert sorted((r["id"], r["filename"]) for r in ingest.file_log().collect()) == [(1, "x.json"), (2, "x.json")]
+
+
+def test_runs_continue(spark, tmp_path):
+    """Later runs read new files only; deletes, revival, unknown deletes, ids in sequence."""
+    land = Landing(spark, tmp_path, KV)
+    land.put("a1.json", [{"id": "1", "v": 1}, {"id": "2", "v": 1}])
+    land.put("a2_DELETED.json", [{"id": "2"}, {"id": "3"}, {"v": 9}])
+    land.ingest().run()
+    assert rows(land) == [("1", 1.0, "N"), ("2", 1.0, "Y")]
+    land.put("a0.json", [{"id": "2", "v": 4}, {"id": "3", "v": 4}, {"v": 1}])
+    totals = land.ingest().run().collect()
+    assert [(t["files"], t["merged"]) for t in totals] == [(1, 3)]
+    assert land.state("id", "v", "deleted_flag", "sourceid", "date_deleted") == [
+        (None, 1.0, "N", 3, None), ("1", 1.0, "N", 1, None), ("2", 4.0, "N", 3, None), ("3", 4.0, "N", 3, None),
+    ]
+    land.put("a3.json", [{"v": 2}])
+    land.put("a4_delete.json", [{"id": "1"}])
+    last = land.ingest()
+    last.run()
+    assert land.state("id", "deleted_flag", "sourceid") == [
+        (None, "N", 3), (None, "N", 4), ("1", "Y", 5), ("2", "N", 3), ("3", "N", 3),
+    ]
+    snapshot = last.store.snapshot()
+    assert snapshot["version"] == 3 and snapshot["deleted_rows"] == 1
+    assert last.run().isEmpty() and last.store.snapshot()["version"] == 3
+
+
+def test_initial_rows_are_kept(spark, tmp_path):
+    """A target with rows: unmatched ones stay, rows without a source id can be deleted."""
+    land = Landing(spark, tmp_path, {"id": "bigint", "v": "double", "note": "string"},
+                   mappingsettings=mappings({"id": "bigint", "v": "double"}))
+    spark.sql(f"INSERT INTO {land.target} VALUES (1, 1, 'keep', NULL, NULL, 'N', NULL), (2, 2, 'keep', NULL, NULL, 'N', NULL), "
+              "(NULL, 3, 'keep', NULL, NULL, 'N', NULL)")
+    land.put("a.json", [{"id": 2, "v": 20}, {"id": 4, "v": 40}])
+    land.put("delete.json", [{"id": 1}])
+    land.ingest().run()
+    assert land.state("id", "v", "note", "deleted_flag") == [
+        (None, 3.0, "keep", "N"), (1, 1.0, "keep", "Y"), (2, 20.0, "keep", "N"), (4, 40.0, None, "N"),
+    ]
+
+
+@pytest.mark.parametrize("step", ["commit", "write_counted"])
+def test_failed_batch_replays(spark, tmp_path, step):
+    land = Landing(spark, tmp_path, KV)
+    land.put("a.json", [{"id": "1", "v": 1}])
+    land.put("b.json", [{"id": "2", "v": 2, "new": 1}, {"id": "3"}])
+    land.put("c_delete.json", [{"id": "1"}])
+    from tributary.sources.landing import save_schema
+    from pyspark.sql import types as T
+
+    broken = land.ingest()
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), broken.cfg.schema_location)
+
+    def fail(*_, **__):
+        raise RuntimeError("it's broken" + "!" * 5000)
+
+    setattr(broken.store, step, fail)
+    with pytest.raises(StreamingQueryException):
+        broken.run()
+    assert rows(land) == []
+    fixed = land.ingest()
+    fixed.run()
+    assert land.state("id", "sourceid", "deleted_flag") == [("1", 2, "Y")]
+    assert sorted(r["id"] for r in fixed.file_log().collect()) == [1, 2]
+    assert fixed.schema_errors().count() == 1
+    failed = fixed.errors().filter("step_name = 'STEP_13_FOREACH_BATCH'").collect()
+    assert len(failed) == 1 and failed[0]["cmnts"].startswith("it's broken") and len(failed[0]["cmnts"]) == 4000
+
+
+def test_committed_batch_is_not_repeated(spark, tmp_path):
+    """Our commit is there, the stream's is not: the batch comes again and is skipped."""
+    land = Landing(spark, tmp_path, KV)
+    land.put("a.json", [{"id": "1", "v": 1}])
+
+    class DiesAfterCommit(Ingest):
+        def process_batch(self, batch, batch_id):
+            super().process_batch(batch, batch_id)
+            raise RuntimeError("gone")
+
+    with pytest.raises(StreamingQueryException):
+        DiesAfterCommit(spark, land.config()).run()
+    ingest = land.ingest()
+    assert ingest.run().isEmpty()
+    assert rows(land) == [("1", 1.0, "N")] and ingest.file_log().count() == 1
+
+
+def test_byte_cap_wins(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="1000", max_bytes_per_trigger="20")
+    for n in range(3):
+        land.put(f"a{n}.json", [{"id": str(n), "v": n}])
+    assert land.ingest().run().count() == 3
+    assert len(rows(land)) == 3
+
+
+def test_every_file_rejected_then_replayed(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tributary.sources.landing import save_schema
+
+    land = Landing(spark, tmp_path, KV)
+    land.put("a.json", [{"id": "1", "v": 1, "new": "x"}])
+    land.put("b_delete.json", [{"id": "1", "why": "y"}])
+    land.put("c.json", "nonsense")
+    ingest = land.ingest()
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
+    totals = ingest.run().first()
+    assert (totals["files"], totals["merged"], totals["rejected"]) == (0, 0, 3)
+    assert ingest.schema_errors().count() == 3 and rows(land) == []
+    ingest.replay_quarantine("id string, v string, new string, why string")
+    assert land.state("id", "sourceid", "deleted_flag") == [("1", 2, "Y")]
+    assert [r["_input_file_path"].split("/")[-1] for r in ingest.quarantined().collect()] == ["c.json"]
+    ingest.replay_quarantine()
+    assert land.state("id", "sourceid", "deleted_flag") == [("1", 2, "Y")]
+
+
+def test_replay_of_large_files(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tributary.sources.landing import save_schema
+
+    land = Landing(spark, tmp_path, KV)
+    land.put("a b.json", [{"id": "1", "v": 1, "new": "x"}])
+    ingest = land.ingest(large_bytes=1)
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
+    ingest.run()
+    assert ingest.quarantined().first()["value"] is None
+    ingest.replay_quarantine("id string, v string, new string")
+    assert rows(land) == [("1", 1.0, "N")] and ingest.quarantined().isEmpty()
+
+
+def test_archive(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="1", archive_enabled="y", archive_directory=str(tmp_path / "old"))
+    land.put("a.json", [{"id": "1", "v": 1}])
+    land.put("b.json", [{"id": "2", "v": 2}])
+    land.ingest().run()
+    land.put("c.json", [{"id": "3", "v": 3}])
+    land.ingest().run()
+    assert len(rows(land)) == 3
+    kept = [f for _, _, names in os.walk(tmp_path / "old") for f in names if f.endswith(".json")]
+    assert "a.json" in kept and "c.json" not in kept
+
+
+def test_new_mapping_keeps_old_columns(spark, tmp_path):
+    """A column added to the mapping later leaves the old rows' other columns alone."""
+    columns = {"id": "string", "v": "double", "w": "double"}
+    land = Landing(spark, tmp_path, columns, mappingsettings=mappings({"id": "string", "v": "double"}))
+    land.put("a.json", [{"id": "1", "v": 1, "w": 1}, {"id": "2", "v": 2, "w": 2}])
+    land.ingest().run()
+    land.control_row[7] = mappings({"id": "string", "w": "double"})
+    land.put("b.json", [{"id": "1", "v": 10, "w": 10}])
+    land.ingest().run()
+    assert land.state("id", "v", "w") == [("1", 1.0, 10.0), ("2", 2.0, None)]
+
+
+def test_sources_are_isolated(spark, tmp_path):
+    good, bad = Landing(spark, tmp_path / "g", KV, "good"), Landing(spark, tmp_path / "b", KV, "bad")
+    good.put("a.json", [{"id": "1", "v": 1}])
+    bad.put("a.json", [{"name": "no key"}])
+    outcome = run_sources(spark, [good.config(), bad.config()])
+    assert outcome["good"] is None and isinstance(outcome["bad"], StreamingQueryException)
+    assert rows(good) == [("1", 1.0, "N")] and rows(bad) == []
+    with pytest.raises(ConfigError, match="shares"):
+        run_sources(spark, [good.config(), bad.config(checkpoint_location=good.config().checkpoint_location)])
+
+
+@pytest.mark.parametrize(
+    "change, text",
+    [
+        ({"target_full_name": "single"}, "needs a schema"),
+        ({"source_path": None}, "source_path could not be resolved"),
+        ({"enabled_flag": "Y"}, "No enabled loader"),
+        ({"archive_enabled": "y"}, "archive_directory"),
+        ({"mappingsettings": "{bad"}, "No mappings"),
+        ({"mappingsettings": mappings({"v": "double"})}, "mapped to id"),
+        ({"mappingsettings": mappings({"id": "string", "zz": "double", "aa": "x"})}, "target table: aa, zz"),
+        ({"mappingsettings": json.dumps({"mappings": [
+            {"source": {"path": "a"}, "sink": {"name": "id"}}, {"source": {"path": "b"}, "sink": {"name": "id"}}]})}, "one sink"),
+        ({"enableflag": "Y"}, "No enabled configuration"),
+    ],
+)
+def test_bad_settings(spark, tmp_path, change, text):
+    land = Landing(spark, tmp_path, KV)
+    for name, value in change.items():
+        if name == "mappingsettings":
+            land.control_row[7] = value
+        elif name == "enableflag":
+            land.control_row[8] = value
+        else:
+            land.loader_row[name] = value
+    with pytest.raises(ConfigError, match=text):
+        land.config()
+
+
+def test_schema_and_key_problems(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV)
+    land.put("a_delete.json", [{"v": 1}])
+    ingest = land.ingest()
+    assert ingest.run().first()["files"] == 1
+    assert rows(land) == []
+    land.put("b.json", [{"v": 1}])
+    with pytest.raises(StreamingQueryException, match="mapped to id"):
+        land.ingest().run()
+

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.operators import files as ops
-from tributary.operators.files import NAME, PATH, POS, SID
+from tributary.operators.files import POS, SID
 from tributary.operators.mapping import MappedColumn, add_audit, map_columns
 from tributary.operators.merge import delete_keys, latest_per_key
 
@@ -26,21 +26,30 @@ def number_files(records: DataFrame, last_id: int = 0) -> DataFrame:
     return numbered.unionByName(rejected)
 
 
-def plan_changes(
-    records: DataFrame,
-    files: DataFrame,
-    mapping: Sequence[MappedColumn],
-    id_source: str,
-    at: Column,
-    file_count: int | None = None,
-) -> Changes:
-    """Staged rows and delete keys of the numbered files; rows of other files drop out."""
+def tagged(records: DataFrame, files: DataFrame, file_count: int | None = None) -> DataFrame:
+    """Records of the numbered files with their source id; those of other files drop out."""
     present = records.filter(F.col(POS).isNotNull())
-    tagged = ops.tag_rows(present, files, file_count).filter(F.col(SID).isNotNull())
-    regular, deletes = ops.route(tagged)
+    return ops.tag_rows(present, files, file_count).filter(F.col(SID).isNotNull())
+
+
+def plan_staged(rows: DataFrame, mapping: Sequence[MappedColumn], at: Column) -> DataFrame:
+    """Newest regular row per key, in the target's columns."""
+    regular, _ = ops.route(rows)
     mapped = add_audit(map_columns(regular, mapping, SID, POS), at)
-    newest = latest_per_key(mapped, ["id"], [F.col("sourceid").desc(), F.col(POS).desc()]).drop(POS)
-    return Changes(newest, delete_keys(deletes, id_source))
+    return latest_per_key(mapped, ["id"], [F.col("sourceid").desc(), F.col(POS).desc()]).drop(POS)
+
+
+def plan_deletes(rows: DataFrame, id_source: str) -> DataFrame:
+    """Newest delete per key."""
+    _, deletes = ops.route(rows)
+    return delete_keys(deletes, id_source)
+
+
+def plan_changes(
+    records: DataFrame, files: DataFrame, mapping: Sequence[MappedColumn], id_source: str, at: Column
+) -> Changes:
+    rows = tagged(records, files)
+    return Changes(plan_staged(rows, mapping, at), plan_deletes(rows, id_source))
 
 
 def merge_once(staged: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -55,6 +64,3 @@ def merge_once(staged: DataFrame, deletes: DataFrame) -> DataFrame:
             "sourceid": F.when(dead, F.col("_deleted_by")).otherwise(F.col("sourceid")),
         }
     ).drop("_key", "_deleted_by")
-
-
-__all__ = ["Changes", "merge_once", "number_files", "plan_changes", "NAME", "PATH"]

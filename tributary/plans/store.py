@@ -24,7 +24,7 @@ COMMIT = (
     "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
     "merged long, deleted long, label string, committed timestamp, sinks array<string>"
 )
-# The commit field that tells whether a batch wrote the dataset.
+# The count in the commit record that tells whether a batch wrote the dataset.
 COUNTED_BY = {
     "files": "seq",
     "upserts": "merged",
@@ -62,13 +62,23 @@ class Store:
         self.write(rows.observe(written, F.count(F.lit(1)).alias("n")), dataset, query_id, batch_id)
         return written.get["n"]
 
-    def read(self, dataset: str, commits: Sequence[Row] | None = None) -> DataFrame | None:
-        """The dataset's rows of the given committed batches, all by default.
+    def read(self, dataset: str) -> DataFrame | None:
+        """The dataset's rows of all committed batches, with ``query_id`` and ``batch_id``.
 
-        A batch whose count for the dataset is zero has no folder.
+        A folder left by a failed attempt does not count where the batch, as
+        committed, wrote none.
         """
-        commits = self.commits() if commits is None else commits
-        paths = [self.folder(dataset, c["query_id"], c["batch_id"]) for c in commits if c[COUNTED_BY[dataset]]]
+        if not exists(self.spark, f"{self.root}/{dataset}"):
+            return None
+        rows = self.spark.read.parquet(f"{self.root}/{dataset}").withColumn("query_id", F.col("query_id").cast("string"))
+        wrote = self._frame("commits", COMMIT).filter(F.col(COUNTED_BY[dataset]) > 0)
+        done = wrote.select("query_id", F.col("batch_id").cast("int").alias("batch_id"))
+        return rows.join(done, ["query_id", "batch_id"], "left_semi")
+
+    def pending(self, dataset: str, commits: Sequence[Row]) -> DataFrame | None:
+        """The dataset's rows of the given batches; a batch that counts none has no folder."""
+        counted = COUNTED_BY[dataset]
+        paths = [self.folder(dataset, c["query_id"], c["batch_id"]) for c in commits if c[counted]]
         return self.spark.read.parquet(*paths) if paths else None
 
     # commit records: one row per batch
@@ -90,8 +100,10 @@ class Store:
     def _records(self, folder: str, schema: str, pick) -> list[Row]:
         if not exists(self.spark, f"{self.root}/{folder}"):
             return []
-        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.root}/{folder}")
-        return pick(rows).collect()
+        return pick(self._frame(folder, schema)).collect()
+
+    def _frame(self, folder: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.root}/{folder}")
 
     def _record(self, folder: str, schema: str, values: dict) -> None:
         fields = T.StructType.fromDDL(schema)
@@ -126,7 +138,7 @@ class Store:
         if not commits:
             return None
         key = self.target.schema["id"].dataType
-        upserts, deletes = self.read("upserts", commits), self.read("deletes", commits)
+        upserts, deletes = self.pending("upserts", commits), self.pending("deletes", commits)
         if upserts is None:
             upserts = self.target.select("id", "sourceid").limit(0)
         if deletes is None:

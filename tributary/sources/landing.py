@@ -7,9 +7,12 @@ a batch then reads exactly its files. An array file is read by one task, as with
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,8 +26,9 @@ GLOB = "*.json"
 RESERVED = (PATH, NAME, POS, RESCUED, SID)
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-# A larger file is parsed as a stream of records instead of as one text value.
-LARGE_FILE_BYTES = 256 * 1024 * 1024
+# A larger file is parsed as a stream of records instead of as one text value,
+# unless its name has glob characters, which schema inference cannot take.
+LARGE_FILE_BYTES = 128 * 1024 * 1024
 
 # The schema of a new source comes from its oldest files, within these bounds.
 SCHEMA_FILES = 1000
@@ -80,6 +84,15 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def decoded(uri: str) -> str:
+    """The plain path of a file whose metadata gives ``uri``."""
+    return unquote(uri)
+
+
+def _plain(path: str) -> bool:
+    return literal_path(path) == path
+
+
 def read_records(
     spark: SparkSession,
     files: Sequence[LandedFile],
@@ -92,8 +105,8 @@ def read_records(
     The ``key`` field is checked against its type but kept as its text: deletes
     compare keys as text.
     """
-    small = [literal_path(f.path) for f in files if f.length <= large_bytes]
-    large = [f.path for f in files if f.length > large_bytes]
+    large = [f.path for f in files if f.length > large_bytes and _plain(f.path)]
+    small = [literal_path(f.path) for f in files if f.length <= large_bytes or not _plain(f.path)]
     parts = []
     if small:
         texts = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
@@ -135,67 +148,69 @@ def _json(spark: SparkSession):
     return spark.read.option("multiLine", "true").option("primitivesAsString", "true")
 
 
-def _large_records(spark: SparkSession, paths: Sequence[str], schema: T.StructType, key: str | None) -> list[DataFrame]:
+def _large_records(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType, key: str | None
+) -> list[DataFrame]:
     """The same rows for files too large for one value, read with the streaming JSON parser.
 
-    That parser skips unknown fields, so each file's own field names are inferred
-    first; a file with unknown ones, or not an array, is one off-schema row.
+    That parser skips unknown fields, so the files' field names are inferred
+    first. Every file has one row without a position, off-schema where the file
+    has unknown fields or is no array.
     """
-    clean, rejected = [], []
-    for path in paths:
-        problem = _large_problem(spark, path, schema)
-        if problem is None:
-            clean.append(literal_path(path))
-        else:
-            rejected.append((literal_path(path), problem))
-    parts = []
+    problems = _large_problems(spark, paths, schema)
+    kept = _kept(schema, key)
+    seen = with_filename(spark.createDataFrame(list(problems.items()), f"{PATH} string, {RESCUED} string"))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept]
+    parts = [seen.select(PATH, NAME, F.lit(None).cast("long").alias(POS), RESCUED, *nulls)]
+    clean = [literal_path(decoded(u)) for u, problem in problems.items() if problem is None]
     if clean:
         as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
         rows = (
             spark.read.schema(as_text).option("multiLine", "true").json(clean)
             .select("*", F.col("_metadata.file_path").alias(PATH), F.monotonically_increasing_id().alias(POS))
         )
-        present = F.map_filter(
-            F.create_map(*[c for f in schema for c in (F.lit(f.name), F.col(rescue.quoted(f.name)))]),
-            lambda _, v: v.isNotNull(),
-        )
-        rows = rows.select(PATH, POS, present.alias("_record"))
-        parts.append(
-            with_filename(rows).select(
-                PATH,
-                NAME,
-                POS,
-                rescue.rescued(F.col("_record"), schema).alias(RESCUED),
-                *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
-            )
-        )
-    for path, problem in rejected:
-        listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias(PATH))
-        parts.append(
-            with_filename(listed).select(
-                PATH,
-                NAME,
-                F.lit(None).cast("long").alias(POS),
-                F.lit(problem).alias(RESCUED),
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in _kept(schema, key)],
-            )
-        )
+        fields = F.create_map(*[c for f in schema for c in (F.lit(f.name), F.col(rescue.quoted(f.name)))])
+        present = F.map_filter(fields, lambda _, raw: raw.isNotNull())
+        rows = with_filename(rows.select(PATH, POS, present.alias("_record")))
+        off_schema = rescue.rescued(F.col("_record"), schema).alias(RESCUED)
+        parts.append(rows.select(PATH, NAME, POS, off_schema, *[rescue.value(F.col("_record"), f).alias(f.name) for f in kept]))
     return parts
 
 
-def _large_problem(spark: SparkSession, path: str, schema: T.StructType) -> str | None:
-    """Why a large file is off-schema, or None. Only its first mark and field names come back."""
-    before_array = spark.read.option("lineSep", "[").text(literal_path(path)).first()
-    if before_array is None or before_array["value"].strip(rescue.BLANKS):
-        return _MALFORMED
+def _large_problems(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> dict[str, str | None]:
+    """Why a large file is off-schema, or None, by URI.
+
+    One look at all of them is enough when none has unknown fields.
+    """
+    heads = (
+        spark.read.option("lineSep", "[").text([literal_path(p) for p in paths])
+        .select(
+            F.col("_metadata.file_path").alias(PATH),
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+            (F.ltrim("value", F.lit(rescue.BLANKS)) == "").alias("blank"),
+        )
+        .groupBy(PATH)
+        .agg(F.min_by("blank", "place").alias("array"))
+    )
+    by_uri = {r[PATH]: r["array"] for r in heads.collect()}
+    problems = {u: None if array else _MALFORMED for u, array in by_uri.items()}
+    arrays = [u for u, array in by_uri.items() if array]
+    if arrays and _field_problem(spark, arrays, schema):
+        with ThreadPoolExecutor(8) as pool:
+            found = pool.map(lambda u: _field_problem(spark, [u], schema), arrays)
+        problems.update(zip(arrays, found))
+    return problems
+
+
+def _field_problem(spark: SparkSession, uris: Sequence[str], schema: T.StructType) -> str | None:
     try:
-        names = set(_json(spark).json(literal_path(path)).schema.names)
-    except AnalysisException:
-        return '{"_file":"field names differing in letter case"}'
-    if "_corrupt_record" in names - set(schema.names):
+        names = set(_json(spark).json([literal_path(decoded(u)) for u in uris]).schema.names)
+    except AnalysisException:  # names that differ in letter case only
         return _MALFORMED
     unknown = sorted(names - set(schema.names))
-    return None if not unknown else '{"_fields":"' + ",".join(unknown).replace('"', "'") + '"}'
+    if "_corrupt_record" in unknown:
+        return _MALFORMED
+    return json.dumps({"_fields": ",".join(unknown)}) if unknown else None
 
 
 def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
@@ -214,12 +229,25 @@ def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
     for row in listing.collect():
         if paths and size + row["length"] > SCHEMA_BYTES:
             break
-        paths.append(literal_path(row["path"]))
+        paths.append(row["path"])
         size += row["length"]
-    if not paths:
-        return T.StructType()
-    inferred = _json(spark).json(paths).schema
-    return T.StructType([T.StructField(f.name, f.dataType) for f in inferred if f.name != "_corrupt_record"])
+    fields: dict[str, T.DataType] = {}
+    plain = [p for p in paths if _plain(p)]
+    if plain:
+        fields.update((f.name, f.dataType) for f in _json(spark).json(plain).schema if f.name != "_corrupt_record")
+    others = [literal_path(p) for p in paths if not _plain(p)]
+    if others:
+        for name, dtype in _fields_of_texts(spark.read.text(others, wholetext=True)):
+            fields.setdefault(name, dtype)
+    return T.StructType([T.StructField(name, fields[name]) for name in sorted(fields)])
+
+
+def _fields_of_texts(texts: DataFrame) -> list[tuple[str, T.DataType]]:
+    """Field names of whole-file texts; a field whose values are all arrays is one."""
+    values = texts.select(F.explode(rescue.records(F.col("value"))).alias("record")).select(F.explode("record").alias("name", "raw"))
+    is_array = F.col("raw").startswith("[") & F.from_json("raw", "array<string>").isNotNull()
+    rows = values.groupBy("name").agg(F.coalesce(F.bool_and(F.when(F.col("raw").isNotNull(), is_array)), F.lit(False)).alias("array"))
+    return [(r["name"], T.ArrayType(T.StringType()) if r["array"] else T.StringType()) for r in rows.collect()]
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:

@@ -7,7 +7,6 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,7 @@ from tributary.functions.scalars import MANUAL_RUN, is_delete_name
 from tributary.operators import audit, config as cfg_ops
 from tributary.operators.files import NAME, PATH, SID
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
-from tributary.plans.batch import number_files, plan_changes
+from tributary.plans.batch import number_files, plan_deletes, plan_staged, tagged
 from tributary.plans.store import Store, now
 from tributary.session import exists
 from tributary.sources import landing
@@ -221,10 +220,7 @@ class Ingest:
         """Write one batch's change sets and logs, then commit it."""
         label = f"{self.cfg.run_id}_{batch_id}"
         try:
-            schema = self.schema()
-            if schema.fields and self.cfg.id_source not in schema.names:
-                raise MappingError("The field mapped to id is not in the source schema.")
-            self._run_batch(read(schema), query_id, batch_id, label)
+            self._run_batch(read(self.schema()), query_id, batch_id, label)
         except Exception as error:
             self.log_error(audit.STEP_BATCH, str(error), label)
             raise
@@ -245,13 +241,17 @@ class Ingest:
             F.coalesce(F.sum(F.when(~is_delete & ~F.col("drifted"), F.col("file_rows"))), F.lit(0)).alias("regular"),
             F.coalesce(F.sum(F.when(is_delete & ~F.col("drifted"), F.col("file_rows"))), F.lit(0)).alias("deletes"),
         ).first()
+        files_seen = counts["files"] + counts["rejected"]
 
-        changes = plan_changes(parsed, files, self.mapping, cfg.id_source, at, counts["files"] + counts["rejected"])
         merged = deleted = 0
         if counts["regular"]:
-            merged = store.write_counted(changes.staged, "upserts", query_id, batch_id)
+            if cfg.id_source not in parsed.columns:
+                raise MappingError("The field mapped to id is not in the source schema.")
+            staged = plan_staged(tagged(parsed, files, files_seen), self.mapping, at)
+            merged = store.write_counted(staged, "upserts", query_id, batch_id)
         if counts["deletes"]:
-            deleted = store.write_counted(changes.deletes.withColumn("loaddtm", at), "deletes", query_id, batch_id)
+            deletes = plan_deletes(tagged(parsed, files, files_seen), cfg.id_source)
+            deleted = store.write_counted(deletes.withColumn("loaddtm", at), "deletes", query_id, batch_id)
 
         stamp = (etl_id, F.lit(label), at)
         if counts["files"]:
@@ -295,7 +295,7 @@ class Ingest:
 
     def _texts(self, uris: Sequence[str]) -> DataFrame:
         """Whole texts of the files that fit in one value."""
-        paths = [landing.literal_path(_decoded(u)) for u in uris]
+        paths = [landing.literal_path(landing.decoded(u)) for u in uris]
         listing = self.spark.read.format("binaryFile").load(paths).select("path", "length").distinct()
         small = [landing.literal_path(f.path) for f in landing.landed_files(listing) if f.length <= self.cfg.large_bytes]
         if not small:
@@ -304,13 +304,11 @@ class Ingest:
 
     def quarantined(self) -> DataFrame | None:
         """Rejected files that no replay has accepted yet."""
-        commits = self.store.commits()
-        held = self.store.read("quarantine", [c for c in commits if c["query_id"] != REPLAY])
-        replays = [c for c in commits if c["query_id"] == REPLAY]
-        if held is None or not replays:
-            return held
-        accepted = self.store.read("files", replays).filter(F.col(SID).isNotNull())
-        return held.join(accepted.select(PATH), PATH, "left_anti")
+        held = self.store.read("quarantine")
+        if held is None:
+            return None
+        accepted = self.store.read("files").filter((F.col("query_id") == REPLAY) & F.col(SID).isNotNull())
+        return held.select(PATH, "value").join(accepted.select(PATH), PATH, "left_anti")
 
     def replay_quarantine(self, schema: T.StructType | str | None = None) -> None:
         """Feed the quarantined files again, with new ids, under a new source schema if given."""
@@ -322,7 +320,7 @@ class Ingest:
         held = self.quarantined()
         if held is None or held.isEmpty():
             return
-        by_path = [_decoded(r[PATH]) for r in held.filter(F.col("value").isNull()).select(PATH).collect()]
+        by_path = [landing.decoded(r[PATH]) for r in held.filter(F.col("value").isNull()).select(PATH).collect()]
 
         def read(record_types: T.StructType) -> DataFrame:
             rows = landing.parse_texts(held.filter(F.col("value").isNotNull()), record_types, self.cfg.id_source)
@@ -347,15 +345,19 @@ class Ingest:
     def current(self) -> DataFrame:
         return self.store.current()
 
+    def _log(self, dataset: str) -> DataFrame | None:
+        rows = self.store.read(dataset)
+        return None if rows is None else rows.drop("query_id", "batch_id")
+
     def file_log(self) -> DataFrame | None:
-        return self.store.read("file_process_logs")
+        return self._log("file_process_logs")
 
     def schema_errors(self) -> DataFrame | None:
-        return self.store.read("file_schema_validation_errors")
+        return self._log("file_schema_validation_errors")
 
     def errors(self) -> DataFrame | None:
         """Rejected files and failures."""
-        drifted = self.store.read("etl_error_log")
+        drifted = self._log("etl_error_log")
         if not exists(self.spark, f"{self.cfg.root}/failures"):
             return drifted
         failures = self.spark.read.parquet(f"{self.cfg.root}/failures")
@@ -385,10 +387,6 @@ class Ingest:
             log.warning("error log write failed: %s", failure)
 
 
-def _decoded(uri: str) -> str:
-    return unquote(uri)
-
-
 def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[str, Exception | None]:
     """Drain several sources at once; one that fails does not stop the others."""
     seen: dict[str, str] = {}
