@@ -1,0 +1,77 @@
+"""Cutting large arrays into records, against a plain JSON parser, with splits of a few bytes."""
+
+import json
+import random
+
+import pytest
+
+from tributary.operators.files import POS
+from tributary.sources.split import PROBLEM, TEXT, split_records
+
+
+@pytest.fixture(params=["23b", "128m"])
+def splits(spark, request):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+TRICKY = ["", "}", "{", '"', "\\", '\\"', "},{", '"}', "[", "]", "a\nb", "é}", '{"a":"}"}', "\\\\", ":", ","]
+
+
+def value(rng, depth=0):
+    kind = rng.randrange(7 if depth < 3 else 4)
+    if kind == 0:
+        return rng.choice([None, True, 1, -2.5e3])
+    if kind < 4:
+        return "".join(rng.choice(TRICKY) for _ in range(rng.randrange(4)))
+    if kind < 6:
+        return {f"k{n}{rng.choice(TRICKY)}": value(rng, depth + 1) for n in range(rng.randrange(4))}
+    return [value(rng, depth + 1) for _ in range(rng.randrange(4))]
+
+
+def cut(spark, folder):
+    rows = split_records(spark, [str(folder)]).collect()
+    files = {}
+    for r in rows:
+        name = r["_input_file_path"].split("/")[-1]
+        records, problems = files.setdefault(name, ({}, []))
+        if r[POS] is not None:
+            records[r[POS]] = r[TEXT]
+        if r[PROBLEM] is not None:
+            problems.append(r[PROBLEM])
+    return files
+
+
+def test_records_of_valid_files(spark, tmp_path, splits):
+    rng = random.Random(5)
+    expected = {}
+    for n in range(12):
+        objects = [{f"f{i}": value(rng) for i in range(rng.randrange(4))} for _ in range(rng.randrange(9))]
+        expected[f"{n}.json"] = objects
+        text = json.dumps(objects, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        (tmp_path / f"{n}.json").write_text(rng.choice(["", " \n"]) + text + rng.choice(["", "\n", "\r\n "]), encoding="utf-8")
+    got = cut(spark, tmp_path)
+    assert set(got) == set(expected)
+    for name, objects in expected.items():
+        records, problems = got[name]
+        assert problems == [], name
+        assert [json.loads(records[k]) for k in sorted(records)] == objects
+        assert sorted(records) == list(range(len(objects)))
+
+
+BROKEN = {
+    "cut": '[{"a": 1}, {"b": 2', "no_end": '[{"a": 1}', "no_start": '{"a": 1}, {"b": 2}]', "lines": '{"a": 1}\n{"b": 2}\n',
+    "scalar": '[{"a": 1}, 5, {"b": 2}]', "scalars": "[1, 2]", "extra": '[{"a": 1}}, {"b": 2}]', "string": '[{"a": "1}, {"b": 2}]',
+    "missing": '[{"a": 1} {"b": 2}]', "text": "nonsense", "after": '[{"a": 1}] x', "deep": '[{"a": 1}, {{"b": 2}]', "under": '}}[{{"a":1}]',
+}
+
+
+def test_broken_files(spark, tmp_path, splits):
+    for name, text in BROKEN.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "good").write_text('[{"a": 1}, {"b": "x"}]')
+    got = cut(spark, tmp_path)
+    assert {name for name, (_, problems) in got.items() if problems} == set(BROKEN)
+    assert len(got["good"][0]) == 2

@@ -30,6 +30,23 @@ def records(text: Column) -> Column:
     return F.from_json(wrapped.otherwise(body), RECORDS)
 
 
+def last_values(record: Column, schema: T.StructType) -> Column:
+    """The record with the last value of each field that it repeats.
+
+    Parsing keeps every pair. A record whose pairs are as many as its known
+    fields repeats none, and passes as it is.
+    """
+    names = F.array_distinct(F.map_keys(record))
+    pairs = F.map_entries(record)
+    last = F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda pair: pair["key"] == n), -1)["value"])
+    return F.when(_only_known(record, schema), record).otherwise(F.map_from_arrays(names, last))
+
+
+def _only_known(record: Column, schema: T.StructType) -> Column:
+    known = [F.map_contains_key(record, f.name).cast("int") for f in schema]
+    return F.size(record) == reduce(add, known, F.lit(0))
+
+
 def value(record: Column, field: T.StructField) -> Column:
     """One field of a record in its schema type; NULL when absent or not of that type."""
     return typed(record.getItem(field.name), field.dataType)
@@ -49,11 +66,9 @@ def rescued(record: Column, schema: T.StructType) -> Column:
     Names match by exact letters. The clean test is a plain expression; the
     higher-order filter that names the fields runs for the others only.
     """
-    known = [F.map_contains_key(record, f.name).cast("int") for f in schema]
-    no_unknown = F.size(record) == (reduce(add, known) if known else F.lit(0))
     checked = [f for f in schema if not isinstance(f.dataType, T.StringType)]
     fits = [record.getItem(f.name).isNull() | value(record, f).isNotNull() for f in checked]
-    clean = reduce(and_, fits, no_unknown)
+    clean = reduce(and_, fits, _only_known(record, schema))
 
     def off_schema(key: Column, raw: Column) -> Column:
         bad = ~key.isin(*schema.names) if schema.names else F.lit(True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.scalars import mapping_source
@@ -11,7 +11,7 @@ from tributary.operators.merge import latest_per_key
 AUDIT_COLUMNS = ("sourceid", "loaddtm", "deleted_flag", "date_deleted")
 
 _SETTINGS = "struct<mappings:array<string>>"
-_MAPPING = "struct<source:string,sink:string>"
+_MAPPING = "struct<source:struct<path:string>,sink:struct<name:string,type:string>>"
 
 
 def latest_config(control: DataFrame) -> DataFrame:
@@ -32,28 +32,23 @@ def parse_mappings(configs: DataFrame) -> DataFrame:
     again takes the later sink and keeps its first place. A sink's type is the
     last one given for it.
     """
-    entry = F.from_json("entry", _MAPPING)
+    # Parsed inside the explode: a filter on its output cannot repeat the parsing.
+    texts = F.from_json("mappingsettings", _SETTINGS)["mappings"]
+    entries = F.transform(texts, lambda entry: F.from_json(entry, _MAPPING))
     parsed = (
-        configs.select("ecname", F.posexplode(F.from_json("mappingsettings", _SETTINGS)["mappings"]).alias("pos", "entry"))
-        .select("ecname", "pos", entry["source"].alias("source"), entry["sink"].alias("sink"))
-        .select(
-            "ecname",
-            "pos",
-            mapping_source(F.get_json_object("source", "$.path")).alias("source"),
-            F.get_json_object("sink", "$.name").alias("sink"),
-            F.get_json_object("sink", "$.type").alias("type"),
-        )
+        configs.select("ecname", F.posexplode(entries).alias("pos", "m"))
+        .select("ecname", "pos", "m.source.path", F.col("m.sink.name").alias("sink"), F.col("m.sink.type").alias("type"))
+        .select("ecname", "pos", mapping_source(F.col("path")).alias("source"), "sink", "type")
         .filter((F.length("source") > 0) & (F.length("sink") > 0))
+        .repartition("ecname")
     )
-    types = (
-        parsed.filter(F.length("type") > 0)
-        .groupBy("ecname", "sink")
-        .agg(F.max_by("type", "pos").alias("type"))
-    )
+    # Everything below is grouped within a source, so its rows are shuffled once.
+    of_sink = Window.partitionBy("ecname", "sink")
+    given = F.when(F.length("type") > 0, F.col("pos"))
     return (
-        parsed.groupBy("ecname", "source")
-        .agg(F.min("pos").alias("pos"), F.max_by("sink", "pos").alias("sink"))
-        .join(types, ["ecname", "sink"], "left")
+        parsed.withColumn("type", F.max_by("type", given).over(of_sink))
+        .groupBy("ecname", "source")
+        .agg(F.min("pos").alias("pos"), F.max_by("sink", "pos").alias("sink"), F.max_by("type", "pos").alias("type"))
         .select("ecname", "pos", "source", "sink", "type")
     )
 

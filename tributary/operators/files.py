@@ -5,7 +5,7 @@ Rows carry ``_input_file_path``; ``_fn`` is its last segment, the name that is l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tributary.functions.scalars import basename, is_delete_name
 
@@ -32,8 +32,17 @@ def assign_source_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
 
     The global window sees one row per file of the batch, never data rows.
     """
-    in_order = Window.orderBy(NAME, PATH)
-    return files.withColumn(SID, F.row_number().over(in_order).cast("long") + F.lit(last_id))
+    return files.withColumn(SID, _place(Window.orderBy(NAME, PATH), last_id))
+
+
+def _place(in_order: WindowSpec, last_id: int) -> Column:
+    return F.row_number().over(in_order).cast("long") + F.lit(last_id)
+
+
+def number_files(rows: DataFrame, last_id: int = 0) -> DataFrame:
+    """All files of a batch; the clean ones with a source id, the drifted ones without."""
+    place = _place(Window.partitionBy("drifted").orderBy(NAME, PATH), last_id)
+    return file_inventory(rows).withColumn(SID, F.when(~F.col("drifted"), place))
 
 
 def tag_rows(rows: DataFrame, ids: DataFrame, file_count: int | None = None) -> DataFrame:

@@ -18,14 +18,6 @@ class Changes(NamedTuple):
     deletes: DataFrame
 
 
-def number_files(records: DataFrame, last_id: int = 0) -> DataFrame:
-    """All files of the batch; the clean ones with a source id, the drifted ones without."""
-    inventory = ops.file_inventory(records)
-    numbered = ops.assign_source_ids(inventory.filter(~F.col("drifted")), last_id)
-    rejected = inventory.filter("drifted").withColumn(SID, F.lit(None).cast("long"))
-    return numbered.unionByName(rejected)
-
-
 def tagged(records: DataFrame, files: DataFrame, file_count: int | None = None) -> DataFrame:
     """Records of the numbered files with their source id; those of other files drop out."""
     present = records.filter(F.col(POS).isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tributary.functions.scalars import basename, run_label
 from tributary.operators import audit, files as ops
 from tributary.operators.files import NAME, PATH, POS, SID
-from tributary.plans.batch import number_files, plan_changes
+from tributary.plans.batch import plan_changes
 from tributary.queries.feed import AT, DRIFT_ABOVE, EVENT_MAPPING, event_records, table, with_feed
 
 HOURLY, HOURLY_SQL = "yyyyMMddHH", "%Y%m%d%H"
@@ -57,7 +57,7 @@ def run_labels(spark, sf_dir):
 
 def _changes(spark, sf_dir):
     records = event_records(spark, sf_dir)
-    files = number_files(records)
+    files = ops.number_files(records)
     return files, plan_changes(records, files, EVENT_MAPPING, "user_id", F.lit(AT))
 
 
@@ -91,7 +91,7 @@ def error_log(spark, sf_dir):
 
 def batch_summary(spark, sf_dir):
     records = event_records(spark, sf_dir, HOURLY, drift=True)
-    files = number_files(records)
+    files = ops.number_files(records)
     changes = plan_changes(records, files, EVENT_MAPPING, "user_id", F.lit(AT))
     accepted, rejected = files.filter(~F.col("drifted")), files.filter("drifted")
     return audit.batch_summary(accepted, changes.staged, changes.deletes, rejected)

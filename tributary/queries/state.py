@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tributary.operators import files as ops, merge
 from tributary.operators.mapping import MappedColumn
-from tributary.plans.batch import merge_once, number_files, plan_changes
+from tributary.plans.batch import merge_once, plan_changes
 from tributary.queries.feed import AT, EVENT_MAPPING, STATE_SQL, event_records, table, with_feed
 
 STATE = ("id", "name", "amount", "sourceid", "deleted_flag")
@@ -15,7 +15,7 @@ STATE = ("id", "name", "amount", "sourceid", "deleted_flag")
 
 def _changes(spark, sf_dir):
     records = event_records(spark, sf_dir)
-    return plan_changes(records, number_files(records), EVENT_MAPPING, "user_id", F.lit(AT))
+    return plan_changes(records, ops.number_files(records), EVENT_MAPPING, "user_id", F.lit(AT))
 
 
 def latest_per_id(spark, sf_dir):
@@ -94,7 +94,7 @@ def second_source(spark, sf_dir):
         MappedColumn("o_orderpriority", "name", T.StringType()),
         MappedColumn("o_totalprice", "amount", T.DoubleType()),
     ]
-    changes = plan_changes(records, number_files(records), mapping, "o_custkey", F.lit(AT))
+    changes = plan_changes(records, ops.number_files(records), mapping, "o_custkey", F.lit(AT))
     return merge_once(*changes).select(*STATE)
 
 

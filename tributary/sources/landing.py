@@ -1,33 +1,29 @@
 """JSON landing folders: file discovery, schema, records.
 
 Each file is one JSON array. Discovery streams the files' names and sizes only;
-a batch then reads exactly its files. An array file is read by one task, as with
-``multiLine``, so files are the unit of parallelism.
+a batch then reads exactly its files, one task per file, or several for a large one.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import rescue
 from tributary.operators.files import NAME, PATH, POS, RESCUED, SID, with_filename
 from tributary.session import exists
+from tributary.sources.split import PROBLEM, TEXT, split_records
 
 GLOB = "*.json"
 RESERVED = (PATH, NAME, POS, RESCUED, SID)
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-# A larger file is parsed as a stream of records instead of as one text value,
-# unless its name has glob characters, which schema inference cannot take.
+# A larger file is cut into records by several tasks instead of parsed by one.
 LARGE_FILE_BYTES = 128 * 1024 * 1024
 
 # The schema of a new source comes from its oldest files, within these bounds.
@@ -89,10 +85,6 @@ def decoded(uri: str) -> str:
     return unquote(uri)
 
 
-def _plain(path: str) -> bool:
-    return literal_path(path) == path
-
-
 def read_records(
     spark: SparkSession,
     files: Sequence[LandedFile],
@@ -105,14 +97,14 @@ def read_records(
     The ``key`` field is checked against its type but kept as its text: deletes
     compare keys as text.
     """
-    large = [f.path for f in files if f.length > large_bytes and _plain(f.path)]
-    small = [literal_path(f.path) for f in files if f.length <= large_bytes or not _plain(f.path)]
+    small = [literal_path(f.path) for f in files if f.length <= large_bytes]
+    large = [f.path for f in files if f.length > large_bytes]
     parts = []
     if small:
         texts = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
         parts.append(parse_texts(texts, schema, key))
     if large:
-        parts.extend(_large_records(spark, large, schema, key))
+        parts.append(_large_records(spark, large, schema, key))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -128,6 +120,7 @@ def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None)
     # The flag is set below the explode, so that no exploded row carries the whole array.
     parsed = parsed.withColumn("_malformed", F.col("_records").isNull())
     rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias(POS, "_record"))
+    rows = rows.withColumn("_record", rescue.last_values(F.col("_record"), schema))
     off_schema = F.when(F.col("_malformed"), F.lit(_MALFORMED)).when(
         F.col(POS).isNotNull(), rescue.rescued(F.col("_record"), schema)
     )
@@ -150,67 +143,17 @@ def _json(spark: SparkSession):
 
 def _large_records(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, key: str | None
-) -> list[DataFrame]:
-    """The same rows for files too large for one value, read with the streaming JSON parser.
-
-    That parser skips unknown fields, so the files' field names are inferred
-    first. Every file has one row without a position, off-schema where the file
-    has unknown fields or is no array.
-    """
-    problems = _large_problems(spark, paths, schema)
-    kept = _kept(schema, key)
-    seen = with_filename(spark.createDataFrame(list(problems.items()), f"{PATH} string, {RESCUED} string"))
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept]
-    parts = [seen.select(PATH, NAME, F.lit(None).cast("long").alias(POS), RESCUED, *nulls)]
-    clean = [literal_path(decoded(u)) for u, problem in problems.items() if problem is None]
-    if clean:
-        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        rows = (
-            spark.read.schema(as_text).option("multiLine", "true").json(clean)
-            .select("*", F.col("_metadata.file_path").alias(PATH), F.monotonically_increasing_id().alias(POS))
-        )
-        fields = F.create_map(*[c for f in schema for c in (F.lit(f.name), F.col(rescue.quoted(f.name)))])
-        present = F.map_filter(fields, lambda _, raw: raw.isNotNull())
-        rows = with_filename(rows.select(PATH, POS, present.alias("_record")))
-        off_schema = rescue.rescued(F.col("_record"), schema).alias(RESCUED)
-        parts.append(rows.select(PATH, NAME, POS, off_schema, *[rescue.value(F.col("_record"), f).alias(f.name) for f in kept]))
-    return parts
-
-
-def _large_problems(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> dict[str, str | None]:
-    """Why a large file is off-schema, or None, by URI.
-
-    One look at all of them is enough when none has unknown fields.
-    """
-    heads = (
-        spark.read.option("lineSep", "[").text([literal_path(p) for p in paths])
-        .select(
-            F.col("_metadata.file_path").alias(PATH),
-            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-            (F.ltrim("value", F.lit(rescue.BLANKS)) == "").alias("blank"),
-        )
-        .groupBy(PATH)
-        .agg(F.min_by("blank", "place").alias("array"))
+) -> DataFrame:
+    """The same rows for files too large for one task."""
+    cut = split_records(spark, [literal_path(p) for p in paths])
+    rows = with_filename(cut.withColumn("_record", F.from_json(TEXT, "map<string,string>")))
+    rows = rows.withColumn("_record", rescue.last_values(F.col("_record"), schema))
+    unread = F.col(PROBLEM).isNotNull() | (F.col(POS).isNotNull() & F.col("_record").isNull())
+    off_schema = F.when(unread, F.lit(_MALFORMED)).when(F.col(POS).isNotNull(), rescue.rescued(F.col("_record"), schema))
+    return rows.select(
+        PATH, NAME, POS, off_schema.alias(RESCUED),
+        *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
     )
-    by_uri = {r[PATH]: r["array"] for r in heads.collect()}
-    problems = {u: None if array else _MALFORMED for u, array in by_uri.items()}
-    arrays = [u for u, array in by_uri.items() if array]
-    if arrays and _field_problem(spark, arrays, schema):
-        with ThreadPoolExecutor(8) as pool:
-            found = pool.map(lambda u: _field_problem(spark, [u], schema), arrays)
-        problems.update(zip(arrays, found))
-    return problems
-
-
-def _field_problem(spark: SparkSession, uris: Sequence[str], schema: T.StructType) -> str | None:
-    try:
-        names = set(_json(spark).json([literal_path(decoded(u)) for u in uris]).schema.names)
-    except AnalysisException:  # names that differ in letter case only
-        return _MALFORMED
-    unknown = sorted(names - set(schema.names))
-    if "_corrupt_record" in unknown:
-        return _MALFORMED
-    return json.dumps({"_fields": ",".join(unknown)}) if unknown else None
 
 
 def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
@@ -232,10 +175,10 @@ def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
         paths.append(row["path"])
         size += row["length"]
     fields: dict[str, T.DataType] = {}
-    plain = [p for p in paths if _plain(p)]
+    plain = [p for p in paths if literal_path(p) == p]
     if plain:
         fields.update((f.name, f.dataType) for f in _json(spark).json(plain).schema if f.name != "_corrupt_record")
-    others = [literal_path(p) for p in paths if not _plain(p)]
+    others = [literal_path(p) for p in paths if literal_path(p) != p]
     if others:
         for name, dtype in _fields_of_texts(spark.read.text(others, wholetext=True)):
             fields.setdefault(name, dtype)

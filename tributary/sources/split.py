@@ -1,0 +1,140 @@
+"""Records of JSON array files too large for one task, cut out in parallel.
+
+The files are read in the usual byte splits, as segments that end at ``}``; a flat
+record is one segment. Whether a segment ends a record depends on two running
+values of its file: is it inside a string, and how deep is it in objects. Each
+split works them out for both possible string states at its start; the splits'
+totals, one row per split, then settle which one holds.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from tributary.operators.files import PATH, POS
+
+TEXT, PROBLEM = "_text", "_problem"
+
+
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark)))
+
+
+def _opened(text: Column) -> Column:
+    """Objects opened in a text that starts outside of strings, escapes already removed."""
+    return _count(F.regexp_replace(text, r'"[^"]*("|$)', ""), "{")
+
+
+def _segments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    rows = spark.read.option("lineSep", "}").text(list(paths)).select(
+        F.col("_metadata.file_path").alias(PATH),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("nth"),
+        "value",
+    )
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    rows = rows.withColumn("plain", plain).select(
+        PATH, "split", "nth", "value",
+        _count(F.col("plain"), '"').alias("quotes"),
+        _opened(F.col("plain")).alias("opened"),
+        _opened(F.regexp_replace("plain", r'^[^"]*("|$)', "")).alias("opened_from_string"),
+    )
+    in_split = Window.partitionBy(PATH, "split").orderBy("nth")
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    odd = F.col("odd")
+
+    def change(starts_in_string: int) -> Column:
+        """Depth change when the split starts in that state; the segment's ``}`` counts outside of strings."""
+        opened = F.when(odd == starts_in_string, F.col("opened")).otherwise(F.col("opened_from_string"))
+        closes = (odd + F.col("quotes")) % 2 == starts_in_string
+        return opened - closes.cast("int")
+
+    return (
+        rows.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+        .withColumns({"change_0": change(0), "change_1": change(1)})
+        .withColumns(
+            {
+                "depth_0": F.sum("change_0").over(so_far),
+                "depth_1": F.sum("change_1").over(so_far),
+                "is_last": F.lead("nth").over(in_split).isNull(),
+            }
+        )
+    )
+
+
+def _settled(segments: DataFrame) -> DataFrame:
+    """One row per split: its string state and depth at the start, and whether its file is balanced."""
+    inner = ~F.col("is_last")
+    totals = segments.groupBy(PATH, "split").agg(
+        F.sum("quotes").alias("quotes"),
+        *[F.sum(f"change_{h}").alias(f"total_{h}") for h in (0, 1)],
+        *[F.min(F.when(inner, F.col(f"depth_{h}"))).alias(f"least_{h}") for h in (0, 1)],
+    )
+    of_file = Window.partitionBy(PATH)
+    in_file = of_file.orderBy("split")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+
+    def held(name: str) -> Column:
+        return F.when(F.col("state") == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
+
+    splits = (
+        totals.withColumn("state", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+        .withColumns({"total": held("total"), "least": held("least"), "is_final": F.lead("split").over(in_file).isNull()})
+        .withColumn("start_depth", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+    )
+    # The last segment, after the last object, has no closing mark and so counts one too many.
+    end = F.col("start_depth") + F.col("total")
+    broken = (
+        (F.col("start_depth") + F.coalesce("least", F.lit(0)) < 0)
+        | (~F.col("is_final") & (end < 0))
+        | (F.col("is_final") & ((end != -1) | ((F.col("state") + F.col("quotes")) % 2 != 0)))
+    )
+    return splits.withColumn("broken", F.max(broken).over(of_file)).select(PATH, "split", "state", "start_depth", "broken")
+
+
+def split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, position, text, problem)``: each record's JSON text, or why its file is no array of objects.
+
+    Every file also has one row without a position.
+    """
+    segments = _segments(spark, paths)
+    splits = _settled(segments)
+    rows = segments.join(splits.filter(~F.col("broken")), [PATH, "split"])
+    depth = F.col("start_depth") + F.when(F.col("state") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
+    outside = (F.col("odd") + F.col("quotes") + F.col("state")) % 2 == 0
+    in_split = Window.partitionBy(PATH, "split").orderBy("nth")
+    rows = rows.withColumn("ends", (outside & (depth == 0)).cast("long")).withColumn(
+        "ended", F.coalesce(F.sum("ends").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    of_file = Window.partitionBy(PATH)
+    counts = rows.groupBy(PATH, "split").agg(F.sum("ends").alias("records"))
+    counts = counts.select(
+        PATH,
+        "split",
+        F.coalesce(
+            F.sum("records").over(of_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("before"),
+        F.sum("records").over(of_file).alias("all"),
+    )
+    numbered = rows.join(counts, [PATH, "split"]).withColumn(POS, F.col("before") + F.col("ended"))
+
+    pieces = F.array_sort(F.collect_list(F.struct("split", "nth", "value")))
+    texts = (
+        numbered.filter(F.col(POS) < F.col("all"))
+        .groupBy(PATH, POS)
+        .agg(F.concat(F.array_join(pieces["value"], "}"), F.lit("}")).alias(TEXT))
+    )
+    separated = F.when(F.col(POS) == 0, F.col(TEXT).rlike(r"^[\s\x{FEFF}]*\[\s*\{")).otherwise(F.col(TEXT).rlike(r"^\s*,\s*\{"))
+    records = texts.select(
+        PATH, POS, F.regexp_replace(TEXT, r"^[^{]*", "").alias(TEXT), F.when(~separated, F.lit("separator")).alias(PROBLEM)
+    )
+    closed = F.when(F.col("all") == 0, F.col("value").rlike(r"^[\s\x{FEFF}]*\[\s*\]\s*$")).otherwise(F.col("value").rlike(r"^\s*\]\s*$"))
+    tails = numbered.filter(F.col(POS) == F.col("all")).select(PATH, F.when(~closed, F.lit("end")).alias(PROBLEM))
+    broken = splits.filter("broken").select(PATH, F.lit("balance").alias(PROBLEM)).distinct()
+    files = tails.unionByName(broken).select(
+        PATH, F.lit(None).cast("long").alias(POS), F.lit(None).cast("string").alias(TEXT), PROBLEM
+    )
+    return records.unionByName(files)

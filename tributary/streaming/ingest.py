@@ -14,9 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tributary.functions.scalars import MANUAL_RUN, is_delete_name
 from tributary.operators import audit, config as cfg_ops
-from tributary.operators.files import NAME, PATH, SID
+from tributary.operators.files import NAME, PATH, SID, number_files
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
-from tributary.plans.batch import number_files, plan_deletes, plan_staged, tagged
+from tributary.plans.batch import plan_deletes, plan_staged, tagged
 from tributary.plans.store import Store, now
 from tributary.session import exists
 from tributary.sources import landing
