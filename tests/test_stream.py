@@ -93,6 +93,10 @@ def test_runs_continue(spark, tmp_path):
     snapshot = last.store.snapshot()
     assert snapshot["version"] == 3 and snapshot["deleted_rows"] == 1
     assert last.run().isEmpty() and last.store.snapshot()["version"] == 3
+    before = land.state("id", "deleted_flag", "sourceid")
+    last.store.vacuum(keep=1)
+    assert land.state("id", "deleted_flag", "sourceid") == before and last.staging() is None
+    assert sorted(os.listdir(os.path.join(last.cfg.root, "target"))) == ["v=3"]
 
 
 def test_initial_rows_are_kept(spark, tmp_path):

@@ -82,45 +82,52 @@ def _mark(rows: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def newest_changes(
-    upserts: DataFrame, deletes: DataFrame, key_type: T.DataType, keep: Sequence[str] = ()
-) -> DataFrame:
-    """Many batches of changes folded to one row per key.
-
-    Row order and delete order are both source-id order, so folding first and
-    merging once gives the same state as merging batch by batch. A keyless row
-    is an insert of its own batch and stays. ``deletes`` has the batch time as
-    ``loaddtm``; its key is compared as text, ``id`` being only its typed form.
+def newest_upserts(upserts: DataFrame) -> DataFrame:
+    """Staged rows of many batches, the newest per key.
+
+    A keyless row is an insert of its own batch and stays.
     """
     own_row = F.when(F.col("id").isNull(), F.col("sourceid"))
-    newest = latest_per_key(
-        upserts.withColumn("_own", own_row), ["id", "_own"], [F.col("sourceid").desc()]
-    ).drop("_own")
-    marks = (
+    kept = latest_per_key(upserts.withColumn("_own", own_row), ["id", "_own"], [F.col("sourceid").desc()])
+    return kept.drop("_own")
+
+
+def newest_marks(deletes: DataFrame, key_type: T.DataType) -> DataFrame:
+    """Delete keys of many batches, the newest per key, with the key in the target's type.
+
+    Keys compare as text: one that does not read back as the same text matches
+    no row and is left out. ``loaddtm`` is the time of the delete's batch.
+    """
+    return (
         deletes.groupBy(F.col("id").alias("_text"))
         .agg(F.max("sourceid").alias("_deleted_by"), F.max_by("loaddtm", "sourceid").alias("_deleted_at"))
-        .withColumn("_id", F.col("_text").try_cast(key_type))
-        .filter(F.col("_id").cast("string") == F.col("_text"))
+        .withColumn("_key", F.col("_text").try_cast(key_type))
+        .filter(F.col("_key").cast("string") == F.col("_text"))
         .drop("_text")
     )
-    staged = newest.withColumn("_staged", F.lit(True))
-    return (
-        staged.join(marks, F.col("id") == F.col("_id"), "full")
-        .withColumn("id", F.coalesce("id", "_id"))
-        .drop("_id")
-    )
 
 
-def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Merge folded changes into the state: upsert, then guarded soft delete, in one join."""
-    staged, live = F.col("c._staged").isNotNull(), F.col("s._live").isNotNull()
+def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Merge the newest staged rows and marks into the state: upsert, then guarded soft delete.
+
+    Row order and delete order are both source-id order, so folding many batches
+    and merging once gives the same state as merging them one by one. The marks
+    join each side first: a left join keeps its side's partitioning, so a state
+    that is partitioned by key is not shuffled.
+    """
+
+    def marked(rows: DataFrame, there: str) -> DataFrame:
+        joined = rows.withColumn(there, F.lit(True)).join(marks, F.col("id") == F.col("_key"), "left")
+        return joined.drop("_key")
+
+    keyed = marked(state.filter(F.col("id").isNotNull()), "_live")
+    joined = keyed.alias("s").join(marked(upserts, "_staged").alias("g"), F.col("s.id") == F.col("g.id"), "full")
+    staged = F.col("g._staged").isNotNull()
     columns = []
     for name in state.columns:
         old = F.col(f"s.`{name}`")
-        new = F.col(f"c.`{name}`") if name in changes.columns else old
+        new = F.col(f"g.`{name}`") if name in upserts.columns else old
         columns.append(F.when(staged, new).otherwise(old).alias(name))
-    keyed = state.filter(F.col("id").isNotNull()).withColumn("_live", F.lit(True))
-    joined = keyed.alias("s").join(changes.alias("c"), F.col("s.id") == F.col("c.id"), "full")
-    merged = joined.filter(staged | live).select(*columns, "_deleted_by", "_deleted_at")
-    marked = _mark(merged, F.col("_deleted_at")).select(*state.columns)
-    return marked.unionByName(state.filter(F.col("id").isNull()))
+    either = [F.coalesce(f"g.{c}", f"s.{c}").alias(c) for c in ("_deleted_by", "_deleted_at")]
+    merged = _mark(joined.select(*columns, *either), F.col("_deleted_at")).select(*state.columns)
+    return merged.unionByName(state.filter(F.col("id").isNull()))

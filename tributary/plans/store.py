@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 from pyspark.sql import types as T
 
 from tributary.functions.rescue import quoted
-from tributary.operators.merge import apply_changes, newest_changes
-from tributary.session import exists
+from tributary.operators.merge import apply_changes, newest_marks, newest_upserts
+from tributary.session import exists, remove
 
 COMMIT = (
     "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
@@ -68,7 +68,7 @@ class Store:
         A folder left by a failed attempt does not count where the batch, as
         committed, wrote none.
         """
-        if not exists(self.spark, f"{self.root}/{dataset}"):
+        if not exists(self.spark, f"{self.root}/{dataset}", "/query_id=*/batch_id=*"):
             return None
         rows = self.spark.read.parquet(f"{self.root}/{dataset}").withColumn("query_id", F.col("query_id").cast("string"))
         wrote = self._frame("commits", COMMIT).filter(F.col(COUNTED_BY[dataset]) > 0)
@@ -134,24 +134,26 @@ class Store:
     def _table(self, path: str) -> str:
         return "tributary_" + hashlib.md5(path.encode()).hexdigest()
 
-    def changes(self, commits: Sequence[Row]) -> DataFrame | None:
-        if not commits:
-            return None
-        key = self.target.schema["id"].dataType
-        upserts, deletes = self.pending("upserts", commits), self.pending("deletes", commits)
+    def _merged(self, snapshot: Row | None, pending: Sequence[Row], buckets: int) -> DataFrame:
+        """The snapshot with the pending change sets, every side partitioned by key alike."""
+        base = self.base(snapshot)
+        if not pending:
+            return base
+        if snapshot is None or snapshot["buckets"] != buckets:
+            base = base.repartition(buckets, "id")
+        upserts, deletes = self.pending("upserts", pending), self.pending("deletes", pending)
         if upserts is None:
             upserts = self.target.select("id", "sourceid").limit(0)
         if deletes is None:
             deletes = self.spark.createDataFrame([], DELETES)
-        return newest_changes(upserts, deletes, key)
+        marks = newest_marks(deletes, self.target.schema["id"].dataType)
+        return apply_changes(base, newest_upserts(upserts.repartition(buckets, "id")), marks.repartition(buckets, "_key"))
 
     def current(self) -> DataFrame:
         """The target as of the last commit, change sets merged on read."""
         snapshot = self.snapshot()
         pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
-        changes = self.changes(pending)
-        base = self.base(snapshot)
-        return base if changes is None else apply_changes(base, changes)
+        return self._merged(snapshot, pending, snapshot["buckets"] if snapshot else self.buckets)
 
     def pending_sinks(self) -> list[str] | None:
         """Columns written by the last change set not folded yet."""
@@ -172,10 +174,7 @@ class Store:
             return snapshot
         version = snapshot["version"] + 1 if snapshot else 1
         path = f"{self.root}/target/v={version}"
-        base = self.base(snapshot)
-        if snapshot is None or snapshot["buckets"] != self.buckets:
-            base = base.repartition(self.buckets, "id")
-        merged = apply_changes(base, self.changes(pending).repartition(self.buckets, "id"))
+        merged = self._merged(snapshot, pending, self.buckets)
         name = self._table(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         merged.write.format("parquet").mode("overwrite").bucketBy(self.buckets, "id").option("path", path).saveAsTable(name)
@@ -194,6 +193,18 @@ class Store:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(snapshot['path'])}")
         return self.snapshot()
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete all but the newest snapshots, and the change sets that are folded."""
+        snapshot = self.snapshot()
+        if snapshot is None:
+            return
+        for version in range(snapshot["version"] - keep, 0, -1):
+            if not remove(self.spark, f"{self.root}/target/v={version}"):
+                break
+        for commit in self._records("commits", COMMIT, lambda r: r.filter(F.col("seq") <= snapshot["folded_seq"])):
+            for dataset in ("upserts", "deletes"):
+                remove(self.spark, self.folder(dataset, commit["query_id"], commit["batch_id"]))
+
 
 def now() -> datetime:
     return datetime.now(timezone.utc)

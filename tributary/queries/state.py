@@ -77,8 +77,8 @@ def merge_into_state(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("date_deleted"),
     )
     changes = _changes(spark, sf_dir)
-    folded = merge.newest_changes(changes.staged, changes.deletes.withColumn("loaddtm", F.lit(AT)), T.LongType())
-    return merge.apply_changes(state, folded).select(*STATE)
+    marks = merge.newest_marks(changes.deletes.withColumn("loaddtm", F.lit(AT)), T.LongType())
+    return merge.apply_changes(state, merge.newest_upserts(changes.staged), marks).select(*STATE)
 
 
 def second_source(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tributary/{label}-{uuid.uuid4().hex}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on whatever file system it names."""
+def literal_path(path: str) -> str:
+    """A path that a reader takes as it is, glob characters escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def exists(spark: SparkSession, path: str, below: str = "") -> bool:
+    """Whether a path is there, or something below it that fits a glob pattern."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(literal_path(path) + below)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; False where there is none."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

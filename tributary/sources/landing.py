@@ -6,7 +6,6 @@ a batch then reads exactly its files, one task per file, or several for a large
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from typing import NamedTuple
 from urllib.parse import unquote
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 
 from tributary.functions import rescue
 from tributary.operators.files import NAME, PATH, POS, RESCUED, SID, with_filename
-from tributary.session import exists
+from tributary.session import exists, literal_path
 from tributary.sources.split import PROBLEM, TEXT, split_records
 
 GLOB = "*.json"
@@ -75,11 +74,6 @@ def landed_files(batch: DataFrame) -> list[LandedFile]:
     return sorted({LandedFile(r["path"], r["length"]) for r in batch.select("path", "length").collect()})
 
 
-def literal_path(path: str) -> str:
-    """A path the reader takes as it is, glob characters escaped."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def decoded(uri: str) -> str:
     """The plain path of a file whose metadata gives ``uri``."""
     return unquote(uri)
@@ -164,7 +158,6 @@ def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
         .option("recursiveFileLookup", "true")
         .load(source_path)
         .select("path", "modificationTime", "length")
-        .distinct()
         .orderBy("modificationTime", "path")
         .limit(SCHEMA_FILES)
     )

@@ -18,7 +18,7 @@ from tributary.operators.files import NAME, PATH, SID, number_files
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
 from tributary.plans.batch import plan_deletes, plan_staged, tagged
 from tributary.plans.store import Store, now
-from tributary.session import exists
+from tributary.session import exists, literal_path
 from tributary.sources import landing
 
 log = logging.getLogger(__name__)
@@ -295,9 +295,9 @@ class Ingest:
 
     def _texts(self, uris: Sequence[str]) -> DataFrame:
         """Whole texts of the files that fit in one value."""
-        paths = [landing.literal_path(landing.decoded(u)) for u in uris]
+        paths = [literal_path(landing.decoded(u)) for u in uris]
         listing = self.spark.read.format("binaryFile").load(paths).select("path", "length").distinct()
-        small = [landing.literal_path(f.path) for f in landing.landed_files(listing) if f.length <= self.cfg.large_bytes]
+        small = [literal_path(f.path) for f in landing.landed_files(listing) if f.length <= self.cfg.large_bytes]
         if not small:
             return self.spark.createDataFrame([], f"{PATH} string, value string")
         return self.spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
