@@ -57,7 +57,7 @@ def test_rescue(spark):
         '{"id":"a","x":{"y":[1]}}': {"x": '{"y":[1]}'},
     }
     frame = spark.createDataFrame([(c,) for c in cases], "c string").select(
-        rescue.rescued(rescue.records(F.col("c"))[0], schema)
+        rescue.rescued(rescue.records(rescue.parsed(F.col("c")))[0], schema)
     )
     got = [r[0] and json.loads(r[0]) for r in frame.collect()]
     assert got == list(cases.values())
@@ -66,7 +66,7 @@ def test_rescue(spark):
 def test_record_values_and_duplicates(spark):
     text = '[{"id": 766778999988, "v": "1.50", "id2": {"a": 1}}, {"id": "x", "id": "y"}, {"v": 1, "id": "z", "v": 2}]'
     schema = T.StructType.fromDDL("id string, v string")
-    frame = spark.range(1).select(F.explode(rescue.records(F.lit(text))).alias("r"))
+    frame = spark.range(1).select(F.explode(rescue.records(rescue.parsed(F.lit(text)))).alias("r"))
     frame = frame.select(rescue.last_values(F.col("r"), schema).alias("r"))
     got = frame.select(F.col("r")["id"], F.col("r")["v"], F.col("r")["id2"], rescue.rescued(F.col("r"), schema)).collect()
     assert [tuple(r) for r in got] == [

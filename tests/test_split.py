@@ -64,7 +64,7 @@ def test_records_of_valid_files(spark, tmp_path, splits):
 BROKEN = {
     "cut": '[{"a": 1}, {"b": 2', "no_end": '[{"a": 1}', "no_start": '{"a": 1}, {"b": 2}]', "lines": '{"a": 1}\n{"b": 2}\n',
     "scalar": '[{"a": 1}, 5, {"b": 2}]', "scalars": "[1, 2]", "extra": '[{"a": 1}}, {"b": 2}]', "string": '[{"a": "1}, {"b": 2}]',
-    "missing": '[{"a": 1} {"b": 2}]', "text": "nonsense", "after": '[{"a": 1}] x', "deep": '[{"a": 1}, {{"b": 2}]', "under": '}}[{{"a":1}]',
+    "missing": '[{"a": 1} {"b": 2}]', "text": "nonsense", "after": '[{"a": 1}] x', "deep": '[{"a": 1}, {{"b": 2}]', "under": '}}[{{"a":1}]', "twice": '[{"a": 1}] [{"b": 2}]', "two": '[{"a": 1}], [{"b": 2}]', "shut": '[{"a": 1}]]', "bare": '{"a": 1}, {"b": 2}',
 }
 
 
@@ -75,3 +75,16 @@ def test_broken_files(spark, tmp_path, splits):
     got = cut(spark, tmp_path)
     assert {name for name, (_, problems) in got.items() if problems} == set(BROKEN)
     assert len(got["good"][0]) == 2
+
+
+def test_broken_texts(spark):
+    """The reader of whole texts rejects the same files."""
+    from pyspark.sql import types as T
+
+    from tributary.sources.landing import parse_texts
+
+    good = {"g": '[{"a": 1}, {"b": "x"}]', "one": ' {"a": 1} ', "blank": " \n", "none": "[ ]"}
+    texts = spark.createDataFrame(list({**BROKEN, **good}.items()), "_input_file_path string, value string")
+    rows = parse_texts(texts, T.StructType.fromDDL("a string, b string")).collect()
+    assert {r["_fn"] for r in rows if r["_rescued_data"] is not None} == set(BROKEN)
+    assert sum(r["_pos"] is not None for r in rows if r["_fn"] in good) == 3

@@ -20,14 +20,29 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def records(text: Column) -> Column:
-    """The records of one file's text, NULL when the text is not an array of objects.
+def parsed(text: Column) -> Column:
+    """One file's text, parsed as the first of two arrays.
 
-    A single object counts as an array of one; blank text as an empty array.
+    The parser stops at the end of a value and ignores the rest; the second array
+    is only reached when the text is one value. It holds an empty record where the
+    text is a single object.
     """
     body = F.ltrim(text, F.lit(BLANKS))
-    wrapped = F.when(body == "", "[]").when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]")))
-    return F.from_json(wrapped.otherwise(body), RECORDS)
+    pair = (
+        F.when(body == "", F.lit("[[],[]]"))
+        .when(body.startswith("{"), F.concat(F.lit("[["), body, F.lit("],[{}]]")))
+        .otherwise(F.concat(F.lit("["), body, F.lit(",[]]")))
+    )
+    return F.from_json(pair, f"array<{RECORDS}>")
+
+
+def records(pair: Column) -> Column:
+    """The records of a parsed text, NULL when the text is not one array of objects.
+
+    A single object counts as an array of one; blank text as an empty array.
+    """
+    whole = (F.size(pair) == 2) & ((F.size(pair[1]) == 0) | (F.size(pair[0]) == 1))
+    return F.when(whole, pair[0])
 
 
 def last_values(record: Column, schema: T.StructType) -> Column:

@@ -10,6 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.operators.audit import DRIFT_MESSAGE
 from tributary.queries.feed import DRIFT_ABOVE, STATE_SQL, event_records, table
 from tributary.queries.landed import RECORDS_PER_FILE, chunked, write_files
 from tributary.queries.state import STATE
@@ -136,7 +137,7 @@ def rejected_files(spark, sf_dir):
     """The schema-error log of a run with drifted files."""
     ingest = _drifting(spark, sf_dir, "rejected")
     ingest.run()
-    return ingest.schema_errors().select("tablename", "filename", "pipelinerunid").withColumn("tablename", F.lit("users"))
+    return ingest.schema_errors().select("filename", "error_message")
 
 
 def quarantine_replay(spark, sf_dir):
@@ -153,7 +154,7 @@ def ingest_log(spark, sf_dir):
     _event_files(spark, sf_dir, folder)
     ingest = Ingest(spark, _config(spark, folder, USERS, "users"))
     ingest.run()
-    return ingest.file_log().select("id", "filename", "status", "file_rows", "lndrowscopied", "pipelinerunid")
+    return ingest.file_log().select("id", "filename", "status", "file_rows")
 
 
 def archived_files(spark, sf_dir):
@@ -214,9 +215,9 @@ ORACLES = {
     "sources_parallel": f"""SELECT 'users' AS ecname, * FROM ({USERS_SQL + NUMBERED + CHANGES + STATE_SQL})
         UNION ALL SELECT 'orders', * FROM ({ORDERS_SQL + NUMBERED + CHANGES + STATE_SQL})""",
     "rejected_files": USERS_SQL + DRIFTED + """x AS (SELECT 1)
-        SELECT 'users' AS tablename, fn AS filename, 'manual_run_0' AS pipelinerunid FROM drifted""",
+        SELECT fn AS filename, '""" + DRIFT_MESSAGE + """' AS error_message FROM drifted""",
     "quarantine_replay": USERS_SQL + REPLAYED + CHANGES + STATE_SQL,
     "ingest_log": USERS_SQL + NUMBERED + CHANGES + """
-        SELECT sid AS id, fn AS filename, 'SUCCESS' AS status, (SELECT count(*) FROM feed f WHERE f.fn = files.fn) AS file_rows,
-        (SELECT count(*) FROM stg) AS lndrowscopied, 'manual_run_0' AS pipelinerunid FROM files""",
+        SELECT sid AS id, fn AS filename, 'SUCCESS' AS status,
+        (SELECT count(*) FROM feed f WHERE f.fn = files.fn) AS file_rows FROM files""",
 }

@@ -110,7 +110,8 @@ def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None)
 
     A file without records keeps one row with no position, so it is still seen.
     """
-    parsed = texts.select(PATH, rescue.records(F.col("value")).alias("_records"))
+    parsed = texts.select(PATH, rescue.parsed(F.col("value")).alias("_pair"))
+    parsed = parsed.select(PATH, rescue.records(F.col("_pair")).alias("_records"))
     # The flag is set below the explode, so that no exploded row carries the whole array.
     parsed = parsed.withColumn("_malformed", F.col("_records").isNull())
     rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias(POS, "_record"))
@@ -180,7 +181,8 @@ def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
 
 def _fields_of_texts(texts: DataFrame) -> list[tuple[str, T.DataType]]:
     """Field names of whole-file texts; a field whose values are all arrays is one."""
-    values = texts.select(F.explode(rescue.records(F.col("value"))).alias("record")).select(F.explode("record").alias("name", "raw"))
+    pairs = texts.select(rescue.parsed(F.col("value")).alias("pair"))
+    values = pairs.select(F.explode(rescue.records(F.col("pair"))).alias("record")).select(F.explode("record").alias("name", "raw"))
     is_array = F.col("raw").startswith("[") & F.from_json("raw", "array<string>").isNotNull()
     rows = values.groupBy("name").agg(F.coalesce(F.bool_and(F.when(F.col("raw").isNotNull(), is_array)), F.lit(False)).alias("array"))
     return [(r["name"], T.ArrayType(T.StringType()) if r["array"] else T.StringType()) for r in rows.collect()]
