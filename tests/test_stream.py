@@ -158,6 +158,40 @@ def test_committed_batch_is_not_repeated(spark, tmp_path):
     assert rows(land) == [("1", 1.0, "N")] and ingest.file_log().count() == 1
 
 
+def test_publish_stops_before_its_record(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV)
+    land.put("a.json", [{"id": "1", "v": 1}])
+    broken = land.ingest()
+    record = broken.store._record
+
+    def fail(folder, *rest):
+        if folder.startswith("snapshots"):
+            raise RuntimeError("gone")
+        record(folder, *rest)
+
+    broken.store._record = fail
+    with pytest.raises(RuntimeError, match="gone"):
+        broken.run()
+    assert rows(land) == [] and land.ingest().current().count() == 1
+    land.put("b.json", [{"id": "2", "v": 2}])
+    land.ingest().run()
+    assert rows(land) == [("1", 1.0, "N"), ("2", 2.0, "N")]
+
+
+def test_hot_keys(spark, tmp_path):
+    """A third of the rows share a key, a third have none, one file holds most of them."""
+    land = Landing(spark, tmp_path, KV)
+    hot = [{"id": "hot", "v": n} if n % 3 == 0 else {"v": n} if n % 3 == 1 else {"id": str(n), "v": n} for n in range(3000)]
+    land.put("a.json", hot)
+    land.put("b.json", [{"id": "hot", "v": -1}])
+    land.put("c_delete.json", [{"id": "hot"}] * 1000 + [{"id": "2"}])
+    totals = land.ingest().run().first()
+    assert (totals["merged"], totals["deleted"]) == (1002, 2)
+    state = dict((r[0], r[1:]) for r in land.state("id", "v", "deleted_flag", "sourceid"))
+    assert state["hot"] == (-1.0, "Y", 3) and state[None] == (2998.0, "N", 1) and state["2"] == (2.0, "Y", 3)
+    assert len(state) == 1002
+
+
 def test_byte_cap_wins(spark, tmp_path):
     land = Landing(spark, tmp_path, KV, max_files_per_trigger="1000", max_bytes_per_trigger="20")
     for n in range(3):

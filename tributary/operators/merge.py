@@ -34,8 +34,7 @@ def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
     """Replace matched rows with their staged columns and add the unmatched staged rows.
 
     Columns that ``staged`` lacks keep the old value, NULL on insert. ``staged``
-    holds a key once. State rows without a key go around the join, so they do
-    not pile up in one task.
+    holds a key once.
     """
     hit = F.col("g._staged").isNotNull()
     columns = []
@@ -43,31 +42,39 @@ def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
         old = F.col(f"s.`{name}`")
         new = F.col(f"g.`{name}`") if name in staged.columns else old
         columns.append(F.when(hit, new).otherwise(old).alias(name))
-    keyed = state.filter(F.col(key).isNotNull())
+    keyed, keyless = _by_key(state, key)
     joined = keyed.alias("s").join(
         staged.withColumn("_staged", F.lit(True)).alias("g"), F.col(f"s.{key}") == F.col(f"g.{key}"), "full"
     )
-    return joined.select(*columns).unionByName(state.filter(F.col(key).isNull()))
+    return joined.select(*columns).unionByName(keyless)
 
 
 def clear_deletes(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
     """Take the deletion mark off rows whose key was staged again."""
+    keyed, keyless = _by_key(state, key)
     again = staged.select(F.col(key).alias("_key")).dropna().distinct().withColumn("_again", F.lit(True))
-    joined = state.join(again, F.col(key) == F.col("_key"), "left")
+    joined = keyed.join(again, F.col(key) == F.col("_key"), "left")
     cleared = F.col("_again").isNotNull() & (F.col("deleted_flag") == "Y")
-    return joined.withColumns(
+    rows = joined.withColumns(
         {
             "date_deleted": F.when(~F.coalesce(cleared, F.lit(False)), F.col("date_deleted")),
             "deleted_flag": F.when(cleared, F.lit("N")).otherwise(F.col("deleted_flag")),
         }
-    ).drop("_key", "_again")
+    )
+    return rows.select(*state.columns).unionByName(keyless)
 
 
 def soft_delete(state: DataFrame, keys: DataFrame, at: Column, key: str = "id") -> DataFrame:
     """Mark rows older than their newest delete; unknown keys change nothing."""
+    keyed, keyless = _by_key(state, key)
     marks = keys.select(F.col("id").alias("_key"), F.col("sourceid").alias("_deleted_by"))
-    joined = state.join(marks, F.col(key).cast("string") == F.col("_key"), "left")
-    return _mark(joined, at).select(*state.columns)
+    joined = keyed.join(marks, F.col(key).cast("string") == F.col("_key"), "left")
+    return _mark(joined, at).select(*state.columns).unionByName(keyless)
+
+
+def _by_key(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with and without a key: the latter go around a join, not into one task of it."""
+    return rows.filter(F.col(key).isNotNull()), rows.filter(F.col(key).isNull())
 
 
 def _mark(rows: DataFrame, at: Column) -> DataFrame:
@@ -116,12 +123,12 @@ def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame) -> Dat
     that is partitioned by key is not shuffled.
     """
 
-    def marked(rows: DataFrame, there: str) -> DataFrame:
-        joined = rows.withColumn(there, F.lit(True)).join(marks, F.col("id") == F.col("_key"), "left")
-        return joined.drop("_key")
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.join(marks, F.col("id") == F.col("_key"), "left").drop("_key")
 
-    keyed = marked(state.filter(F.col("id").isNotNull()), "_live")
-    joined = keyed.alias("s").join(marked(upserts, "_staged").alias("g"), F.col("s.id") == F.col("g.id"), "full")
+    with_key, keyless = _by_key(state, "id")
+    newest = marked(upserts.withColumn("_staged", F.lit(True)))
+    joined = marked(with_key).alias("s").join(newest.alias("g"), F.col("s.id") == F.col("g.id"), "full")
     staged = F.col("g._staged").isNotNull()
     columns = []
     for name in state.columns:
@@ -130,4 +137,4 @@ def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame) -> Dat
         columns.append(F.when(staged, new).otherwise(old).alias(name))
     either = [F.coalesce(f"g.{c}", f"s.{c}").alias(c) for c in ("_deleted_by", "_deleted_at")]
     merged = _mark(joined.select(*columns, *either), F.col("_deleted_at")).select(*state.columns)
-    return merged.unionByName(state.filter(F.col("id").isNull()))
+    return merged.unionByName(keyless)

@@ -177,6 +177,7 @@ class Store:
         merged = self._merged(snapshot, pending, self.buckets)
         name = self._table(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, path)  # left by a publish that stopped before its record
         merged.write.format("parquet").mode("overwrite").bucketBy(self.buckets, "id").option("path", path).saveAsTable(name)
         folded_before = snapshot["end_id"] if snapshot else 0
         newly_deleted = self.spark.table(name).filter((F.col("deleted_flag") == "Y") & (F.col("sourceid") > folded_before))
