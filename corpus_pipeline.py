@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, mixing, rules
+from tributary.llm import bpe, exact, mixing, near, rules
 from tributary.llm.common import table, written
 
 
@@ -22,15 +22,28 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.distinct_texts(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one with the least doc_id."""
+    return near.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in whole documents."""
     return mixing.mixed(docs)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per document of the mix: doc_id, n_tokens, ids (packed, four bytes each) and digests."""
+    rows = bpe.encoded(docs, bpe.VOCABULARY)
+    return rows.select("doc_id", "ids", *bpe.digest_columns())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
+    ("tokenize", tokenize),
 ]
 
 #: The stages' hashes, signatures and merges are beyond SQL; tests hold the rows against plain versions.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import exact, mixing, rules, shards
+from tributary.llm import bpe, exact, mixing, near, rules, shards
 from tributary.llm.common import table
 
 WORD_SQL = r"'[^\x20\x09-\x0D]+'"
@@ -25,6 +25,10 @@ def op4_exact_dedup(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_bpe(spark, sf_dir):
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), bpe.VOCABULARY))
+
+
 def op8_quality_rules(spark, sf_dir):
     rows = rules.judged(rules.ledger(table(spark, sf_dir, "documents")))
     return rows.select(
@@ -33,11 +37,20 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+def op9_minhash_near_dedup(spark, sf_dir):
+    return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op10_sharding(spark, sf_dir):
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (pipeline, op1_mixing, op4_exact_dedup, op8_quality_rules, op10_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        pipeline, op1_mixing, op4_exact_dedup, op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
+    )
+}
 
 ORACLES = {
     "op1_mixing": f"""
