@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import bpe, exact, mixing, near, rules, shards
+from tributary.llm import bpe, exact, language, mixing, near, quality, rules, shards
 from tributary.llm.common import table
 
 WORD_SQL = r"'[^\x20\x09-\x0D]+'"
@@ -20,6 +20,21 @@ def op1_mixing(spark, sf_dir):
     return documents.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.id_crc32(4) == 2
+    network, labels = language.fit(docs.filter(~held_out))
+    found = language.predicted(docs, network, labels)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language.id_crc32(5) == 0
+    found = quality.scored(docs, quality.fit(docs, labels.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_exact_dedup(spark, sf_dir):
     groups = exact.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -48,7 +63,8 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        pipeline, op1_mixing, op4_exact_dedup, op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
+        pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op7_bpe, op8_quality_rules,
+        op9_minhash_near_dedup, op10_sharding,
     )
 }
 
