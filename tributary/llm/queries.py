@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import bpe, exact, language, mixing, near, quality, rules, shards
+from tributary.llm import bpe, exact, language, licenses, mixing, near, quality, rules, shards
 from tributary.llm.common import table
 
+_TEMPLATES_SQL = ", ".join(
+    "({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES)
+)
 WORD_SQL = r"'[^\x20\x09-\x0D]+'"
 
 
@@ -40,6 +43,10 @@ def op4_exact_dedup(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), bpe.VOCABULARY))
 
@@ -63,8 +70,8 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op7_bpe, op8_quality_rules,
-        op9_minhash_near_dedup, op10_sharding,
+        pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op5_license_scan, op7_bpe,
+        op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
     )
 }
 
@@ -103,6 +110,20 @@ WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
     FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
     sha256(norm) AS text_sha256 FROM n WINDOW w AS (PARTITION BY norm)""",
+    "op5_license_scan": f"""
+WITH t AS (SELECT i, license, ws, greatest(8, CAST(pow(2, ceil(log2(len(ws)))) AS INTEGER)) AS level
+    FROM (SELECT i, license, regexp_extract_all(lower(x), '[a-z0-9]+') AS ws FROM (VALUES {_TEMPLATES_SQL}) v(i, license, x))),
+p AS (SELECT i, license, level, list_distinct([ws[j] || ' ' || ws[j + 1] || ' ' || ws[j + 2] FOR j IN generate_series(1, len(ws) - 2)])
+    AS wanted FROM t),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest([{{'j': j, 's': ws[j] || ' ' || ws[j + 1] || ' ' || ws[j + 2]}} FOR j IN generate_series(1, len(ws) - 2)],
+    recursive := true) FROM d WHERE len(ws) > 2),
+h AS (SELECT doc_id, j - 1 AS j, s, i, license, level, len(wanted) AS n FROM s JOIN (SELECT *, unnest(wanted) AS w FROM p) q ON s = w),
+k AS (SELECT *, unnest([j // level, j // level - 1]) AS win FROM h),
+c AS (SELECT doc_id, license, i, level, win, count(DISTINCT s) / max(n) AS containment FROM k
+    WHERE win >= 0 AND j + 3 <= win * level + 2 * level GROUP BY ALL)
+SELECT doc_id, license, max(containment) AS containment, CAST(min(level * win) AS BIGINT) AS first_word
+FROM c WHERE containment >= 0.8 GROUP BY 1, 2""",
     "op8_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, {WORD_SQL}) AS ws, list_filter(string_split(text, chr(10)),
