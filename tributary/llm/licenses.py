@@ -46,6 +46,11 @@ TEMPLATES = (
 )
 
 
+def held(value: Column) -> Column:
+    """The value, made once: a generator's output is never copied into the expressions that use it."""
+    return F.explode(F.array(value))
+
+
 def words(text: Column) -> Column:
     """Runs of ASCII letters and digits, lower case; null as empty."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
@@ -90,10 +95,9 @@ def license_windows(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     known = _templates(spark, templates)
     wanted = [(r.level, r.h) for r in known.select("level", hashes(F.col("words")).alias("h")).collect()]
     levels, shingles = sorted({level for level, _ in wanted}), sorted({h for _, hs in wanted for h in hs})
-    cut = docs.select("doc_id", words(F.col("text")).alias("words")).filter(F.size("words") >= WIDTH)
-    hashed = cut.withColumn("hashes", hashes(F.col("words")))
-    held = F.transform("hashes", lambda h, i: F.when(h.isin(shingles), i))
-    hit = hashed.withColumn("hits", F.filter(held, lambda i: i.isNotNull())).filter(F.size("hits") > 0).drop("hashes")
+    cut = docs.select("doc_id", held(words(F.col("text"))).alias("words")).filter(F.size("words") >= WIDTH)
+    found = F.transform(hashes(F.col("words")), lambda h, i: F.when(h.isin(shingles), i))
+    hit = cut.select("doc_id", "words", held(F.filter(found, lambda i: i.isNotNull())).alias("hits")).filter(F.size("hits") > 0)
     # the windows of a level that cover a hit: the one that begins at or before it, and the one before that
     spots = F.array_distinct(F.flatten(F.array(*(
         F.transform(F.flatten(F.transform("hits", lambda i: F.array(F.floor(i / level), F.greatest(F.floor(i / level) - 1, F.lit(0))))),
@@ -102,11 +106,10 @@ def license_windows(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     ))))
     windows = hit.select("doc_id", "words", F.explode(spots).alias("w")).select(
         "doc_id", "w.level", "w.window",
-        F.slice("words", F.col("w.level") * F.col("w.window") + 1, F.col("w.level") * 2).alias("words"),
-    )
-    signed = windows.withColumn("signature", signature(hashes(F.col("words")))).select(
-        "doc_id", "level", "window", "words", F.posexplode("signature").alias("band", "value")
+        held(F.slice("words", F.col("w.level") * F.col("w.window") + 1, F.col("w.level") * 2)).alias("words"),
     )
+    hashed = windows.select("doc_id", "level", "window", "words", held(hashes(F.col("words"))).alias("hashes"))
+    signed = hashed.select("doc_id", "level", "window", "words", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
     bands = known.select(
         "template", "license", F.col("level").alias("l"), F.col("words").alias("phrase"),
         F.posexplode(signature(hashes(F.col("words")))).alias("b", "v"),
