@@ -77,16 +77,19 @@ def schedule(targets: DataFrame, total: int, block: int) -> DataFrame:
     return ranked.select("slot", "source", (F.col("start") + F.col("turn")).alias("rank"))
 
 
-def _shuffled(rows: DataFrame, total_rows: int) -> DataFrame:
-    """With ``before``: words of the source's documents that precede in the shuffled order. A source is cut
-    by the leading digits of the hash, so that a large source is many groups."""
-    digits = 1
+def _shuffled(rows: DataFrame, of_source: DataFrame, total_rows: int) -> DataFrame:
+    """With ``before``: words of the source's documents that precede in the shuffled order, and the columns of
+    ``of_source``, one row per source ``s``. A source is cut by the leading digits of the hash, so that a large
+    source is many groups; rows meet their source's columns by these groups, never by the source alone."""
+    digits = 2
     while 16**digits < total_rows / 50_000:
         digits += 1
     parts = rows.withColumn("part", F.substring("place", 1, digits))
     sums = parts.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("start"))
+    starts = sums.select("source", F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("start")).join(
+        of_source, F.col("source").eqNullSafe(F.col("s"))
+    ).drop("source")
     within = Window.partitionBy("source", "part").orderBy("place", "doc_id", "key").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
         starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))
@@ -118,8 +121,8 @@ def mix(docs: DataFrame, block_words: int | None = None) -> tuple[DataFrame, Dat
         F.col("source").alias("s"), "source_size", "target",
         F.least(F.coalesce("granted", F.lit(0)), EPOCHS * F.col("source_size")).alias("granted"),
     )
-    laid = written(_shuffled(rows, all_.rows).join(ranged, F.col("source").eqNullSafe(F.col("s"))).drop("s", "place").withColumn(
-        "row", F.monotonically_increasing_id()), "mix-laid")
+    laid = _shuffled(rows, ranged, all_.rows).drop("place").withColumn("row", F.monotonically_increasing_id())
+    laid = written(laid, "mix-laid")
     epochs = laid.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1)))).withColumn(
         "start", F.col("epoch") * F.col("source_size") + F.col("before")
     ).filter("start < granted").withColumn("end", F.least(F.col("start") + F.col("size"), F.col("granted")))
