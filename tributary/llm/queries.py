@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import bpe, exact, language, licenses, mixing, near, quality, rules, shards
+from tributary.llm import bpe, exact, language, licenses, mixing, near, pii, quality, rules, shards
 from tributary.llm.common import table
 
 _TEMPLATES_SQL = ", ".join(
@@ -47,6 +47,16 @@ def op5_license_scan(spark, sf_dir):
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def number(kind):
+        of_kind = F.filter(F.split("base", ","), lambda x: x.startswith(f"{kind}:"))
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), bpe.VOCABULARY))
 
@@ -70,8 +80,8 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op5_license_scan, op7_bpe,
-        op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
+        pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op5_license_scan, op6_personal_data,
+        op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
     )
 }
 
