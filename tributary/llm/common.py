@@ -42,16 +42,17 @@ def text_key(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(-1).cast("long")).otherwise(F.xxhash64(text))
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, key) is in ``dropped``; of rows in ``repeated``, which
-    agree in both, one stays. ``dropped`` and ``repeated`` have the columns doc_id and key, each pair once.
+def kept_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``groups`` (doc_id, key, kept: a row for each row of a group) does not keep.
 
-    The rows that are neither dropped nor repeated pass one anti join; a repeated row is folded by a
-    partial aggregation, so a row repeated very often is no large group in one task.
+    Rows are known by doc_id and text key. Those of no group pass one anti join; of rows that agree in both
+    and are kept, one stays, by a partial aggregation, so a row repeated very often is no large group in
+    one task.
     """
+    per = groups.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    gone, repeated = per.filter("n > 1 OR NOT kept"), per.filter("n > 1 AND kept")
     key, mark = unused(docs.columns, "key", "mark")
     keyed = docs.withColumn(key, text_key(F.col("text")))
-    gone = dropped.select("doc_id", "key").union(repeated.select("doc_id", "key"))
 
     def same(other: DataFrame) -> Column:
         return keyed["doc_id"].eqNullSafe(other["doc_id"]) & (keyed[key] == other["key"])

@@ -13,7 +13,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tributary.llm.common import text_key, without_rows, written
+from tributary.llm.common import kept_rows, text_key, written
 
 HEAD, TAIL = 32, 16
 KEY = ["head", "bytes", "tail", "salt"]
@@ -25,11 +25,11 @@ def normalised(text: Column) -> Column:
 
 
 def exact_groups(docs: DataFrame, keep: str = "largest", hot_share: float = 0.25) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, key, same_id.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, key.
 
     Of equal normalised texts the row with the largest (or smallest) doc_id stays. ``key`` is the text's
-    ``text_key``; ``same_id`` counts the rows of the group with the same doc_id: of several rows that all
-    have the doc_id that stays, the least key, and there any one, is marked as kept. Null texts equal empty
+    ``text_key``: of several rows that all have the doc_id that stays, the least key, and there any one, is
+    marked as kept. Null texts equal empty
     ones; a null doc_id counts as smaller than any other; an empty table gives no rows.
 
     ``hot_share``: a sort key with more rows than this share of a mean partition is salted, so no task
@@ -61,9 +61,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest", hot_share: float = 0.25
     whole = Window.partitionBy(*KEY, "run")
     runs = written(compared.withColumns({
         "run_best": best("doc_id").over(whole), "run_size": F.count("*").over(whole),
-        "same_id": F.count("*").over(Window.partitionBy(*KEY, "run", "doc_id")),
-        "turn": F.row_number().over(Window.partitionBy(*KEY, "run").orderBy("doc_id", "key")),
-        "turn_best": F.row_number().over(Window.partitionBy(*KEY, "run", "doc_id").orderBy("key")),
+        "turn": F.row_number().over(Window.partitionBy(*KEY, "run", "doc_id").orderBy("key")),
     }), "exact-runs")
 
     heads = runs.filter(F.col("lead").isNotNull()).select(*KEY, "run", "lead", "run_best", "run_size")
@@ -73,14 +71,12 @@ def exact_groups(docs: DataFrame, keep: str = "largest", hot_share: float = 0.25
     warm = runs.filter(F.col("salts").isNotNull()).join(settled, [*KEY, "run"])
     return cold.unionByName(warm, allowMissingColumns=True).select(
         "doc_id", F.col("best").alias("keep_id"), F.col("size").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("best")) & (F.col("turn_best") == 1)).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"), "key", "same_id",
+        (F.col("doc_id").eqNullSafe(F.col("best")) & (F.col("turn") == 1)).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"), "key",
     )
 
 
 def distinct_texts(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents with one row for each text, all columns as they are."""
-    groups = written(exact_groups(docs, keep), "exact-groups")
-    dropped = groups.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "key").distinct()
-    repeated = groups.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("same_id") > 1))
-    return without_rows(docs, dropped, repeated.select("doc_id", "key").distinct())
+    groups = written(exact_groups(docs, keep).filter("group_size > 1"), "exact-groups")
+    return kept_rows(docs, groups)

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tributary.llm.common import text_key, without_rows, written
+from tributary.llm.common import kept_rows, text_key, written
 from tributary.llm.shingles import mix, multisets
 
 SIMILAR = 0.8
@@ -205,12 +205,11 @@ def _candidates(nodes: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, kept, key, same_id.
+    """One row per document: doc_id, class_id, class_size, kept, key.
 
     Documents are linked when their multisets of five-word shingles have weighted Jaccard similarity 0.8 or
     more; classes are the connected documents, ``class_id`` is the least doc_id of the class and its row is kept
-    (of several with that doc_id, the least ``key``, and there any one; ``same_id`` counts rows that agree in
-    doc_id and key). Equal multisets are one node. A document without words, null or empty, is a class of its
+    (of several with that doc_id, the one with the least ``text_key``, and there any one). Equal multisets are one node. A document without words, null or empty, is a class of its
     own row; one with less than five words has one shingle; an empty table gives no rows.
     """
     sketch = docs.select("doc_id", text_key(F.col("text")).alias("key"), _sketched(F.col("text")).alias("s"))
@@ -235,26 +234,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     best = placed.groupBy("class").agg(
         F.min(F.struct("doc_id", "key")).alias("best"), F.count("*").alias("class_size")
     )
-    same = placed.groupBy("class", "doc_id", "key").agg(F.count("*").alias("same_id"))
+    same = placed.groupBy("class", "doc_id", "key").agg(F.count("*").alias("times"))
     judged = same.join(best, "class").select(
-        "doc_id", "key", F.col("best.doc_id").alias("class_id"), "class_size", "same_id",
+        "doc_id", "key", F.col("best.doc_id").alias("class_id"), "class_size", "times",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("kept"),
     )
-    again = judged.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("same_id"))))
+    again = judged.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     alone = sketch.filter("weight = 0").select(
         "doc_id", "key", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
-        F.lit(1).cast("long").alias("same_id"), F.lit(True).alias("kept"),
+        F.lit(True).alias("kept"),
     )
-    return again.withColumn("kept", F.col("kept") & (F.col("turn") == 1)).drop("turn").unionByName(alone).select(
-        "doc_id", "class_id", "class_size", "kept", "key", "same_id"
+    return again.withColumn("kept", F.col("kept") & (F.col("turn") == 1)).drop("turn", "times").unionByName(alone).select(
+        "doc_id", "class_id", "class_size", "kept", "key"
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one of each class, all columns as they are."""
-    classes = written(near_classes(docs).filter("class_size > 1"), "near-classes")
-    per = classes.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.max("same_id").alias("same_id"))
-    return without_rows(
-        docs, per.filter(~F.col("kept")).select("doc_id", "key"),
-        per.filter(F.col("kept") & (F.col("same_id") > 1)).select("doc_id", "key"),
-    )
+    return kept_rows(docs, written(near_classes(docs).filter("class_size > 1"), "near-classes"))
