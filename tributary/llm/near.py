@@ -234,7 +234,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     best = placed.groupBy("class").agg(
         F.min(F.struct("doc_id", "key")).alias("best"), F.count("*").alias("class_size")
     )
-    same = placed.groupBy("class", "doc_id", "key").agg(F.count("*").alias("times"))
+    # written, so that the join below reads plain rows and can split a large class
+    same = written(placed.groupBy("class", "doc_id", "key").agg(F.count("*").alias("times")), "near-rows")
     judged = same.join(best, "class").select(
         "doc_id", "key", F.col("best.doc_id").alias("class_id"), "class_size", "times",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("kept"),
