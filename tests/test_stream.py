@@ -275,15 +275,15 @@ def test_sources_are_isolated(spark, tmp_path):
     "change, text",
     [
         ({"target_full_name": "single"}, "needs a schema"),
-        ({"source_path": None}, "source_path could not be resolved"),
-        ({"enabled_flag": "Y"}, "No enabled loader"),
+        ({"source_path": None}, "gives no source_path"),
+        ({"enabled_flag": "Y"}, "no enabled loader row"),
         ({"archive_enabled": "y"}, "archive_directory"),
-        ({"mappingsettings": "{bad"}, "No mappings"),
-        ({"mappingsettings": mappings({"v": "double"})}, "mapped to id"),
+        ({"mappingsettings": "{bad"}, "maps no field"),
+        ({"mappingsettings": mappings({"v": "double"})}, "to its key"),
         ({"mappingsettings": mappings({"id": "string", "zz": "double", "aa": "x"})}, "target table: aa, zz"),
         ({"mappingsettings": json.dumps({"mappings": [
-            {"source": {"path": "a"}, "sink": {"name": "id"}}, {"source": {"path": "b"}, "sink": {"name": "id"}}]})}, "one sink"),
-        ({"enableflag": "Y"}, "No enabled configuration"),
+            {"source": {"path": "a"}, "sink": {"name": "id"}}, {"source": {"path": "b"}, "sink": {"name": "id"}}]})}, "one column"),
+        ({"enableflag": "Y"}, "no enabled control row"),
     ],
 )
 def test_bad_settings(spark, tmp_path, change, text):
@@ -306,6 +306,6 @@ def test_schema_and_key_problems(spark, tmp_path):
     assert ingest.run().first()["files"] == 1
     assert rows(land) == []
     land.put("b.json", [{"v": 1}])
-    with pytest.raises(StreamingQueryException, match="mapped to id"):
+    with pytest.raises(StreamingQueryException, match="holds the key"):
         land.ingest().run()
 

@@ -36,7 +36,7 @@ def map_columns(rows: DataFrame, mapping: Sequence[MappedColumn], *extra: str |
             out = out.try_cast(m.type)
         columns.append(out.alias(m.sink))
     if not columns:
-        raise MappingError("No mapped columns found.")
+        raise MappingError("the records have none of the mapped fields")
     return rows.select(*columns, *extra)
 
 

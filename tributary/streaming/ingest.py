@@ -85,16 +85,16 @@ def load_config(
     """Settings of one source out of the control tables, checked."""
     ecname = (ecname or "").strip()
     if not ecname:
-        raise ConfigError("ecname parameter is mandatory")
+        raise ConfigError("a source name (ecname) is needed")
     newest = cfg_ops.latest_config(control.filter(F.col("ecname") == ecname))
     rows = newest.collect()
     if not rows:
-        raise ConfigError(f"No enabled configuration found in etlcontrol for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' has no enabled control row")
     found = loader.filter((F.col("ecname") == ecname) & (F.col("enabled_flag") == "y")).take(2)
     if not found:
-        raise ConfigError(f"No enabled loader configuration found for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' has no enabled loader row")
     if len(found) > 1:
-        raise ConfigError(f"More than one enabled loader configuration for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' has several enabled loader rows")
     settings, entry = found[0], rows[0]
 
     target = _value(settings, "target_full_name")
@@ -105,17 +105,17 @@ def load_config(
         raise ConfigError(f"target_full_name of '{ecname}' needs a schema and a table, got '{target}'")
     for name in ("source_path", "schema_location", "checkpoint_location"):
         if not _value(settings, name):
-            raise ConfigError(f"{name} could not be resolved for ecname = '{ecname}'")
+            raise ConfigError(f"the loader row of source '{ecname}' gives no {name}")
 
     mappings = cfg_ops.parse_mappings(newest)
     ordered = mappings.orderBy("pos").collect()
     sinks = [m["sink"] for m in ordered]
     if not ordered:
-        raise ConfigError(f"No mappings found for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' maps no field")
     if len(set(sinks)) != len(sinks):
-        raise ConfigError(f"Several sources are mapped to one sink for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' maps several fields to one column")
     if "id" not in sinks:
-        raise ConfigError(f"No source is mapped to id for ecname = '{ecname}'")
+        raise ConfigError(f"source '{ecname}' maps no field to its key")
     mapping = tuple(MappedColumn(m["source"], m["sink"], cfg_ops.declared_type(m["type"])) for m in ordered)
 
     archive = str(_value(settings, "archive_enabled", "N")).upper() == "Y"
@@ -246,7 +246,7 @@ class Ingest:
         merged = deleted = 0
         if counts["regular"]:
             if cfg.id_source not in parsed.columns:
-                raise MappingError("The field mapped to id is not in the source schema.")
+                raise MappingError("no source field holds the key")
             staged = plan_staged(tagged(parsed, files, files_seen), self.mapping, at)
             merged = store.write_counted(staged, "upserts", query_id, batch_id)
         if counts["deletes"]:
