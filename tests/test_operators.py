@@ -101,7 +101,7 @@ def test_mapping(spark):
     out = add_audit(map_columns(frame, mapping, "_sid"), F.lit(DAY))
     assert out.columns == ["id", "tags", "amount", "sourceid", "loaddtm", "deleted_flag", "date_deleted"]
     assert tuple(out.drop("loaddtm").first()) == (1, "x,y", None, 3, "N", None)
-    with pytest.raises(MappingError, match="No mapped columns found"):
+    with pytest.raises(MappingError, match="none of the mapped fields"):
         map_columns(frame, [MappedColumn("absent", "z")])
     target = T.StructType.fromDDL("id string, tags array<string>, amount decimal(9,2)")
     typed = sink_types(mapping, target)

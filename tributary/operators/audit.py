@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tributary.functions.scalars import message
-from tributary.operators.files import NAME, SID
+from tributary.functions.rescue import quoted
+from tributary.functions.scalars import is_delete_name, message
+from tributary.operators.files import NAME, PATH, POS, RESCUED, SID
 
 # Log readers look for exactly these texts.
 SUCCESS = "SUCCESS"
@@ -81,11 +82,20 @@ def clean_staging(staged: DataFrame, log: DataFrame, table: str) -> DataFrame:
     return staged.join(done.select(F.col("id").alias("sourceid")).distinct(), "sourceid", "left_anti")
 
 
-def batch_summary(files: DataFrame, staged: DataFrame, deletes: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Totals of a batch in one row, from one aggregate over tagged counts."""
-    kinds = {"files": files, "merged": staged, "deleted": deletes, "rejected": rejected}
-    counted = None
-    for name, frame in kinds.items():
-        part = frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("kind"), "n")
-        counted = part if counted is None else counted.unionByName(part)
-    return counted.agg(*[F.max(F.when(F.col("kind") == name, F.col("n"))).alias(name) for name in kinds])
+def batch_summary(records: DataFrame, key: str) -> DataFrame:
+    """Totals of a batch's records in one row, from one pass: accepted and rejected files, rows staged (the newest per
+    key; the keyless ones count as one) and keys deleted.
+
+    Records are first counted by file and key; what follows works on those counts.
+    """
+    per = records.groupBy(PATH, NAME, F.col(quoted(key)).alias("_key")).agg(
+        F.max(F.col(RESCUED).isNotNull()).alias("_bad"), F.count(POS).alias("_rows")
+    )
+    per = per.withColumn("_bad", F.max("_bad").over(Window.partitionBy(PATH)))
+    accepted, deletes = ~F.col("_bad"), is_delete_name(F.col(NAME))
+    return per.agg(
+        F.count_distinct(F.when(accepted, F.col(PATH))).alias("files"),
+        F.count_distinct(F.when(accepted & ~deletes & (F.col("_rows") > 0), F.struct("_key"))).alias("merged"),
+        F.count_distinct(F.when(accepted & deletes, F.col("_key"))).alias("deleted"),
+        F.count_distinct(F.when(~accepted, F.col(PATH))).alias("rejected"),
+    )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.rescue import quoted
+
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -23,7 +25,7 @@ def delete_keys(rows: DataFrame, id_source: str, sid: str = "_sid") -> DataFrame
     if id_source not in rows.columns:
         rows = rows.withColumn(id_source, F.lit(None).cast("string")).limit(0)
     return (
-        rows.select(F.col(f"`{id_source}`").cast("string").alias("id"), F.col(sid).alias("sourceid"))
+        rows.select(F.col(quoted(id_source)).cast("string").alias("id"), F.col(sid).alias("sourceid"))
         .dropna(subset=["id"])
         .groupBy("id")
         .agg(F.max("sourceid").alias("sourceid"))
@@ -39,8 +41,8 @@ def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
     hit = F.col("g._staged").isNotNull()
     columns = []
     for name in state.columns:
-        old = F.col(f"s.`{name}`")
-        new = F.col(f"g.`{name}`") if name in staged.columns else old
+        old = F.col(f"s.{quoted(name)}")
+        new = F.col(f"g.{quoted(name)}") if name in staged.columns else old
         columns.append(F.when(hit, new).otherwise(old).alias(name))
     keyed, keyless = _by_key(state, key)
     joined = keyed.alias("s").join(
@@ -132,8 +134,8 @@ def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame) -> Dat
     staged = F.col("g._staged").isNotNull()
     columns = []
     for name in state.columns:
-        old = F.col(f"s.`{name}`")
-        new = F.col(f"g.`{name}`") if name in upserts.columns else old
+        old = F.col(f"s.{quoted(name)}")
+        new = F.col(f"g.{quoted(name)}") if name in upserts.columns else old
         columns.append(F.when(staged, new).otherwise(old).alias(name))
     either = [F.coalesce(f"g.{c}", f"s.{c}").alias(c) for c in ("_deleted_by", "_deleted_at")]
     merged = _mark(joined.select(*columns, *either), F.col("_deleted_at")).select(*state.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.rescue import quoted
 from tributary.operators.merge import apply_changes, newest_marks, newest_upserts
-from tributary.session import exists, remove
+from tributary.session import exists, remove, sql_text
 
 COMMIT = (
     "seq long, query_id string, batch_id long, start_id long, end_id long, files long, rejected long, "
@@ -127,7 +127,7 @@ class Store:
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.target.schema)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION {sql_text(path)}"
         )
         return self.spark.table(name)
 
@@ -141,7 +141,12 @@ class Store:
             return base
         if snapshot is None or snapshot["buckets"] != buckets:
             base = base.repartition(buckets, "id")
-        upserts, deletes = self.pending("upserts", pending), self.pending("deletes", pending)
+        for commits in _alike(pending):
+            base = self._folded(base, commits, buckets)
+        return base
+
+    def _folded(self, base: DataFrame, commits: Sequence[Row], buckets: int) -> DataFrame:
+        upserts, deletes = self.pending("upserts", commits), self.pending("deletes", commits)
         if upserts is None:
             upserts = self.target.select("id", "sourceid").limit(0)
         if deletes is None:
@@ -155,12 +160,6 @@ class Store:
         pending = self.commits(snapshot["folded_seq"] if snapshot else 0)
         return self._merged(snapshot, pending, snapshot["buckets"] if snapshot else self.buckets)
 
-    def pending_sinks(self) -> list[str] | None:
-        """Columns written by the last change set not folded yet."""
-        snapshot = self.snapshot()
-        pending = [c for c in self.commits(snapshot["folded_seq"] if snapshot else 0) if c["merged"]]
-        return list(pending[-1]["sinks"]) if pending else None
-
     def publish(self) -> Row | None:
         """Fold the pending change sets into a new snapshot; its record is written last.
 
@@ -207,5 +206,20 @@ class Store:
                 remove(self.spark, self.folder(dataset, commit["query_id"], commit["batch_id"]))
 
 
+def _alike(commits: Sequence[Row]) -> list[list[Row]]:
+    """Runs of commits, in order, whose change sets have the same columns: a column that a batch did not
+    write is not one that it wrote as NULL, so sets with different columns are folded one after the other."""
+    runs: list[list[Row]] = []
+    columns = None
+    for commit in commits:
+        written = list(commit["sinks"] or []) if commit["merged"] else None
+        if not runs or (written is not None and columns is not None and written != columns):
+            runs.append([])
+            columns = None
+        runs[-1].append(commit)
+        columns = written if written is not None else columns
+    return runs
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import basename, run_label
+from tributary.functions.scalars import basename, flag, message, run_label
 from tributary.operators import audit, files as ops
 from tributary.operators.files import NAME, PATH, POS, SID
 from tributary.plans.batch import plan_changes
@@ -70,11 +70,22 @@ def file_log(spark, sf_dir):
 
 def clean_staging(spark, sf_dir):
     files, changes = _changes(spark, sf_dir)
-    status = F.when(F.col(NAME) < "20240121", audit.SUCCESS).otherwise(audit.FAILED)
+    status = F.when(F.col(SID) % 3 != 0, audit.SUCCESS).otherwise(audit.FAILED)
     log = files.select(F.col(SID).alias("id"), F.lit("users").alias("tablename"), status.alias("status"))
     return audit.clean_staging(changes.staged, log, "users").select("id", "sourceid")
 
 
+def error_texts(spark, sf_dir):
+    """Long texts as error messages."""
+    return table(spark, sf_dir, "documents").select("doc_id", message(F.col("text")).alias("cmnts"))
+
+
+def switches(spark, sf_dir):
+    """Yes/no settings in several spellings."""
+    text = F.when(F.col("o_orderstatus") == "F", F.lit(" Yes ")).when(F.col("o_orderstatus") == "O", F.lit("N"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", flag(text).alias("on"))
+
+
 def schema_errors(spark, sf_dir):
     drifted = ops.drift_files(event_records(spark, sf_dir, HOURLY, drift=True))
     rows = audit.schema_error_log(drifted, "users", F.lit(7), F.lit("manual_run_0"), F.lit(AT))
@@ -90,18 +101,14 @@ def error_log(spark, sf_dir):
 
 
 def batch_summary(spark, sf_dir):
-    records = event_records(spark, sf_dir, HOURLY, drift=True)
-    files = ops.number_files(records)
-    changes = plan_changes(records, files, EVENT_MAPPING, "user_id", F.lit(AT))
-    accepted, rejected = files.filter(~F.col("drifted")), files.filter("drifted")
-    return audit.batch_summary(accepted, changes.staged, changes.deletes, rejected)
+    return audit.batch_summary(event_records(spark, sf_dir, HOURLY, drift=True), "user_id")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         file_inventory, source_ids, source_ids_resume, tag_rows, route_files, drift_files, drift_survivors,
-        path_basename, run_labels, file_log, clean_staging, schema_errors, error_log, batch_summary,
+        path_basename, run_labels, error_texts, switches, file_log, clean_staging, schema_errors, error_log, batch_summary,
     )
 }
 
@@ -122,8 +129,10 @@ ORACLES = {
         (SELECT count(*) FROM stg) AS lndrowscopied, (SELECT count(*) FROM stg) AS stgrowscopied, n AS file_rows
         FROM files JOIN (SELECT fn, count(*) AS n FROM feed GROUP BY fn) USING (fn)"""),
     "clean_staging": with_feed(
-        "SELECT id, sid AS sourceid FROM stg WHERE sid NOT IN (SELECT sid FROM files WHERE fn < '20240121')"
+        "SELECT id, sid AS sourceid FROM stg WHERE sid NOT IN (SELECT sid FROM files WHERE sid % 3 <> 0)"
     ),
+    "error_texts": "SELECT doc_id, substr(text, 1, 4000) AS cmnts FROM documents",
+    "switches": 'SELECT o_orderkey, o_orderstatus = \'F\' AS "on" FROM orders',
     "schema_errors": with_feed(
         f"""SELECT 'users' AS tablename, fn AS filename, '{audit.DRIFT_MESSAGE}' AS error_message,
         'manual_run_0' AS pipelinerunid, CAST(7 AS BIGINT) AS batchid FROM ({_DRIFTED})""",

@@ -37,7 +37,10 @@ def rescued_data(spark, sf_dir):
 
 
 def json_fields(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", cfg.json_object("props")["k"].alias("k"))
+    """Settings of which some are absent and some are no JSON."""
+    kind = F.col("event_id") % 7
+    props = F.when(kind == 0, F.lit("{bad")).when(kind != 1, F.col("props"))
+    return table(spark, sf_dir, "events").withColumn("props", props).select("event_id", cfg.json_object("props")["k"].alias("k"))
 
 
 def map_customer(spark, sf_dir):
@@ -73,10 +76,11 @@ def latest_config(spark, sf_dir):
     return cfg.latest_config(control).select(F.col("ecname").alias("o_custkey"), F.col("id").alias("o_orderkey"))
 
 
-def _order_configs(spark, sf_dir):
+def _order_configs(spark, sf_dir, key=None):
     """A control row per order: three mapping entries, one of them unusable."""
+    key = F.lit("id") if key is None else key
     settings = F.concat(
-        F.lit("""{"mappings":[{"source":{"path":"$['o_custkey']"},"sink":{"name":"id","type":"bigint"}},"""),
+        F.lit("""{"mappings":[{"source":{"path":"$['o_custkey']"},"sink":{"name":\""""), key, F.lit("""\","type":"bigint"}},"""),
         F.lit("""{"source":{"path":"$["""), F.col("o_orderstatus"), F.lit("""]"},"sink":{"name":\""""),
         F.col("o_orderpriority"), F.lit("""\"}},{"source":{"path":"total"},"sink":{}}]}"""),
     )
@@ -88,7 +92,9 @@ def parse_mappings(spark, sf_dir):
 
 
 def id_sources(spark, sf_dir):
-    return cfg.id_sources(cfg.parse_mappings(_order_configs(spark, sf_dir)))
+    """Finished orders map no field to the key."""
+    configs = _order_configs(spark, sf_dir, F.when(F.col("o_orderstatus") == "F", "other").otherwise("id"))
+    return cfg.id_sources(cfg.parse_mappings(configs))
 
 
 def target_check(spark, sf_dir):
@@ -113,7 +119,7 @@ ORACLES = {
     "rescued_data": """SELECT event_id, CASE WHEN event_type <> 'signup' THEN value END AS value,
         CASE WHEN event_type = 'error' THEN 'debug' WHEN event_type = 'signup' THEN 'value' END AS fields,
         CASE WHEN event_type = 'error' THEN props END AS debug FROM events""",
-    "json_fields": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
+    "json_fields": "SELECT event_id, CASE WHEN event_id % 7 > 1 THEN json_extract_string(props, '$.k') END AS k FROM events",
     "map_customer": """SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, CAST(1 AS BIGINT) AS sourceid,
         'N' AS deleted_flag, TRUE AS live FROM customer""",
     "array_to_csv": "SELECT p_partkey, array_to_string(string_split(p_name, ' '), ',') AS p_name_csv FROM part",
@@ -124,7 +130,8 @@ ORACLES = {
     "parse_mappings": """SELECT CAST(o_orderkey AS VARCHAR) AS ecname, CAST(0 AS BIGINT) AS pos, 'o_custkey' AS source,
         'id' AS sink, 'bigint' AS type FROM orders
         UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(1 AS BIGINT), o_orderstatus, o_orderpriority, NULL FROM orders""",
-    "id_sources": "SELECT CAST(o_orderkey AS VARCHAR) AS ecname, 'o_custkey' AS id_source FROM orders",
+    "id_sources": """SELECT CAST(o_orderkey AS VARCHAR) AS ecname,
+        CASE WHEN o_orderstatus = 'F' THEN 'id' ELSE 'o_custkey' END AS id_source FROM orders""",
     "target_check": """SELECT CAST(o_orderkey AS VARCHAR) AS ecname, o_orderpriority AS sink FROM orders
         WHERE o_orderpriority = '1-URGENT'""",
 }

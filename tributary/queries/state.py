@@ -30,7 +30,10 @@ def latest_lineitem(spark, sf_dir):
 
 
 def delete_keys(spark, sf_dir):
-    return _changes(spark, sf_dir).deletes.withColumnRenamed("sourceid", "sid")
+    """Some records have no key."""
+    records = event_records(spark, sf_dir).withColumn("user_id", F.when(F.col(ops.POS) % 5 != 0, F.col("user_id")))
+    deletes = plan_changes(records, ops.number_files(records), EVENT_MAPPING, "user_id", F.lit(AT)).deletes
+    return deletes.withColumnRenamed("sourceid", "sid")
 
 
 def upsert_orders(spark, sf_dir):
@@ -122,7 +125,8 @@ ORACLES = {
     "latest_lineitem": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC,
         l_partkey DESC, l_suppkey DESC, l_quantity DESC) = 1""",
-    "delete_keys": with_feed("SELECT * FROM del"),
+    "delete_keys": with_feed("""SELECT CAST(id AS VARCHAR) AS id, max(sid) AS sid FROM w
+        WHERE is_delete AND pos % 5 <> 0 GROUP BY 1"""),
     "upsert_orders": """WITH l AS (SELECT l_orderkey AS id, l_extendedprice AS amount FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_extendedprice DESC,
         l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators.audit import DRIFT_MESSAGE
-from tributary.queries.feed import DRIFT_ABOVE, STATE_SQL, event_records, table
+from tributary.queries.feed import DRIFT_ABOVE_DAILY, STATE_SQL, records_of, table
 from tributary.queries.landed import RECORDS_PER_FILE, chunked, write_files
 from tributary.queries.state import STATE
 from tributary.session import scratch_dir
@@ -101,25 +102,31 @@ def ingest_batches(spark, sf_dir):
     save_schema(spark, T.StructType([T.StructField(c, T.StringType()) for c in USERS]), cfg.schema_location)
     ingest = Ingest(spark, cfg)
     ingest.prepare()
-    week = F.date_trunc("week", F.to_date(F.substring("_fn", 1, 8), "yyyyMMdd"))
-    rows = event_records(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("string"))
-    weeks = table(spark, sf_dir, "events").select(F.date_trunc("week", F.to_date("ts")).alias("week")).distinct()
+    events = table(spark, sf_dir, "events")
+    weeks = events.select(F.date_trunc("week", F.to_date("ts")).alias("week")).distinct()
     for number, first in enumerate(weeks.orderBy("week").collect()):
-        part = rows.filter(week == F.lit(first["week"]))
+        # a range of the table's own column, which reaches the scan
+        begin = F.lit(first["week"])
+        week = events.filter((F.col("ts") >= begin) & (F.col("ts") < begin + F.expr("INTERVAL 7 DAYS")))
+        part = records_of(week).withColumn("user_id", F.col("user_id").cast("string"))
         ingest.run_batch(lambda _, part=part: part, "weekly", number)
     return ingest.current().select(*STATE)
 
 
 def sources_parallel(spark, sf_dir):
-    """Two sources drained at once, each with its own folders; both targets together."""
+    """Three sources at once, each with its own folders; one cannot start, as its folder is not there. Its rows, and both
+    other targets together."""
     folder = scratch_dir(spark, "sources")
     _event_files(spark, sf_dir, f"{folder}/users")
     _order_files(spark, sf_dir, f"{folder}/orders")
     configs = [_config(spark, f"{folder}/users", USERS, "users"), _config(spark, f"{folder}/orders", ORDERS, "orders")]
-    outcome = run_sources(spark, configs)
-    for error in outcome.values():
-        if error is not None:
-            raise error
+    lost = _config(spark, f"{folder}/lost", USERS, "lost")
+    outcome = run_sources(spark, [lost, *configs])
+    for cfg in configs:
+        if outcome[cfg.ecname] is not None:
+            raise outcome[cfg.ecname]
+    if outcome["lost"] is None or not Ingest(spark, lost).current().isEmpty():
+        raise RuntimeError("a source without a folder counts as drained")
     targets = [spark.table(c.target).select(F.lit(c.ecname).alias("ecname"), *STATE) for c in configs]
     return targets[0].unionByName(targets[1])
 
@@ -127,7 +134,7 @@ def sources_parallel(spark, sf_dir):
 def _drifting(spark, sf_dir, label):
     """Files whose large amounts carry a field that the source schema does not know."""
     folder = scratch_dir(spark, label)
-    _event_files(spark, sf_dir, folder, F.when(F.col("value") > DRIFT_ABOVE, "large").alias("size"))
+    _event_files(spark, sf_dir, folder, F.when(F.col("value") > DRIFT_ABOVE_DAILY, "large").alias("size"))
     cfg = _config(spark, folder, USERS, "users")
     save_schema(spark, T.StructType([T.StructField(c, T.StringType()) for c in USERS]), cfg.schema_location)
     return Ingest(spark, cfg)
@@ -166,14 +173,41 @@ def archived_files(spark, sf_dir):
     )
     Ingest(spark, cfg).run()
     archive = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/archive")
-    return archive.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length"))
+    return archive.select(F.element_at(F.split("path", "/"), -1).alias("filename"))
+
+
+def ingest_bytes(spark, sf_dir):
+    """A run under a byte cap, beside a marker that is no JSON file."""
+    folder = scratch_dir(spark, "bytes")
+    _event_files(spark, sf_dir, folder)
+    spark.range(0, 1, 1, 1).select(F.lit("not json").alias("value")).write.text(f"{folder}/in/marker.done")
+    cfg = _config(spark, folder, USERS, "users", max_bytes_per_trigger="400000")
+    Ingest(spark, cfg).run()
+    return spark.table(cfg.target).select(*STATE)
+
+
+def ingest_columns(spark, sf_dir):
+    """Two halves of the feed under different mappings, folded by one publish: the first without ``amount``."""
+    folder = scratch_dir(spark, "columns")
+    cfg = _config(spark, folder, USERS, "users")
+    save_schema(spark, T.StructType([T.StructField(c, T.StringType()) for c in USERS]), cfg.schema_location)
+    events = table(spark, sf_dir, "events")
+    half = events.select(F.median("event_id")).scalar()
+    narrow = replace(cfg, mapping=tuple(m for m in cfg.mapping if m.sink != "amount"))
+    for number, (part, own) in enumerate(((F.col("event_id") < half, narrow), (F.col("event_id") >= half, cfg))):
+        ingest = Ingest(spark, own)
+        ingest.prepare()
+        rows = records_of(events.filter(part)).withColumn("user_id", F.col("user_id").cast("string"))
+        ingest.run_batch(lambda _, rows=rows: rows, "halves", number)
+    ingest.publish()
+    return spark.table(cfg.target).select(*STATE)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         ingest_stream, ingest_replay, ingest_batches, sources_parallel, rejected_files, quarantine_replay, ingest_log,
-        archived_files,
+        archived_files, ingest_bytes, ingest_columns,
     )
 }
 
@@ -201,7 +235,7 @@ stg AS (SELECT id, name, amount, sid FROM w WHERE NOT is_delete
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY sid DESC, pos DESC) = 1),
 del AS (SELECT CAST(id AS VARCHAR) AS id, max(sid) AS sid FROM w WHERE is_delete GROUP BY 1)"""
 
-DRIFTED = f"drifted AS (SELECT DISTINCT fn FROM feed WHERE amount > {DRIFT_ABOVE}),"
+DRIFTED = f"drifted AS (SELECT DISTINCT fn FROM feed WHERE amount > {DRIFT_ABOVE_DAILY}),"
 
 # Files that were set aside are numbered after all others, again by name.
 REPLAYED = DRIFTED + """
@@ -217,6 +251,20 @@ ORACLES = {
     "rejected_files": USERS_SQL + DRIFTED + """x AS (SELECT 1)
         SELECT fn AS filename, '""" + DRIFT_MESSAGE + """' AS error_message FROM drifted""",
     "quarantine_replay": USERS_SQL + REPLAYED + CHANGES + STATE_SQL,
+    "archived_files": USERS_SQL + NUMBERED + """x AS (SELECT count(*) AS n FROM files)
+        SELECT fn AS filename FROM files, x WHERE sid <= (n - 1) // 40 * 40""",
+    "ingest_bytes": USERS_SQL + NUMBERED + CHANGES + STATE_SQL,
+    "ingest_columns": """
+WITH feed AS (SELECT event_id AS pos, user_id AS id, event_type AS name, value AS amount,
+    event_id >= (SELECT median(event_id) FROM events) AS late, strftime(ts, '%Y%m%d') ||
+    CASE WHEN event_type = 'error' THEN '_delete_users.json' ELSE '_users.json' END AS fn FROM events),
+files AS (SELECT late, fn, row_number() OVER (ORDER BY late, fn) AS sid FROM (SELECT DISTINCT late, fn FROM feed)),
+w AS (SELECT f.*, s.sid, contains(lower(f.fn), 'delete') AS is_delete FROM feed f JOIN files s USING (late, fn)),
+a AS (SELECT * FROM w WHERE NOT is_delete AND NOT late QUALIFY row_number() OVER (PARTITION BY id ORDER BY sid DESC, pos DESC) = 1),
+b AS (SELECT * FROM w WHERE NOT is_delete AND late QUALIFY row_number() OVER (PARTITION BY id ORDER BY sid DESC, pos DESC) = 1),
+stg AS (SELECT coalesce(b.id, a.id) AS id, coalesce(b.name, a.name) AS name, b.amount, coalesce(b.sid, a.sid) AS sid
+  FROM a FULL JOIN b ON a.id = b.id),
+del AS (SELECT CAST(id AS VARCHAR) AS id, max(sid) AS sid FROM w WHERE is_delete GROUP BY 1)""" + STATE_SQL,
     "ingest_log": USERS_SQL + NUMBERED + CHANGES + """
         SELECT sid AS id, fn AS filename, 'SUCCESS' AS status,
         (SELECT count(*) FROM feed f WHERE f.fn = files.fn) AS file_rows FROM files""",

@@ -27,10 +27,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (plain local runs) is a local folder used.
+    Only a run in one process may go without that setting; its folder is a local one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tributary-")
     return f"{root.rstrip('/')}/tributary/{label}-{uuid.uuid4().hex}"
 
@@ -40,6 +42,11 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def sql_text(value: str) -> str:
+    """A value as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def exists(spark: SparkSession, path: str, below: str = "") -> bool:
     """Whether a path is there, or something below it that fits a glob pattern."""
     place = spark._jvm.org.apache.hadoop.fs.Path(literal_path(path) + below)

@@ -18,7 +18,7 @@ from tributary.operators.files import NAME, PATH, SID, number_files
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
 from tributary.plans.batch import plan_deletes, plan_staged, tagged
 from tributary.plans.store import Store, now
-from tributary.session import exists, literal_path
+from tributary.session import exists, literal_path, sql_text
 from tributary.sources import landing
 
 log = logging.getLogger(__name__)
@@ -188,8 +188,13 @@ class Ingest:
         before = self.store.last_commit()
         try:
             self.start().awaitTermination()
-        finally:
-            self.publish()
+        except Exception:
+            try:
+                self.publish()
+            except Exception as failure:  # the run's own error is the one to tell
+                self.log_error(audit.STEP_BATCH, str(failure), self.cfg.run_id)
+            raise
+        self.publish()
         return self.summary(after=before["seq"] if before else 0)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -203,10 +208,7 @@ class Ingest:
     # batches
 
     def prepare(self) -> None:
-        """Fold what an earlier column set left pending, and find the last commit."""
-        sinks = self.store.pending_sinks()
-        if sinks is not None and sinks != [m.sink for m in self.cfg.mapping]:
-            self.publish()
+        """Find the last commit."""
         self.last = self.store.last_commit()
 
     def schema(self) -> T.StructType:
@@ -244,10 +246,12 @@ class Ingest:
         files_seen = counts["files"] + counts["rejected"]
 
         merged = deleted = 0
+        sinks: list[str] = []
         if counts["regular"]:
             if cfg.id_source not in parsed.columns:
                 raise MappingError("no source field holds the key")
             staged = plan_staged(tagged(parsed, files, files_seen), self.mapping, at)
+            sinks = staged.columns
             merged = store.write_counted(staged, "upserts", query_id, batch_id)
         if counts["deletes"]:
             deletes = plan_deletes(tagged(parsed, files, files_seen), cfg.id_source)
@@ -279,7 +283,7 @@ class Ingest:
             deleted=deleted,
             label=label,
             committed=now(),
-            sinks=[m.sink for m in cfg.mapping],
+            sinks=sinks,
         )
         store.commit(**values)
         self.last = Row(**values)
@@ -339,7 +343,7 @@ class Ingest:
         """Fold the committed changes into a snapshot and point the target table at it."""
         snapshot = self.store.publish()
         if snapshot is not None:
-            self.spark.sql(f"ALTER TABLE {self.cfg.target} SET LOCATION '{snapshot['path']}'")
+            self.spark.sql(f"ALTER TABLE {self.cfg.target} SET LOCATION {sql_text(snapshot['path'])}")
             self.spark.catalog.refreshTable(self.cfg.target)
 
     def current(self) -> DataFrame:
@@ -394,13 +398,19 @@ def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[st
         for place in (cfg.checkpoint_location, cfg.schema_location, cfg.root):
             if seen.setdefault(place.rstrip("/"), cfg.ecname) != cfg.ecname:
                 raise ConfigError(f"'{cfg.ecname}' shares {place} with '{seen[place.rstrip('/')]}'")
-    started = [(cfg.ecname, ingest, ingest.start()) for cfg in configs for ingest in [Ingest(spark, cfg)]]
-    outcome: dict[str, Exception | None] = {}
-    for ecname, ingest, query in started:
+    outcome: dict[str, Exception | None] = {cfg.ecname: None for cfg in configs}
+    started = []
+    for cfg in configs:
+        ingest = Ingest(spark, cfg)
         try:
-            query.awaitTermination()
-            outcome[ecname] = None
+            started.append((cfg.ecname, ingest, ingest.start()))
         except Exception as error:
-            outcome[ecname] = error
-        ingest.publish()
+            outcome[cfg.ecname] = error
+            ingest.log_error(audit.STEP_BATCH, str(error), cfg.run_id)
+    for ecname, ingest, query in started:
+        for step in (query.awaitTermination, ingest.publish):
+            try:
+                step()
+            except Exception as error:
+                outcome[ecname] = outcome[ecname] or error
     return outcome
