@@ -185,4 +185,12 @@ def test_audit(spark):
     assert errors.columns == ["tablename", "filename", "error_message", "pipelinerunid", "batchid", "created_timestamp"]
     events = audit.error_log(files, "users", audit.STEP_SCHEMA_DRIFT, F.lit("it's"), F.lit(None), F.lit("r_0"), F.lit(DAY))
     assert rows(events, "filename", "status", "cmnts") == [("a.json", "FAILED", "it's"), ("b.json", "FAILED", "it's")]
-    assert tuple(audit.batch_summary(files, staged, staged.limit(0), files.limit(1)).first()) == (2, 2, 0, 1)
+    records = spark.createDataFrame(
+        [("p/a.json", "a.json", 0, None, 1), ("p/a.json", "a.json", 1, None, 1), ("p/a.json", "a.json", 2, None, None),
+         ("p/b.json", "b.json", 0, None, 2), ("p/bad.json", "bad.json", 0, "{}", 3), ("p/bad.json", "bad.json", 1, None, 4),
+         ("p/delete.json", "delete.json", 0, None, 1), ("p/delete.json", "delete.json", 1, None, None),
+         ("p/empty.json", "empty.json", None, None, None)],
+        f"{ops.PATH} string, {ops.NAME} string, {ops.POS} long, {ops.RESCUED} string, k long",
+    )
+    assert tuple(audit.batch_summary(records, "k").first()) == (4, 3, 1, 1)
+    assert tuple(audit.batch_summary(records.limit(0), "k").first()) == (0, 0, 0, 0)

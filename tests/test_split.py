@@ -6,7 +6,7 @@ import random
 import pytest
 
 from tributary.operators.files import POS
-from tributary.sources.split import PROBLEM, TEXT, split_records
+from tributary.sources.split import PROBLEM, TEXT, read_segments, split_records
 
 
 @pytest.fixture(params=["23b", "128m"])
@@ -32,7 +32,7 @@ def value(rng, depth=0):
 
 
 def cut(spark, folder):
-    rows = split_records(spark, [str(folder)]).collect()
+    rows = split_records(read_segments(spark, [str(folder)])).collect()
     files = {}
     for r in rows:
         name = r["_input_file_path"].split("/")[-1]
@@ -68,13 +68,18 @@ BROKEN = {
 }
 
 
+GOOD = {"g": '[{"a": 1}, {"b": "x"}]', "one": ' {"a": {"c": "}"}} ', "marked": '\ufeff \t{"a": 1}\r\n', "blank": " \n", "none": "[ ]"}
+RECORDS = {"g": 2, "one": 1, "marked": 1, "blank": 0, "none": 0}
+
+
 def test_broken_files(spark, tmp_path, splits):
     for name, text in BROKEN.items():
         (tmp_path / name).write_text(text)
-    (tmp_path / "good").write_text('[{"a": 1}, {"b": "x"}]')
+    for name, text in GOOD.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
     got = cut(spark, tmp_path)
     assert {name for name, (_, problems) in got.items() if problems} == set(BROKEN)
-    assert len(got["good"][0]) == 2
+    assert {name: len(got[name][0]) for name in GOOD} == RECORDS
 
 
 def test_broken_texts(spark):
@@ -83,8 +88,7 @@ def test_broken_texts(spark):
 
     from tributary.sources.landing import parse_texts
 
-    good = {"g": '[{"a": 1}, {"b": "x"}]', "one": ' {"a": 1} ', "blank": " \n", "none": "[ ]"}
-    texts = spark.createDataFrame(list({**BROKEN, **good}.items()), "_input_file_path string, value string")
+    texts = spark.createDataFrame(list({**BROKEN, **GOOD}.items()), "_input_file_path string, value string")
     rows = parse_texts(texts, T.StructType.fromDDL("a string, b string")).collect()
     assert {r["_fn"] for r in rows if r["_rescued_data"] is not None} == set(BROKEN)
-    assert sum(r["_pos"] is not None for r in rows if r["_fn"] in good) == 3
+    assert {name: sum(r["_fn"] == name and r["_pos"] is not None for r in rows) for name in GOOD} == RECORDS

@@ -221,6 +221,62 @@ def test_every_file_rejected_then_replayed(spark, tmp_path):
     assert land.state("id", "sourceid", "deleted_flag") == [("1", 2, "Y")]
 
 
+def test_schema_of_the_last_file(spark, tmp_path):
+    """A field that first occurs in the newest of many files belongs to the schema; also among large files."""
+    for name, large_bytes in (("small", 128 * 1024 * 1024), ("large", 30)):
+        land = Landing(spark, tmp_path / name, {"id": "string", "v": "double", "w": "string"}, name)
+        for n in range(12):
+            land.put(f"a{n:02}.json", [{"id": str(n), "v": n}])
+        land.put("b.json", [{"id": "99", "v": 1, "w": "late", "and a longer file": "x" * 40}])
+        totals = land.ingest(large_bytes=large_bytes).run().first()
+        assert (totals["files"], totals["rejected"]) == (13, 0)
+        assert ("99", "late") in land.state("id", "w")
+
+
+def test_replay_after_archive(spark, tmp_path):
+    """What is rejected is kept as text, so moving the files away does not matter."""
+    from pyspark.sql import types as T
+
+    from tributary.sources.landing import save_schema
+
+    for large_bytes in (128 * 1024 * 1024, 20):
+        name = f"l{large_bytes}"
+        land = Landing(spark, tmp_path / name, KV, name, max_files_per_trigger="1", archive_enabled="y",
+                       archive_directory=str(tmp_path / f"{name}-old"))
+        for n in range(3):
+            land.put(f"a{n}.json", [{"id": str(n), "v": n, "new": "}"}])
+        ingest = land.ingest(large_bytes=large_bytes)
+        save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
+        ingest.run()
+        for path in (tmp_path / name / "in").iterdir():
+            path.unlink()
+        ingest.replay_quarantine("id string, v string, new string")
+        assert rows(land) == [("0", 0.0, "N"), ("1", 1.0, "N"), ("2", 2.0, "N")]
+
+
+def test_one_source_cannot_start(spark, tmp_path):
+    good, lost = Landing(spark, tmp_path / "g", KV, "good"), Landing(spark, tmp_path / "b", KV, "lost")
+    good.put("a.json", [{"id": "1", "v": 1}])
+    outcome = run_sources(spark, [lost.config(source_path=str(tmp_path / "nowhere")), good.config()])
+    assert outcome["good"] is None and outcome["lost"] is not None
+    assert rows(good) == [("1", 1.0, "N")]
+
+
+def test_columns_of_pending_batches(spark, tmp_path):
+    """Two batches under different mappings, both pending at one publish."""
+    columns = {"id": "string", "v": "double", "w": "double"}
+    land = Landing(spark, tmp_path, columns, mappingsettings=mappings({"id": "string", "v": "double"}))
+    land.put("a.json", [{"id": "1", "v": 1, "w": 5}, {"id": "2", "v": 2, "w": 5}])
+    land.ingest().start().awaitTermination()
+    land.control_row[7] = mappings({"id": "string", "w": "double"})
+    land.put("b.json", [{"id": "1", "v": 8, "w": 9}, {"id": "3", "v": 8, "w": 22}])
+    ingest = land.ingest()
+    ingest.start().awaitTermination()
+    assert sorted((r["id"], r["v"], r["w"]) for r in ingest.current().collect()) == [("1", 1.0, 9.0), ("2", 2.0, None), ("3", None, 22.0)]
+    ingest.publish()
+    assert land.state("id", "v", "w") == [("1", 1.0, 9.0), ("2", 2.0, None), ("3", None, 22.0)]
+
+
 def test_replay_of_large_files(spark, tmp_path):
     from pyspark.sql import types as T
 
@@ -231,7 +287,6 @@ def test_replay_of_large_files(spark, tmp_path):
     ingest = land.ingest(large_bytes=1)
     save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
     ingest.run()
-    assert ingest.quarantined().first()["value"] is None
     ingest.replay_quarantine("id string, v string, new string")
     assert rows(land) == [("1", 1.0, "N")] and ingest.quarantined().isEmpty()
 

@@ -42,9 +42,13 @@ def _config(spark, folder, columns, ecname, **settings) -> IngestConfig:
     return load_config(spark, ecname, control, loader)
 
 
-def _event_files(spark, sf_dir, folder, extra=None):
+def _event_files(spark, sf_dir, folder, extra=None, alone=None):
+    """Files by day; the records where ``alone`` holds each in a file of its own."""
+    day = F.date_format("ts", "yyyyMMdd")
+    if alone is not None:
+        day = F.when(alone, F.concat(day, F.lit("_one_"), F.col("event_id").cast("string"))).otherwise(day)
     events = table(spark, sf_dir, "events").select(
-        F.date_format("ts", "yyyyMMdd").alias("day"),
+        day.alias("day"),
         F.when(F.col("event_type") == "error", "_delete_users.json").otherwise("_users.json").alias("suffix"),
         F.col("event_id").alias("pos"),
         F.to_json(F.struct("user_id", "event_type", "value", *([extra] if extra is not None else []))).alias("json"),
@@ -186,6 +190,15 @@ def ingest_bytes(spark, sf_dir):
     return spark.table(cfg.target).select(*STATE)
 
 
+def ingest_large_files(spark, sf_dir):
+    """All files read by the reader for large ones, some of them a single object."""
+    folder = scratch_dir(spark, "large")
+    _event_files(spark, sf_dir, folder, alone=F.col("event_id") % 1000 == 7)
+    cfg = _config(spark, folder, USERS, "users", large_file_bytes="1")
+    Ingest(spark, cfg).run()
+    return spark.table(cfg.target).select(*STATE)
+
+
 def ingest_columns(spark, sf_dir):
     """Two halves of the feed under different mappings, folded by one publish: the first without ``amount``."""
     folder = scratch_dir(spark, "columns")
@@ -207,7 +220,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         ingest_stream, ingest_replay, ingest_batches, sources_parallel, rejected_files, quarantine_replay, ingest_log,
-        archived_files, ingest_bytes, ingest_columns,
+        archived_files, ingest_bytes, ingest_large_files, ingest_columns,
     )
 }
 
@@ -254,6 +267,8 @@ ORACLES = {
     "archived_files": USERS_SQL + NUMBERED + """x AS (SELECT count(*) AS n FROM files)
         SELECT fn AS filename FROM files, x WHERE sid <= (n - 1) // 40 * 40""",
     "ingest_bytes": USERS_SQL + NUMBERED + CHANGES + STATE_SQL,
+    "ingest_large_files": USERS_SQL.replace("'%Y%m%d') ||", "'%Y%m%d') || CASE WHEN event_id % 1000 = 7"
+        " THEN '_one_' || CAST(event_id AS VARCHAR) ELSE '' END ||") + NUMBERED + CHANGES + STATE_SQL,
     "ingest_columns": """
 WITH feed AS (SELECT event_id AS pos, user_id AS id, event_type AS name, value AS amount,
     event_id >= (SELECT median(event_id) FROM events) AS late, strftime(ts, '%Y%m%d') ||

@@ -7,6 +7,7 @@ a batch then reads exactly its files, one task per file, or several for a large
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from tributary.functions import rescue
 from tributary.operators.files import NAME, PATH, POS, RESCUED, SID, with_filename
 from tributary.session import exists, literal_path
-from tributary.sources.split import PROBLEM, TEXT, split_records
+from tributary.sources.split import PROBLEM, TEXT, read_segments, split_records
 
 GLOB = "*.json"
 RESERVED = (PATH, NAME, POS, RESCUED, SID)
@@ -25,10 +26,6 @@ LISTING = "path string, modificationTime timestamp, length long, content binary"
 # A larger file is cut into records by several tasks instead of parsed by one.
 LARGE_FILE_BYTES = 128 * 1024 * 1024
 
-# The schema of a new source comes from its oldest files, within these bounds.
-SCHEMA_FILES = 1000
-SCHEMA_BYTES = 50 * 1024**3
-
 _MALFORMED = '{"_file":"not an array of objects"}'
 
 
@@ -98,7 +95,7 @@ def read_records(
         texts = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
         parts.append(parse_texts(texts, schema, key))
     if large:
-        parts.append(_large_records(spark, large, schema, key))
+        parts.append(parse_segments(read_segments(spark, [literal_path(p) for p in large]), schema, key))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -132,15 +129,9 @@ def _kept(schema: T.StructType, key: str | None) -> list[T.StructField]:
     return [T.StructField(f.name, T.StringType() if f.name == key else f.dataType) for f in schema]
 
 
-def _json(spark: SparkSession):
-    return spark.read.option("multiLine", "true").option("primitivesAsString", "true")
-
-
-def _large_records(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType, key: str | None
-) -> DataFrame:
-    """The same rows for files too large for one task."""
-    cut = split_records(spark, [literal_path(p) for p in paths])
+def parse_segments(segments: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
+    """The same rows out of the segments of files too large for one task."""
+    cut = split_records(segments)
     rows = with_filename(cut.withColumn("_record", F.from_json(TEXT, "map<string,string>")))
     rows = rows.withColumn("_record", rescue.last_values(F.col("_record"), schema))
     unread = F.col(PROBLEM).isNotNull() | (F.col(POS).isNotNull() & F.col("_record").isNull())
@@ -151,41 +142,36 @@ def _large_records(
     )
 
 
-def infer_schema(spark: SparkSession, source_path: str) -> T.StructType:
-    """Fields of the oldest files in the folder, scalars as text."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", GLOB)
-        .option("recursiveFileLookup", "true")
-        .load(source_path)
-        .select("path", "modificationTime", "length")
-        .orderBy("modificationTime", "path")
-        .limit(SCHEMA_FILES)
-    )
-    paths, size = [], 0
-    for row in listing.collect():
-        if paths and size + row["length"] > SCHEMA_BYTES:
-            break
-        paths.append(row["path"])
-        size += row["length"]
-    fields: dict[str, T.DataType] = {}
-    plain = [p for p in paths if literal_path(p) == p]
-    if plain:
-        fields.update((f.name, f.dataType) for f in _json(spark).json(plain).schema if f.name != "_corrupt_record")
-    others = [literal_path(p) for p in paths if literal_path(p) != p]
-    if others:
-        for name, dtype in _fields_of_texts(spark.read.text(others, wholetext=True)):
-            fields.setdefault(name, dtype)
-    return T.StructType([T.StructField(name, fields[name]) for name in sorted(fields)])
-
-
-def _fields_of_texts(texts: DataFrame) -> list[tuple[str, T.DataType]]:
-    """Field names of whole-file texts; a field whose values are all arrays is one."""
-    pairs = texts.select(rescue.parsed(F.col("value")).alias("pair"))
-    values = pairs.select(F.explode(rescue.records(F.col("pair"))).alias("record")).select(F.explode("record").alias("name", "raw"))
+def infer_schema(spark: SparkSession, source_path: str, large_bytes: int = LARGE_FILE_BYTES) -> T.StructType:
+    """Fields of all files in the folder, scalars as text: one aggregation over the records' field names.
+
+    A field whose values are all arrays is one. Only names and that flag reach the driver.
+    """
+    def found(reader):
+        return reader.option("pathGlobFilter", GLOB).option("recursiveFileLookup", "true")
+
+    listing = found(spark.read.format("binaryFile")).load(source_path).select("path", "length")
+    large = [literal_path(r["path"]) for r in listing.filter(F.col("length") > large_bytes).collect()]
+    if large:
+        small = [literal_path(r["path"]) for r in listing.filter(F.col("length") <= large_bytes).collect()]
+        texts = spark.read.text(small, wholetext=True) if small else None
+    else:
+        texts = found(spark.read).text(source_path, wholetext=True)
+    records = []
+    if texts is not None:
+        pairs = texts.select(rescue.parsed(F.col("value")).alias("pair"))
+        records.append(pairs.select(F.explode(rescue.records(F.col("pair"))).alias("record")))
+    if large:
+        records.append(split_records(read_segments(spark, large)).select(F.from_json(TEXT, "map<string,string>").alias("record")))
+    values = reduce(DataFrame.union, records).select(F.explode("record").alias("name", "raw"))
     is_array = F.col("raw").startswith("[") & F.from_json("raw", "array<string>").isNotNull()
-    rows = values.groupBy("name").agg(F.coalesce(F.bool_and(F.when(F.col("raw").isNotNull(), is_array)), F.lit(False)).alias("array"))
-    return [(r["name"], T.ArrayType(T.StringType()) if r["array"] else T.StringType()) for r in rows.collect()]
+    fields = values.groupBy("name").agg(
+        F.coalesce(F.bool_and(F.when(F.col("raw").isNotNull(), is_array)), F.lit(False)).alias("array")
+    )
+    return T.StructType([
+        T.StructField(r["name"], T.ArrayType(T.StringType()) if r["array"] else T.StringType())
+        for r in sorted(fields.collect())
+    ])
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
@@ -202,11 +188,13 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
 
 
-def source_schema(spark: SparkSession, source_path: str, location: str) -> T.StructType:
+def source_schema(
+    spark: SparkSession, source_path: str, location: str, large_bytes: int = LARGE_FILE_BYTES
+) -> T.StructType:
     """The persisted schema; inferred and persisted on the first run."""
     known = load_schema(spark, location)
     if known is None:
-        known = infer_schema(spark, source_path)
+        known = infer_schema(spark, source_path, large_bytes)
         if known.fields:
             save_schema(spark, known, location)
     return known

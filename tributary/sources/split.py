@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tributary.operators.files import PATH, POS
 
 TEXT, PROBLEM = "_text", "_problem"
+BLANK = r"[ \t\r\n\x{FEFF}]"
 
 
 def _count(text: Column, mark: str) -> Column:
@@ -27,13 +28,17 @@ def _opened(text: Column) -> Column:
     return _count(F.regexp_replace(text, r'"[^"]*("|$)', ""), "{")
 
 
-def _segments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows = spark.read.option("lineSep", "}").text(list(paths)).select(
+def read_segments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, split, nth, value): the files' text, cut at every ``}``."""
+    return spark.read.option("lineSep", "}").text(list(paths)).select(
         F.col("_metadata.file_path").alias(PATH),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("nth"),
         "value",
     )
+
+
+def _segments(rows: DataFrame) -> DataFrame:
     plain = F.regexp_replace("value", r"(?s)\\.", "")
     rows = rows.withColumn("plain", plain).select(
         PATH, "split", "nth", "value",
@@ -70,6 +75,7 @@ def _settled(segments: DataFrame) -> DataFrame:
     inner = ~F.col("is_last")
     totals = segments.groupBy(PATH, "split").agg(
         F.sum("quotes").alias("quotes"),
+        F.min_by(F.col("value").rlike(rf"^{BLANK}*\{{"), "nth").alias("single"),
         *[F.sum(f"change_{h}").alias(f"total_{h}") for h in (0, 1)],
         *[F.min(F.when(inner, F.col(f"depth_{h}"))).alias(f"least_{h}") for h in (0, 1)],
     )
@@ -92,15 +98,19 @@ def _settled(segments: DataFrame) -> DataFrame:
         | (~F.col("is_final") & (end < 0))
         | (F.col("is_final") & ((end != -1) | ((F.col("state") + F.col("quotes")) % 2 != 0)))
     )
-    return splits.withColumn("broken", F.max(broken).over(of_file)).select(PATH, "split", "state", "start_depth", "broken")
+    # a file that begins with an object instead of an array is one object
+    return splits.withColumns({"broken": F.max(broken).over(of_file), "single": F.first("single").over(in_file)}).select(
+        PATH, "split", "state", "start_depth", "single", "broken"
+    )
 
 
-def split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, position, text, problem)``: each record's JSON text, or why its file is no array of objects.
+def split_records(pieces: DataFrame) -> DataFrame:
+    """``(path, position, text, problem)``: each record's JSON text, or why its file is no array of objects, from the
+    files' segments. A single object counts as an array of one, blank text as an empty array.
 
     Every file also has one row without a position.
     """
-    segments = _segments(spark, paths)
+    segments = _segments(pieces)
     splits = _settled(segments)
     rows = segments.join(splits.filter(~F.col("broken")), [PATH, "split"])
     depth = F.col("start_depth") + F.when(F.col("state") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
@@ -121,17 +131,21 @@ def split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
     numbered = rows.join(counts, [PATH, "split"]).withColumn(POS, F.col("before") + F.col("ended"))
 
-    pieces = F.array_sort(F.collect_list(F.struct("split", "nth", "value")))
+    ordered = F.array_sort(F.collect_list(F.struct("split", "nth", "value")))
     texts = (
         numbered.filter(F.col(POS) < F.col("all"))
         .groupBy(PATH, POS)
-        .agg(F.concat(F.array_join(pieces["value"], "}"), F.lit("}")).alias(TEXT))
+        .agg(F.concat(F.array_join(ordered["value"], "}"), F.lit("}")).alias(TEXT), F.first("single").alias("single"))
     )
-    separated = F.when(F.col(POS) == 0, F.col(TEXT).rlike(r"^[\s\x{FEFF}]*\[\s*\{")).otherwise(F.col(TEXT).rlike(r"^\s*,\s*\{"))
+    separated = F.when(F.col("single"), F.col(POS) == 0).when(
+        F.col(POS) == 0, F.col(TEXT).rlike(rf"^{BLANK}*\[\s*\{{")
+    ).otherwise(F.col(TEXT).rlike(r"^\s*,\s*\{"))
     records = texts.select(
         PATH, POS, F.regexp_replace(TEXT, r"^[^{]*", "").alias(TEXT), F.when(~separated, F.lit("separator")).alias(PROBLEM)
     )
-    closed = F.when(F.col("all") == 0, F.col("value").rlike(r"^[\s\x{FEFF}]*\[\s*\]\s*$")).otherwise(F.col("value").rlike(r"^\s*\]\s*$"))
+    closed = F.when(F.col("all") == 0, F.col("value").rlike(rf"^{BLANK}*(\[\s*\]\s*)?$")).when(
+        F.col("single"), F.col("value").rlike(r"^\s*$")
+    ).otherwise(F.col("value").rlike(r"^\s*\]\s*$"))
     tails = numbered.filter(F.col(POS) == F.col("all")).select(PATH, F.when(~closed, F.lit("end")).alias(PROBLEM))
     broken = splits.filter("broken").select(PATH, F.lit("balance").alias(PROBLEM)).distinct()
     files = tails.unionByName(broken).select(

@@ -20,6 +20,7 @@ from tributary.plans.batch import plan_deletes, plan_staged, tagged
 from tributary.plans.store import Store, now
 from tributary.session import exists, literal_path, sql_text
 from tributary.sources import landing
+from tributary.sources.split import read_segments
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +72,10 @@ def _value(row: Row, name: str, default=None):
     return default if value is None else value
 
 
+def _whole(value) -> int | None:
+    return None if value is None else int(value)
+
+
 def _object(text) -> dict:
     try:
         value = json.loads(text) if text else {}
@@ -134,6 +139,8 @@ def load_config(
         archive_directory=_value(settings, "archive_directory") if archive else None,
         state_location=_value(settings, "state_location"),
         run_id=run_id,
+        large_bytes=int(_value(settings, "large_file_bytes", landing.LARGE_FILE_BYTES)),
+        buckets=_whole(_value(settings, "target_buckets")),
     )
     if archive and not cfg.archive_directory:
         raise ConfigError(f"archive_directory is missing for ecname = '{ecname}'")
@@ -214,7 +221,9 @@ class Ingest:
     def schema(self) -> T.StructType:
         """Types in which records are read; empty until the folder holds a readable file."""
         if self._schema is None or not self._schema.fields:
-            source = landing.source_schema(self.spark, self.cfg.source_path, self.cfg.schema_location)
+            source = landing.source_schema(
+                self.spark, self.cfg.source_path, self.cfg.schema_location, self.cfg.large_bytes
+            )
             self._schema = record_schema(source, self.mapping)
         return self._schema
 
@@ -291,20 +300,25 @@ class Ingest:
     # quarantine
 
     def _quarantine(self, drifted: DataFrame, query_id: str, batch_id: int) -> None:
-        """Keep the rejected files' texts; a file too large for one value by its path."""
+        """Keep the rejected files' texts, those of large files in segments."""
         if query_id != REPLAY:
             names = [r[PATH] for r in drifted.select(PATH).collect()]
-            rows = drifted.select(PATH).join(self._texts(names), PATH, "left")
-            self.store.write(rows, "quarantine", query_id, batch_id)
+            self.store.write(self._texts(names), "quarantine", query_id, batch_id)
 
     def _texts(self, uris: Sequence[str]) -> DataFrame:
-        """Whole texts of the files that fit in one value."""
+        """(path, split, nth, value): whole texts without a place, or the segments of a file too large for one value."""
         paths = [literal_path(landing.decoded(u)) for u in uris]
         listing = self.spark.read.format("binaryFile").load(paths).select("path", "length").distinct()
-        small = [literal_path(f.path) for f in landing.landed_files(listing) if f.length <= self.cfg.large_bytes]
-        if not small:
-            return self.spark.createDataFrame([], f"{PATH} string, value string")
-        return self.spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
+        files = landing.landed_files(listing)
+        small = [literal_path(f.path) for f in files if f.length <= self.cfg.large_bytes]
+        large = [literal_path(f.path) for f in files if f.length > self.cfg.large_bytes]
+        rows = self.spark.createDataFrame([], f"{PATH} string, split long, nth long, value string")
+        if small:
+            texts = self.spark.read.text(small, wholetext=True)
+            rows = rows.unionByName(texts.select(F.col("_metadata.file_path").alias(PATH), "value"), allowMissingColumns=True)
+        if large:
+            rows = rows.unionByName(read_segments(self.spark, large))
+        return rows
 
     def quarantined(self) -> DataFrame | None:
         """Rejected files that no replay has accepted yet."""
@@ -312,7 +326,7 @@ class Ingest:
         if held is None:
             return None
         accepted = self.store.read("files").filter((F.col("query_id") == REPLAY) & F.col(SID).isNotNull())
-        return held.select(PATH, "value").join(accepted.select(PATH), PATH, "left_anti")
+        return held.select(PATH, "split", "nth", "value").join(accepted.select(PATH), PATH, "left_anti")
 
     def replay_quarantine(self, schema: T.StructType | str | None = None) -> None:
         """Feed the quarantined files again, with new ids, under a new source schema if given."""
@@ -324,14 +338,13 @@ class Ingest:
         held = self.quarantined()
         if held is None or held.isEmpty():
             return
-        by_path = [landing.decoded(r[PATH]) for r in held.filter(F.col("value").isNull()).select(PATH).collect()]
 
         def read(record_types: T.StructType) -> DataFrame:
-            rows = landing.parse_texts(held.filter(F.col("value").isNotNull()), record_types, self.cfg.id_source)
-            if by_path:
-                large = [landing.LandedFile(p, self.cfg.large_bytes + 1) for p in by_path]
-                rows = rows.unionByName(landing.read_records(self.spark, large, record_types, self.cfg.id_source, self.cfg.large_bytes))
-            return rows
+            small, large = held.filter(F.col("nth").isNull()), held.filter(F.col("nth").isNotNull())
+            rows = landing.parse_texts(small.select(PATH, "value"), record_types, self.cfg.id_source)
+            if large.isEmpty():
+                return rows
+            return rows.unionByName(landing.parse_segments(large, record_types, self.cfg.id_source))
 
         done = [c["batch_id"] for c in self.store.commits() if c["query_id"] == REPLAY]
         self.run_batch(read, REPLAY, max(done, default=-1) + 1)
