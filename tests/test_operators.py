@@ -19,6 +19,12 @@ def rows(frame, *columns):
     return sorted((tuple(r) for r in frame.select(*columns or frame.columns).collect()), key=repr)
 
 
+def off_schema(record, schema):
+    raw = {f.name: record.getItem(f.name) for f in schema}
+    read = {f.name: rescue.typed(raw[f.name], f.dataType) for f in schema}
+    return rescue.rescued(record, schema, rescue.only_known(record, schema), raw, read)
+
+
 def test_scalars(spark):
     paths = spark.createDataFrame(
         [("s3://b/x/a%20b.json",), ("Users_DeLeTe.json",), ("dir/",)], "p string"
@@ -57,23 +63,31 @@ def test_rescue(spark):
         '{"id":"a","x":{"y":[1]}}': {"x": '{"y":[1]}'},
     }
     frame = spark.createDataFrame([(c,) for c in cases], "c string").select(
-        rescue.rescued(rescue.records(rescue.parsed(F.col("c")))[0], schema)
+        off_schema(rescue.records(rescue.parsed(F.col("c")))[0], schema)
     )
     got = [r[0] and json.loads(r[0]) for r in frame.collect()]
     assert got == list(cases.values())
 
 
 def test_record_values_and_duplicates(spark):
-    text = '[{"id": 766778999988, "v": "1.50", "id2": {"a": 1}}, {"id": "x", "id": "y"}, {"v": 1, "id": "z", "v": 2}]'
+    text = '[{"id": 500100200300, "v": "1.50", "id2": {"a": 1}}, {"id": "x", "id": "y"}, {"v": 1, "id": "z", "v": 2}]'
     schema = T.StructType.fromDDL("id string, v string")
     frame = spark.range(1).select(F.explode(rescue.records(rescue.parsed(F.lit(text)))).alias("r"))
-    frame = frame.select(rescue.last_values(F.col("r"), schema).alias("r"))
-    got = frame.select(F.col("r")["id"], F.col("r")["v"], F.col("r")["id2"], rescue.rescued(F.col("r"), schema)).collect()
+    frame = frame.select(rescue.last_values(F.col("r"), rescue.only_known(F.col("r"), schema)).alias("r"))
+    got = frame.select(F.col("r")["id"], F.col("r")["v"], F.col("r")["id2"], off_schema(F.col("r"), schema)).collect()
     assert [tuple(r) for r in got] == [
-        ("766778999988", "1.50", '{"a":1}', '{"id2":"{\\"a\\":1}"}'), ("y", None, None, None), ("z", "2", None, None),
+        ("500100200300", "1.50", '{"a":1}', '{"id2":"{\\"a\\":1}"}'), ("y", None, None, None), ("z", "2", None, None),
     ]
 
 
+def test_repeated_fields_are_clean(spark):
+    from tributary.sources.landing import parse_texts
+
+    texts = spark.createDataFrame([("a.json", '[{"id": "x", "id": "y"}, {"id": "1", "n": "no", "n": 2}]')], f"{ops.PATH} string, value string")
+    got = parse_texts(texts, T.StructType.fromDDL("id string, n long")).orderBy(ops.POS)
+    assert rows(got, "id", "n", ops.RESCUED) == [("1", 2, None), ("y", None, None)]
+
+
 def test_files(spark):
     records = spark.createDataFrame(
         [("d/b.json", 0, None), ("d/b.json", 1, None), ("d/a.json", 0, None), ("d/Z.json", 0, None), ("d/bad.json", 0, "{}"),

@@ -45,28 +45,23 @@ def records(pair: Column) -> Column:
     return F.when(whole, pair[0])
 
 
-def last_values(record: Column, schema: T.StructType) -> Column:
+def last_values(record: Column, known: Column) -> Column:
     """The record with the last value of each field that it repeats.
 
-    Parsing keeps every pair. A record whose pairs are as many as its known
-    fields repeats none, and passes as it is.
+    Parsing keeps every pair. A record with ``only_known`` fields repeats none, and passes as it is.
     """
     names = F.array_distinct(F.map_keys(record))
     pairs = F.map_entries(record)
     last = F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda pair: pair["key"] == n), -1)["value"])
-    return F.when(_only_known(record, schema), record).otherwise(F.map_from_arrays(names, last))
+    return F.when(known, record).otherwise(F.map_from_arrays(names, last))
 
 
-def _only_known(record: Column, schema: T.StructType) -> Column:
+def only_known(record: Column, schema: T.StructType) -> Column:
+    """Whether a record has as many pairs as known fields: none is unknown, none comes twice."""
     known = [F.map_contains_key(record, f.name).cast("int") for f in schema]
     return F.size(record) == reduce(add, known, F.lit(0))
 
 
-def value(record: Column, field: T.StructField) -> Column:
-    """One field of a record in its schema type; NULL when absent or not of that type."""
-    return typed(record.getItem(field.name), field.dataType)
-
-
 def typed(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return raw
@@ -75,22 +70,24 @@ def typed(raw: Column, dtype: T.DataType) -> Column:
     return raw.try_cast(dtype)
 
 
-def rescued(record: Column, schema: T.StructType) -> Column:
+def rescued(record: Column, schema: T.StructType, known: Column, raw: dict[str, Column], read: dict[str, Column]) -> Column:
     """Fields unknown to the schema, or not of their type, as JSON; NULL for a clean record.
 
-    Names match by exact letters. The clean test is a plain expression; the
-    higher-order filter that names the fields runs for the others only.
+    Names match by exact letters. The clean test compares what was made before: ``known`` (``only_known``), each field's
+    ``raw`` text and the value ``read`` from it; the higher-order filter that names the fields runs for the others only.
+    A record that only repeats a field names none.
     """
     checked = [f for f in schema if not isinstance(f.dataType, T.StringType)]
-    fits = [record.getItem(f.name).isNull() | value(record, f).isNotNull() for f in checked]
-    clean = reduce(and_, fits, _only_known(record, schema))
+    fits = [raw[f.name].isNull() | read[f.name].isNotNull() for f in checked]
+    clean = reduce(and_, fits, known)
 
-    def off_schema(key: Column, raw: Column) -> Column:
+    def off_schema(key: Column, text: Column) -> Column:
         bad = ~key.isin(*schema.names) if schema.names else F.lit(True)
         for f in checked:
-            bad = bad | ((key == f.name) & raw.isNotNull() & typed(raw, f.dataType).isNull())
+            bad = bad | ((key == f.name) & text.isNotNull() & typed(text, f.dataType).isNull())
         return bad
 
+    named = F.map_filter(record, off_schema)
     return F.when(record.isNull(), F.lit('{"_record":null}')).when(
-        ~clean, F.to_json(F.map_filter(record, off_schema), {"ignoreNullFields": "false"})
+        ~clean, F.when(F.size(named) > 0, F.to_json(named, {"ignoreNullFields": "false"}))
     )

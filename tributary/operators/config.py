@@ -35,14 +35,13 @@ def parse_mappings(configs: DataFrame) -> DataFrame:
     # Parsed inside the explode: a filter on its output cannot repeat the parsing.
     texts = F.from_json("mappingsettings", _SETTINGS)["mappings"]
     entries = F.transform(texts, lambda entry: F.from_json(entry, _MAPPING))
+    # Shuffled by source before the parsing, so that this is spread and all below is grouped without another shuffle.
     parsed = (
-        configs.select("ecname", F.posexplode(entries).alias("pos", "m"))
+        configs.select("ecname", "mappingsettings").repartition("ecname").select("ecname", F.posexplode(entries).alias("pos", "m"))
         .select("ecname", "pos", "m.source.path", F.col("m.sink.name").alias("sink"), F.col("m.sink.type").alias("type"))
         .select("ecname", "pos", mapping_source(F.col("path")).alias("source"), "sink", "type")
         .filter((F.length("source") > 0) & (F.length("sink") > 0))
-        .repartition("ecname")
     )
-    # Everything below is grouped within a source, so its rows are shuffled once.
     of_sink = Window.partitionBy("ecname", "sink")
     given = F.when(F.length("type") > 0, F.col("pos"))
     return (

@@ -25,7 +25,8 @@ def _event_texts(spark, sf_dir):
         "event_id", "user_id", "event_type", value.alias("value"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("debug"),
     )
-    return events.select(F.concat(F.lit("landing/"), F.col("event_id").cast("string")).alias(PATH), F.to_json(record).alias("value"))
+    texts = events.select(F.concat(F.lit("landing/"), F.col("event_id").cast("string")).alias(PATH), F.to_json(record).alias("value"))
+    return texts.repartition(PATH)  # parsing is the dear part; the table may be a single split
 
 
 def rescued_data(spark, sf_dir):

@@ -11,7 +11,7 @@ from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import rescue
@@ -112,34 +112,34 @@ def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None)
     # The flag is set below the explode, so that no exploded row carries the whole array.
     parsed = parsed.withColumn("_malformed", F.col("_records").isNull())
     rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias(POS, "_record"))
-    rows = rows.withColumn("_record", rescue.last_values(F.col("_record"), schema))
-    off_schema = F.when(F.col("_malformed"), F.lit(_MALFORMED)).when(
-        F.col(POS).isNotNull(), rescue.rescued(F.col("_record"), schema)
-    )
-    return with_filename(rows).select(
-        PATH,
-        NAME,
-        F.col(POS).cast("long").alias(POS),
-        off_schema.alias(RESCUED),
-        *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
-    )
+    return _fields(with_filename(rows), F.col("_malformed"), schema, key)
+
 
+def _fields(rows: DataFrame, malformed: Column, schema: T.StructType, key: str | None) -> DataFrame:
+    """Path, name, position, off-schema data and the schema's columns, from rows with a ``_record``.
 
-def _kept(schema: T.StructType, key: str | None) -> list[T.StructField]:
-    return [T.StructField(f.name, T.StringType() if f.name == key else f.dataType) for f in schema]
+    Each step stands in a projection of its own, so that a field is looked up once and typed once.
+    """
+    record, known = F.col("_record"), F.col("_known")
+    raw = {f.name: F.col(f"_raw_{i}") for i, f in enumerate(schema)}
+    read = {f.name: F.col(f"_read_{i}") for i, f in enumerate(schema)}
+    rows = rows.select(PATH, NAME, F.col(POS).cast("long").alias(POS), malformed.alias("_unread"), record)
+    rows = rows.withColumn("_known", rescue.only_known(record, schema)).withColumn("_record", rescue.last_values(record, known))
+    rows = rows.select("*", *[record.getItem(f.name).alias(f"_raw_{i}") for i, f in enumerate(schema)])
+    rows = rows.select("*", *[rescue.typed(raw[f.name], f.dataType).alias(f"_read_{i}") for i, f in enumerate(schema)])
+    off_schema = F.when(F.col("_unread"), F.lit(_MALFORMED)).when(
+        F.col(POS).isNotNull(), rescue.rescued(record, schema, known, raw, read)
+    )
+    values = [(raw if f.name == key else read)[f.name].alias(f.name) for f in schema]
+    return rows.select(PATH, NAME, POS, off_schema.alias(RESCUED), *values)
 
 
 def parse_segments(segments: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
     """The same rows out of the segments of files too large for one task."""
     cut = split_records(segments)
     rows = with_filename(cut.withColumn("_record", F.from_json(TEXT, "map<string,string>")))
-    rows = rows.withColumn("_record", rescue.last_values(F.col("_record"), schema))
     unread = F.col(PROBLEM).isNotNull() | (F.col(POS).isNotNull() & F.col("_record").isNull())
-    off_schema = F.when(unread, F.lit(_MALFORMED)).when(F.col(POS).isNotNull(), rescue.rescued(F.col("_record"), schema))
-    return rows.select(
-        PATH, NAME, POS, off_schema.alias(RESCUED),
-        *[rescue.value(F.col("_record"), f).alias(f.name) for f in _kept(schema, key)],
-    )
+    return _fields(rows, unread, schema, key)
 
 
 def infer_schema(spark: SparkSession, source_path: str, large_bytes: int = LARGE_FILE_BYTES) -> T.StructType:
