@@ -22,10 +22,12 @@ import public_tokenizers
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tributary.llm.common import in_lots
+
 #: Name of the vocabulary that the queries use, in the installed package of public tokenizers.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Distinct pieces and pairs a worker remembers; beyond it starts afresh, with the same results.
-REMEMBERED, LONG_PIECE = 300_000, 64
+PIECES_KNOWN, PAIRS_KNOWN, LONG_PIECE = 120_000, 250_000, 64
 NEVER = 1 << 60
 BLANK = r"\t-\r \x85\xa0  -     　"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
@@ -107,7 +109,7 @@ class Encoder:
         key = x << 20 | y
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 4 * REMEMBERED:
+            if len(self.pairs) >= PAIRS_KNOWN:
                 self.pairs.clear()
             known = self.pairs[key] = self._apart(x, y)
         return known
@@ -157,7 +159,7 @@ class Encoder:
         else:
             # letter by letter: a sigma at the end of a word is no special case
             pieces = PIECES.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-        if len(self.known) >= REMEMBERED:
+        if len(self.known) >= PIECES_KNOWN:
             self.known.clear()
         known = self.known
         try:
@@ -206,9 +208,10 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf(T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = encoder(spec.value)
-        for texts in batches:
-            ids = [coder.encode(text or "") for text in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
+        for series in batches:
+            for texts in in_lots(series):  # results leave lot by lot, so that a batch's are never held together
+                ids = [coder.encode(text) for text in texts]
+                yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
 
     return docs.select("doc_id", both(F.col("text")).alias("b")).select("doc_id", "b.*")
 

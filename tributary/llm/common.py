@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.session import scratch_dir
@@ -60,3 +63,16 @@ def kept_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
     once = keyed.join(gone, same(gone), "left_anti").drop(key)
     again = keyed.join(repeated, same(repeated), "left_semi").withColumn(mark, F.col("doc_id"))
     return once.unionByName(again.dropDuplicates([mark, key]).drop(mark, key))
+
+
+def in_lots(texts: pd.Series, size: int = 1 << 19) -> Iterator[list[str]]:
+    """The texts in lists of about ``size`` characters, null as empty."""
+    held, total = [], 0
+    for text in texts:
+        held.append(text or "")
+        total += len(held[-1])
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held

@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tributary.llm.common import in_lots
+
 SPAN, UNITS = 64, 12
 #: Windows that go through the network together.
 TOGETHER = 1024
@@ -191,16 +193,3 @@ def predicted(docs: DataFrame, network: Network | None, labels: list[str]) -> Da
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return docs.select("doc_id", label(F.col("text")).alias("p")).select("doc_id", "p.*")
-
-
-def in_lots(texts: pd.Series, size: int = 1 << 19) -> Iterator[list[str]]:
-    """The texts in lists of about ``size`` characters, null as empty."""
-    held, total = [], 0
-    for text in texts:
-        held.append(text or "")
-        total += len(held[-1])
-        if total >= size:
-            yield held
-            held, total = [], 0
-    if held:
-        yield held

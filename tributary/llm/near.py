@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tributary.llm.common import kept_rows, text_key, written
+from tributary.llm.common import in_lots, kept_rows, text_key, written
 from tributary.llm.shingles import mix, multisets
 
 SIMILAR = 0.8
@@ -100,19 +100,6 @@ def band_keys(times: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def batches_of(texts: pd.Series) -> Iterator[list[str]]:
-    """The texts in lists of about TOGETHER characters."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text or "")
-        size += len(held[-1])
-        if size >= TOGETHER:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 _SKETCH = T.StructType([
     T.StructField("weight", T.LongType()), T.StructField("digest", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType())),
@@ -122,15 +109,15 @@ _SKETCH = T.StructType([
 @F.pandas_udf(_SKETCH)
 def _sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for series in batches:
-        rows = []
-        for texts in batches_of(series):
+        for texts in in_lots(series, TOGETHER):
+            rows = []
             values, counts, limits = multisets(texts)
             keys = band_keys(signatures(values, counts, limits))
             for i in range(len(texts)):
                 part = slice(limits[i], limits[i + 1])
                 digest = hashlib.sha256(values[part].tobytes() + counts[part].tobytes()).digest()[:16]
                 rows.append((int(counts[part].sum()), digest, keys[i] if limits[i] < limits[i + 1] else None))
-        yield pd.DataFrame(rows, columns=["weight", "digest", "bands"])
+            yield pd.DataFrame(rows, columns=["weight", "digest", "bands"])
 
 
 def similarity(a: list[str], b: list[str]) -> np.ndarray:
@@ -149,12 +136,13 @@ def similarity(a: list[str], b: list[str]) -> np.ndarray:
 @F.pandas_udf(T.DoubleType())
 def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:
-        out, at = [], 0
-        for some in batches_of(a + b):
-            end = at + len(some)
-            out.append(similarity(list(a.iloc[at:end]), list(b.iloc[at:end])))
+        at = 0
+        sizes = (a.str.len() + b.str.len()).cumsum()
+        while at < len(a):
+            before = sizes.iloc[at - 1] if at else 0
+            end = max(at + 1, int(sizes.searchsorted(before + TOGETHER)))
+            yield pd.Series(similarity(list(a.iloc[at:end]), list(b.iloc[at:end])))
             at = end
-        yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tributary.llm.language import in_lots
+from tributary.llm.common import in_lots
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{part}-{kind}" for kind in KINDS for part in "BI"))

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tributary.llm.language import in_lots
+from tributary.llm.common import in_lots
 
 CHUNK, STRIDE = 256, 224
 DEPTH, REACH, FILTERS, HIDDEN = 6, 6, 16, 12
