@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tributary.session import scratch_dir
 
@@ -65,6 +65,21 @@ def kept_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
     return once.unionByName(again.dropDuplicates([mark, key]).drop(mark, key))
 
 
+def least_by_hash(rows: DataFrame, by: str, hashed: str, n: int, *ties: str) -> DataFrame:
+    """Of each value of ``by`` (labels, few) the ``n`` rows with the least hash, with their place ``n``.
+
+    The values are counted first, and only rows below the hash by which several times ``n`` are to be expected are
+    ranked, so what the ranking gathers does not grow with the rows.
+    """
+    keep = F.lit(False)
+    for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect():
+        share = min(1.0, (4 * n + 100) / r["n"])
+        bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+        keep = keep | (F.col(by).eqNullSafe(F.lit(r[by])) & (F.col(hashed) <= F.lit(bound)))
+    order = Window.partitionBy(by).orderBy(hashed, *ties)
+    return rows.filter(keep).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n)
+
+
 def in_lots(texts: pd.Series, size: int = 1 << 19) -> Iterator[list[str]]:
     """The texts in lists of about ``size`` characters, null as empty."""
     held, total = [], 0

@@ -12,9 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tributary.llm.common import in_lots
+from tributary.llm.common import in_lots, least_by_hash
 
 SPAN, UNITS = 64, 12
 #: Windows that go through the network together.
@@ -156,14 +156,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAM
     """A network and its labels, from documents with a language. Of each language the ``sample_docs`` least by a
     hash of the doc_id are taken, and of each of those ``sample_bytes`` characters from a place in the text that the
     hash gives. Only text and lang reach the network. Without any labelled text there is no network."""
+    place = F.pmod(F.col("h"), F.greatest(F.length("text") - sample_bytes, F.lit(0)) + 1) + 1
     letters = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h")
-    )
-    first = Window.partitionBy("lang").orderBy("h", F.length("text"), F.substring("text", 1, 64))
-    place = F.pmod(F.col("h"), F.greatest(F.length("text") - sample_bytes, F.lit(0)) + 1) + 1
-    taken = letters.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).select(
-        "lang", "n", F.expr("text").substr(place.cast("int"), F.lit(sample_bytes)).alias("text")
-    )
+    ).select("lang", "h", F.col("text").substr(place.cast("int"), F.lit(sample_bytes)).alias("text"))
+    taken = least_by_hash(letters, "lang", "h", sample_docs, "text")
     rows = sorted((r.lang, r.n, r.text) for r in taken.collect())
     labels = sorted({lang for lang, _, _ in rows})
     if not rows:

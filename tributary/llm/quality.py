@@ -12,9 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tributary.llm.common import in_lots
+from tributary.llm.common import in_lots, least_by_hash
 
 CHUNK, STRIDE = 256, 224
 DEPTH, REACH, FILTERS, HIDDEN = 6, 6, 16, 12
@@ -161,16 +161,15 @@ def fit(
     the doc_id are taken, so the join broadcasts at most twice as many ids, and of each document ``sample_chars``
     characters from a place that the hash gives. Only text and label reach the network. Where a label has
     no document there is no network."""
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    chosen = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
-    first = Window.partitionBy("quality").orderBy(order, "doc_id")
-    chosen = chosen.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).drop("n")
-    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
+    hashed = F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h")
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality", hashed).distinct()
+    chosen = least_by_hash(known, "quality", "h", sample_docs, "doc_id").drop("n")
+    place = F.pmod(F.col("h"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
     found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "quality", F.col("text").substr(place.cast("int"), F.lit(sample_chars)).alias("text")
+        "doc_id", "quality", "h", F.col("text").substr(place.cast("int"), F.lit(sample_chars)).alias("text")
     )
-    again = Window.partitionBy("quality").orderBy(order, "doc_id", "text")
-    taken = found.withColumn("n", F.row_number().over(again)).filter(F.col("n") <= sample_docs)
+    # a doc_id may have several rows
+    taken = least_by_hash(found, "quality", "h", sample_docs, "doc_id", "text")
     rows = sorted((r.quality, r.n, r.text) for r in taken.collect())
     if len({quality for quality, _, _ in rows}) < 2:
         return None
