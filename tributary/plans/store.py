@@ -201,9 +201,12 @@ class Store:
         for version in range(snapshot["version"] - keep, 0, -1):
             if not remove(self.spark, f"{self.root}/target/v={version}"):
                 break
-        for commit in self._records("commits", COMMIT, lambda r: r.filter(F.col("seq") <= snapshot["folded_seq"])):
-            for dataset in ("upserts", "deletes"):
-                remove(self.spark, self.folder(dataset, commit["query_id"], commit["batch_id"]))
+        folded = self._records("commits", COMMIT, lambda r: r.filter(F.col("seq") <= snapshot["folded_seq"]).orderBy(F.col("seq").desc()))
+        for commit in folded:
+            wrote = [d for d in ("upserts", "deletes") if commit[COUNTED_BY[d]]]
+            gone = [remove(self.spark, self.folder(d, commit["query_id"], commit["batch_id"])) for d in wrote]
+            if wrote and not any(gone):
+                break  # an earlier call has removed this one and those before it
 
 
 def _alike(commits: Sequence[Row]) -> list[list[Row]]:
