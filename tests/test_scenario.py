@@ -21,9 +21,9 @@ GOLDEN = [
 
 
 def users(land):
-    land.put("users_001.json", FIRST)
-    land.put("users_002.json", UPDATE)
-    land.put("users_delete_003.json", DELETE)
+    land.put("berths_01.json", FIRST)
+    land.put("berths_02.json", UPDATE)
+    land.put("berths_03_delete.json", DELETE)
 
 
 @pytest.mark.parametrize("per_batch", ["1", "1000"])
@@ -39,7 +39,7 @@ def test_users(spark, tmp_path, per_batch):
     assert [r[0] for r in deleted] == ["BERTH-20"] and deleted[0][1] == deleted[0][2]
     logged = ingest.file_log().orderBy("id").collect()
     assert [(r["id"], r["filename"], r["status"], r["file_rows"]) for r in logged] == [
-        (1, "users_001.json", "SUCCESS", 4), (2, "users_002.json", "SUCCESS", 1), (3, "users_delete_003.json", "SUCCESS", 1),
+        (1, "berths_01.json", "SUCCESS", 4), (2, "berths_02.json", "SUCCESS", 1), (3, "berths_03_delete.json", "SUCCESS", 1),
     ]
     assert ingest.staging().isEmpty() and ingest.staging("deletes").isEmpty()
 
