@@ -219,10 +219,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     labels = components(links)
     known = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("class"))
     placed = written(some.select("doc_id", "key", "digest").join(known, "digest").drop("digest"), "near-placed")
-    best = placed.groupBy("class").agg(
+    # both written, so that the join below reads plain rows and can split a large class
+    best = written(placed.groupBy("class").agg(
         F.min(F.struct("doc_id", "key")).alias("best"), F.count("*").alias("class_size")
-    )
-    # written, so that the join below reads plain rows and can split a large class
+    ), "near-best")
     same = written(placed.groupBy("class", "doc_id", "key").agg(F.count("*").alias("times")), "near-rows")
     judged = same.join(best, "class").select(
         "doc_id", "key", F.col("best.doc_id").alias("class_id"), "class_size", "times",
