@@ -464,6 +464,25 @@ def test_near_large_group(spark):
     assert as_set(near.near_classes(docs), "doc_id", "class_id", "class_size") == sorted(plain_classes(rows), key=repr)
 
 
+def test_near_pairs_inside_an_unlike_family(spark):
+    """Texts around one passage, too unlike to be linked but for a few; and a family of middling similarity."""
+    rnd = random.Random(4)
+    core = [f"c{rnd.randrange(10**6)}" for _ in range(204)]
+
+    def around(i, own):
+        return " ".join(core + [f"o{i}x{k}" for k in range(own)])
+
+    rows = [(i, around(i, 60)) for i in range(400)] + [(1000 + i, around(1000 + i, 20)) for i in range(6)]
+    base = [f"b{rnd.randrange(10**6)}" for _ in range(300)]
+    for i in range(150):
+        ws = list(base)
+        for k in rnd.sample(range(300), rnd.randrange(4, 12)):
+            ws[k] = f"e{i}x{k}"
+        rows.append((2000 + i, " ".join(ws)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert as_set(near.near_classes(docs), "doc_id", "class_id", "class_size") == sorted(plain_classes(rows), key=repr)
+
+
 def test_components(spark):
     rnd = random.Random(6)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(70)]

@@ -9,7 +9,8 @@ sum of maxima, the weighted Jaccard similarity, without bias. Processes run in t
 horizon by which all components are very likely set, so most shingles cost one draw; a document with a
 component left unset is drawn again with twice the horizon.
 
-Signatures are cut into bands; documents that agree in a band are compared by their whole multisets.
+Signatures are cut into bands; documents that agree in a band are compared by their whole multisets. In a large
+bucket a few pairs come first, and then every pair not yet linked that the shingles in common don't rule out.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tributary.llm.common import in_lots, kept_rows, text_key, written
 from tributary.llm.shingles import mix, multisets
@@ -29,9 +30,13 @@ SIMILAR = 0.8
 BANDS, ROWS = 24, 6
 #: Texts of about so many characters are hashed together.
 TOGETHER = 1 << 18
-#: Buckets of more documents are compared by stars and small groups instead of all their pairs.
+#: Buckets of more documents are compared by stars and small groups first; what these leave apart follows by shingles.
 ALL_PAIRS, GROUP = 8, 4
+#: Documents of a shingle that one task compares with so many others.
+TILE = 512
 AT_ONCE = 4096
+#: Bounds are lower by this share, so that rounding loses no pair.
+SLACK = 1e-9
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,14 +167,18 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs a < b of nodes that share a band, without those whose weights rule out the similarity.
+def _close(x: Column, y: Column) -> Column:
+    """Whether two weights allow the similarity."""
+    return F.least(x, y) >= SIMILAR * (1 - SLACK) * F.greatest(x, y)
+
+
+def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs a < b of nodes that share a band, without those whose weights rule out the similarity, and the
+    members (bucket, node, weight) of the buckets that don't give all their pairs.
 
     A bucket of up to ALL_PAIRS nodes gives all its pairs. In a larger one each node is compared with the
     bucket's least and greatest node and within a group of about GROUP nodes, which is the same group in all
-    buckets of a like size; so the pairs grow with the rows, and two documents that meet in no group of a
-    large bucket meet through its ends or in the other bands, of which a pair of similarity 0.8 shares six
-    on average.
+    buckets of a like size. That links most of a large family by few pairs; ``_apart`` gives the rest.
     """
     placed = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
     whole = placed.groupBy("bucket").agg(
@@ -186,10 +195,83 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     pairs = ends.union(large.select("low", F.col("own").alias("high"))).union(large.select("own", "high")).union(
         x.join(y, ["bucket", "part"]).select("low", "high")
     )
-    close = F.least("low.weight", "high.weight") >= SIMILAR * F.greatest("low.weight", "high.weight")
-    return pairs.filter((F.col("low.node") < F.col("high.node")) & close).select(
-        F.col("low.node").alias("a"), F.col("high.node").alias("b")
+    pairs = pairs.filter((F.col("low.node") < F.col("high.node")) & _close(F.col("low.weight"), F.col("high.weight")))
+    return pairs.select(F.col("low.node").alias("a"), F.col("high.node").alias("b")).distinct(), large.select("bucket", "own.*")
+
+
+def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per shingle and document: node, weight, label, shingle, times."""
+    for frame in frames:
+        at = 0
+        for texts in in_lots(frame["text"], TOGETHER):
+            values, counts, limits = multisets(texts)
+            some, sizes = frame.iloc[at:at + len(texts)], np.diff(limits)
+            at += len(texts)
+            yield pd.DataFrame(
+                {name: np.repeat(some[name].to_numpy(), sizes) for name in ("node", "weight", "label")}
+                | {"shingle": values.view(np.int64), "times": counts}
+            )
+
+
+def _apart(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs a < b of all nodes of ``members`` that can be similar and have different labels.
+
+    With the shingles of all documents in one order, rarest first, let ``rest`` be the weight of a document
+    from a shingle on. At the first shingle that two documents share, what they share is at most either's rest;
+    and of similarity s it is s / (1 + s) of both weights together at least. So the pairs in which both rests of a
+    shared shingle reach that hold every similar pair. Shingles whose documents all have one label are left
+    out, and of the others the documents without the most frequent label meet all, in tiles.
+    """
+    named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    some = named.join(open_.select("bucket"), "bucket", "left_semi").select("node", "weight", "label").distinct()
+    tokens = written(some.join(texts, "node").select("node", "weight", "label", "text").mapInPandas(
+        _counted, "node long, weight long, label long, shingle long, times long"
+    ), "near-shingles")
+    known = tokens.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
+    onward = Window.partitionBy("node").orderBy(F.desc("docs"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
+    # a shingle of one document comes first and is never shared, so it is in no rest that counts
+    heads = tokens.join(known.filter("docs > 1"), "shingle").withColumn("rest", F.sum("times").over(onward)).filter(
+        (F.col("low") < F.col("high")) & (F.col("rest") >= SIMILAR * (1 - SLACK) * F.col("weight"))
+    )
+    heads = written(heads.select("shingle", "node", "weight", "label", "rest"), "near-heads")
+    sizes = heads.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most")
+    ).filter("all > most.n")
+    met = heads.join(sizes.select(
+        "shingle", F.col("most.label").alias("main"), F.ceil(F.col("all") / TILE).alias("wide"),
+        F.ceil((F.col("all") - F.col("most.n")) / TILE).alias("deep"),
+    ), "shingle")
+    tiles = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = F.struct("node", "weight", "label", "rest")
+    x = met.filter("label <> main").select("shingle", "main", F.pmod(F.xxhash64("node"), "deep").alias("i"), tiles("wide").alias("j"), own.alias("x"))
+    y = met.select("shingle", F.pmod(F.xxhash64("node"), "wide").alias("j"), tiles("deep").alias("i"), own.alias("y"))
+    enough = F.least("x.rest", "y.rest") * (1 + SIMILAR) >= SIMILAR * (1 - SLACK) * (F.col("x.weight") + F.col("y.weight"))
+    once = (F.col("y.label") == F.col("main")) | (F.col("x.node") < F.col("y.node"))
+    pairs = x.join(y, ["shingle", "i", "j"]).filter(
+        (F.col("x.label") != F.col("y.label")) & once & _close(F.col("x.weight"), F.col("y.weight")) & enough
+    )
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs a, b whose texts are similar."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"
+    )
+    return both.select("a", "b", _similarity("x", "y").alias("similarity")).filter(F.col("similarity") >= SIMILAR)
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links between nodes of different labels, with a row for each node of these links."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).join(labels, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label")
     ).distinct()
+    ends = written(ends, "near-ends")
+    x, y = ends.select(F.col("node").alias("a"), F.col("label").alias("x")), ends.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    onto = components(links.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    onto = onto.select(F.col("node").alias("label"), F.col("label").alias("onto"))
+    return labels.union(ends).distinct().join(onto, "label", "left").select("node", F.coalesce("onto", "label").alias("label"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -206,17 +288,18 @@ def near_classes(docs: DataFrame) -> DataFrame:
     nodes = written(some.groupBy("digest").agg(
         F.min(F.struct("doc_id", "key")).alias("at"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     ).withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    pairs = written(_candidates(nodes), "near-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    pairs, members = _candidates(nodes)
+    pairs = written(pairs, "near-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
     asked = nodes.join(wanted, "node").select("node", "at.*")
     held = docs.select(F.col("doc_id").alias("d"), text_key(F.col("text")).alias("k"), "text")
     texts = written(asked.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).groupBy("node").agg(
         F.first("text").alias("text")), "near-texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"
-    )
-    links = written(both.select("a", "b", _similarity("x", "y").alias("similarity")).filter(F.col("similarity") >= SIMILAR), "near-found")
-    labels = components(links)
+    labels = components(written(_linked(pairs, texts), "near-found"))
+    rest = written(_apart(members, labels, texts).join(pairs, ["a", "b"], "left_anti"), "near-apart")
+    more = written(_linked(rest, texts), "near-more")
+    if not more.isEmpty():
+        labels = written(_joined(labels, more), "near-joined")
     known = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("class"))
     placed = written(some.select("doc_id", "key", "digest").join(known, "digest").drop("digest"), "near-placed")
     # both written, so that the join below reads plain rows and can split a large class
