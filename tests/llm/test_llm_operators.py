@@ -165,6 +165,26 @@ def test_mix_is_spread(sample):
         assert copies[at] == (math.floor(r.taken / r.size + 0.5) if r.size else 0)
 
 
+def test_mix_keeps_tiny_sources(spark):
+    """Sources far below one block of the default size get their target in a large corpus."""
+    rows = [(i, " ".join(["w"] * 20_000), f"large{i % 3}") for i in range(150)]
+    tiny = {f"tiny{i:02}": i + 1 for i in range(40)}
+    rows += [(1000 + i, " ".join(["t"] * n), source) for i, (source, n) in enumerate(tiny.items())]
+    documents, pieces = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4))
+    taken, target = Counter(), {}
+    for r in documents.collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for source in tiny:
+        assert abs(taken[source] - target[source]) <= 0.5
+    for source in set(target) - set(tiny):
+        assert taken[source] == pytest.approx(target[source], rel=0.01)
+    slots = pieces.groupBy("slot").agg(F.countDistinct("source").alias("s")).collect()
+    assert {r.s for r in slots} == {1}
+    at = sorted(r.slot for r in pieces.filter("source LIKE 'tiny%'").select("slot").distinct().collect())
+    assert at[0] < len(slots) / 4 and at[-1] > len(slots) * 3 / 4
+
+
 # --- language and quality
 
 

@@ -5,13 +5,16 @@ Each source's documents are put in a shuffled order (by a hash of the doc_id) an
 slots. Slot i takes the golden-ratio point i * PHI (mod 1), and the source into whose piece of the
 cumulative target weights the point falls. The r-th slot of a source takes the source's r-th block. So
 every stretch of the mix has the sources near their shares, and reruns agree.
+
+Points can miss a source of few blocks. A source whose target is less than ``FEW`` blocks gets slots of its own,
+at even distances between the others, for exactly its target: its last block is cut.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tributary.llm.common import text_key, unused, word_count, written
 
@@ -21,6 +24,8 @@ WEIGHTS = 3
 PHI, UNIT = 2654435769, 1 << 32
 SLOTS, MOST_WORDS = 65_536, 1 << 20
 CELL, CHUNK = 1 << 20, 1 << 14
+#: Sources with a target of less blocks get their target exactly; with more, the points are off by a few blocks only.
+FEW = 512
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -48,8 +53,35 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return level.withColumn("at", at).select("source", "source_size", "weight", F.round(target, 6).alias("target"))
 
 
+def _few(block: int) -> Column:
+    return F.col("target") < F.lit(FEW * block)
+
+
 def schedule(targets: DataFrame, total: int, block: int) -> DataFrame:
     """slot, source, rank: which block of which source each slot takes. ``targets`` is one row per source."""
+    n = math.ceil(total / block)
+    drawn = _drawn(targets, n, block).select("slot", "source", F.lit(None).cast("long").alias("rank"))
+    blocks = F.ceil(F.round("target") / block)
+    own = targets.filter(_few(block)).select("source", blocks.alias("blocks")).filter("blocks > 0").select(
+        "source", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("rank")
+    )
+    # where a source begins is a matter of its hash, or all sources of one block would stand together
+    begin = F.pmod(F.xxhash64("source"), F.lit(UNIT)) / UNIT
+    between = own.select(F.least(F.floor((F.col("rank") + begin) / F.col("blocks") * n), F.lit(n - 1)).alias("slot"), "source", "rank")
+    # slots are numbered anew, chunk by chunk
+    laid = drawn.union(between).withColumn("chunk", F.floor(F.col("slot") / CHUNK))
+    order = Window.partitionBy("chunk").orderBy("slot", F.asc_nulls_first("rank"), F.asc_nulls_last("source"))
+    laid = laid.withColumn("turn", F.row_number().over(order) - 1)
+    counts = laid.groupBy("chunk").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("chunk", F.coalesce(before, F.lit(0)).alias("start"))
+    laid = laid.join(starts, "chunk").select((F.col("start") + F.col("turn")).alias("slot"), "source", "rank")
+    laid = written(laid, "mix-slots")
+    return _ranked(laid.filter("rank IS NULL").select("slot", "source")).union(laid.filter("rank IS NOT NULL"))
+
+
+def _drawn(targets: DataFrame, n: int, block: int) -> DataFrame:
+    """slot, source: where the points of n slots fall, without those of sources that get slots of their own."""
     spark = targets.sparkSession
     span = Window.orderBy(F.asc_nulls_last("source"))
     # whole words and exact integers, so that the borders don't depend on the order of a sum
@@ -60,13 +92,18 @@ def schedule(targets: DataFrame, total: int, block: int) -> DataFrame:
         "low", F.lag("high", 1, 0).over(span)
     ).filter("high > low")
     cells = pieces.select(
-        "source", "low", "high", F.explode(F.sequence(F.floor(F.col("low") / CELL), F.floor((F.col("high") - 1) / CELL))).alias("cell")
+        "source", "low", "high", _few(block).alias("few"), F.explode(F.sequence(F.floor(F.col("low") / CELL), F.floor((F.col("high") - 1) / CELL))).alias("cell")
     )
-    slots = spark.range(math.ceil(total / block)).withColumnRenamed("id", "slot")
+    slots = spark.range(n).withColumnRenamed("id", "slot")
     slots = slots.withColumn("point", F.pmod(F.col("slot") * PHI + UNIT // 2, F.lit(UNIT)))
-    drawn = slots.withColumn("cell", F.floor(F.col("point") / CELL)).join(cells, "cell").filter(
-        "point >= low AND point < high"
-    ).select("slot", "source", F.floor(F.col("slot") / CHUNK).alias("chunk"))
+    return slots.withColumn("cell", F.floor(F.col("point") / CELL)).join(cells, "cell").filter(
+        "point >= low AND point < high AND NOT few"
+    ).select("slot", "source")
+
+
+def _ranked(slots: DataFrame) -> DataFrame:
+    """slot, source, rank: how many slots of its source precede each slot."""
+    drawn = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK))
     counts = drawn.groupBy("source", "chunk").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(before, F.lit(0)).alias("start"))
@@ -116,10 +153,11 @@ def mix(docs: DataFrame, block_words: int | None = None) -> tuple[DataFrame, Dat
     block = block_words or max(1, min(MOST_WORDS, all_.words // SLOTS))
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
     plan = written(schedule(targets, all_.words, block), "mix-schedule")
-    granted = plan.groupBy(F.col("source").alias("s")).agg((F.count("*") * block).alias("granted"))
-    ranged = targets.join(granted, F.col("source").eqNullSafe(F.col("s")), "left").select(
+    slots = plan.groupBy(F.col("source").alias("s")).agg((F.count("*") * block).alias("slots"))
+    granted = F.when(_few(block), F.round("target").cast("long")).otherwise(F.coalesce("slots", F.lit(0)))
+    ranged = targets.join(slots, F.col("source").eqNullSafe(F.col("s")), "left").select(
         F.col("source").alias("s"), "source_size", "target",
-        F.least(F.coalesce("granted", F.lit(0)), EPOCHS * F.col("source_size")).alias("granted"),
+        F.least(granted, EPOCHS * F.col("source_size")).alias("granted"),
     )
     laid = _shuffled(rows, ranged, all_.rows).drop("place").withColumn("row", F.monotonically_increasing_id())
     laid = written(laid, "mix-laid")
