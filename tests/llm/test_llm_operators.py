@@ -247,6 +247,22 @@ def test_quality_learns(spark, sample):
     assert {r.score for r in quality.scored(odd, None).collect()} == {0.5}
 
 
+def test_quality_learns_beside_repeated_ids(spark):
+    """A chosen doc_id with very many rows leaves the others of its label in the sample."""
+    rows = [(1 + i % 2, f"text {i}") for i in range(20_000)] + [(i, f"words {i}") for i in range(3, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "doc_id long, quality int")
+    seen = []
+    train = quality.Network.train
+    quality.Network.train = lambda self, texts, truth: seen.extend(zip(texts, truth))
+    try:
+        assert quality.fit(docs, labels, sample_docs=3) is not None
+    finally:
+        quality.Network.train = train
+    assert len(seen) == 6 and Counter(int(y) for _, y in seen) == {0: 3, 1: 3}
+    assert {f"words {i}".encode() for i in range(3, 7)} <= {x for x, _ in seen}
+
+
 def test_chunks_cover_all_bytes():
     for n in (0, 1, 255, 256, 257, 480, 481, 5000):
         text = bytes(random.Random(n).randrange(1, 256) for _ in range(n))

@@ -158,7 +158,7 @@ def fit(
     docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS
 ) -> Network | None:
     """A network from documents with a quality label of 0 or 1. Of each label the ``sample_docs`` rows least by a hash of
-    the doc_id are taken, so the join broadcasts at most twice as many ids, and of each document ``sample_chars``
+    the doc_id are taken, each as one document, so the join broadcasts at most twice as many ids, and of each document ``sample_chars``
     characters from a place that the hash gives. Only text and label reach the network. Where a label has
     no document there is no network."""
     hashed = F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h")
@@ -168,9 +168,9 @@ def fit(
     found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select(
         "doc_id", "quality", "h", F.col("text").substr(place.cast("int"), F.lit(sample_chars)).alias("text")
     )
-    # a doc_id may have several rows
-    taken = least_by_hash(found, "quality", "h", sample_docs, "doc_id", "text")
-    rows = sorted((r.quality, r.n, r.text) for r in taken.collect())
+    # a doc_id may have any number of rows: the least text stands for it
+    taken = found.groupBy("quality", "h", "doc_id").agg(F.min("text").alias("text")).collect()
+    rows = [(r.quality, r.h, r.text) for r in sorted(taken, key=lambda r: (r.quality, r.h, r.doc_id))]
     if len({quality for quality, _, _ in rows}) < 2:
         return None
     network = Network()
