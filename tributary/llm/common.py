@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -80,6 +81,39 @@ def least_by_hash(rows: DataFrame, by: str, hashed: str, n: int, *ties: str) ->
     return rows.filter(keep).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n)
 
 
+def spread_join(rows: DataFrame, by_key: DataFrame, on: list[str], how: str = "inner", share: float = 0.25) -> DataFrame:
+    """``rows`` joined with ``by_key``, which has each key once; keys are not null.
+
+    A key with more of the rows than ``share`` of a mean partition is dealt over salts, by chance with a fixed seed,
+    so that no task gets many more rows than the others, be they all alike. ``rows`` is read several times and should
+    be a table. How often ``by_key`` rows are repeated is bounded by the number of partitions, and so is the
+    broadcast of the hot keys, whatever the data.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fill = max(64, math.ceil(share * rows.count() / parts))
+    salt, salts = unused([*rows.columns, *by_key.columns], "salt", "salts")
+    hot = rows.groupBy(*on).agg(F.count("*").alias(salts)).filter(F.col(salts) > fill)
+    hot = F.broadcast(hot.withColumn(salts, F.ceil(F.col(salts) / fill)))  # at most parts / share rows
+    dealt = rows.join(hot, on, "left").withColumn(salt, F.floor(F.rand(17) * F.coalesce(salts, F.lit(1))).cast("long"))
+    copies = by_key.join(hot, on, "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(salts, F.lit(1)).cast("long") - 1))
+    )
+    return dealt.drop(salts).join(copies.drop(salts), [*on, salt], how).drop(salt)
+
+
+def stretches(raw: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """The bytes in parts of about ``size`` that end between words."""
+    at = 0
+    while len(raw) - at > size:
+        end = max(raw.rfind(blank, at, at + size) for blank in (b" ", b"\n", b"\t"))
+        if end <= at:  # a word longer than a part
+            ends = [x for x in (raw.find(blank, at + size) for blank in (b" ", b"\n", b"\t")) if x >= 0]
+            end = min(ends, default=len(raw))
+        yield raw[at:end]
+        at = end
+    yield raw[at:]
+
+
 def in_lots(texts: pd.Series, size: int = 1 << 19) -> Iterator[list[str]]:
     """The texts in lists of about ``size`` characters, null as empty."""
     held, total = [], 0

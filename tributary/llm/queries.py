@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import bpe, exact, language, licenses, mixing, near, pii, quality, rules, shards
+from tributary.llm import bpe, exact, language, licenses, mixing, near, pii, quality, rules, shards, simhash
 from tributary.llm.common import table
 
 _TEMPLATES_SQL = ", ".join(
@@ -77,11 +77,15 @@ def op10_sharding(spark, sf_dir):
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op12_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op5_license_scan, op6_personal_data,
-        op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding,
+        op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding, op12_simhash_near_dedup,
     )
 }
 
