@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tributary.llm import bpe, exact, language, licenses, mixing, near, pii, quality, rules, shards, simhash
+from tributary.llm import align, bpe, exact, language, licenses, mixing, near, phrases, pii, quality, rules, shards, simhash
 from tributary.llm.common import table
 
 _TEMPLATES_SQL = ", ".join(
@@ -77,15 +77,24 @@ def op10_sharding(spark, sf_dir):
     return shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_simhash_near_dedup(spark, sf_dir):
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark, sf_dir):
+    return align.alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         pipeline, op1_mixing, op2_language_id, op3_quality_classifier, op4_exact_dedup, op5_license_scan, op6_personal_data,
-        op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding, op12_simhash_near_dedup,
+        op7_bpe, op8_quality_rules, op9_minhash_near_dedup, op10_sharding, op11_collocations,
+        op12_simhash_near_dedup, op13_alignment,
     )
 }
 
@@ -156,4 +165,25 @@ f AS (SELECT *, n_words < 50 AS b0, 100 * n_repeat_words > 50 * n_words AS b1, 1
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 OR b1 AS base_failed,
     NOT (b0 OR b1 OR b2 OR b3 OR b4) AS kept, CAST(b0 AS BIGINT) + 2 * CAST(b1 AS BIGINT) + 4 * CAST(b2 AS BIGINT)
     + 8 * CAST(b3 AS BIGINT) + 16 * CAST(b4 AS BIGINT) + 32 * CAST(b5 AS BIGINT) AS failed_bits FROM f""",
+    "op11_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+s AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM p WHERE len(ws) > 0),
+g AS (SELECT lang, unnest(generate_series(1, least(4, len(ws) - i + 1))) AS m, ws, i FROM s),
+f AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+k AS (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM c),
+x AS (SELECT k.lang, k.m, k.phrase, k.f, k, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * k.f // (l.f + r.f) AS BIGINT) AS score
+    FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1:k], ' ')
+    JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k + 1:], ' ')),
+w AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+q AS (SELECT lang, f AS longer, ws, m, unnest(generate_series(2, m - 1)) AS w FROM c WHERE m > 2),
+u AS (SELECT lang, longer, ws, w, unnest(generate_series(1, m - w + 1)) AS i FROM q),
+v AS (SELECT lang, array_to_string(ws[i:i + w - 1], ' ') AS phrase, max(longer) AS longer FROM u GROUP BY ALL),
+b AS (SELECT w.* FROM w LEFT JOIN v ON w.lang = v.lang AND w.phrase = v.phrase
+    WHERE v.longer IS NULL OR CAST(100 AS HUGEINT) * v.longer < CAST(80 AS HUGEINT) * w.f),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM b)
+SELECT z.lang, rank, phrase, f AS a, l, r, n, score FROM z JOIN t ON z.lang = t.lang WHERE rank <= 2000""",
 }
