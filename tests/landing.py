@@ -6,6 +6,7 @@ import json
 import os
 import uuid
 
+from tributary.plans.target import create_target
 from tributary.streaming.ingest import Ingest, load_config
 
 CONTROL = (
@@ -15,8 +16,9 @@ CONTROL = (
 LOADER = (
     "ecname string, enabled_flag string, source_path string, schema_location string, checkpoint_location string, "
     "target_full_name string, archive_directory string, archive_enabled string, max_files_per_trigger string, "
-    "max_bytes_per_trigger string"
+    "max_bytes_per_trigger string, json_lines string, target_partitions int"
 )
+MERGES = "query_name string, query_type string, query_text string"
 AUDIT = "sourceid bigint, loaddtm timestamp, deleted_flag string, date_deleted timestamp"
 
 USERS = {"name": "string", "language": "string", "id": "string", "bio": "string", "version": "double"}
@@ -35,7 +37,7 @@ def mappings(columns):
 class Landing:
     """One source with its own folders and target table."""
 
-    def __init__(self, spark, root, columns=None, ecname="users_demo", **settings):
+    def __init__(self, spark, root, columns=None, ecname="users_demo", spread=False, merge=None, **settings):
         from datetime import datetime
 
         self.spark, self.root, self.ecname = spark, str(root), ecname
@@ -45,10 +47,12 @@ class Landing:
         self.clock = 1_700_000_000
         table = f"{ecname}_{uuid.uuid4().hex[:8]}"
         self.target = settings.pop("target_full_name", f"default.{table}")
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.target} "
-            f"({', '.join(f'{c} {t}' for c, t in self.columns.items())}, {AUDIT}) USING parquet"
-        )
+        declared = f"{', '.join(f'`{c}` {t}' for c, t in self.columns.items())}, {AUDIT}"
+        if spread:
+            create_target(spark, self.target, declared)
+        elif not spark.catalog.tableExists(self.target):
+            spark.sql(f"CREATE TABLE {self.target} ({declared}) USING parquet")
+        self.merge = merge
         self.control_row = [
             7, ecname, "file", None, None, None, None, settings.pop("mappingsettings", mappings(self.columns)), "y",
             datetime(2024, 1, 1),
@@ -57,7 +61,7 @@ class Landing:
         self.loader_row = {
             "ecname": ecname, "enabled_flag": "y", "source_path": self.source, "schema_location": place("schema"),
             "checkpoint_location": place("checkpoint"), "target_full_name": self.target, "archive_directory": None,
-            "archive_enabled": "N", "max_files_per_trigger": None, "max_bytes_per_trigger": None, **settings,
+            "archive_enabled": "N", "max_files_per_trigger": None, "max_bytes_per_trigger": None, "json_lines": None, "target_partitions": None, **settings,
         }
 
     def config(self, **changes):
@@ -66,7 +70,10 @@ class Landing:
         names = [c.split()[0] for c in LOADER.split(", ")]
         control = self.spark.createDataFrame([tuple(self.control_row)], CONTROL)
         loader = self.spark.createDataFrame([tuple(self.loader_row[n] for n in names)], LOADER)
-        return replace(load_config(self.spark, self.ecname, control, loader), **changes)
+        merges = None
+        if self.merge is not None:
+            merges = self.spark.createDataFrame([(self.ecname, "merge", json.dumps(self.merge))], MERGES)
+        return replace(load_config(self.spark, self.ecname, control, loader, merges=merges), **changes)
 
     def ingest(self, **changes):
         return Ingest(self.spark, self.config(**changes))

@@ -39,22 +39,13 @@ def test_pruning_and_partial_limit(spark):
     assert "user_id" not in plan(files.file_inventory(spark, SF_DIR))
 
 
-def test_state_is_not_shuffled(spark, tmp_path):
-    """The second merge reads the first snapshot's buckets as they are."""
-    land = Landing(spark, tmp_path, {"id": "string", "v": "double"})
-    land.put("a.json", [{"id": str(n), "v": n} for n in range(50)])
-    ingest = land.ingest(buckets=6)
+def test_merge_reads_touched_partitions(spark, tmp_path):
+    """The merge's scan of the target is pruned to the partitions of the batch's keys."""
+    land = Landing(spark, tmp_path, {"id": "string", "v": "double"}, spread=True)
+    land.put("a.json", [{"id": str(n), "v": n} for n in range(300)])
+    ingest = land.ingest()
     ingest.run()
-    land.put("b.json", [{"id": "7", "v": 70}])
-    ingest = land.ingest(buckets=6)
-    ingest.start().awaitTermination()
-    text = plan(ingest.current())
-    lines = text.splitlines()
-    join = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line and "FullOuter" in line)
-    scan = next(n for n in range(join, len(lines)) if "FileScan" in lines[n])
-    assert "Bucketed: true" in lines[scan]
-    assert not any("Exchange" in line for line in lines[join:scan])
-    ingest.publish()
-    assert land.state("id", "v").count(("7", 70.0)) == 1
-    folder = ingest.store.snapshot()["path"]
-    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= 6
+    touched = ingest.target._touched(spark.table(land.target).filter("id IN ('7', '8')"))
+    text = plan(touched)
+    assert "PartitionFilters: [key_part" in text and "InMemoryFileIndex(2 paths)" in text
+    assert touched.count() < 300

@@ -6,7 +6,13 @@ import os
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from landing import Landing, mappings
+from tributary.operators.files import PATH
+from tributary.plans.target import PART, key_part
+from tributary.sources.landing import infer_schema, save_schema
 from tributary.streaming.ingest import ConfigError, Ingest, run_sources
 
 KV = {"id": "string", "v": "double"}
@@ -16,9 +22,8 @@ def rows(land):
     return land.state("id", "v", "deleted_flag")
 
 
-@pytest.mark.parametrize("large_bytes", [128 * 1024 * 1024, 1], ids=["text", "streamed"])
-def test_json_shapes(spark, tmp_path, large_bytes):
-    """Clean, empty, single-object, drifted and malformed files, by either reader."""
+def test_json_shapes(spark, tmp_path):
+    """Clean, empty, single-object, drifted and malformed files."""
     columns = {"id": "string", "v": "double", "t": "string"}
     land = Landing(spark, tmp_path, columns)
     land.put("a_clean.json", '﻿ [{"id": "1", "v": 1.5, "t": ["x", null, "y"]}, {"id": "2", "v": null, "t": []}, {"id": 3}]')
@@ -34,10 +39,8 @@ def test_json_shapes(spark, tmp_path, large_bytes):
     land.put("k_lines.json", '{"id": "11"}\n{"id": "12"}')
     land.put("l_array.json", [{"id": "13", "t": "not an array"}])
     land.put("x.done", "[]")
-    from pyspark.sql import types as T
 
-    ingest = land.ingest(large_bytes=large_bytes)
-    from tributary.sources.landing import save_schema
+    ingest = land.ingest()
 
     save_schema(spark, T.StructType.fromDDL("id string, v string, t array<string>"), ingest.cfg.schema_location)
     totals = ingest.run().first()
@@ -50,6 +53,36 @@ def test_json_shapes(spark, tmp_path, large_bytes):
     assert (totals["files"], totals["rejected"]) == (3, 8)
 
 
+def test_line_shapes(spark, tmp_path):
+    """A source of one record a line: blank lines, lines that are no object or several, in files of many splits."""
+    land = Landing(spark, tmp_path, KV, json_lines="y")
+    land.put("a.json", '\n'.join('{"id": "%d", "v": %d}' % (n % 40, n) for n in range(4000)) + '\n\n  \n')
+    land.put("b.json", '{"id": "100", "v": 1}\n{"id": "101", "new": 2}\n')
+    land.put("c.json", '{"id": "102", "v": 1}\n[{"id": "103"}]\n')
+    land.put("d.json", '{"id": "104", "v": 1} {"id": "105"}\n')
+    land.put("e.json", '{"id": "106", "v": 1},{"id": "107"}\n')
+    land.put("f.json", '{"id": "108", "v"\n')
+    land.put("g.json", ' {"id": "109", "v": 5}')
+    land.put("h.json", " \n \n")
+    land.put("i.json", '{"id": "110", "v": "much"}')
+    land.put("j_delete.json", '{"id": "7"}\n{"id": "8"}\n')
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), land.config().schema_location)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        ingest = land.ingest()
+        totals = ingest.run().first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    state = dict((r[0], r[1:]) for r in rows(land))
+    assert state == {**{str(k): (3960.0 + k, "Y" if k in (7, 8) else "N") for k in range(40)}, "109": (5.0, "N")}
+    assert sorted(r["filename"][0] for r in ingest.schema_errors().collect()) == list("bcdefi")
+    assert {r["filename"][0]: r["file_rows"] for r in ingest.file_log().collect()} == {"a": 4000, "g": 1, "h": 0, "j": 2}
+    assert (totals["deleted"], totals["deleted_rows"]) == (2, 2)
+    ingest.replay_quarantine("id string, v string, new string")
+    assert ("101", None, "N") in rows(land) and {r[PATH].split("/")[-1][0] for r in ingest.quarantined().collect()} == set("cdefi")
+
+
 def test_schema_of_odd_names(spark, tmp_path):
     """Inference takes part in names that are patterns elsewhere."""
     land = Landing(spark, tmp_path, {"id": "string", "v": "double", "t": "string"})
@@ -90,13 +123,10 @@ def test_runs_continue(spark, tmp_path):
     assert land.state("id", "deleted_flag", "sourceid") == [
         (None, "N", 3), (None, "N", 4), ("1", "Y", 5), ("2", "N", 3), ("3", "N", 3),
     ]
-    snapshot = last.store.snapshot()
-    assert snapshot["version"] == 3 and snapshot["deleted_rows"] == 1
-    assert last.run().isEmpty() and last.store.snapshot()["version"] == 3
+    assert [r["deleted_rows"] for r in last.summary().orderBy("batch_id").collect()] == [1, 0, 1]
     before = land.state("id", "deleted_flag", "sourceid")
-    last.store.vacuum(keep=1)
-    assert land.state("id", "deleted_flag", "sourceid") == before and last.staging() is None
-    assert sorted(os.listdir(os.path.join(last.cfg.root, "target"))) == ["v=3"]
+    assert last.run().isEmpty() and land.state("id", "deleted_flag", "sourceid") == before
+    assert last.staging().isEmpty() and not os.listdir(os.path.join(last.cfg.root, "merged", *_one(last.cfg.root, "merged")))
 
 
 def test_initial_rows_are_kept(spark, tmp_path):
@@ -113,14 +143,12 @@ def test_initial_rows_are_kept(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("step", ["commit", "write_counted"])
+@pytest.mark.parametrize("step", ["decide", "merge", "stage"])
 def test_failed_batch_replays(spark, tmp_path, step):
     land = Landing(spark, tmp_path, KV)
     land.put("a.json", [{"id": "1", "v": 1}])
     land.put("b.json", [{"id": "2", "v": 2, "new": 1}, {"id": "3"}])
     land.put("c_delete.json", [{"id": "1"}])
-    from tributary.sources.landing import save_schema
-    from pyspark.sql import types as T
 
     broken = land.ingest()
     save_schema(spark, T.StructType.fromDDL("id string, v string"), broken.cfg.schema_location)
@@ -128,7 +156,7 @@ def test_failed_batch_replays(spark, tmp_path, step):
     def fail(*_, **__):
         raise RuntimeError("it's broken" + "!" * 5000)
 
-    setattr(broken.store, step, fail)
+    setattr({"decide": broken.data, "merge": broken.target, "stage": broken.staged}[step], step, fail)
     with pytest.raises(StreamingQueryException):
         broken.run()
     assert rows(land) == []
@@ -158,24 +186,163 @@ def test_committed_batch_is_not_repeated(spark, tmp_path):
     assert rows(land) == [("1", 1.0, "N")] and ingest.file_log().count() == 1
 
 
-def test_publish_stops_before_its_record(spark, tmp_path):
-    land = Landing(spark, tmp_path, KV)
-    land.put("a.json", [{"id": "1", "v": 1}])
+def _one(root, *below):
+    """The only folder of a query below a dataset."""
+    (name,) = os.listdir(os.path.join(root, *below))
+    return [name]
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_torn_overwrite(spark, tmp_path, spread):
+    """The overwrite of the target stops half-way; the batch is replayed and its rows and the others' are whole."""
+    land = Landing(spark, tmp_path, KV, spread=spread)
+    land.put("a.json", [{"id": str(n), "v": n} for n in range(200)])
+    land.ingest().run()
+    land.put("b.json", [{"id": str(n), "v": -n} for n in range(100, 300)] + [{"v": 7}])
+    land.put("c_delete.json", [{"id": "5"}])
     broken = land.ingest()
-    record = broken.store._record
+    overwrite = broken.target.apply
 
-    def fail(folder, *rest):
-        if folder.startswith("snapshots"):
-            raise RuntimeError("gone")
-        record(folder, *rest)
+    def tear(folder):
+        overwrite(folder)
+        files = spark.table(land.target).inputFiles()
+        for name in files[: len(files) // 2 + 1]:
+            os.remove(name.removeprefix("file://").removeprefix("file:"))
+        raise RuntimeError("gone")
 
-    broken.store._record = fail
-    with pytest.raises(RuntimeError, match="gone"):
+    broken.target.apply = tear
+    with pytest.raises(StreamingQueryException):
         broken.run()
-    assert rows(land) == [] and land.ingest().current().count() == 1
-    land.put("b.json", [{"id": "2", "v": 2}])
+    spark.catalog.refreshTable(land.target)
+    fixed = land.ingest()
+    fixed.run()
+    want = {str(n): (float(n if n < 100 else -n), "Y" if n == 5 else "N") for n in range(300)} | {None: (7.0, "N")}
+    assert dict((r[0], r[1:]) for r in rows(land)) == want and len(rows(land)) == 301
+    assert fixed.file_log().count() == 3 and fixed.staging().isEmpty()
+
+
+def test_untouched_partitions_stay(spark, tmp_path):
+    """A batch rewrites the files of the partitions its keys are in, and no others."""
+    land = Landing(spark, tmp_path, KV, spread=True, target_partitions=32)
+    land.put("a.json", [{"id": str(n), "v": n} for n in range(500)])
+    land.ingest().run()
+    before = set(spark.table(land.target).inputFiles())
+    parts = {r[0]: r[1] for r in spark.table(land.target).select("id", PART).collect()}
+    assert len(set(parts.values())) == 32
+    land.put("b.json", [{"id": "7", "v": 70}])
+    land.put("c_delete.json", [{"id": "9"}, {"id": "unknown"}])
+    land.ingest().run()
+    after = set(spark.table(land.target).inputFiles())
+    spec = land.config().spec
+    ids = spark.createDataFrame([(k, 1) for k in ("7", "9", "unknown")], "id string, sourceid long")
+    touched = {f"{PART}={r[0]}" for r in ids.select(key_part(spec, 32)).collect()}
+    assert {name.split("/")[-2] for name in before ^ after} == touched and len(before - after) == len(touched)
+    assert {parts["7"], parts["9"]} < {int(x.split("=")[1]) for x in touched}
+    state = dict((r[0], r[1:]) for r in rows(land))
+    assert len(state) == 500 and state["7"] == (70.0, "N") and state["9"] == (9.0, "Y") and state["8"] == (8.0, "N")
+
+
+def test_misplaced_rows_are_told(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV, spread=True)
+    rows_of = spark.createDataFrame([("1", 1.0), (None, 2.0)], "id string, v double").select(
+        "*", F.lit(0).cast("long").alias("sourceid"), F.lit(None).cast("timestamp").alias("loaddtm"),
+        F.lit("N").alias("deleted_flag"), F.lit(None).cast("timestamp").alias("date_deleted"),
+    )
+    rows_of.withColumn(PART, key_part(land.config().spec)).write.insertInto(land.target)
+    land.put("a.json", [{"id": "1", "v": 3}])
     land.ingest().run()
-    assert rows(land) == [("1", 1.0, "N"), ("2", 2.0, "N")]
+    assert rows(land) == [(None, 2.0, "N"), ("1", 3.0, "N")]
+    other = Landing(spark, tmp_path / "other", KV, "other", spread=True)
+    rows_of.withColumn(PART, F.lit(-1)).write.insertInto(other.target)
+    other.put("a.json", [{"id": "1", "v": 3}])
+    with pytest.raises(ConfigError, match="another partition"):
+        other.ingest().run()
+
+
+def test_composite_key(spark, tmp_path):
+    """A key of two columns: updates of some columns only, deletes by both fields, half a key is none."""
+    columns = {"order": "bigint", "line no": "int", "v": "double", "w": "string"}
+    for spread in (True, False):
+        land = Landing(spark, tmp_path / str(spread), columns, f"lines_{spread}", spread=spread,
+                       merge={"key": ["order", "line no"], "update_cols": ["v"]})
+        land.put("a.json", [{"order": 1, "line no": 1, "v": 1, "w": "a"}, {"order": 1, "line no": 2, "v": 1, "w": "a"},
+                            {"order": 2, "line no": 1, "v": 1, "w": "a"}, {"order": 3, "v": 1, "w": "half"}])
+        land.put("b_delete.json", [{"order": "1", "line no": "2"}, {"order": "02", "line no": "1"}, {"order": "1"}])
+        land.ingest().run()
+        names = ("order", "`line no`", "v", "w", "deleted_flag")
+        assert land.state(*names) == [
+            (1, 1, 1.0, "a", "N"), (1, 2, 1.0, "a", "Y"), (2, 1, 1.0, "a", "N"), (3, None, 1.0, "half", "N"),
+        ]
+        land.put("c.json", [{"order": 1, "line no": 2, "v": 5, "w": "new"}, {"order": 4, "line no": 1, "v": 5, "w": "new"}])
+        land.put("d_delete.json", [{"order": "2"}])
+        land.ingest().run()
+        assert land.state(*names) == [
+            (1, 1, 1.0, "a", "N"), (1, 2, 5.0, "a", "N"), (2, 1, 1.0, "a", "N"), (3, None, 1.0, "half", "N"), (4, 1, 5.0, "new", "N"),
+        ]
+
+
+def test_order_column(spark, tmp_path):
+    """The greater value of the order column stays, in a file, a batch and between batches; none is the least."""
+    land = Landing(spark, tmp_path, {"id": "string", "v": "double", "w": "string"}, spread=True, merge={"order_col": "v"})
+    land.put("a.json", [{"id": "1", "v": 5, "w": "a"}, {"id": "1", "v": 3, "w": "b"}, {"id": "2", "w": "c"}, {"id": "3", "v": 1, "w": "d"}])
+    land.put("b_delete.json", [{"id": "1"}])
+    land.ingest().run()
+    assert land.state("id", "v", "w", "deleted_flag") == [("1", 5.0, "a", "Y"), ("2", None, "c", "N"), ("3", 1.0, "d", "N")]
+    land.put("c.json", [{"id": "1", "v": 4, "w": "late"}, {"id": "2", "v": 0, "w": "more"}, {"id": "3", "w": "none"}])
+    land.ingest().run()
+    assert land.state("id", "v", "w", "deleted_flag") == [("1", 5.0, "a", "N"), ("2", 0.0, "more", "N"), ("3", 1.0, "d", "N")]
+
+
+@pytest.mark.parametrize("merge, text", [
+    ({"key": ["zz"]}, "zz"), ({"key": ["id"], "order_col": "nn"}, "nn"), ({"key": ["id"], "update_cols": ["v", "uu"]}, "uu"),
+    ({"key": []}, "no object|no key"), ([1], "no object"), ({"key": ["id", "id"]}, "twice"),
+])
+def test_bad_merge_specs(spark, tmp_path, merge, text):
+    with pytest.raises(ConfigError, match=text):
+        Landing(spark, tmp_path, KV, merge=merge).config()
+
+
+def test_replay_resumes(spark, tmp_path):
+    """A replay in several batches fails half-way and goes on where it stopped."""
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="2")
+    for n in range(5):
+        land.put(f"a{n}.json", [{"id": str(n), "v": n, "new": "x"}])
+    ingest = land.ingest()
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
+    assert ingest.run().count() == 3 and rows(land) == []
+    save_schema(spark, T.StructType.fromDDL("id string, v string, new string"), ingest.cfg.schema_location)
+    broken, done = land.ingest(), []
+
+    def fails_later(batch):
+        if len(done) == 1:
+            raise RuntimeError("gone")
+        done.append(batch)
+        Ingest._settle(broken, batch)
+
+    broken._settle = fails_later
+    with pytest.raises(StreamingQueryException):
+        broken.replay_quarantine()
+    assert 0 < len(rows(land)) < 5
+    totals = land.ingest().replay_quarantine()
+    assert [r["files"] for r in totals.collect()] and [r[0] for r in rows(land)] == list("01234")
+    assert sorted(r[0] for r in land.state("sourceid")) == [1, 2, 3, 4, 5]
+    assert land.ingest().quarantined().isEmpty() and land.ingest().replay_quarantine().isEmpty()
+
+
+def test_typed_schema(spark, tmp_path):
+    """One aggregation over arrays and lines: late fields, arrays, mixed types, names that look like types."""
+    (tmp_path / "a.json").write_text('[{"id": "1", "t": ["x"], "n": 1}, {"id": 2, "t": null, "n": 2.5, "a b.c": true}]')
+    (tmp_path / "b.json").write_text('{"id": "3", "o": {"OBJECT<": [1], "k": null}, "n": 10000000000}')
+    (tmp_path / "c.json").write_text("nonsense")
+    (tmp_path / "d.json").write_text("")
+    found = {f.name: f.dataType.simpleString() for f in infer_schema(spark, str(tmp_path))}
+    assert found == {"id": "string", "t": "array<string>", "n": "string", "a b.c": "string", "o": "string"}
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l" / "a.json").write_text('{"id": "1"}\n{"w": [1]}\n[1]\n\n')
+    found = {f.name: f.dataType.simpleString() for f in infer_schema(spark, str(tmp_path / "l"), lines=True)}
+    assert found == {"id": "string", "w": "array<string>"}
+    (tmp_path / "e").mkdir()
+    assert infer_schema(spark, str(tmp_path / "e")).fields == []
 
 
 def test_hot_keys(spark, tmp_path):
@@ -201,9 +368,7 @@ def test_byte_cap_wins(spark, tmp_path):
 
 
 def test_every_file_rejected_then_replayed(spark, tmp_path):
-    from pyspark.sql import types as T
 
-    from tributary.sources.landing import save_schema
 
     land = Landing(spark, tmp_path, KV)
     land.put("a.json", [{"id": "1", "v": 1, "new": "x"}])
@@ -222,36 +387,28 @@ def test_every_file_rejected_then_replayed(spark, tmp_path):
 
 
 def test_schema_of_the_last_file(spark, tmp_path):
-    """A field that first occurs in the newest of many files belongs to the schema; also among large files."""
-    for name, large_bytes in (("small", 128 * 1024 * 1024), ("large", 30)):
-        land = Landing(spark, tmp_path / name, {"id": "string", "v": "double", "w": "string"}, name)
-        for n in range(12):
-            land.put(f"a{n:02}.json", [{"id": str(n), "v": n}])
-        land.put("b.json", [{"id": "99", "v": 1, "w": "late", "and a longer file": "x" * 40}])
-        totals = land.ingest(large_bytes=large_bytes).run().first()
-        assert (totals["files"], totals["rejected"]) == (13, 0)
-        assert ("99", "late") in land.state("id", "w")
+    """A field that first occurs in the newest of many files belongs to the schema."""
+    land = Landing(spark, tmp_path, {"id": "string", "v": "double", "w": "string"})
+    for n in range(12):
+        land.put(f"a{n:02}.json", [{"id": str(n), "v": n}])
+    land.put("b.json", [{"id": "99", "v": 1, "w": "late", "and a longer file": "x" * 40}])
+    totals = land.ingest().run().first()
+    assert (totals["files"], totals["rejected"]) == (13, 0)
+    assert ("99", "late") in land.state("id", "w")
 
 
 def test_replay_after_archive(spark, tmp_path):
     """What is rejected is kept as text, so moving the files away does not matter."""
-    from pyspark.sql import types as T
-
-    from tributary.sources.landing import save_schema
-
-    for large_bytes in (128 * 1024 * 1024, 20):
-        name = f"l{large_bytes}"
-        land = Landing(spark, tmp_path / name, KV, name, max_files_per_trigger="1", archive_enabled="y",
-                       archive_directory=str(tmp_path / f"{name}-old"))
-        for n in range(3):
-            land.put(f"a{n}.json", [{"id": str(n), "v": n, "new": "}"}])
-        ingest = land.ingest(large_bytes=large_bytes)
-        save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
-        ingest.run()
-        for path in (tmp_path / name / "in").iterdir():
-            path.unlink()
-        ingest.replay_quarantine("id string, v string, new string")
-        assert rows(land) == [("0", 0.0, "N"), ("1", 1.0, "N"), ("2", 2.0, "N")]
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="1", archive_enabled="y", archive_directory=str(tmp_path / "old"))
+    for n in range(3):
+        land.put(f"a {n}.json", [{"id": str(n), "v": n, "new": "}"}])
+    ingest = land.ingest()
+    save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
+    ingest.run()
+    for path in (tmp_path / "in").iterdir():
+        path.unlink()
+    ingest.replay_quarantine("id string, v string, new string")
+    assert rows(land) == [("0", 0.0, "N"), ("1", 1.0, "N"), ("2", 2.0, "N")] and ingest.quarantined().isEmpty()
 
 
 def test_one_source_cannot_start(spark, tmp_path):
@@ -262,35 +419,6 @@ def test_one_source_cannot_start(spark, tmp_path):
     assert rows(good) == [("1", 1.0, "N")]
 
 
-def test_columns_of_pending_batches(spark, tmp_path):
-    """Two batches under different mappings, both pending at one publish."""
-    columns = {"id": "string", "v": "double", "w": "double"}
-    land = Landing(spark, tmp_path, columns, mappingsettings=mappings({"id": "string", "v": "double"}))
-    land.put("a.json", [{"id": "1", "v": 1, "w": 5}, {"id": "2", "v": 2, "w": 5}])
-    land.ingest().start().awaitTermination()
-    land.control_row[7] = mappings({"id": "string", "w": "double"})
-    land.put("b.json", [{"id": "1", "v": 8, "w": 9}, {"id": "3", "v": 8, "w": 22}])
-    ingest = land.ingest()
-    ingest.start().awaitTermination()
-    assert sorted((r["id"], r["v"], r["w"]) for r in ingest.current().collect()) == [("1", 1.0, 9.0), ("2", 2.0, None), ("3", None, 22.0)]
-    ingest.publish()
-    assert land.state("id", "v", "w") == [("1", 1.0, 9.0), ("2", 2.0, None), ("3", None, 22.0)]
-
-
-def test_replay_of_large_files(spark, tmp_path):
-    from pyspark.sql import types as T
-
-    from tributary.sources.landing import save_schema
-
-    land = Landing(spark, tmp_path, KV)
-    land.put("a b.json", [{"id": "1", "v": 1, "new": "x"}])
-    ingest = land.ingest(large_bytes=1)
-    save_schema(spark, T.StructType.fromDDL("id string, v string"), ingest.cfg.schema_location)
-    ingest.run()
-    ingest.replay_quarantine("id string, v string, new string")
-    assert rows(land) == [("1", 1.0, "N")] and ingest.quarantined().isEmpty()
-
-
 def test_archive(spark, tmp_path):
     land = Landing(spark, tmp_path, KV, max_files_per_trigger="1", archive_enabled="y", archive_directory=str(tmp_path / "old"))
     land.put("a.json", [{"id": "1", "v": 1}])

@@ -76,10 +76,15 @@ def error_log(
     )
 
 
+def loaded(log: DataFrame, table: str) -> DataFrame:
+    """Source ids of the files that are logged as loaded into ``table``."""
+    done = log.filter((F.col("tablename") == table) & (F.col("status") == SUCCESS))
+    return done.select(F.col("id").alias("sourceid")).distinct()
+
+
 def clean_staging(staged: DataFrame, log: DataFrame, table: str) -> DataFrame:
     """Staged rows whose file is not yet logged as loaded into ``table``."""
-    done = log.filter((F.col("tablename") == table) & (F.col("status") == SUCCESS))
-    return staged.join(done.select(F.col("id").alias("sourceid")).distinct(), "sourceid", "left_anti")
+    return staged.join(loaded(log, table), "sourceid", "left_anti")
 
 
 def batch_summary(records: DataFrame, key: str) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 
 from tributary.functions.scalars import mapping_source
 from tributary.operators.merge import latest_per_key
+from tributary.operators.spec import AUDIT_COLUMNS
+
 
-AUDIT_COLUMNS = ("sourceid", "loaddtm", "deleted_flag", "date_deleted")
 
 _SETTINGS = "struct<mappings:array<string>>"
 _MAPPING = "struct<source:struct<path:string>,sink:struct<name:string,type:string>>"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.rescue import quoted
+from tributary.operators.spec import CLEARED, MergeSpec
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -20,16 +23,18 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return rows.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def delete_keys(rows: DataFrame, id_source: str, sid: str = "_sid") -> DataFrame:
-    """Newest delete per key: key as text, NULL keys dropped, none if the field is absent."""
-    if id_source not in rows.columns:
-        rows = rows.withColumn(id_source, F.lit(None).cast("string")).limit(0)
-    return (
-        rows.select(F.col(quoted(id_source)).cast("string").alias("id"), F.col(sid).alias("sourceid"))
-        .dropna(subset=["id"])
-        .groupBy("id")
-        .agg(F.max("sourceid").alias("sourceid"))
-    )
+def delete_keys(rows: DataFrame, sources: str | Mapping[str, str], sid: str = "_sid") -> DataFrame:
+    """Newest delete per key: key as text, NULL keys dropped, none if a field of the key is absent.
+
+    ``sources`` names the source field of each key column, or that of the only one, ``id``.
+    """
+    by_column = {"id": sources} if isinstance(sources, str) else dict(sources)
+    absent = [s for s in by_column.values() if s not in rows.columns]
+    if absent:
+        rows = rows.withColumns({s: F.lit(None).cast("string") for s in absent}).limit(0)
+    keys = [F.col(quoted(s)).cast("string").alias(c) for c, s in by_column.items()]
+    found = rows.select(*keys, F.col(sid).alias("sourceid")).dropna(subset=list(by_column))
+    return found.groupBy(*map(quoted, by_column)).agg(F.max("sourceid").alias("sourceid"))
 
 
 def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
@@ -46,7 +51,7 @@ def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
         columns.append(F.when(hit, new).otherwise(old).alias(name))
     keyed, keyless = _by_key(state, key)
     joined = keyed.alias("s").join(
-        staged.withColumn("_staged", F.lit(True)).alias("g"), F.col(f"s.{key}") == F.col(f"g.{key}"), "full"
+        staged.withColumn("_staged", F.lit(True)).alias("g"), F.col(f"s.{quoted(key)}") == F.col(f"g.{quoted(key)}"), "full"
     )
     return joined.select(*columns).unionByName(keyless)
 
@@ -54,8 +59,8 @@ def upsert(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
 def clear_deletes(state: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
     """Take the deletion mark off rows whose key was staged again."""
     keyed, keyless = _by_key(state, key)
-    again = staged.select(F.col(key).alias("_key")).dropna().distinct().withColumn("_again", F.lit(True))
-    joined = keyed.join(again, F.col(key) == F.col("_key"), "left")
+    again = staged.select(F.col(quoted(key)).alias("_key")).dropna().distinct().withColumn("_again", F.lit(True))
+    joined = keyed.join(again, F.col(quoted(key)) == F.col("_key"), "left")
     cleared = F.col("_again").isNotNull() & (F.col("deleted_flag") == "Y")
     rows = joined.withColumns(
         {
@@ -70,13 +75,14 @@ def soft_delete(state: DataFrame, keys: DataFrame, at: Column, key: str = "id")
     """Mark rows older than their newest delete; unknown keys change nothing."""
     keyed, keyless = _by_key(state, key)
     marks = keys.select(F.col("id").alias("_key"), F.col("sourceid").alias("_deleted_by"))
-    joined = keyed.join(marks, F.col(key).cast("string") == F.col("_key"), "left")
+    joined = keyed.join(marks, F.col(quoted(key)).cast("string") == F.col("_key"), "left")
     return _mark(joined, at).select(*state.columns).unionByName(keyless)
 
 
-def _by_key(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def _by_key(rows: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
     """Rows with and without a key: the latter go around a join, not into one task of it."""
-    return rows.filter(F.col(key).isNotNull()), rows.filter(F.col(key).isNull())
+    held = reduce(and_, [F.col(quoted(k)).isNotNull() for k in key])
+    return rows.filter(held), rows.filter(~held)
 
 
 def _mark(rows: DataFrame, at: Column) -> DataFrame:
@@ -101,42 +107,68 @@ def newest_upserts(upserts: DataFrame) -> DataFrame:
     return kept.drop("_own")
 
 
-def newest_marks(deletes: DataFrame, key_type: T.DataType) -> DataFrame:
-    """Delete keys of many batches, the newest per key, with the key in the target's type.
+def newest_marks(
+    deletes: DataFrame, key_types: T.DataType | Sequence[T.DataType], spec: MergeSpec = MergeSpec()
+) -> DataFrame:
+    """Delete keys of many batches, the newest per key, with the key in the target's types.
 
     Keys compare as text: one that does not read back as the same text matches
     no row and is left out. ``loaddtm`` is the time of the delete's batch.
     """
-    return (
-        deletes.groupBy(F.col("id").alias("_text"))
-        .agg(F.max("sourceid").alias("_deleted_by"), F.max_by("loaddtm", "sourceid").alias("_deleted_at"))
-        .withColumn("_key", F.col("_text").try_cast(key_type))
-        .filter(F.col("_key").cast("string") == F.col("_text"))
-        .drop("_text")
+    types = [key_types] if isinstance(key_types, T.DataType) else list(key_types)
+    texts = [f"_text_{i}" for i in range(len(types))]
+    newest = deletes.groupBy(*[F.col(quoted(k)).alias(t) for k, t in zip(spec.key, texts)]).agg(
+        F.max("sourceid").alias("_deleted_by"), F.max_by("loaddtm", "sourceid").alias("_deleted_at")
     )
+    typed = newest.withColumns({mark: F.col(t).try_cast(kind) for mark, t, kind in zip(_marks(spec), texts, types)})
+    same = reduce(and_, [F.col(mark).cast("string") == F.col(t) for mark, t in zip(_marks(spec), texts)])
+    return typed.filter(same).drop(*texts)
+
+
+def _marks(spec: MergeSpec) -> list[str]:
+    return [f"_key_{i}" for i in range(len(spec.key))]
 
 
-def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Merge the newest staged rows and marks into the state: upsert, then guarded soft delete.
+def apply_changes(state: DataFrame, upserts: DataFrame, marks: DataFrame, spec: MergeSpec = MergeSpec()) -> DataFrame:
+    """Merge the newest staged rows and marks into the state: upsert, cleared marks, guarded soft delete.
 
-    Row order and delete order are both source-id order, so folding many batches
-    and merging once gives the same state as merging them one by one. The marks
-    join each side first: a left join keeps its side's partitioning, so a state
-    that is partitioned by key is not shuffled.
+    What happens to a column follows from the spec: a matched row takes the staged values of ``update_cols`` and of the
+    audit columns, unless the state's ``order_col`` is greater; a new row takes all staged columns; a column that the
+    staged rows lack keeps its value. A staged key is no longer deleted, whatever its order. The marks join each side
+    first: a left join keeps its side's partitioning, so each side is shuffled by key once at most.
     """
 
     def marked(rows: DataFrame) -> DataFrame:
-        return rows.join(marks, F.col("id") == F.col("_key"), "left").drop("_key")
-
-    with_key, keyless = _by_key(state, "id")
-    newest = marked(upserts.withColumn("_staged", F.lit(True)))
-    joined = marked(with_key).alias("s").join(newest.alias("g"), F.col("s.id") == F.col("g.id"), "full")
-    staged = F.col("g._staged").isNotNull()
+        same = reduce(and_, [F.col(quoted(k)) == F.col(m) for k, m in zip(spec.key, _marks(spec))])
+        return rows.join(marks, same, "left").drop(*_marks(spec))
+
+    with_key, keyless = _by_key(state, *spec.key)
+    new, new_keyless = _by_key(upserts, *spec.key)
+    held = marked(with_key.withColumn("_held", F.lit(True)))
+    same = reduce(and_, [F.col(f"s.{quoted(k)}") == F.col(f"g.{quoted(k)}") for k in spec.key])
+    joined = held.alias("s").join(marked(new.withColumn("_staged", F.lit(True))).alias("g"), same, "full")
+    staged, inserted = F.col("g._staged").isNotNull(), F.col("s._held").isNull()
+    newer = staged
+    if spec.order_col in state.columns and spec.order_col in upserts.columns:
+        order = quoted(spec.order_col)
+        newer = staged & F.coalesce(F.col(f"s.{order}") <= F.col(f"g.{order}"), F.col(f"s.{order}").isNull())
     columns = []
     for name in state.columns:
-        old = F.col(f"s.{quoted(name)}")
-        new = F.col(f"g.{quoted(name)}") if name in upserts.columns else old
-        columns.append(F.when(staged, new).otherwise(old).alias(name))
+        old, out = F.col(f"s.{quoted(name)}"), F.col(f"s.{quoted(name)}")
+        if name in upserts.columns:
+            takes = newer if spec.updates(name) else inserted
+            if name in spec.key or name in CLEARED:
+                takes = staged
+            out = F.when(takes | (inserted & staged), F.col(f"g.{quoted(name)}")).otherwise(old)
+        columns.append(out.alias(name))
     either = [F.coalesce(f"g.{c}", f"s.{c}").alias(c) for c in ("_deleted_by", "_deleted_at")]
-    merged = _mark(joined.select(*columns, *either), F.col("_deleted_at")).select(*state.columns)
-    return merged.unionByName(keyless)
+    merged = _mark(joined.select(*columns, *either), F.col("_deleted_at"))
+    kept = merged.select(*state.columns, F.col("_dead"))
+    absent = {c: F.lit(None).cast(state.schema[c].dataType) for c in state.columns if c not in upserts.columns}
+    added = new_keyless.withColumns(absent).select(*state.columns) if absent else new_keyless.select(*state.columns)
+    return kept.unionByName(keyless.withColumn("_dead", F.lit(False))).unionByName(added.withColumn("_dead", F.lit(False)))
+
+
+def newly_deleted() -> Column:
+    """How many rows of ``apply_changes`` were marked by it."""
+    return F.count_if("_dead")

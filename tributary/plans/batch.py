@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +11,7 @@ from tributary.operators import files as ops
 from tributary.operators.files import POS, SID
 from tributary.operators.mapping import MappedColumn, add_audit, map_columns
 from tributary.operators.merge import delete_keys, latest_per_key
+from tributary.operators.spec import MergeSpec
 
 
 class Changes(NamedTuple):
@@ -24,24 +25,25 @@ def tagged(records: DataFrame, files: DataFrame, file_count: int | None = None)
     return ops.tag_rows(present, files, file_count).filter(F.col(SID).isNotNull())
 
 
-def plan_staged(rows: DataFrame, mapping: Sequence[MappedColumn], at: Column) -> DataFrame:
+def plan_staged(rows: DataFrame, mapping: Sequence[MappedColumn], at: Column, spec: MergeSpec = MergeSpec()) -> DataFrame:
     """Newest regular row per key, in the target's columns."""
     regular, _ = ops.route(rows)
     mapped = add_audit(map_columns(regular, mapping, SID, POS), at)
-    return latest_per_key(mapped, ["id"], [F.col("sourceid").desc(), F.col(POS).desc()]).drop(POS)
+    return latest_per_key(mapped, spec.key, spec.newest_first(POS)).drop(POS)
 
 
-def plan_deletes(rows: DataFrame, id_source: str) -> DataFrame:
+def plan_deletes(rows: DataFrame, sources: str | Mapping[str, str]) -> DataFrame:
     """Newest delete per key."""
     _, deletes = ops.route(rows)
-    return delete_keys(deletes, id_source)
+    return delete_keys(deletes, sources)
 
 
 def plan_changes(
-    records: DataFrame, files: DataFrame, mapping: Sequence[MappedColumn], id_source: str, at: Column
+    records: DataFrame, files: DataFrame, mapping: Sequence[MappedColumn], sources: str | Mapping[str, str], at: Column,
+    spec: MergeSpec = MergeSpec(),
 ) -> Changes:
     rows = tagged(records, files)
-    return Changes(plan_staged(rows, mapping, at), plan_deletes(rows, id_source))
+    return Changes(plan_staged(rows, mapping, at, spec), plan_deletes(rows, sources))
 
 
 def merge_once(staged: DataFrame, deletes: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """JSON landing folders: file discovery, schema, records.
 
-Each file is one JSON array. Discovery streams the files' names and sizes only;
-a batch then reads exactly its files, one task per file, or several for a large one.
+A file is one JSON array, read by one task, or, in a source declared as lines, one record a line, which Spark's text
+reader splits however large the file is. Discovery streams the files' names and sizes only; a batch then reads exactly its files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import re
+from collections.abc import Collection, Sequence
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -17,16 +17,15 @@ from pyspark.sql import types as T
 from tributary.functions import rescue
 from tributary.operators.files import NAME, PATH, POS, RESCUED, SID, with_filename
 from tributary.session import exists, literal_path
-from tributary.sources.split import PROBLEM, TEXT, read_segments, split_records
 
 GLOB = "*.json"
 RESERVED = (PATH, NAME, POS, RESCUED, SID)
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-# A larger file is cut into records by several tasks instead of parsed by one.
-LARGE_FILE_BYTES = 128 * 1024 * 1024
+SPLIT, NTH = "_split", "_nth"
 
 _MALFORMED = '{"_file":"not an array of objects"}'
+_BAD_LINE = '{"_line":"not an object"}'
 
 
 class LandedFile(NamedTuple):
@@ -76,33 +75,26 @@ def decoded(uri: str) -> str:
     return unquote(uri)
 
 
-def read_records(
-    spark: SparkSession,
-    files: Sequence[LandedFile],
-    schema: T.StructType,
-    key: str | None = None,
-    large_bytes: int = LARGE_FILE_BYTES,
-) -> DataFrame:
-    """Records of the files: path, name, position, off-schema data, then the schema's columns.
+def read_texts(spark: SparkSession, files: Sequence[LandedFile], lines: bool = False) -> DataFrame:
+    """(path, value) with a file's whole text, or (path, split, nth, value) with a line, in the order of split and nth."""
+    paths, path = [literal_path(f.path) for f in files], F.col("_metadata.file_path").alias(PATH)
+    if not lines:
+        return spark.read.text(paths, wholetext=True).select(path, "value")
+    return spark.read.text(paths).select(
+        path, F.col("_metadata.file_block_start").alias(SPLIT), F.monotonically_increasing_id().alias(NTH), "value"
+    )
+
+
+def parse(texts: DataFrame, schema: T.StructType, keys: Collection[str] = ()) -> DataFrame:
+    """Records of ``read_texts``: path, name, position, off-schema data, then the schema's columns.
 
-    The ``key`` field is checked against its type but kept as its text: deletes
+    The ``keys`` fields are checked against their types but kept as their text: deletes
     compare keys as text.
     """
-    small = [literal_path(f.path) for f in files if f.length <= large_bytes]
-    large = [f.path for f in files if f.length > large_bytes]
-    parts = []
-    if small:
-        texts = spark.read.text(small, wholetext=True).select(F.col("_metadata.file_path").alias(PATH), "value")
-        parts.append(parse_texts(texts, schema, key))
-    if large:
-        parts.append(parse_segments(read_segments(spark, [literal_path(p) for p in large]), schema, key))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows
-
-
-def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
+    return parse_lines(texts, schema, keys) if SPLIT in texts.columns else parse_texts(texts, schema, keys)
+
+
+def parse_texts(texts: DataFrame, schema: T.StructType, keys: Collection[str] = ()) -> DataFrame:
     """Records of whole-file texts ``(_input_file_path, value)``.
 
     A file without records keeps one row with no position, so it is still seen.
@@ -111,66 +103,81 @@ def parse_texts(texts: DataFrame, schema: T.StructType, key: str | None = None)
     parsed = parsed.select(PATH, rescue.records(F.col("_pair")).alias("_records"))
     # The flag is set below the explode, so that no exploded row carries the whole array.
     parsed = parsed.withColumn("_malformed", F.col("_records").isNull())
-    rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias(POS, "_record"))
-    return _fields(with_filename(rows), F.col("_malformed"), schema, key)
+    rows = parsed.select(PATH, "_malformed", F.posexplode_outer("_records").alias("_at", "_record"))
+    rows = rows.withColumn(POS, F.col("_at").cast("long"))
+    return _fields(with_filename(rows), F.when(F.col("_malformed"), F.lit(_MALFORMED)), schema, keys)
+
+
+def parse_lines(texts: DataFrame, schema: T.StructType, keys: Collection[str] = ()) -> DataFrame:
+    """Records of lines ``(_input_file_path, _split, _nth, value)``. The position is the pair of split and line; a
+    blank line has none. A line must be one object."""
+    body = F.trim(F.col("value"), F.lit(rescue.BLANKS))
+    several = F.from_json(F.concat(F.lit("["), body, F.lit("]")), rescue.RECORDS)
+    rows = texts.select(PATH, F.when(body != "", F.struct(SPLIT, NTH)).alias(POS), several.alias("_several"))
+    single = F.size("_several") == 1
+    rows = rows.select(PATH, POS, F.when(single, F.col("_several")[0]).alias("_record"), F.coalesce(single, F.lit(False)).alias("_single"))
+    bad = F.when(F.col(POS).isNotNull() & ~F.col("_single"), F.lit(_BAD_LINE))
+    return _fields(with_filename(rows), bad, schema, keys)
 
 
-def _fields(rows: DataFrame, malformed: Column, schema: T.StructType, key: str | None) -> DataFrame:
-    """Path, name, position, off-schema data and the schema's columns, from rows with a ``_record``.
+def _fields(rows: DataFrame, unread: Column, schema: T.StructType, keys: Collection[str]) -> DataFrame:
+    """Path, name, position, off-schema data and the schema's columns, from rows with a ``_record``;
+    ``unread`` tells what was wrong where there is none.
 
     Each step stands in a projection of its own, so that a field is looked up once and typed once.
     """
     record, known = F.col("_record"), F.col("_known")
     raw = {f.name: F.col(f"_raw_{i}") for i, f in enumerate(schema)}
     read = {f.name: F.col(f"_read_{i}") for i, f in enumerate(schema)}
-    rows = rows.select(PATH, NAME, F.col(POS).cast("long").alias(POS), malformed.alias("_unread"), record)
+    rows = rows.select(PATH, NAME, POS, unread.alias("_unread"), record)
     rows = rows.withColumn("_known", rescue.only_known(record, schema)).withColumn("_record", rescue.last_values(record, known))
     rows = rows.select("*", *[record.getItem(f.name).alias(f"_raw_{i}") for i, f in enumerate(schema)])
     rows = rows.select("*", *[rescue.typed(raw[f.name], f.dataType).alias(f"_read_{i}") for i, f in enumerate(schema)])
-    off_schema = F.when(F.col("_unread"), F.lit(_MALFORMED)).when(
+    off_schema = F.when(F.col("_unread").isNotNull(), F.col("_unread")).when(
         F.col(POS).isNotNull(), rescue.rescued(record, schema, known, raw, read)
     )
-    values = [(raw if f.name == key else read)[f.name].alias(f.name) for f in schema]
+    values = [(raw if f.name in keys else read)[f.name].alias(f.name) for f in schema]
     return rows.select(PATH, NAME, POS, off_schema.alias(RESCUED), *values)
 
 
-def parse_segments(segments: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
-    """The same rows out of the segments of files too large for one task."""
-    cut = split_records(segments)
-    rows = with_filename(cut.withColumn("_record", F.from_json(TEXT, "map<string,string>")))
-    unread = F.col(PROBLEM).isNotNull() | (F.col(POS).isNotNull() & F.col("_record").isNull())
-    return _fields(rows, unread, schema, key)
+def typed_schema(texts: DataFrame) -> T.StructType:
+    """The fields of all records of ``read_texts`` with their types, nested ones too, from one aggregation.
 
-
-def infer_schema(spark: SparkSession, source_path: str, large_bytes: int = LARGE_FILE_BYTES) -> T.StructType:
-    """Fields of all files in the folder, scalars as text: one aggregation over the records' field names.
-
-    A field whose values are all arrays is one. Only names and that flag reach the driver.
+    Types are merged over all records: numbers to the wider one, what has nothing in common to a variant. Records that are
+    no objects, or name a field twice, take no part. Only the merged type reaches the driver.
     """
-    def found(reader):
-        return reader.option("pathGlobFilter", GLOB).option("recursiveFileLookup", "true")
-
-    listing = found(spark.read.format("binaryFile")).load(source_path).select("path", "length")
-    large = [literal_path(r["path"]) for r in listing.filter(F.col("length") > large_bytes).collect()]
-    if large:
-        small = [literal_path(r["path"]) for r in listing.filter(F.col("length") <= large_bytes).collect()]
-        texts = spark.read.text(small, wholetext=True) if small else None
+    body = F.trim(F.col("value"), F.lit(rescue.BLANKS))
+    if SPLIT in texts.columns:
+        records = texts.select(F.try_parse_json(body).alias("v"))
     else:
-        texts = found(spark.read).text(source_path, wholetext=True)
-    records = []
-    if texts is not None:
-        pairs = texts.select(rescue.parsed(F.col("value")).alias("pair"))
-        records.append(pairs.select(F.explode(rescue.records(F.col("pair"))).alias("record")))
-    if large:
-        records.append(split_records(read_segments(spark, large)).select(F.from_json(TEXT, "map<string,string>").alias("record")))
-    values = reduce(DataFrame.union, records).select(F.explode("record").alias("name", "raw"))
-    is_array = F.col("raw").startswith("[") & F.from_json("raw", "array<string>").isNotNull()
-    fields = values.groupBy("name").agg(
-        F.coalesce(F.bool_and(F.when(F.col("raw").isNotNull(), is_array)), F.lit(False)).alias("array")
-    )
+        whole = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+        records = texts.select(F.explode(F.from_json(whole, "array<variant>")).alias("v"))
+    objects = records.filter(F.schema_of_variant("v").startswith("OBJECT"))
+    found = objects.agg(F.schema_of_variant_agg("v").alias("type")).first()["type"]
+    return _struct(found or "VOID")
+
+
+_NAME = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
+
+
+def _struct(text: str) -> T.StructType:
+    """The type that a variant's schema text names."""
+    if not text.startswith("OBJECT"):
+        return T.StructType()
+    return T.DataType.fromDDL(_NAME.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], text))
+
+
+def infer_schema(spark: SparkSession, source_path: str, lines: bool = False) -> T.StructType:
+    """Fields of all files in the folder as they are read: arrays of texts, and all else as text."""
+    reader = spark.read.option("pathGlobFilter", GLOB).option("recursiveFileLookup", "true")
+    texts = reader.text(source_path, wholetext=not lines)
+    if lines:
+        texts = texts.withColumn(SPLIT, F.lit(0))
+    array = T.ArrayType(T.StringType())
+    fields = typed_schema(texts).fields
     return T.StructType([
-        T.StructField(r["name"], T.ArrayType(T.StringType()) if r["array"] else T.StringType())
-        for r in sorted(fields.collect())
+        T.StructField(f.name, array if isinstance(f.dataType, T.ArrayType) else T.StringType())
+        for f in sorted(fields, key=lambda f: f.name)
     ])
 
 
@@ -189,12 +196,12 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 
 def source_schema(
-    spark: SparkSession, source_path: str, location: str, large_bytes: int = LARGE_FILE_BYTES
+    spark: SparkSession, source_path: str, location: str, lines: bool = False
 ) -> T.StructType:
     """The persisted schema; inferred and persisted on the first run."""
     known = load_schema(spark, location)
     if known is None:
-        known = infer_schema(spark, source_path, large_bytes)
+        known = infer_schema(spark, source_path, lines)
         if known.fields:
             save_schema(spark, known, location)
     return known

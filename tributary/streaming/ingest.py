@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
+from math import ceil
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tributary.functions.rescue import quoted
 from tributary.functions.scalars import MANUAL_RUN, is_delete_name
 from tributary.operators import audit, config as cfg_ops
 from tributary.operators.files import NAME, PATH, SID, number_files
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
+from tributary.operators.spec import MergeSpec, SpecError, load_spec
 from tributary.plans.batch import plan_deletes, plan_staged, tagged
-from tributary.plans.store import Store, now
-from tributary.session import exists, literal_path, sql_text
+from tributary.plans.datasets import Datasets, Staging, now
+from tributary.plans.target import PART, PARTS, Target
+from tributary.session import exists
 from tributary.sources import landing
-from tributary.sources.split import read_segments
 
 log = logging.getLogger(__name__)
 
-REPLAY = "replay"
+#: Rejected files that are kept together, and so come back together.
+HELD_TOGETHER = 20
 
 
 class ConfigError(ValueError):
@@ -46,13 +51,20 @@ class IngestConfig:
     archive_directory: str | None = None
     state_location: str | None = None
     run_id: str = MANUAL_RUN
-    large_bytes: int = landing.LARGE_FILE_BYTES
-    buckets: int | None = None
+    lines: bool = False
+    parts: int = PARTS
+    spec: MergeSpec = MergeSpec()
 
     @property
     def table(self) -> str:
         return self.target.split(".")[-1]
 
+    @property
+    def key_sources(self) -> dict[str, str]:
+        """The source field of each key column."""
+        source = {m.sink: m.source for m in self.mapping}
+        return {k: source[k] for k in self.spec.key}
+
     @property
     def staging_table(self) -> str:
         return f"{self.target}_stg"
@@ -72,8 +84,8 @@ def _value(row: Row, name: str, default=None):
     return default if value is None else value
 
 
-def _whole(value) -> int | None:
-    return None if value is None else int(value)
+def _switch(value) -> bool:
+    return str(value or "").strip().upper() == "Y"
 
 
 def _object(text) -> dict:
@@ -85,9 +97,13 @@ def _object(text) -> dict:
 
 
 def load_config(
-    spark: SparkSession, ecname: str, control: DataFrame, loader: DataFrame, run_id: str = MANUAL_RUN
+    spark: SparkSession, ecname: str, control: DataFrame, loader: DataFrame, run_id: str = MANUAL_RUN,
+    merges: DataFrame | None = None,
 ) -> IngestConfig:
-    """Settings of one source out of the control tables, checked."""
+    """Settings of one source out of the control tables, checked.
+
+    ``merges`` holds stored merge specs (query_name, query_type, query_text); without it rows merge by ``id``.
+    """
     ecname = (ecname or "").strip()
     if not ecname:
         raise ConfigError("a source name (ecname) is needed")
@@ -119,11 +135,16 @@ def load_config(
         raise ConfigError(f"source '{ecname}' maps no field")
     if len(set(sinks)) != len(sinks):
         raise ConfigError(f"source '{ecname}' maps several fields to one column")
-    if "id" not in sinks:
-        raise ConfigError(f"source '{ecname}' maps no field to its key")
+    try:
+        spec = MergeSpec() if merges is None else load_spec(merges, ecname)
+        if spec.key == MergeSpec().key and "id" not in sinks:
+            raise ConfigError(f"source '{ecname}' maps no field to its key")
+        spec.checked(set(sinks))
+    except SpecError as error:
+        raise ConfigError(str(error)) from error
     mapping = tuple(MappedColumn(m["source"], m["sink"], cfg_ops.declared_type(m["type"])) for m in ordered)
 
-    archive = str(_value(settings, "archive_enabled", "N")).upper() == "Y"
+    archive = _switch(_value(settings, "archive_enabled"))
     max_bytes = _value(settings, "max_bytes_per_trigger")
     cfg = IngestConfig(
         ecname=ecname,
@@ -132,15 +153,16 @@ def load_config(
         checkpoint_location=settings["checkpoint_location"],
         target=target,
         mapping=mapping,
-        id_source=next(m.source for m in mapping if m.sink == "id"),
+        id_source=next(m.source for m in mapping if m.sink == spec.key[0]),
         etl_id=int(entry["id"]) if entry["id"] is not None else None,
         max_files=str(_value(settings, "max_files_per_trigger", "1000")),
         max_bytes=None if max_bytes is None else str(max_bytes),
         archive_directory=_value(settings, "archive_directory") if archive else None,
         state_location=_value(settings, "state_location"),
         run_id=run_id,
-        large_bytes=int(_value(settings, "large_file_bytes", landing.LARGE_FILE_BYTES)),
-        buckets=_whole(_value(settings, "target_buckets")),
+        lines=_switch(_value(settings, "json_lines")),
+        parts=int(_value(settings, "target_partitions", PARTS)),
+        spec=spec,
     )
     if archive and not cfg.archive_directory:
         raise ConfigError(f"archive_directory is missing for ecname = '{ecname}'")
@@ -158,22 +180,45 @@ def check_target(spark: SparkSession, cfg: IngestConfig, mappings: DataFrame) ->
         raise ConfigError(text)
 
 
+def _query_id(batch: DataFrame) -> str:
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 class Ingest:
-    """One source: its store, and the batches that feed it."""
+    """One source: its target, what it keeps beside it, and the batches that feed them.
+
+    A batch is prepared (files numbered, rows staged, the touched partitions merged into a folder), decided by its record,
+    and settled (target, logs, staging, quarantine). A replay before the record prepares anew, with the same ids; after
+    it only settles again, which changes nothing where it was done.
+    """
 
     def __init__(self, spark: SparkSession, cfg: IngestConfig):
         self.spark = spark
         self.cfg = cfg
-        self.last: Row | None = None
         self._schema: T.StructType | None = None
 
     @cached_property
-    def store(self) -> Store:
-        return Store(self.spark, self.cfg.root, self.spark.table(self.cfg.target), self.cfg.buckets)
+    def data(self) -> Datasets:
+        return Datasets(self.spark, self.cfg.root)
+
+    @cached_property
+    def target(self) -> Target:
+        return Target(self.spark, self.cfg.target, self.cfg.spec, self.cfg.parts)
 
     @cached_property
     def mapping(self) -> tuple[MappedColumn, ...]:
-        return sink_types(self.cfg.mapping, self.store.target.schema)
+        return sink_types(self.cfg.mapping, self.target.schema)
+
+    @cached_property
+    def staged(self) -> Staging:
+        columns = T.StructType([f for f in self.target.schema if f.name != PART])
+        return Staging(self.data, self.cfg.staging_table, "staging", columns)
+
+    @cached_property
+    def staged_deletes(self) -> Staging:
+        keys = [T.StructField(k, T.StringType()) for k in self.cfg.spec.key]
+        columns = [*keys, T.StructField("sourceid", T.LongType()), T.StructField("loaddtm", T.TimestampType())]
+        return Staging(self.data, self.cfg.delete_staging_table, "delete_staging", T.StructType(columns))
 
     # stream
 
@@ -183,67 +228,68 @@ class Ingest:
         files = landing.stream_files(
             self.spark, self.cfg.source_path, self.cfg.max_files, self.cfg.max_bytes, self.cfg.archive_directory
         )
+        return self._drain(files, self.cfg.checkpoint_location, self.process_batch)
+
+    def _drain(self, stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int], None]) -> StreamingQuery:
         return (
-            files.writeStream.foreachBatch(self.process_batch)
-            .option("checkpointLocation", self.cfg.checkpoint_location)
+            stream.writeStream.foreachBatch(process)
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
         )
 
     def run(self) -> DataFrame:
-        """Drain the backlog, publish the target, return the totals of the run's batches."""
-        before = self.store.last_commit()
-        try:
-            self.start().awaitTermination()
-        except Exception:
-            try:
-                self.publish()
-            except Exception as failure:  # the run's own error is the one to tell
-                self.log_error(audit.STEP_BATCH, str(failure), self.cfg.run_id)
-            raise
-        self.publish()
+        """Drain the backlog, return the totals of the run's batches."""
+        before = self.data.last()
+        self.start().awaitTermination()
         return self.summary(after=before["seq"] if before else 0)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if self.store.is_committed(query_id, batch_id):
-            return
         files = landing.landed_files(batch)
         if files:
-            self.run_batch(lambda schema: landing.read_records(self.spark, files, schema, self.cfg.id_source, self.cfg.large_bytes), query_id, batch_id)
+            self.run_batch(lambda: landing.read_texts(self.spark, files, self.cfg.lines), _query_id(batch), batch_id)
 
     # batches
 
     def prepare(self) -> None:
-        """Find the last commit."""
-        self.last = self.store.last_commit()
+        """Check once that the target's rows stand where their keys are looked for."""
+        if self.data.last() is None and (wrong := self.target.misplaced()):
+            raise ConfigError(f"{wrong} rows of {self.cfg.target} are in another partition than {PART} of their key")
 
     def schema(self) -> T.StructType:
         """Types in which records are read; empty until the folder holds a readable file."""
         if self._schema is None or not self._schema.fields:
-            source = landing.source_schema(
-                self.spark, self.cfg.source_path, self.cfg.schema_location, self.cfg.large_bytes
-            )
+            source = landing.source_schema(self.spark, self.cfg.source_path, self.cfg.schema_location, self.cfg.lines)
             self._schema = record_schema(source, self.mapping)
         return self._schema
 
-    def run_batch(self, read: Callable[[T.StructType], DataFrame], query_id: str, batch_id: int) -> None:
-        """Write one batch's change sets and logs, then commit it."""
+    def run_batch(self, read: Callable[[], DataFrame], query_id: str, batch_id: int, replay: bool = False) -> None:
+        """One batch of texts."""
+        def parsed() -> DataFrame:
+            return landing.parse(read(), self.schema(), self.cfg.key_sources.values())
+
+        self.run_records(parsed, query_id, batch_id, replay)
+
+    def run_records(self, read: Callable[[], DataFrame], query_id: str, batch_id: int, replay: bool = False) -> None:
+        """One batch of records."""
         label = f"{self.cfg.run_id}_{batch_id}"
         try:
-            self._run_batch(read(self.schema()), query_id, batch_id, label)
+            batch = self.data.decided(query_id, batch_id) or self._prepared(read(), query_id, batch_id, label, replay)
+            self._settle(batch)
         except Exception as error:
             self.log_error(audit.STEP_BATCH, str(error), label)
             raise
 
-    def _run_batch(self, records: DataFrame, query_id: str, batch_id: int, label: str) -> None:
-        cfg, store = self.cfg, self.store
-        at, etl_id = F.lit(now()), F.lit(cfg.etl_id).cast("long")
-        last_id = self.last["end_id"] if self.last else 0
+    def _prepared(self, records: DataFrame, query_id: str, batch_id: int, label: str, replay: bool) -> Row:
+        """Stage and merge one batch, and write its record."""
+        cfg, data, at = self.cfg, self.data, now()
+        last = data.last()
+        last_id = last["end_id"] if last else 0
 
         # The parsed rows are written once; every later step reads the columns it needs.
-        parsed = store.write(records, "records", query_id, 0)
-        files = store.write(number_files(parsed, last_id).coalesce(1), "files", query_id, batch_id)
+        parsed = data.write(records, "records", query_id, 0)
+        files = number_files(parsed, last_id).withColumn("replay", F.lit(replay))
+        files = data.write(files.coalesce(1), "files", query_id, batch_id)
         is_delete = is_delete_name(F.col(NAME))
         counts = files.agg(
             F.count(SID).alias("files"),
@@ -254,116 +300,121 @@ class Ingest:
         ).first()
         files_seen = counts["files"] + counts["rejected"]
 
-        merged = deleted = 0
-        sinks: list[str] = []
+        merged = deleted = newly_deleted = 0
+        staged = deletes = None
+        self.staged.drop(query_id, batch_id)
+        self.staged_deletes.drop(query_id, batch_id)
         if counts["regular"]:
-            if cfg.id_source not in parsed.columns:
+            if not set(cfg.key_sources.values()) <= set(parsed.columns):
                 raise MappingError("no source field holds the key")
-            staged = plan_staged(tagged(parsed, files, files_seen), self.mapping, at)
-            sinks = staged.columns
-            merged = store.write_counted(staged, "upserts", query_id, batch_id)
+            rows = plan_staged(tagged(parsed, files, files_seen), self.mapping, F.lit(at), cfg.spec)
+            merged = self.staged.stage(rows, query_id, batch_id)
+            # a column that the batch has no field for is NULL there, but no value of its rows
+            staged = self.staged.of_batch(query_id, batch_id).select(*map(quoted, rows.columns))
         if counts["deletes"]:
-            deletes = plan_deletes(tagged(parsed, files, files_seen), cfg.id_source)
-            deleted = store.write_counted(deletes.withColumn("loaddtm", at), "deletes", query_id, batch_id)
-
-        stamp = (etl_id, F.lit(label), at)
-        if counts["files"]:
-            accepted = files.filter(F.col(SID).isNotNull())
-            total = F.lit(merged).cast("long")
-            rows = audit.file_log(accepted, cfg.table, total, *stamp, F.lit(batch_id).cast("long"))
-            store.write(rows, "file_process_logs", query_id, batch_id)
-        if counts["rejected"]:
+            rows = plan_deletes(tagged(parsed, files, files_seen), cfg.key_sources)
+            deleted = self.staged_deletes.stage(rows.withColumn("loaddtm", F.lit(at)), query_id, batch_id)
+            deletes = self.staged_deletes.of_batch(query_id, batch_id)
+        if merged or deleted:
+            newly_deleted = self.target.merge(staged, deletes, data.folder("merged", query_id, batch_id))
+
+        return data.decide(
+            seq=last["seq"] + 1 if last else 1, query_id=query_id, batch_id=batch_id, start_id=last_id + 1,
+            end_id=counts["end_id"], files=counts["files"], rejected=counts["rejected"], merged=merged, deleted=deleted,
+            deleted_rows=newly_deleted, label=label, at=at,
+        )
+
+    def _settle(self, batch: Row) -> None:
+        """Bring a decided batch into the target, then into the logs, and clean up after it."""
+        cfg, data, key = self.cfg, self.data, (batch["query_id"], batch["batch_id"])
+        self.target.apply(data.folder("merged", *key))
+        files = data.load("files", *key)
+        stamp = (F.lit(cfg.etl_id).cast("long"), F.lit(batch["label"]), F.lit(batch["at"]))
+        if batch["files"]:
+            accepted, total = files.filter(F.col(SID).isNotNull()), F.lit(batch["merged"]).cast("long")
+            rows = audit.file_log(accepted, cfg.table, total, *stamp, F.lit(batch["batch_id"]).cast("long"))
+            data.write(rows, "file_process_logs", *key)
+        if batch["rejected"]:
             drifted = files.filter("drifted")
-            rows = audit.schema_error_log(drifted, cfg.table, *stamp)
-            store.write(rows, "file_schema_validation_errors", query_id, batch_id)
+            data.write(audit.schema_error_log(drifted, cfg.table, *stamp), "file_schema_validation_errors", *key)
             rows = audit.error_log(drifted, cfg.table, audit.STEP_SCHEMA_DRIFT, F.lit(audit.DRIFT_MESSAGE), *stamp)
-            store.write(rows, "etl_error_log", query_id, batch_id)
-            self._quarantine(drifted, query_id, batch_id)
-
-        values = dict(
-            seq=self.last["seq"] + 1 if self.last else 1,
-            query_id=query_id,
-            batch_id=batch_id,
-            start_id=last_id + 1,
-            end_id=counts["end_id"],
-            files=counts["files"],
-            rejected=counts["rejected"],
-            merged=merged,
-            deleted=deleted,
-            label=label,
-            committed=now(),
-            sinks=sinks,
-        )
-        store.commit(**values)
-        self.last = Row(**values)
+            data.write(rows, "etl_error_log", *key)
+            self._quarantine(drifted.filter("NOT replay"), *key)
+        self._clean()
+        self.target.settled(data.folder("merged", *key))
+
+    def _clean(self) -> None:
+        """Take the rows of logged files out of staging. Best effort: what is left over goes with a later batch."""
+        done = self.file_log()
+        if done is None:
+            return
+        logged = audit.loaded(done, self.cfg.table)
+        for staging in (self.staged, self.staged_deletes):
+            try:
+                staging.clean(logged)
+            except Exception as failure:
+                log.warning("staging clean-up failed: %s", failure)
 
     # quarantine
 
     def _quarantine(self, drifted: DataFrame, query_id: str, batch_id: int) -> None:
-        """Keep the rejected files' texts, those of large files in segments."""
-        if query_id != REPLAY:
-            names = [r[PATH] for r in drifted.select(PATH).collect()]
-            self.store.write(self._texts(names), "quarantine", query_id, batch_id)
-
-    def _texts(self, uris: Sequence[str]) -> DataFrame:
-        """(path, split, nth, value): whole texts without a place, or the segments of a file too large for one value."""
-        paths = [literal_path(landing.decoded(u)) for u in uris]
-        listing = self.spark.read.format("binaryFile").load(paths).select("path", "length").distinct()
-        files = landing.landed_files(listing)
-        small = [literal_path(f.path) for f in files if f.length <= self.cfg.large_bytes]
-        large = [literal_path(f.path) for f in files if f.length > self.cfg.large_bytes]
-        rows = self.spark.createDataFrame([], f"{PATH} string, split long, nth long, value string")
-        if small:
-            texts = self.spark.read.text(small, wholetext=True)
-            rows = rows.unionByName(texts.select(F.col("_metadata.file_path").alias(PATH), "value"), allowMissingColumns=True)
-        if large:
-            rows = rows.unionByName(read_segments(self.spark, large))
-        return rows
+        """Keep the texts of the rejected files, some files in a part; none of a file that a replay rejects again."""
+        names = [landing.LandedFile(landing.decoded(r[PATH]), 0) for r in drifted.select(PATH).collect()]
+        if names:
+            texts = landing.read_texts(self.spark, names, self.cfg.lines)
+            self.data.write(texts.repartition(ceil(len(names) / HELD_TOGETHER), PATH), "quarantine", query_id, batch_id)
+
+    def _accepted(self) -> DataFrame | None:
+        """Files that a replay has accepted."""
+        files = self.data.read("files")
+        return None if files is None else files.filter(F.col("replay") & F.col(SID).isNotNull()).select(PATH).distinct()
 
     def quarantined(self) -> DataFrame | None:
         """Rejected files that no replay has accepted yet."""
-        held = self.store.read("quarantine")
+        held = self.data.read("quarantine")
+        return None if held is None else held.drop("query_id", "batch_id").join(self._accepted(), PATH, "left_anti")
+
+    def start_replay(self) -> StreamingQuery | None:
+        """Feed the quarantined files again, in the background: a stream of its own over the quarantine, in batches under
+        the source's caps. Its progress is kept for each source schema: under an unchanged one only files that were
+        rejected since are read, as all others would be rejected again."""
+        held = self.data.read("quarantine")
         if held is None:
             return None
-        accepted = self.store.read("files").filter((F.col("query_id") == REPLAY) & F.col(SID).isNotNull())
-        return held.select(PATH, "split", "nth", "value").join(accepted.select(PATH), PATH, "left_anti")
-
-    def replay_quarantine(self, schema: T.StructType | str | None = None) -> None:
-        """Feed the quarantined files again, with new ids, under a new source schema if given."""
+        self.prepare()
+        cfg, kind = self.cfg, hashlib.md5(self.schema().json().encode()).hexdigest()
+        stream = self.spark.readStream.schema(held.drop("query_id", "batch_id").schema).option("recursiveFileLookup", "true")
+        if cfg.max_bytes:
+            stream = stream.option("maxBytesPerTrigger", cfg.max_bytes)
+        else:
+            stream = stream.option("maxFilesPerTrigger", str(max(1, int(cfg.max_files) // HELD_TOGETHER)))
+        texts = stream.option("maxFileAge", "36500d").option("pathGlobFilter", "*.parquet").parquet(f"{cfg.root}/quarantine")
+        return self._drain(texts, f"{cfg.checkpoint_location.rstrip('/')}_replay/{kind}", self.process_replay)
+
+    def process_replay(self, batch: DataFrame, batch_id: int) -> None:
+        def texts() -> DataFrame:
+            # read once more as a table: the batch's own frame belongs to the stream
+            return batch.join(self._accepted(), PATH, "left_anti")
+
+        if not batch.isEmpty():
+            self.run_batch(texts, _query_id(batch), batch_id, replay=True)
+
+    def replay_quarantine(self, schema: T.StructType | str | None = None) -> DataFrame:
+        """Replay under a new source schema, if one is given; the totals of the replay's batches. They get new ids."""
         if schema is not None:
             schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
             landing.save_schema(self.spark, schema, self.cfg.schema_location)
-        self.prepare()
         self._schema = None
-        held = self.quarantined()
-        if held is None or held.isEmpty():
-            return
-
-        def read(record_types: T.StructType) -> DataFrame:
-            small, large = held.filter(F.col("nth").isNull()), held.filter(F.col("nth").isNotNull())
-            rows = landing.parse_texts(small.select(PATH, "value"), record_types, self.cfg.id_source)
-            if large.isEmpty():
-                return rows
-            return rows.unionByName(landing.parse_segments(large, record_types, self.cfg.id_source))
-
-        done = [c["batch_id"] for c in self.store.commits() if c["query_id"] == REPLAY]
-        self.run_batch(read, REPLAY, max(done, default=-1) + 1)
-        self.publish()
+        before = self.data.last()
+        query = self.start_replay()
+        if query is not None:
+            query.awaitTermination()
+        return self.summary(after=before["seq"] if before else 0)
 
     # results
 
-    def publish(self) -> None:
-        """Fold the committed changes into a snapshot and point the target table at it."""
-        snapshot = self.store.publish()
-        if snapshot is not None:
-            self.spark.sql(f"ALTER TABLE {self.cfg.target} SET LOCATION {sql_text(snapshot['path'])}")
-            self.spark.catalog.refreshTable(self.cfg.target)
-
-    def current(self) -> DataFrame:
-        return self.store.current()
-
     def _log(self, dataset: str) -> DataFrame | None:
-        rows = self.store.read(dataset)
+        rows = self.data.read(dataset)
         return None if rows is None else rows.drop("query_id", "batch_id")
 
     def file_log(self) -> DataFrame | None:
@@ -380,16 +431,14 @@ class Ingest:
         failures = self.spark.read.parquet(f"{self.cfg.root}/failures")
         return failures if drifted is None else drifted.unionByName(failures)
 
-    def staging(self, dataset: str = "upserts") -> DataFrame | None:
+    def staging(self, dataset: str = "upserts") -> DataFrame:
         """Staged rows whose files are not logged as loaded: none once a batch is through."""
-        rows, done = self.store.read(dataset), self.file_log()
-        return None if rows is None or done is None else audit.clean_staging(rows, done, self.cfg.table)
+        return (self.staged if dataset == "upserts" else self.staged_deletes).rows()
 
     def summary(self, after: int = 0) -> DataFrame:
-        """Totals per committed batch."""
-        rows = [(c["label"], c["batch_id"], c["files"], c["merged"], c["deleted"], c["rejected"]) for c in self.store.commits(after)]
-        return self.spark.createDataFrame(
-            rows, "pipelinerunid string, batch_id long, files long, merged long, deleted long, rejected long"
+        """Totals per batch."""
+        return self.data.batches().filter(F.col("seq") > after).select(
+            F.col("label").alias("pipelinerunid"), "batch_id", "files", "merged", "deleted", "deleted_rows", "rejected"
         )
 
     def log_error(self, step: str, text: str, label: str, filename: str = "") -> None:
@@ -416,14 +465,13 @@ def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[st
     for cfg in configs:
         ingest = Ingest(spark, cfg)
         try:
-            started.append((cfg.ecname, ingest, ingest.start()))
+            started.append((cfg.ecname, ingest.start()))
         except Exception as error:
             outcome[cfg.ecname] = error
             ingest.log_error(audit.STEP_BATCH, str(error), cfg.run_id)
-    for ecname, ingest, query in started:
-        for step in (query.awaitTermination, ingest.publish):
-            try:
-                step()
-            except Exception as error:
-                outcome[ecname] = outcome[ecname] or error
+    for ecname, query in started:
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            outcome[ecname] = error
     return outcome
