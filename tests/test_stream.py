@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from landing import Landing, mappings
 from tributary.operators.files import PATH
-from tributary.plans.target import PART, key_part
+from tributary.plans.target import PART, key_part, native_merges
 from tributary.sources.landing import infer_schema, save_schema
-from tributary.streaming.ingest import ConfigError, Ingest, run_sources
+from tributary.streaming.ingest import ConfigError, Ingest, pools_file, run_sources
 
 KV = {"id": "string", "v": "double"}
 
@@ -492,3 +492,72 @@ def test_schema_and_key_problems(spark, tmp_path):
     with pytest.raises(StreamingQueryException, match="holds the key"):
         land.ingest().run()
 
+
+
+def test_failure_before_the_first_batch(spark, tmp_path):
+    """A query that ends before it has a batch has its row in the error log, told by the listener; one row only for a
+    batch that fails."""
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="0")
+    land.put("a.json", [{"id": "1", "v": 1}])
+    ingest = land.ingest()
+    with pytest.raises(Exception):
+        ingest.run()
+    outcome = run_sources(spark, [land.config()])
+    assert outcome["users_demo"] is not None
+    logged = land.ingest().errors().collect()
+    assert logged and all(r["step_name"] == "STEP_13_FOREACH_BATCH" for r in logged)
+
+
+def test_progress(spark, tmp_path):
+    land = Landing(spark, tmp_path, KV, max_files_per_trigger="2")
+    for n in range(5):
+        land.put(f"a{n}.json", [{"id": str(n), "v": n}])
+    ingest = land.ingest()
+    totals = ingest.run()
+    told = sorted((r["batch_id"], r["input_files"]) for r in ingest.progress().collect())
+    assert told == sorted((r["batch_id"], r["files"]) for r in totals.collect()) == [(0, 2), (1, 2), (2, 1)]
+
+
+def test_pools(spark, tmp_path):
+    """Each source's jobs run in a pool of its name, and the caller's own is left as it was."""
+    pools = {}
+
+    def spy(name):
+        land = Landing(spark, tmp_path / name, KV, name)
+        land.put("a.json", [{"id": "1", "v": 1}])
+        return land
+
+    real = Ingest.process_batch
+
+    def process_batch(self, batch, batch_id):
+        pools[self.cfg.ecname] = batch.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return real(self, batch, batch_id)
+
+    Ingest.process_batch = process_batch
+    try:
+        outcome = run_sources(spark, [spy("small").config(), spy("large").config()])
+    finally:
+        Ingest.process_batch = real
+    assert set(outcome.values()) == {None} and pools == {"small": "small", "large": "large"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert '<pool name="a &amp; b"' in pools_file({"a & b": 3}) and "<weight>3</weight>" in pools_file({"a & b": 3})
+
+
+def test_native_merge_is_resolved(spark, tmp_path):
+    """The merges of a catalog with row-level operations are built for every spec; on a plain table, which the run
+    merges by itself, Spark refuses them as not supported, and for no other reason."""
+    from pyspark.errors import AnalysisException, UnsupportedOperationException
+
+    for merge in (None, {"key": ["id", "w"], "update_cols": ["v"]}, {"order_col": "v"}):
+        land = Landing(spark, tmp_path, {"id": "string", "v": "double", "w": "string"}, merge=merge)
+        target = land.ingest().target
+        assert not target.native
+        staged = spark.sql("SELECT 'a' AS id, 1D AS v, 'b' AS w, 1L AS sourceid, current_timestamp() AS loaddtm, 'N' AS deleted_flag, "
+                           "CAST(NULL AS timestamp) AS date_deleted")
+        deletes = staged.select("id", "w", "sourceid", "loaddtm")
+        marks = target._marks(deletes)
+        writers = native_merges(land.target, staged, marks, target.spec)
+        assert len(writers) == 2
+        for writer in writers:
+            with pytest.raises((AnalysisException, UnsupportedOperationException), match="MERGE INTO"):
+                writer.merge()

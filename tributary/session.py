@@ -18,6 +18,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

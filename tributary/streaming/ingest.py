@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from math import ceil
+from xml.sax.saxutils import quoteattr
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ from tributary.plans.datasets import Datasets, Staging, now
 from tributary.plans.target import PART, PARTS, Target
 from tributary.session import exists
 from tributary.sources import landing
+from tributary.streaming.monitor import Monitor
 
 log = logging.getLogger(__name__)
 
@@ -195,7 +197,9 @@ class Ingest:
     def __init__(self, spark: SparkSession, cfg: IngestConfig):
         self.spark = spark
         self.cfg = cfg
+        self.monitor: Monitor | None = None
         self._schema: T.StructType | None = None
+        self._told = False
 
     @cached_property
     def data(self) -> Datasets:
@@ -241,9 +245,21 @@ class Ingest:
     def run(self) -> DataFrame:
         """Drain the backlog, return the totals of the run's batches."""
         before = self.data.last()
-        self.start().awaitTermination()
+        with Monitor(self.spark) as self.monitor:
+            query = self.start()
+            self.monitor.watch(query, self.ended)
+            query.awaitTermination()
         return self.summary(after=before["seq"] if before else 0)
 
+    def ended(self, error: str | None) -> None:
+        """Log what ended the query, unless it came out of a batch, which has logged it."""
+        if error is not None and not self._told:
+            self.log_error(audit.STEP_BATCH, error, self.cfg.run_id)
+
+    def progress(self) -> DataFrame | None:
+        """Files read and time taken by each batch of this run, as Spark's listener has told."""
+        return None if self.monitor is None else self.monitor.progress()
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         files = landing.landed_files(batch)
         if files:
@@ -277,6 +293,7 @@ class Ingest:
             batch = self.data.decided(query_id, batch_id) or self._prepared(read(), query_id, batch_id, label, replay)
             self._settle(batch)
         except Exception as error:
+            self._told = True
             self.log_error(audit.STEP_BATCH, str(error), label)
             raise
 
@@ -315,7 +332,7 @@ class Ingest:
             rows = plan_deletes(tagged(parsed, files, files_seen), cfg.key_sources)
             deleted = self.staged_deletes.stage(rows.withColumn("loaddtm", F.lit(at)), query_id, batch_id)
             deletes = self.staged_deletes.of_batch(query_id, batch_id)
-        if merged or deleted:
+        if (merged or deleted) and not self.target.native:
             newly_deleted = self.target.merge(staged, deletes, data.folder("merged", query_id, batch_id))
 
         return data.decide(
@@ -454,7 +471,11 @@ class Ingest:
 
 
 def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[str, Exception | None]:
-    """Drain several sources at once; one that fails does not stop the others."""
+    """Drain several sources at once; one that fails does not stop the others.
+
+    Each runs in a scheduler pool of its own name. Under ``spark.scheduler.mode=FAIR`` they share the cluster, by the weights of
+    ``pools_file`` where the session was started with one, so a small source need not wait for a large one.
+    """
     seen: dict[str, str] = {}
     for cfg in configs:
         for place in (cfg.checkpoint_location, cfg.schema_location, cfg.root):
@@ -462,16 +483,34 @@ def run_sources(spark: SparkSession, configs: Sequence[IngestConfig]) -> dict[st
                 raise ConfigError(f"'{cfg.ecname}' shares {place} with '{seen[place.rstrip('/')]}'")
     outcome: dict[str, Exception | None] = {cfg.ecname: None for cfg in configs}
     started = []
-    for cfg in configs:
-        ingest = Ingest(spark, cfg)
-        try:
-            started.append((cfg.ecname, ingest.start()))
-        except Exception as error:
-            outcome[cfg.ecname] = error
-            ingest.log_error(audit.STEP_BATCH, str(error), cfg.run_id)
-    for ecname, query in started:
-        try:
-            query.awaitTermination()
-        except Exception as error:
-            outcome[ecname] = error
+    pool = "spark.scheduler.pool"
+    before = spark.sparkContext.getLocalProperty(pool)
+    with Monitor(spark) as monitor:
+        for cfg in configs:
+            ingest = Ingest(spark, cfg)
+            ingest.monitor = monitor
+            try:
+                spark.sparkContext.setLocalProperty(pool, cfg.ecname)  # which the query's thread takes over
+                query = ingest.start()
+                monitor.watch(query, ingest.ended)
+                started.append((cfg.ecname, query))
+            except Exception as error:
+                outcome[cfg.ecname] = error
+                ingest.log_error(audit.STEP_BATCH, str(error), cfg.run_id)
+            finally:
+                spark.sparkContext.setLocalProperty(pool, before)
+        for ecname, query in started:
+            try:
+                query.awaitTermination()
+            except Exception as error:
+                outcome[ecname] = error
     return outcome
+
+
+def pools_file(weights: Mapping[str, int]) -> str:
+    """The text for ``spark.scheduler.allocation.file``: a pool for each source with its weight."""
+    pools = "".join(
+        f"<pool name={quoteattr(name)}><schedulingMode>FIFO</schedulingMode><weight>{max(1, int(weight))}</weight></pool>"
+        for name, weight in sorted(weights.items())
+    )
+    return f'<?xml version="1.0"?><allocations>{pools}</allocations>'
