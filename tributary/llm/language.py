@@ -19,8 +19,8 @@ from tributary.llm.common import in_lots, least_by_hash
 SPAN, UNITS = 64, 12
 #: Windows that go through the network together.
 TOGETHER = 1024
-#: Bounds of the training sample: documents per language, and bytes taken from one.
-SAMPLE_DOCS, SAMPLE_BYTES = 400, 1024
+#: Bound of the training sample: documents per language, each with its whole text.
+SAMPLE_DOCS = 200
 UNKNOWN = "und"
 
 
@@ -152,20 +152,22 @@ def id_crc32(mod: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> tuple[Network | None, list[str]]:
-    """A network and its labels, from documents with a language. Of each language the ``sample_docs`` least by a
-    hash of the doc_id are taken, and of each of those ``sample_bytes`` characters from a place in the text that the
-    hash gives. Only text and lang reach the network. Without any labelled text there is no network."""
-    place = F.pmod(F.col("h"), F.greatest(F.length("text") - sample_bytes, F.lit(0)) + 1) + 1
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[Network | None, list[str]]:
+    """A network and its labels, from documents with a language. Of each language the ``sample_docs`` documents least by a
+    hash of doc_id and text are taken, with their whole texts; rows that agree in both are one document, so neither repeated
+    nor null ids keep a language from being learned. Only text and lang reach the network. Without any labelled text there is
+    no network."""
     letters = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", "text", F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h")
-    ).select("lang", "h", F.col("text").substr(place.cast("int"), F.lit(sample_bytes)).alias("text"))
-    taken = least_by_hash(letters, "lang", "h", sample_docs, "text")
+        "lang", "text", F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("sample")).alias("h")
+    )
+    chosen = least_by_hash(letters.select("lang", "h").distinct(), "lang", "h", sample_docs)
+    # no more rows than languages times sample_docs
+    taken = letters.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     rows = sorted((r.lang, r.n, r.text) for r in taken.collect())
     labels = sorted({lang for lang, _, _ in rows})
     if not rows:
         return None, []
-    data, valid, owner = windows([text.encode()[:sample_bytes] for _, _, text in rows])
+    data, valid, owner = windows([text.encode() for _, _, text in rows])
     truth = np.array([labels.index(lang) for lang, _, _ in rows])[owner]
     network = Network(len(labels))
     network.train(data, valid, truth)
