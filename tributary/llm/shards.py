@@ -1,7 +1,8 @@
 """Shards of equal bytes by histogram sort.
 
-The sort key is an integer: leading bits from the text, so equal texts stand together, trailing bits
-from the doc_id, so a text with very many copies can still be cut. Splitters are found by counting: a
+The sort key is an integer: leading bits from the text, so equal texts stand together, then bits from the
+doc_id and from the row's place in the table, so a text with very many copies can still be cut, even where
+they all have one doc_id or none. Splitters are found by counting: a
 first histogram of the key's leading bits gives the exact bytes below each of its boundaries; where a
 splitter falls into a bucket wider than the tolerance, only the rows of that bucket are counted again
 by further bits, and so on. Then every row's shard is known and rows are exchanged once.
@@ -16,18 +17,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tributary.llm.common import written
 
 SHARDS = 16
-TEXT_BITS, ID_BITS = 40, 22
-KEY_BITS = TEXT_BITS + ID_BITS
+TEXT_BITS, ID_BITS, ROW_BITS = 30, 16, 16
+KEY_BITS = TEXT_BITS + ID_BITS + ROW_BITS
 FIRST_BITS, NEXT_BITS = 12, 6
 
 
 def sort_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes plus 1), text_crc32, key; a null text counts as empty."""
+    """doc_id, size (UTF-8 bytes plus 1), text_crc32, key; a null text counts as empty.
+
+    Which of several equal rows has which place doesn't show in the result.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    upper, lower = (F.pmod(F.xxhash64(c), F.lit(1 << bits)) for c, bits in ((text, TEXT_BITS), (F.col("doc_id"), ID_BITS)))
+    upper, middle, lower = (
+        F.pmod(F.xxhash64(c), F.lit(1 << bits))
+        for c, bits in ((text, TEXT_BITS), (F.col("doc_id"), ID_BITS), (F.monotonically_increasing_id(), ROW_BITS))
+    )
     return docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        (upper * F.lit(1 << ID_BITS) + lower).cast("long").alias("key"),
+        ((upper * F.lit(1 << ID_BITS) + middle) * F.lit(1 << ROW_BITS) + lower).cast("long").alias("key"),
     )
 
 
@@ -96,7 +103,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.001, rows_
     Shards are key ranges of equal bytes, within ``tolerance`` of a shard or one document. A shard is cut by
     more splitters of the same kind into parts of about ``rows_per_task`` rows, eight at least; a row's slot is the
     rows of the parts before its own plus its place there, so no task holds a whole shard. Null texts are
-    empty; rows that agree in doc_id and text share a key and stand side by side; an empty table gives none.
+    empty; rows that agree in text stand side by side, those that agree in doc_id too are cut like others; an empty table
+    gives none.
     """
     keys = written(sort_keys(docs), "shard-keys")
     total = keys.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
