@@ -7,19 +7,21 @@ its rules, reads the ledger and never the texts again.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tributary.llm.common import unused
+from tributary.llm.common import WORD, unused
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words", "n_upper_words",
 )
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
+_WORDS = re.compile(WORD)
 
 #: Name, and the failing condition over the measurements; a rule's bit is its place.
 RULES = (
@@ -60,9 +62,9 @@ def repeat_words(words: list) -> int:
 
 def measure(text: str | None) -> tuple[int, ...]:
     text = text or ""
-    words = text.encode().split()  # bytes split at exactly the six ASCII blanks
+    words = _WORDS.findall(text)  # no other blanks than the six of ASCII end a word
     lines = [x for x in text.split("\n") if x.strip(BLANKS)]
-    letters = [x for x in text.split() if x.upper() != x.lower()]
+    letters = [x for x in words if x.upper() != x.lower()]
     return (
         len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), len(lines),
         len(lines) - len(set(lines)), repeat_words(words), len(letters), sum(map(str.isupper, letters)),
@@ -75,10 +77,11 @@ def _measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([measure(x) for x in texts], columns=list(MEASURES), dtype="int64")
 
 
-def failed_bits() -> Column:
-    """One bit per failed rule, from the measurement columns."""
+def failed_bits(struct: str = "") -> Column:
+    """One bit per failed rule, from the measurement columns or from a struct of them."""
     bits = F.lit(0).cast("long")
     for name, fails in RULES:
+        fails = _within(struct, fails) if struct else fails
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
     return bits
 
@@ -114,13 +117,12 @@ def ablations(rows: DataFrame, version: str = DEFAULT) -> DataFrame:
 
 
 def passing(docs: DataFrame, version: str = DEFAULT) -> DataFrame:
-    """The documents that a policy keeps, all their columns as they are; texts are read once."""
+    """The documents that a policy keeps, all their columns as they are: each row with its entry of the ledger, of which
+    the policy reads the bits. Texts are read once."""
     (held,) = unused(docs.columns, "m")
-    fails = [F.expr(_within(held, condition)) for name, condition in RULES if BIT[name] & (mask(version) | mask("base"))]
-    kept = docs.withColumn(held, _measured(F.col("text")))
-    for condition in fails:
-        kept = kept.filter(~condition)
-    return kept.drop(held)
+    entries = docs.withColumn(held, _measured(F.col("text")))
+    policy = F.lit(mask(version) | mask("base"))
+    return entries.filter(failed_bits(held).bitwiseAND(policy) == 0).drop(held)
 
 
 def _within(struct: str, condition: str) -> str:
