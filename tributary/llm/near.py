@@ -22,7 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tributary.llm.common import in_lots, kept_rows, text_key, written
+from tributary.llm.common import in_lots, kept_rows, spread_join, text_key, written
+from tributary.llm.graph import components
 from tributary.llm.shingles import mix, multisets
 
 SIMILAR = 0.8
@@ -150,23 +151,6 @@ def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
             at = end
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, label: the least node of its component, from links (a, b). Every round takes the least label
-    among neighbours and then the label of that label; only links and labels move, by joins."""
-    both = written(links.select("a", "b").union(links.select("b", "a")), "near-links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "near-labels")
-    while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        least = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        moved = written(
-            least.join(jump, "next").select("node", F.col("label").alias("was"), F.least("next", "far").alias("label")), "near-labels"
-        )
-        labels = moved.select("node", "label")
-        if moved.filter("was <> label").isEmpty():
-            return labels
-
-
 def _close(x: Column, y: Column) -> Column:
     """Whether two weights allow the similarity."""
     return F.least(x, y) >= SIMILAR * (1 - SLACK) * F.greatest(x, y)
@@ -180,13 +164,13 @@ def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     bucket's least and greatest node and within a group of about GROUP nodes, which is the same group in all
     buckets of a like size. That links most of a large family by few pairs; ``_apart`` gives the rest.
     """
-    placed = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
+    placed = written(nodes.select("node", "weight", F.explode("bands").alias("bucket")), "near-placed")
     whole = placed.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min(F.struct("node", "weight")).alias("low"), F.max(F.struct("node", "weight")).alias("high")
     ).filter("n > 1")
     ends = whole.select("low", "high")
     groups = F.when(F.col("n") <= ALL_PAIRS, 1).otherwise(F.pow(2.0, F.ceil(F.log2(F.col("n") / GROUP)))).cast("long")
-    inner = placed.join(whole.filter("n > 2").select("bucket", "n", "low", "high", groups.alias("groups")), "bucket").withColumn(
+    inner = spread_join(placed, whole.filter("n > 2").select("bucket", "n", "low", "high", groups.alias("groups")), ["bucket"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("groups"))
     ).withColumn("own", F.struct("node", "weight"))
     inner = written(inner.select("bucket", "part", "groups", "own", "low", "high"), "near-buckets")
@@ -231,17 +215,17 @@ def _apart(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame
     known = tokens.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
     onward = Window.partitionBy("node").orderBy(F.desc("docs"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
     # a shingle of one document comes first and is never shared, so it is in no rest that counts
-    heads = tokens.join(known.filter("docs > 1"), "shingle").withColumn("rest", F.sum("times").over(onward)).filter(
+    heads = spread_join(tokens, known.filter("docs > 1"), ["shingle"]).withColumn("rest", F.sum("times").over(onward)).filter(
         (F.col("low") < F.col("high")) & (F.col("rest") >= SIMILAR * (1 - SLACK) * F.col("weight"))
     )
     heads = written(heads.select("shingle", "node", "weight", "label", "rest"), "near-heads")
     sizes = heads.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(
         F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most")
     ).filter("all > most.n")
-    met = heads.join(sizes.select(
+    met = spread_join(heads, sizes.select(
         "shingle", F.col("most.label").alias("main"), F.ceil(F.col("all") / TILE).alias("wide"),
         F.ceil((F.col("all") - F.col("most.n")) / TILE).alias("deep"),
-    ), "shingle")
+    ), ["shingle"])
     tiles = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = F.struct("node", "weight", "label", "rest")
     x = met.filter("label <> main").select("shingle", "main", F.pmod(F.xxhash64("node"), "deep").alias("i"), tiles("wide").alias("j"), own.alias("x"))
@@ -295,7 +279,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     held = docs.select(F.col("doc_id").alias("d"), text_key(F.col("text")).alias("k"), "text")
     texts = written(asked.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).groupBy("node").agg(
         F.first("text").alias("text")), "near-texts")
-    labels = components(written(_linked(pairs, texts), "near-found"))
+    labels = components(written(_linked(pairs, texts), "near-found"), "near")
     rest = written(_apart(members, labels, texts).join(pairs, ["a", "b"], "left_anti"), "near-apart")
     more = written(_linked(rest, texts), "near-more")
     if not more.isEmpty():
