@@ -566,3 +566,85 @@ def test_shards_hot_text(spark):
     rows = [(i, "same text" if i % 2 else f"text {i}") for i in range(4000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     check_shards(shards.shard(frame, rows_per_task=20), rows, 400)
+
+
+def test_shards_of_equal_rows(spark):
+    """Rows that agree in text and doc_id, or have none, are cut like others; one giant row stays whole."""
+    for doc_id in (7, None):
+        rows = [(doc_id, "the same row")] * 3200
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        got = Counter(r["shard"] for r in shards.shard(frame).collect())
+        assert set(got) == set(range(16)) and max(got.values()) - min(got.values()) <= 2
+    rows = [(1, "x" * 20_000)] + [(2, "some text")] * 2000 + [(k, f"text {k}") for k in range(3, 2000)]
+    check_shards(shards.shard(spark.createDataFrame(rows, "doc_id long, text string")), rows, 20_001)
+
+
+def test_language_without_ids(spark):
+    """A language is learned though all its rows have no doc_id, or the same one."""
+    english = [(None, f"the {k} houses and the river where people were walking {k}", "en") for k in range(6000)]
+    german = [(k, f"die {k} Häuser und der Fluss, an dem die Leute gingen {k}", "de") for k in range(500)]
+    french = [(3, f"les {k} maisons et le fleuve où les gens marchaient {k}", "fr") for k in range(3000)] + [(4, "tout le même", "fr")] * 3000
+    docs = spark.createDataFrame(english + german + french, "doc_id long, text string, lang string").repartition(4)
+    network, labels = language.fit(docs)
+    assert labels == ["de", "en", "fr"]
+    found = {r.text: r.p for r in docs.dropDuplicates(["text"]).join(
+        language.predicted(docs.select(F.col("text").alias("doc_id"), "text"), network, labels).select(
+            F.col("doc_id").alias("text"), F.col("lang_pred").alias("p")).distinct(), "text").collect()}
+    assert sum(found[t] == lang for _, t, lang in english + german + french) > 0.95 * 12_500
+
+
+def plain_probabilities(network, text):
+    """The network's forward pass, a position at a time, over the windows of a text."""
+    w, n = network.weights, network.units
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    raw, total = text.encode(), 0
+    for at in range(0, len(raw), language.SPAN):
+        piece = raw[at:at + language.SPAN]
+        padded, states = piece.ljust(language.SPAN, b"\0"), {}
+        for side in "fb":
+            h, seen = np.zeros(n), {}
+            for t in range(language.SPAN) if side == "f" else reversed(range(language.SPAN)):
+                given, past = w[f"{side}_in"][padded[t]], h @ w[f"{side}_re"]
+                update, reset = sigmoid(given[:n] + past[:n]), sigmoid(given[n:2 * n] + past[n:2 * n])
+                h = h + update * (np.tanh(given[2 * n:] + reset * past[2 * n:]) - h)
+                seen[t] = h
+            states[side] = seen
+        for t in range(len(piece)):
+            share = np.exp(np.concatenate([states["f"][t], states["b"][t], [1.0]]) @ w["out"])
+            total = total + share / share.sum()
+    return total / len(raw)
+
+
+def test_language_forward(spark):
+    network = language.Network(3, seed=11)
+    texts = ["Ünïcödé and some more words, over several windows of bytes " * 4, "short", "x" * 64, "y" * 65]
+    got = language.probabilities(network, [t.encode() for t in texts])
+    assert np.allclose(got, [plain_probabilities(network, t) for t in texts], atol=1e-4)
+
+
+def test_words_end_at_ascii_blanks_only(spark):
+    """Other blanks are letters of a word to every rule, as in the query's SQL."""
+    import duckdb
+
+    from tributary.llm import queries
+
+    rows = [(i, " ".join(x * 60)) for i, x in enumerate((
+        ["LOUD quiet"], ["LOUD quiet", "so"], ["A\u0085b"], ["A\u001cb", "\u001d"], ["A B"], ["SHOUT"], [" "], ["ß", "ǅ", "İi"],
+    ))]
+    got = rules.judged(rules.ledger(spark.createDataFrame(rows, "doc_id long, text string")))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = con.execute(queries.ORACLES["op8_quality_rules"])
+    names = [d[0] for d in cursor.description]
+    want = sorted((r[names.index("doc_id")], r[names.index("failed_bits")], r[names.index("kept")]) for r in cursor.fetchall())
+    assert as_set(got, "doc_id", "failed", "kept") == want
+
+
+def test_exact_row_repeated(spark):
+    """One row repeated very often is dealt over all its salts, and one of it stays."""
+    rows = [(5, "The same")] * 20_000 + [(k, "the SAME") for k in (1, 9, 9)] + [(None, "the same"), (3, "another")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = exact.exact_groups(docs)
+    assert as_set(got, "doc_id", "keep_id", "group_size", "text_sha256") == plain_exact(rows)
+    assert got.filter("kept").count() == 2 and exact.distinct_texts(docs).count() == 2

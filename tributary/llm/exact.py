@@ -4,7 +4,7 @@ Rows are range-partitioned by sampled splitters over a bounded piece of the norm
 and last characters and its byte length, which equal texts share), sorted within partitions by that
 piece and the whole normalised text, and each text is compared in full with its neighbour. Sorting is
 Spark's external sort, so a partition may exceed memory. A piece that holds very many rows is dealt
-over salts; the first row of each salted run is compared again, in full, with those of the other salts.
+over salts by chance, be it one row repeated; the first row of each salted run is compared again, in full, with those of the other salts.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest", hot_share: float = 0.25
     hot = pieces.filter(F.col("n") > fill).select("head", "bytes", "tail", F.ceil(F.col("n") / fill).alias("salts"))
     # rows of `hot` are at most total / fill: some for each partition, whatever the texts
     salted = rows.join(F.broadcast(hot), ["head", "bytes", "tail"], "left").withColumn(
-        "salt", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts"))).cast("int")
+        "salt", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.floor(F.rand(29) * F.col("salts"))).cast("int")
     )
     placed = salted.repartitionByRange(*KEY).withColumn("norm", normalised(F.col("text")))
     near = Window.partitionBy(*KEY).orderBy("norm", "doc_id")
