@@ -561,3 +561,19 @@ def test_native_merge_is_resolved(spark, tmp_path):
         for writer in writers:
             with pytest.raises((AnalysisException, UnsupportedOperationException), match="MERGE INTO"):
                 writer.merge()
+
+
+def test_staging_keeps_what_is_not_logged(spark, tmp_path):
+    """Rows of a staged batch go when their files are logged, one by one where only some are."""
+    land = Landing(spark, tmp_path, KV)
+    staging = land.ingest().staged
+    rows_of = spark.createDataFrame([("1", 1.0, 1), ("2", 2.0, 2), ("3", 3.0, 3)], "id string, v double, sourceid long")
+    assert staging.stage(rows_of, "q", 0) == 3 and staging.stage(rows_of.filter("sourceid = 3"), "q", 1) == 1
+    assert staging.stage(rows_of.withColumn("sourceid", F.col("sourceid") + 10), "q", 2) == 3
+    staging.clean(spark.createDataFrame([(1,), (3,)], "sourceid long"))
+    held = spark.table(land.config().staging_table).select("id", "sourceid", "batch_id", "deleted_flag").collect()
+    assert sorted(tuple(r) for r in held) == [("1", 11, 2, None), ("2", 2, 0, None), ("2", 12, 2, None), ("3", 13, 2, None)]
+    spark.sql(f"DROP TABLE {land.config().staging_table}")  # a catalog that has forgotten the table finds its rows
+    assert land.ingest().staging().count() == 4
+    staging.stage(rows_of.limit(0), "q", 2)
+    assert land.ingest().staging().count() == 1
