@@ -7,6 +7,10 @@ Jaccard similarity 0.16 or more with it, so of ``BANDS`` bands of one minimum ea
 1 - (1 - 0.16) ** 64 = 0.99999 or more. What shares a band is verified: the template's shingles that the window
 holds, word for word, by all of the template's shingles.
 
+Sibling templates share most of their shingles, so a notice of one holds much of the other. A match is dropped where
+a template of another license has greater containment in the same window or one beside it, which a notice may reach into, and
+explains it: all that the window holds of the former is in the latter.
+
 A window that holds no shingle of any template has containment 0; it is left out before signatures are made.
 Everything is a DataFrame expression.
 """
@@ -95,31 +99,49 @@ def license_windows(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     known = _templates(spark, templates)
     wanted = [(r.level, r.h) for r in known.select("level", hashes(F.col("words")).alias("h")).collect()]
     levels, shingles = sorted({level for level, _ in wanted}), sorted({h for _, hs in wanted for h in hs})
-    cut = docs.select("doc_id", held(words(F.col("text"))).alias("words")).filter(F.size("words") >= WIDTH)
+    cut = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), held(words(F.col("text"))).alias("words"))
+    cut = cut.filter(F.size("words") >= WIDTH)
     found = F.transform(hashes(F.col("words")), lambda h, i: F.when(h.isin(shingles), i))
-    hit = cut.select("doc_id", "words", held(F.filter(found, lambda i: i.isNotNull())).alias("hits")).filter(F.size("hits") > 0)
+    hit = cut.select("doc_id", "row", "words", held(F.filter(found, lambda i: i.isNotNull())).alias("hits")).filter(F.size("hits") > 0)
     # the windows of a level that cover a hit: the one that begins at or before it, and the one before that
     spots = F.array_distinct(F.flatten(F.array(*(
         F.transform(F.flatten(F.transform("hits", lambda i: F.array(F.floor(i / level), F.greatest(F.floor(i / level) - 1, F.lit(0))))),
                     lambda k: F.struct(F.lit(level).alias("level"), k.cast("int").alias("window")))
         for level in levels
     ))))
-    windows = hit.select("doc_id", "words", F.explode(spots).alias("w")).select(
-        "doc_id", "w.level", "w.window",
+    windows = hit.select("doc_id", "row", "words", F.explode(spots).alias("w")).select(
+        "doc_id", "row", "w.level", "w.window",
         held(F.slice("words", F.col("w.level") * F.col("w.window") + 1, F.col("w.level") * 2)).alias("words"),
     )
-    hashed = windows.select("doc_id", "level", "window", "words", held(hashes(F.col("words"))).alias("hashes"))
-    signed = hashed.select("doc_id", "level", "window", "words", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
+    hashed = windows.select("doc_id", "row", "level", "window", "words", held(hashes(F.col("words"))).alias("hashes"))
+    signed = hashed.select("doc_id", "row", "level", "window", "words", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
     bands = known.select(
         "template", "license", F.col("level").alias("l"), F.col("words").alias("phrase"),
         F.posexplode(signature(hashes(F.col("words")))).alias("b", "v"),
     )
     met = signed.join(F.broadcast(bands), (F.col("level") == F.col("l")) & (F.col("band") == F.col("b")) & (F.col("value") == F.col("v")))
-    pairs = met.select("doc_id", "license", "template", "level", "window", "words", "phrase").distinct()
-    share = F.size(F.array_intersect(spelled(F.col("words")), F.col("wanted"))) / F.size("wanted")
-    return pairs.withColumn("wanted", spelled(F.col("phrase"))).withColumn("containment", share).filter(
-        F.col("containment") >= CONTAINED
-    ).select("doc_id", "license", "template", "level", "window", "containment")
+    pairs = met.select("doc_id", "row", "license", "template", "level", "window", "words", "phrase").distinct()
+    found = pairs.withColumn("wanted", spelled(F.col("phrase"))).withColumn(
+        "holds", F.array_intersect(spelled(F.col("words")), F.col("wanted"))
+    ).withColumn("containment", F.size("holds") / F.size("wanted")).filter(F.col("containment") >= CONTAINED)
+    return _unexplained(found).select("doc_id", "license", "template", "level", "window", "containment")
+
+
+def _unexplained(found: DataFrame) -> DataFrame:
+    """The matches without those that a sibling template explains. What meets are the matches of three windows of a row and
+    level, no more than three times the templates."""
+    match = F.struct("license", "template", "containment", "holds", "wanted", F.col("beside").alias("beside"))
+    near = found.withColumn("beside", F.explode(F.array(F.lit(0), F.lit(-1), F.lit(1)))).groupBy(
+        "doc_id", "row", "level", (F.col("window") + F.col("beside")).alias("window")
+    ).agg(F.collect_list(match).alias("matches"))
+
+    def explains(own: Column, other: Column) -> Column:
+        return (other["license"] != own["license"]) & (other["containment"] > own["containment"]) & (
+            F.size(F.array_except(own["holds"], other["wanted"])) == 0
+        )
+
+    kept = F.filter("matches", lambda own: (own["beside"] == 0) & ~F.exists("matches", lambda other: explains(own, other)))
+    return near.select("doc_id", "level", "window", F.explode(kept).alias("m")).select("doc_id", "level", "window", "m.*")
 
 
 def licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
