@@ -648,3 +648,42 @@ def test_exact_row_repeated(spark):
     got = exact.exact_groups(docs)
     assert as_set(got, "doc_id", "keep_id", "group_size", "text_sha256") == plain_exact(rows)
     assert got.filter("kept").count() == 2 and exact.distinct_texts(docs).count() == 2
+
+
+def by_sql(name, rows, columns="doc_id BIGINT, text VARCHAR, source VARCHAR"):
+    """A query's SQL over some rows."""
+    import duckdb
+
+    from tributary.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE documents({columns})")
+    con.executemany(f"INSERT INTO documents VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    cursor = con.execute(queries.ORACLES[name])
+    return [d[0] for d in cursor.description], cursor.fetchall()
+
+
+def test_sibling_licenses(spark):
+    """A notice is of the version that it names, wherever windows cut it; two notices are two."""
+    gpl = "licensed under the GNU General Public License, version {}"
+    rows = [(100 * v + shift, "pad " * shift + gpl.format(v) + " and more words follow here " * 3, "s") for v in (2, 3) for shift in range(40)]
+    rows += [(900, gpl.format(2) + " " + "pad " * 5 + gpl.format(3), "s"), (901, gpl.format(4), "s"), (902, "Licensed under CC BY-NC 4.0", "s")]
+    got = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    names, want = by_sql("op5_license_scan", rows)
+    assert as_set(got, *names) == sorted(want, key=repr)
+    found = defaultdict(set)
+    for r in got.collect():
+        found[r.doc_id].add(r.license)
+    assert all(found[100 * v + shift] == {f"GPL-{v}.0"} for v in (2, 3) for shift in range(40))
+    assert found[900] == {"GPL-2.0", "GPL-3.0"} and found[902] == {"CC-BY-NC-4.0"}
+
+
+@pytest.mark.parametrize("large, small", [(400_000, 30), (520, 40)])
+def test_mix_by_sql(spark, large, small):
+    """Sources of few blocks, or of none but one word, have their targets in the code and in the SQL."""
+    rows = [(k, "word " * 130, f"s{k % 3}") for k in range(large // 130)] + [(10**6 + k, "few words here", "tiny") for k in range(small // 3)]
+    documents, _ = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    names, want = by_sql("op1_mixing", rows)
+    assert as_set(documents, *names) == sorted(want, key=repr)
+    taken = sum(r.taken for r in documents.filter("source = 'tiny'").collect())
+    assert abs(taken - min(3 * small, documents.filter("source = 'tiny'").first().target)) <= 1

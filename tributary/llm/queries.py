@@ -120,8 +120,8 @@ g AS (SELECT greatest(1, least(1048576, sum(size) // 65536)) AS block, sum(size)
 slots AS (SELECT (i * 2654435769 + 2147483648) % 4294967296 AS point
     FROM (SELECT unnest(generate_series(0, CAST(ceil(words / block) AS BIGINT) - 1)) AS i FROM g)),
 n AS (SELECT source, count(*) AS slots FROM slots JOIN p ON point >= low AND point < high GROUP BY source),
-r AS (SELECT t.*, least(coalesce(n.slots, 0) * (SELECT block FROM g), 3 * t.source_size) AS granted
-    FROM t LEFT JOIN n ON t.source IS NOT DISTINCT FROM n.source),
+r AS (SELECT t.*, least(CASE WHEN target < 512 * (SELECT block FROM g) THEN CAST(round(target) AS HUGEINT)
+    ELSE coalesce(n.slots, 0) * (SELECT block FROM g) END, 3 * t.source_size) AS granted FROM t LEFT JOIN n ON t.source IS NOT DISTINCT FROM n.source),
 b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
 SELECT b.doc_id, b.source, CAST(b.size AS BIGINT) AS size, r.source_size, r.target, CAST((
@@ -143,10 +143,13 @@ s AS (SELECT doc_id, unnest([{{'j': j, 's': ws[j] || ' ' || ws[j + 1] || ' ' ||
     recursive := true) FROM d WHERE len(ws) > 2),
 h AS (SELECT doc_id, j - 1 AS j, s, i, license, level, len(wanted) AS n FROM s JOIN (SELECT *, unnest(wanted) AS w FROM p) q ON s = w),
 k AS (SELECT *, unnest([j // level, j // level - 1]) AS win FROM h),
-c AS (SELECT doc_id, license, i, level, win, count(DISTINCT s) / max(n) AS containment FROM k
-    WHERE win >= 0 AND j + 3 <= win * level + 2 * level GROUP BY ALL)
+c AS (SELECT doc_id, license, i, level, win, count(DISTINCT s) / max(n) AS containment, list(DISTINCT s) AS holds FROM k
+    WHERE win >= 0 AND j + 3 <= win * level + 2 * level GROUP BY ALL HAVING count(DISTINCT s) / max(n) >= 0.8),
+x AS (SELECT DISTINCT a.doc_id, a.i, a.level, a.win FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.level = b.level
+    AND abs(a.win - b.win) <= 1 AND a.license <> b.license AND b.containment > a.containment
+    JOIN p ON p.i = b.i WHERE list_has_all(p.wanted, a.holds))
 SELECT doc_id, license, max(containment) AS containment, CAST(min(level * win) AS BIGINT) AS first_word
-FROM c WHERE containment >= 0.8 GROUP BY 1, 2""",
+FROM c ANTI JOIN x USING (doc_id, i, level, win) GROUP BY 1, 2""",
     "op8_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, {WORD_SQL}) AS ws, list_filter(string_split(text, chr(10)),
