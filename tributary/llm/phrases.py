@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -82,7 +83,7 @@ class Wanted(NamedTuple):
 
 
 class _Ids(dict):
-    """Numbers words as they come; 0 is the end of a piece."""
+    """Numbers words as they come; 0 is the end of a piece, 1 what stands between two blanks."""
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
@@ -93,16 +94,13 @@ class _Held:
     """Words of one language that are counted together."""
 
     def __init__(self) -> None:
-        self.ids, self.runs, self.size = _Ids({b"\n": 0}), [np.zeros(1, np.int64)], 0
+        self.ids, self.runs, self.size = _Ids({b"\n": 0, b"": 1}), [np.zeros(1, np.int64)], 0
 
     def add(self, text: bytes) -> None:
-        for part in stretches(text.translate(_PLAIN)):
-            words: list[bytes] = []
-            for piece in part.split(b"\n"):
-                words += piece.split()
-                words.append(b"\n")
-            words.pop()  # the piece may go on in the next part
-            self.runs.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
+        for part in stretches(text.translate(_PLAIN)):  # a piece may go on in the next part
+            words = part.replace(b"\n", b" \n ").split(b" ")
+            ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+            self.runs.append(ids[ids != 1])
             self.size += len(words)
         self.runs.append(np.zeros(1, np.int64))
 
@@ -112,18 +110,22 @@ def _count(held: _Held, lang: str, wanted: Wanted) -> Iterator[tuple[list[bytes]
     ids, words = np.concatenate(held.runs), list(held.ids)
     if 1 in wanted.widths:
         counts = np.bincount(ids, minlength=len(words))
-        yield words[1:], counts[1:]
+        yield words[2:], counts[2:]
     longest = max(wanted.widths)
     if longest == 1:
         return
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
 
     def hashed(names: list[bytes]) -> np.ndarray:
-        return np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in names), np.uint64, len(names))
+        return np.fromiter(map(xxhash.xxh64_intdigest, names, repeat(seed)), np.uint64, len(names))
+
+    def longer(names: list[bytes], codes: np.ndarray) -> list[bytes]:
+        first, last = np.divmod(codes, len(words))
+        return list(map(b" ".join, zip(map(names.__getitem__, first.tolist()), map(words.__getitem__, last.tolist()))))
 
     names = words
     known = wanted.alive.has(hashed(names))
-    known[0] = False
+    known[:2] = False
     # of the phrase of one word less that begins at a place: its row, its own number from 1, or 0 where there is none
     begin = np.where(known[ids], ids, 0)
     right = left = known
@@ -132,11 +134,11 @@ def _count(held: _Held, lang: str, wanted: Wanted) -> Iterator[tuple[list[bytes]
         if width in wanted.widths:
             some = at[right[begin[at]] | left[begin[at + 1]]]
             codes, counts = np.unique(begin[some] * len(words) + ids[some + width - 1], return_counts=True)
-            yield [names[p] + b" " + words[w] for p, w in zip((codes // len(words)).tolist(), (codes % len(words)).tolist())], counts
+            yield longer(names, codes), counts
         if width == longest:
             return
         codes, rows = np.unique(begin[at] * len(words) + ids[at + width - 1], return_inverse=True)
-        names = [b"", *(names[p] + b" " + words[w] for p, w in zip((codes // len(words)).tolist(), (codes % len(words)).tolist()))]
+        names = [b"", *longer(names, codes)]
         hashes = hashed(names)
         known = wanted.alive.has(hashes) if width == 2 else np.ones(len(names), bool)
         right, left = (f.has(hashes) & known for f in (wanted.right, wanted.left))
