@@ -62,16 +62,21 @@ def exact_groups(docs: DataFrame, keep: str = "largest", hot_share: float = 0.25
     runs = written(compared.withColumns({
         "run_best": best("doc_id").over(whole), "run_size": F.count("*").over(whole),
         "turn": F.row_number().over(Window.partitionBy(*KEY, "run", "doc_id").orderBy("key")),
-    }), "exact-runs")
+    }).withColumn("run_key", F.min(F.when(F.col("doc_id").eqNullSafe(F.col("run_best")), F.col("key"))).over(whole)), "exact-runs")
 
-    heads = runs.filter(F.col("lead").isNotNull()).select(*KEY, "run", "lead", "run_best", "run_size")
+    heads = runs.filter(F.col("lead").isNotNull()).select(*KEY, "run", "lead", "run_best", "run_size", "run_key")
     merged = heads.groupBy("lead").agg(best("run_best").alias("best"), F.sum("run_size").alias("size"))
-    settled = heads.select(*KEY, "run", "lead").join(merged, "lead").drop("lead")
-    cold = runs.filter(F.col("salts").isNull()).withColumns({"best": F.col("run_best"), "size": F.col("run_size")})
+    joined = heads.join(merged, "lead")
+    # rows with the doc_id that stays may stand in several salts: the least key, and there the least salt, has the one
+    one = joined.filter(F.col("run_best").eqNullSafe(F.col("best"))).groupBy("lead").agg(F.min(F.struct("run_key", "salt")).alias("one"))
+    settled = joined.join(one, "lead").select(*KEY, "run", "best", "size", (F.col("one.salt") == F.col("salt")).alias("holds"))
+    cold = runs.filter(F.col("salts").isNull()).withColumns(
+        {"best": F.col("run_best"), "size": F.col("run_size"), "holds": F.lit(True)}
+    )
     warm = runs.filter(F.col("salts").isNotNull()).join(settled, [*KEY, "run"])
     return cold.unionByName(warm, allowMissingColumns=True).select(
         "doc_id", F.col("best").alias("keep_id"), F.col("size").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("best")) & (F.col("turn") == 1)).alias("kept"),
+        (F.col("doc_id").eqNullSafe(F.col("best")) & (F.col("turn") == 1) & F.col("holds")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"), "key",
     )
 
