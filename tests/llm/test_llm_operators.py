@@ -263,6 +263,69 @@ def test_quality_learns_beside_repeated_ids(spark):
     assert {f"words {i}".encode() for i in range(3, 7)} <= {x for x, _ in seen}
 
 
+def test_quality_learns_from_whole_texts(spark):
+    long = "".join(f"word {i} " for i in range(20_000)) + "é"
+    docs = spark.createDataFrame([(1, long), (2, "b"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
+    seen = []
+    train = quality.Network.train
+    quality.Network.train = lambda self, texts, truth: seen.extend(texts)
+    try:
+        quality.fit(docs, labels)
+    finally:
+        quality.Network.train = train
+    assert sorted(seen) == sorted([long.encode(), b"b", b""])
+
+
+def test_quality_gradients():
+    network = quality.Network()
+    network.w = {k: v.astype(np.float64) for k, v in network.w.items()}
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(1, 256, n).astype(np.uint8).tobytes() for n in (10, 300, quality.TOGETHER * 300)]
+    chunks, bounds = quality.chunked(texts)
+    given = [chunks[a:b] for a, b in zip(bounds, bounds[1:])], np.array([0.0, 1.0, 1.0]), quality.self_match(chunks)
+    _, grads = network.step(*given)
+    for name, value in network.w.items():
+        for at in [tuple(draw.integers(1 if name == "embed" and i == 0 else 0, n) for i, n in enumerate(value.shape)) for _ in range(6)]:
+            old, d, losses = value[at], 1e-5, []
+            for x in (old + d, old - d):
+                value[at] = x
+                losses.append(network.step(*given)[0])
+            value[at] = old
+            assert (losses[0] - losses[1]) / (2 * d) == pytest.approx(float(grads[name][at]), abs=1e-4)
+
+
+def test_quality_scores_are_the_plain_forward_pass(spark):
+    """Scores of whole texts against loops over chunks, positions and distances."""
+    network = quality.Network()
+    w = {k: v.astype(np.float64) for k, v in network.w.items()}
+    rnd = random.Random(4)
+    texts = [None, "", "a", "ab " * 200, "".join(rnd.choice("abcde é\n") for _ in range(1500))]
+
+    def plain(text):
+        raw, starts = (text or "").encode(), [0]
+        while starts[-1] + quality.CHUNK < len(raw):
+            starts.append(starts[-1] + quality.STRIDE)
+        rows = []
+        for start in starts:
+            part = raw[start:start + quality.CHUNK]
+            row = part + bytes(quality.CHUNK - len(part))
+            spots = [w["embed"][list(row[i:i + quality.REACH])].ravel() for i in range(quality.CHUNK - quality.REACH + 1)]
+            values = [max(0.0, max(spot @ w["filters"][:, k] for spot in spots) + w["bias"][k]) for k in range(quality.FILTERS)]
+            best = 0.0
+            for lag in quality.LAGS:
+                same = sum(part[i] == part[i - lag] for i in range(lag, len(part)))
+                best = max(best, same / max(len(part) - lag, 32))
+            rows.append(values + [min(1.0, best)])
+        pooled = np.concatenate([np.max(rows, axis=0), np.mean(rows, axis=0)])
+        out = np.tanh(pooled @ w["hidden"] + w["hidden_bias"]) @ w["out"] + w["out_bias"][0]
+        return 1 / (1 + np.exp(-out))
+
+    got = quality.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), network).collect()
+    for r in got:
+        assert r.score == pytest.approx(plain(texts[r.doc_id]), abs=1e-4)
+
+
 def test_chunks_cover_all_bytes():
     for n in (0, 1, 255, 256, 257, 480, 481, 5000):
         text = bytes(random.Random(n).randrange(1, 256) for _ in range(n))

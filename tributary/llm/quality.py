@@ -22,8 +22,8 @@ DEPTH, REACH, FILTERS, HIDDEN = 6, 6, 16, 12
 LAGS = tuple(range(2, 100))
 #: Chunks that go through the network together.
 TOGETHER = 64
-#: Bounds of the training sample: documents per label, and characters taken from one.
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 4096
+#: Bound of the training sample: documents per label, each with its whole text.
+SAMPLE_DOCS = 600
 THRESHOLD = 0.3
 
 
@@ -44,7 +44,7 @@ def self_match(chunks: np.ndarray) -> np.ndarray:
     """For each chunk the greatest share, over the distances, of bytes that equal the byte that far before."""
     best = np.zeros(len(chunks), np.float32)
     filled = np.maximum((chunks != 0).sum(axis=1), 1)
-    shown = np.where(chunks == 0, np.arange(CHUNK, dtype=np.uint8) | 1, chunks)  # zeros match nothing nearby
+    shown = np.where(chunks == 0, np.arange(256, 256 + CHUNK, dtype=np.uint16), chunks)  # zeros match nothing
     for lag in LAGS:
         same = (shown[:, lag:] == shown[:, :-lag]).sum(axis=1, dtype=np.uint16)
         np.maximum(best, same / np.maximum(filled - lag, 32), out=best)
@@ -71,13 +71,15 @@ class Network:
         seen = np.lib.stride_tricks.sliding_window_view(seen, DEPTH * REACH, axis=1)[:, ::DEPTH]
         return seen.reshape(-1, DEPTH * REACH)
 
-    def chunk_values(self, chunks: np.ndarray) -> np.ndarray:
-        """Filters pooled over the positions of each chunk, and its self match."""
-        parts = []
+    def _ran(self, chunks: np.ndarray) -> Iterator[np.ndarray]:
+        """Each filter's value at each position, some chunks at a time: (chunk, position, FILTERS)."""
         for i in range(0, len(chunks), TOGETHER):
             some = chunks[i:i + TOGETHER]
-            ran = (self._spread(some) @ self.w["filters"]).reshape(len(some), -1, FILTERS).max(axis=1)
-            parts.append(np.maximum(ran + self.w["bias"], 0))
+            yield (self._spread(some) @ self.w["filters"]).reshape(len(some), -1, FILTERS)
+
+    def chunk_values(self, chunks: np.ndarray) -> np.ndarray:
+        """Filters pooled over the positions of each chunk, and its self match."""
+        parts = [np.maximum(ran.max(axis=1) + self.w["bias"], 0) for ran in self._ran(chunks)]
         values = np.concatenate(parts) if parts else np.zeros((0, FILTERS), np.float32)
         return np.hstack([values, self_match(chunks)[:, None]])
 
@@ -94,14 +96,16 @@ class Network:
         return 1 / (1 + np.exp(-(hidden @ self.w["out"] + self.w["out_bias"][0]).astype(np.float64)))
 
     def step(self, texts: list[np.ndarray], truth: np.ndarray, matches: np.ndarray) -> tuple[float, dict]:
-        """Loss and gradients over documents given as their chunks."""
+        """Loss and gradients over documents given as all their chunks. A pooled value comes from one position of its
+        chunk, so only those positions are gone through backwards, some chunks at a time."""
         w, g = self.w, {}
         chunks = np.concatenate(texts)
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
-        spread = self._spread(chunks)
-        ran = (spread @ w["filters"]).reshape(len(chunks), -1, FILTERS)
-        at = ran.argmax(axis=1)
-        top = np.take_along_axis(ran, at[:, None], 1)[:, 0] + w["bias"]
+        tops, places = [], []
+        for ran in self._ran(chunks):
+            places.append(ran.argmax(axis=1))
+            tops.append(np.take_along_axis(ran, places[-1][:, None], 1)[:, 0])
+        top, at = np.concatenate(tops) + w["bias"], np.concatenate(places)
         values = np.hstack([np.maximum(top, 0), matches[:, None]])
         pooled = self._pooled(values, bounds)
         hidden = np.tanh(pooled @ w["hidden"] + w["hidden_bias"])
@@ -111,41 +115,39 @@ class Network:
         g["out"], g["out_bias"] = hidden.T @ d, d.sum(keepdims=True)
         d = np.outer(d, w["out"]) * (1 - hidden**2)
         g["hidden"], g["hidden_bias"] = pooled.T @ d, d.sum(axis=0)
-        d = (d @ w["hidden"].T).astype(np.float32)
+        d = d @ w["hidden"].T
         owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
         n = FILTERS + 1
         d_values = d[owner, n:] / np.diff(bounds)[owner][:, None]
         leads = values == pooled[owner, :n]
-        d_values += d[owner, :n] * leads / np.maximum(np.add.reduceat(leads, bounds[:-1])[owner], 1)
+        d_values += d[owner, :n] * leads / np.maximum(np.add.reduceat(leads, bounds[:-1], dtype=np.int64)[owner], 1)
         d_top = d_values[:, :FILTERS] * (top > 0)
         g["bias"] = d_top.sum(axis=0)
-        # each pooled value comes from one position of its chunk
-        positions = ran.shape[1]
-        rows = (np.arange(len(chunks))[:, None] * positions + at)
-        g["filters"] = np.einsum("ckr,ck->rk", spread[rows], d_top)
-        d_spread = (d_top[:, :, None] * w["filters"].T[None]).reshape(len(chunks), FILTERS, REACH, DEPTH)
-        g["embed"] = np.zeros_like(w["embed"])
-        read = chunks[np.arange(len(chunks))[:, None, None], at[:, :, None] + np.arange(REACH)]
-        np.add.at(g["embed"], read, d_spread)
+        g["filters"], g["embed"] = np.zeros_like(w["filters"]), np.zeros_like(w["embed"])
+        for i in range(0, len(chunks), TOGETHER):
+            some, back = chunks[i:i + TOGETHER], d_top[i:i + TOGETHER]
+            read = some[np.arange(len(some))[:, None, None], at[i:i + TOGETHER, :, None] + np.arange(REACH)]
+            seen = w["embed"][read].reshape(len(some), FILTERS, REACH * DEPTH)
+            g["filters"] += np.einsum("ckr,ck->rk", seen, back)
+            d_seen = (back[:, :, None] * w["filters"].T[None]).reshape(len(some), FILTERS, REACH, DEPTH)
+            np.add.at(g["embed"], read, d_seen)
         g["embed"][0] = 0
         return float(loss), g
 
-    def train(self, texts: list[bytes], truth: np.ndarray, epochs: int = 14, batch: int = 32, seed: int = 2, most: int = 12) -> None:
-        """Adam; of a long document ``most`` chunks, drawn anew each time, stand for it in a step."""
+    def train(self, texts: list[bytes], truth: np.ndarray, steps: int = 1200, batch: int = 32, seed: int = 2) -> None:
+        """Adam over whole documents, drawn in a new order each time all have been seen."""
         draw = np.random.default_rng(seed)
         chunks, bounds = chunked(texts)
         matches = self_match(chunks)
         first = {k: np.zeros_like(v) for k, v in self.w.items()}
         second = {k: np.zeros_like(v) for k, v in self.w.items()}
-        done, steps = 0, epochs * max(1, len(texts) // batch)
+        steps, done = min(steps, 24 * max(1, len(texts) // batch)), 0
         while done < steps:
             order = draw.permutation(len(texts))
             for i in range(0, max(1, len(texts) - batch + 1), batch):
-                picks = []
-                for j in order[i:i + batch]:
-                    all_ = np.arange(bounds[j], bounds[j + 1])
-                    picks.append(all_ if len(all_) <= most else np.sort(draw.choice(all_, most, replace=False)))
-                _, grads = self.step([chunks[p] for p in picks], truth[order[i:i + batch]].astype(np.float32), matches[np.concatenate(picks)])
+                some = order[i:i + batch]
+                picks = [np.arange(bounds[j], bounds[j + 1]) for j in some]
+                _, grads = self.step([chunks[p] for p in picks], truth[some].astype(np.float32), matches[np.concatenate(picks)])
                 done += 1
                 rate = 0.01 * (1 - 0.95 * min(1.0, done / steps))
                 for k, g in grads.items():
@@ -154,27 +156,21 @@ class Network:
                     self.w[k] -= (rate * first[k] / (1 - 0.9**done) / (np.sqrt(second[k] / (1 - 0.995**done)) + 1e-8)).astype(np.float32)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS
-) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     """A network from documents with a quality label of 0 or 1. Of each label the ``sample_docs`` rows least by a hash of
-    the doc_id are taken, each as one document, so the join broadcasts at most twice as many ids, and of each document ``sample_chars``
-    characters from a place that the hash gives. Only text and label reach the network. Where a label has
-    no document there is no network."""
+    the doc_id are taken, each as one document with its whole text, so the join broadcasts at most twice as many ids. Only text
+    and label reach the network. Where a label has no document there is no network."""
     hashed = F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h")
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality", hashed).distinct()
     chosen = least_by_hash(known, "quality", "h", sample_docs, "doc_id").drop("n")
-    place = F.pmod(F.col("h"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
-    found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "quality", "h", F.col("text").substr(place.cast("int"), F.lit(sample_chars)).alias("text")
-    )
+    found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     # a doc_id may have any number of rows: the least text stands for it
     taken = found.groupBy("quality", "h", "doc_id").agg(F.min("text").alias("text")).collect()
     rows = [(r.quality, r.h, r.text) for r in sorted(taken, key=lambda r: (r.quality, r.h, r.doc_id))]
     if len({quality for quality, _, _ in rows}) < 2:
         return None
     network = Network()
-    network.train([text.encode()[:sample_chars] for _, _, text in rows], np.array([quality for quality, _, _ in rows]))
+    network.train([text.encode() for _, _, text in rows], np.array([quality for quality, _, _ in rows]))
     return network
 
 
