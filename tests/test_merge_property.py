@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators import merge
-from tributary.operators.files import NAME, PATH, POS, RESCUED, number_files
+from tributary.operators.files import NAME, PATH, POS, RESCUED, file_inventory, number_files
 from tributary.operators.mapping import MappedColumn
 from tributary.plans.batch import plan_changes
 
@@ -70,7 +70,7 @@ def test_state(spark, seed):
         rows = [(f"d/{n}", n, p, None, k, v) for n, records in files.items() for p, (k, v) in enumerate(records)]
         rng.shuffle(rows)
         records = spark.createDataFrame(rows, RECORDS).repartition(3)
-        planned = plan_changes(records, number_files(records, last), MAPPING, "key", F.lit(DAY))
+        planned = plan_changes(records, number_files(file_inventory(records), last), MAPPING, "key", F.lit(DAY))
         staged = spark.createDataFrame(planned.staged.collect(), planned.staged.schema)
         deletes = spark.createDataFrame(planned.deletes.collect(), planned.deletes.schema)
         changes.append((staged, deletes))

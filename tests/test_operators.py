@@ -95,7 +95,7 @@ def test_files(spark):
         f"{ops.PATH} string, {ops.POS} long, {ops.RESCUED} string",
     )
     records = ops.with_filename(records)
-    numbered = ops.number_files(records, 10)
+    numbered = ops.number_files(ops.file_inventory(records), 10)
     assert rows(numbered, ops.PATH, "file_rows", ops.SID) == [
         ("d/Z.json", 1, 11), ("d/a.json", 1, 12), ("d/b.json", 2, 14), ("d/bad.json", 1, None), ("d/empty.json", 0, 15),
         ("e/a.json", 1, 13),
@@ -106,6 +106,22 @@ def test_files(spark):
     assert rows(small) == rows(ops.tag_rows(records, numbered)) and small.count() == 7
 
 
+@pytest.mark.parametrize("n, together", [(0, 5), (3, 5), (500, 7), (100_000, 20_000)])
+def test_numbering_in_ranges(spark, n, together):
+    """A long file list is numbered by several tasks as one sort would; most of it may have one name."""
+    names = [f"d{i % 997}/" + ("same.json" if i % 3 else f"ä{i * 7919 % 10_007}.json") + f"/{i}" for i in range(n)]
+    made = [(f"{name}", name.split("/")[1], i % 11 == 0) for i, name in enumerate(names)]
+    files = spark.createDataFrame(made, f"{ops.PATH} string, {ops.NAME} string, drifted boolean").repartition(5)
+    cuts = ops.name_splitters(files, together)
+    assert len(cuts) == min(-(-n // together), 4) - 1 if n > together else cuts == []
+    ordered = sorted(made, key=lambda f: (f[1].encode(), f[0].encode()))
+    found = {r[ops.PATH]: r[ops.SID] for r in ops.assign_source_ids(files, 10, cuts).collect()}
+    assert found == {f[0]: 11 + i for i, f in enumerate(ordered)} and len(found) == n
+    clean = [f[0] for f in ordered if not f[2]]
+    found = {r[ops.PATH]: r[ops.SID] for r in ops.number_files(files, 0, cuts).collect()}
+    assert found == {**{f[0]: None for f in made}, **{path: i + 1 for i, path in enumerate(clean)}}
+
+
 def test_mapping(spark):
     frame = spark.createDataFrame([("1", ["x", "y"], "n/a", "q", 3)], "`a b` string, t array<string>, w string, o string, _sid long")
     mapping = [

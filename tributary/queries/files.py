@@ -18,8 +18,9 @@ def file_inventory(spark, sf_dir):
 
 
 def source_ids(spark, sf_dir, last_id=0):
+    """Few files in a range, so that the ranges' counts matter."""
     inventory = ops.file_inventory(event_records(spark, sf_dir))
-    return ops.assign_source_ids(inventory, last_id).select(F.col(NAME).alias("fn"), F.col(SID).alias("sid"))
+    return ops.assign_source_ids(inventory, last_id, ops.name_splitters(inventory, together=4)).select(F.col(NAME).alias("fn"), F.col(SID).alias("sid"))
 
 
 def source_ids_resume(spark, sf_dir):
@@ -57,7 +58,7 @@ def run_labels(spark, sf_dir):
 
 def _changes(spark, sf_dir):
     records = event_records(spark, sf_dir)
-    files = ops.number_files(records)
+    files = ops.number_files(ops.file_inventory(records))
     return files, plan_changes(records, files, EVENT_MAPPING, "user_id", F.lit(AT))
 
 

@@ -15,7 +15,7 @@ STATE = ("id", "name", "amount", "sourceid", "deleted_flag")
 
 def _changes(spark, sf_dir):
     records = event_records(spark, sf_dir)
-    return plan_changes(records, ops.number_files(records), EVENT_MAPPING, "user_id", F.lit(AT))
+    return plan_changes(records, ops.number_files(ops.file_inventory(records)), EVENT_MAPPING, "user_id", F.lit(AT))
 
 
 def latest_per_id(spark, sf_dir):
@@ -32,7 +32,7 @@ def latest_lineitem(spark, sf_dir):
 def delete_keys(spark, sf_dir):
     """Some records have no key."""
     records = event_records(spark, sf_dir).withColumn("user_id", F.when(F.col(ops.POS) % 5 != 0, F.col("user_id")))
-    deletes = plan_changes(records, ops.number_files(records), EVENT_MAPPING, "user_id", F.lit(AT)).deletes
+    deletes = plan_changes(records, ops.number_files(ops.file_inventory(records)), EVENT_MAPPING, "user_id", F.lit(AT)).deletes
     return deletes.withColumnRenamed("sourceid", "sid")
 
 
@@ -97,7 +97,7 @@ def second_source(spark, sf_dir):
         MappedColumn("o_orderpriority", "name", T.StringType()),
         MappedColumn("o_totalprice", "amount", T.DoubleType()),
     ]
-    changes = plan_changes(records, ops.number_files(records), mapping, "o_custkey", F.lit(AT))
+    changes = plan_changes(records, ops.number_files(ops.file_inventory(records)), mapping, "o_custkey", F.lit(AT))
     return merge_once(*changes).select(*STATE)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.functions.rescue import quoted
 from tributary.functions.scalars import MANUAL_RUN, is_delete_name
 from tributary.operators import audit, config as cfg_ops
-from tributary.operators.files import NAME, PATH, SID, number_files
+from tributary.operators.files import NAME, PATH, SID, file_inventory, name_splitters, number_files
 from tributary.operators.mapping import MappedColumn, MappingError, record_schema, sink_types
 from tributary.operators.spec import MergeSpec, SpecError, load_spec
 from tributary.plans.batch import plan_deletes, plan_staged, tagged
@@ -305,8 +305,9 @@ class Ingest:
 
         # The parsed rows are written once; every later step reads the columns it needs.
         parsed = data.write(records, "records", query_id, 0)
-        files = number_files(parsed, last_id).withColumn("replay", F.lit(replay))
-        files = data.write(files.coalesce(1), "files", query_id, batch_id)
+        inventory = data.write(file_inventory(parsed), "inventory", query_id, 0)
+        files = number_files(inventory, last_id, name_splitters(inventory)).withColumn("replay", F.lit(replay))
+        files = data.write(files, "files", query_id, batch_id)
         is_delete = is_delete_name(F.col(NAME))
         counts = files.agg(
             F.count(SID).alias("files"),
