@@ -582,6 +582,32 @@ def test_near_pairs_inside_an_unlike_family(spark):
     assert as_set(near.near_classes(docs), "doc_id", "class_id", "class_size") == sorted(plain_classes(rows), key=repr)
 
 
+def test_near_heads_are_few_and_hold_all_similar_pairs(spark, monkeypatch):
+    """Only the shingles at which similar texts of different labels can meet leave the tasks, also where shingles share a cell."""
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for k in rnd.sample(range(300), rnd.choice([1, 4, 12])):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, len(words) - 4, i if i % 4 == 0 else 1, " ".join(words)))
+    like = {
+        (a[0], b[0]) for a in rows for b in rows
+        if a[2] != b[2] and near.similarity([a[3]], [b[3]])[0] >= near.SIMILAR
+    }
+    for cells in (1 << 20, 64):
+        monkeypatch.setattr(near, "CELLS", cells)
+        heads = defaultdict(dict)
+        for r in near._heads(spark.createDataFrame(rows, "node long, weight long, label long, text string").repartition(3)).collect():
+            heads[r.node][r.shingle] = r.rest
+        assert sum(map(len, heads.values())) < 0.4 * sum(r[1] for r in rows)
+        assert like and all(
+            any(min(heads[a][t], heads[b][t]) * (1 + near.SIMILAR) >= near.SIMILAR * 2 * 296 - 1e-6 for t in heads[a].keys() & heads[b].keys())
+            for a, b in like
+        )
+
+
 def test_components(spark):
     rnd = random.Random(6)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(70)]

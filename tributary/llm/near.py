@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tributary.llm.common import in_lots, kept_rows, spread_join, text_key, written
 from tributary.llm.graph import components
@@ -35,6 +35,8 @@ TOGETHER = 1 << 18
 ALL_PAIRS, GROUP = 8, 4
 #: Documents of a shingle that one task compares with so many others.
 TILE = 512
+#: Cells in which shingles are counted to order them: 4 MB, which the driver and each task hold.
+CELLS = 1 << 20
 AT_ONCE = 4096
 #: Bounds are lower by this share, so that rounding loses no pair.
 SLACK = 1e-9
@@ -183,42 +185,83 @@ def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.select(F.col("low.node").alias("a"), F.col("high.node").alias("b")).distinct(), large.select("bucket", "own.*")
 
 
-def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per shingle and document: node, weight, label, shingle, times."""
-    for frame in frames:
-        at = 0
-        for texts in in_lots(frame["text"], TOGETHER):
-            values, counts, limits = multisets(texts)
-            some, sizes = frame.iloc[at:at + len(texts)], np.diff(limits)
-            at += len(texts)
-            yield pd.DataFrame(
-                {name: np.repeat(some[name].to_numpy(), sizes) for name in ("node", "weight", "label")}
-                | {"shingle": values.view(np.int64), "times": counts}
-            )
+def _sets(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some rows of the frame at a time, and of their texts the shingles, how often each occurs and the row it is in."""
+    at = 0
+    for texts in in_lots(frame["text"], TOGETHER):
+        values, counts, limits = multisets(texts)
+        yield frame.iloc[at:at + len(texts)], values, counts, np.repeat(np.arange(len(texts)), np.diff(limits))
+        at += len(texts)
+
+
+def _heads(texts: DataFrame) -> DataFrame:
+    """shingle, node, weight, label, rest: the shingles at which a document (node, weight, label, text) can meet a similar
+    one of another label, see ``_apart``.
+
+    Shingles are counted in a sketch of a fixed number of cells, by their last bits. The order is by the count of the cell, then by
+    the shingle, the same for all documents, whatever shares a cell; a cell in which all documents have one label holds no
+    shingle that counts. So each task finds the heads of its documents, and no other shingle leaves it.
+    """
+    size = CELLS
+
+    def cells_of(values: np.ndarray) -> np.ndarray:
+        return (values & np.uint64(size - 1)).astype(np.int64)
+
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        docs, low, high = np.zeros(size, np.int64), np.full(size, np.iinfo(np.int64).max), np.full(size, -1, np.int64)
+        for frame in frames:
+            for some, values, _, row in _sets(frame):
+                cells, labels = cells_of(values), some["label"].to_numpy()[row]
+                np.add.at(docs, cells, 1)
+                np.minimum.at(low, cells, labels)
+                np.maximum.at(high, cells, labels)
+        at = np.flatnonzero(docs)
+        yield pd.DataFrame({"cell": at, "docs": docs[at], "low": low[at], "high": high[at]})
+
+    cells = texts.mapInPandas(counted, "cell long, docs long, low long, high long").groupBy("cell").agg(
+        F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    found = cells.filter("low < high").select(
+        F.col("cell").cast("int").alias("cell"), F.least("docs", F.lit((1 << 31) - 1)).cast("int").alias("docs")
+    ).toArrow()
+    sketch = np.zeros(size, np.int32)  # 0: no documents of different labels
+    sketch[found["cell"].to_numpy()] = found["docs"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(sketch)
+
+    def headed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for some, values, counts, row in _sets(frame):
+                docs = shared.value[cells_of(values)]
+                met = np.flatnonzero(docs)
+                # most frequent first: the sum up to a shingle is the weight from it on in the order
+                met = met[np.lexsort((values[met], -docs[met], row[met]))]
+                sums, rows = np.cumsum(counts[met]), row[met]
+                first = np.searchsorted(rows, rows)
+                rest = sums - sums[first] + counts[met[first]] if len(met) else sums
+                weight = some["weight"].to_numpy()[rows]
+                head = np.flatnonzero(rest >= SIMILAR * (1 - SLACK) * weight)
+                yield pd.DataFrame({
+                    "shingle": values[met[head]].view(np.int64), "node": some["node"].to_numpy()[rows[head]], "weight": weight[head],
+                    "label": some["label"].to_numpy()[rows[head]], "rest": rest[head],
+                })
+
+    return texts.mapInPandas(headed, "shingle long, node long, weight long, label long, rest long")
 
 
 def _apart(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs a < b of all nodes of ``members`` that can be similar and have different labels.
 
-    With the shingles of all documents in one order, rarest first, let ``rest`` be the weight of a document
+    With the shingles of all documents in one order, rare ones first, let ``rest`` be the weight of a document
     from a shingle on. At the first shingle that two documents share, what they share is at most either's rest;
-    and of similarity s it is s / (1 + s) of both weights together at least. So the pairs in which both rests of a
+    and of similarity s it is s / (1 + s) of both weights together at least, s of either. So the pairs in which both rests of a
     shared shingle reach that hold every similar pair. Shingles whose documents all have one label are left
-    out, and of the others the documents without the most frequent label meet all, in tiles.
+    out, also of the rests, as no pair of two labels shares them; and of the others the documents without the most frequent
+    label meet all, in tiles.
     """
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    some = named.join(open_.select("bucket"), "bucket", "left_semi").select("node", "weight", "label").distinct()
-    tokens = written(some.join(texts, "node").select("node", "weight", "label", "text").mapInPandas(
-        _counted, "node long, weight long, label long, shingle long, times long"
-    ), "near-shingles")
-    known = tokens.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
-    onward = Window.partitionBy("node").orderBy(F.desc("docs"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
-    # a shingle of one document comes first and is never shared, so it is in no rest that counts
-    heads = spread_join(tokens, known.filter("docs > 1"), ["shingle"]).withColumn("rest", F.sum("times").over(onward)).filter(
-        (F.col("low") < F.col("high")) & (F.col("rest") >= SIMILAR * (1 - SLACK) * F.col("weight"))
-    )
-    heads = written(heads.select("shingle", "node", "weight", "label", "rest"), "near-heads")
+    some = written(named.join(open_.select("bucket"), "bucket", "left_semi").select("node", "weight", "label").distinct(), "near-open")
+    heads = written(_heads(some.join(texts, "node").select("node", "weight", "label", "text")), "near-heads")
     sizes = heads.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(
         F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most")
     ).filter("all > most.n")
