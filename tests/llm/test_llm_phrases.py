@@ -98,3 +98,19 @@ def test_full_filter(spark, docs, monkeypatch):
     rows = feed(5, 120)
     got = phrases.collocations(spark.createDataFrame(rows, docs.schema), 6, 2, 80)
     assert as_set(got, *COLUMNS) == plain_collocations(rows, 6, 2, 80)
+
+
+def test_only_phrases_that_are_told_get_a_name(monkeypatch):
+    """Longer phrases are looked up by the hashes of their words: nothing is hashed but words."""
+    hashed, plain = [], phrases.xxhash.xxh64_intdigest
+    monkeypatch.setattr(phrases.xxhash, "xxh64_intdigest", lambda x, seed: hashed.append(x) or plain(x, seed))
+    everything, nothing = (phrases.Filter(np.full(1, fill, np.uint64)) for fill in (2**64 - 1, 0))
+    held = phrases._Held()
+    held.add(b"a b c d a b c. d c b a b c")
+    counts = phrases._count(held, "en", phrases.Wanted((3, 4), everything, nothing, everything))
+    found = {name.decode(): n for names, some in counts for name, n in zip(names, some.tolist())}
+    assert found == {
+        "a b c": 3, "b c d": 1, "c d a": 1, "d a b": 1, "d c b": 1, "c b a": 1, "b a b": 1,
+        "a b c d": 1, "b c d a": 1, "c d a b": 1, "d a b c": 1, "d c b a": 1, "c b a b": 1, "b a b c": 1,
+    }
+    assert sorted(hashed) == sorted([b"en", *held.ids])

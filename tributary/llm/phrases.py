@@ -36,6 +36,8 @@ TOGETHER = 1 << 20
 #: Bits for each phrase in a filter, and its bits at most: 8 MB, which the driver and each task hold.
 BITS_EACH, BITS_MOST = 16, 26
 SHIFTS = (0, 19, 38)
+#: Bits by which the hash of a word is turned for each place in a phrase.
+TURN = 13
 #: Rows that one task ranks at first.
 RANKED = 100_000
 
@@ -58,10 +60,29 @@ class Filter(NamedTuple):
         return found
 
 
+def _turned(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of words, turned by their place k in the phrase, so that a phrase's hash is their exclusive or."""
+    bits = np.uint64(TURN * k)
+    return hashes if k == 0 else (hashes << bits) | (hashes >> (np.uint64(64) - bits))
+
+
+def _phrase_hash(lang: str, phrase: str) -> Column:
+    """The same hash for Spark's rows: each word's own, seeded by the language."""
+    words, key = F.split(phrase, " "), None
+    for k in range(LONGEST):
+        word = F.xxhash64(lang, F.get(words, F.lit(k)))
+        if k:
+            turned = F.shiftleft(word, TURN * k).bitwiseOR(F.shiftrightunsigned(word, 64 - TURN * k))
+            word = F.when(F.size(words) > k, turned).otherwise(F.lit(0).cast("long"))
+        key = word if key is None else key.bitwiseXOR(word)
+    return key
+
+
 def phrase_filter(phrases: DataFrame) -> Filter:
     """Of rows lang, phrase. Its words of 64 bits are put together by tasks."""
     size = 1 << min(BITS_MOST, max(10, math.ceil(math.log2(max(1, phrases.count()) * BITS_EACH))))
-    key = F.xxhash64("lang", "phrase")
+    phrases = phrases.select(_phrase_hash("lang", "phrase").alias("key"))
+    key = F.col("key")
     places = F.explode(F.array(*(F.shiftrightunsigned(key, s).bitwiseAND(F.lit(size - 1).cast("long")) for s in SHIFTS)))
     words = phrases.select(places.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits")
@@ -116,35 +137,40 @@ def _count(held: _Held, lang: str, wanted: Wanted) -> Iterator[tuple[list[bytes]
         return
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
 
-    def hashed(names: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh64_intdigest, names, repeat(seed)), np.uint64, len(names))
-
     def longer(names: list[bytes], codes: np.ndarray) -> list[bytes]:
         first, last = np.divmod(codes, len(words))
         return list(map(b" ".join, zip(map(names.__getitem__, first.tolist()), map(words.__getitem__, last.tolist()))))
 
-    names = words
-    known = wanted.alive.has(hashed(names))
+    def told(places: np.ndarray, width: int) -> tuple[list[bytes], np.ndarray]:
+        """The distinct phrases that begin there; only these get a name."""
+        names, codes = words, ids[places]
+        for k in range(1, width - 1):
+            found, codes = np.unique(codes * len(words) + ids[places + k], return_inverse=True)
+            names = longer(names, found)
+        found, counts = np.unique(codes * len(words) + ids[places + width - 1], return_counts=True)
+        return longer(names, found), counts
+
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), np.uint64, len(words))
+    known = wanted.alive.has(own)
     known[:2] = False
-    # of the phrase of one word less that begins at a place: its row, its own number from 1, or 0 where there is none
-    begin = np.where(known[ids], ids, 0)
-    right = left = known
+    # where a phrase of one word less begins, and those of them that may be grown on the right or left
+    at = np.flatnonzero(known[ids])
+    begins = right = left = known[ids]
+    hashes = own[ids]
     for width in range(2, longest + 1):
-        at = np.flatnonzero((begin[:-1] > 0) & (begin[1:] > 0))
+        at = at[begins[at + 1]]  # ids end with the end of a piece, where nothing begins
         if width in wanted.widths:
-            some = at[right[begin[at]] | left[begin[at + 1]]]
-            codes, counts = np.unique(begin[some] * len(words) + ids[some + width - 1], return_counts=True)
-            yield longer(names, codes), counts
+            yield told(at[right[at] | left[at + 1]], width)
         if width == longest:
             return
-        codes, rows = np.unique(begin[at] * len(words) + ids[at + width - 1], return_inverse=True)
-        names = [b"", *longer(names, codes)]
-        hashes = hashed(names)
-        known = wanted.alive.has(hashes) if width == 2 else np.ones(len(names), bool)
-        right, left = (f.has(hashes) & known for f in (wanted.right, wanted.left))
-        further = np.zeros(len(ids), np.int64)
-        further[at] = np.where(known[rows + 1], rows + 1, 0)
-        begin = further
+        hashed = hashes[at] ^ _turned(own[ids[at + width - 1]], width - 1)
+        if width == 2:
+            alive = wanted.alive.has(hashed)
+            at, hashed = at[alive], hashed[alive]
+        begins, right, left = (np.zeros(len(ids), bool) for _ in range(3))
+        begins[at], right[at], left[at] = True, wanted.right.has(hashed), wanted.left.has(hashed)
+        hashes = np.zeros(len(ids), np.uint64)
+        hashes[at] = hashed
 
 
 def _totals(docs: DataFrame, wanted: Wanted) -> DataFrame:
