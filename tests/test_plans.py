@@ -49,3 +49,17 @@ def test_merge_reads_touched_partitions(spark, tmp_path):
     text = plan(touched)
     assert "PartitionFilters: [key_part" in text and "InMemoryFileIndex(2 paths)" in text
     assert touched.count() < 300
+
+
+def test_target_check_reads_mappings_once(spark):
+    """A sink without a name or a source without one is as missing as before."""
+    from tributary.operators import config as cfg
+
+    configs = spark.createDataFrame([("a", '{"mappings": [{"source": {"path": "x"}, "sink": {"name": "y"}}]}')], "ecname string, mappingsettings string")
+    target = spark.createDataFrame([("a", c) for c in cfg.AUDIT_COLUMNS], "ecname string, sink string")
+    found = cfg.check_target(cfg.parse_mappings(configs), target)
+    assert [tuple(r) for r in found.collect()] == [("a", "y")]
+    assert plan(found).count("posexplode(") == 1
+    mappings = spark.createDataFrame([("a", None), (None, "z"), (None, "z")], "ecname string, sink string")
+    found = sorted(map(tuple, cfg.check_target(mappings, target).collect()), key=repr)
+    assert found == sorted([("a", None), (None, "z"), *((None, c) for c in cfg.AUDIT_COLUMNS)], key=repr)

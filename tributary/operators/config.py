@@ -63,10 +63,11 @@ def id_sources(mappings: DataFrame) -> DataFrame:
 def check_target(mappings: DataFrame, target_columns: DataFrame) -> DataFrame:
     """Mapped sinks and audit columns that the target lacks, as (ecname, sink)."""
     audit = F.array(*[F.lit(c) for c in AUDIT_COLUMNS])
-    needed = mappings.select("ecname", "sink").unionByName(
-        mappings.select("ecname").distinct().select("ecname", F.explode(audit).alias("sink"))
-    )
-    return needed.distinct().join(target_columns.select("ecname", "sink"), ["ecname", "sink"], "left_anti")
+    # one pass over the mappings, whose rows of a source stand together; a source's sinks fit a row as its settings do
+    needed = mappings.groupBy("ecname").agg(F.collect_set("sink").alias("sinks"), F.max(F.col("sink").isNull()).alias("unnamed"))
+    sinks = F.concat(F.array_union("sinks", audit), F.when(F.col("unnamed"), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>")))
+    needed = needed.select("ecname", F.explode(sinks).alias("sink"))
+    return needed.join(target_columns.select("ecname", "sink"), ["ecname", "sink"], "left_anti")
 
 
 def declared_type(name: str | None) -> T.DataType | None:
