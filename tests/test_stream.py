@@ -580,3 +580,39 @@ def test_staging_keeps_what_is_not_logged(spark, tmp_path):
     assert land.ingest().staging().count() == 4
     staging.stage(rows_of.limit(0), "q", 2)
     assert land.ingest().staging().count() == 1
+
+
+def test_batches_cost_the_same_however_many_came_before(spark, tmp_path, monkeypatch):
+    """Neither the records nor the logs of earlier batches are read by a batch of a run."""
+    land = Landing(spark, tmp_path, {"id": "string", "v": "double"}, max_files_per_trigger="1")
+    for k in range(4):
+        land.put(f"{k}.json", f'[{{"id": "{k}", "v": {k}}}]')
+    land.put("4_delete.json", '{"id": "2"}')
+    ingest, read = land.ingest(), []
+    batches, logs = ingest.data.batches, ingest.file_log
+    monkeypatch.setattr(ingest.data, "batches", lambda: read.append("batches") or batches())
+    monkeypatch.setattr(ingest, "file_log", lambda: read.append("log") or logs())
+    assert ingest.run().count() == 5
+    assert len(read) <= 4  # before, at the start, in the first batch, for the summary
+    assert ingest.staging().isEmpty() and ingest.staging("deletes").isEmpty()
+    assert [r["id"] for r in logs().orderBy("id").collect()] == [1, 2, 3, 4, 5]
+    land.put("9.json", '{"id": "9", "v": 9}')
+    land.ingest().run()
+    assert land.ingest().data.last()["end_id"] == 6
+
+
+def test_small_splits_are_read_together(spark, tmp_path):
+    """Many small splits are no more tasks, and no more part files, than the cores are worth; lines keep their order."""
+    from tributary.sources.landing import LandedFile, read_texts
+
+    path = tmp_path / "a.json"
+    path.write_text("".join(f'{{"id": "{k}"}}\n' for k in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        texts = read_texts(spark, [LandedFile(str(path), path.stat().st_size)], lines=True)
+        assert texts.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        got = texts.orderBy("_split", "_nth").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["value"] for r in got] == path.read_text().split("\n")[:-1] and len({r["_split"] for r in got}) > 50
