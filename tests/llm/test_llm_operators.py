@@ -9,11 +9,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, exact, language, licenses, mixing, near, pii, quality, rules, shards, shingles
-from tributary.llm.common import text_key
+from tributary.llm.common import strings, text_key
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -518,6 +519,22 @@ def test_similarity():
         assert near.similarity([a], [b])[0] == pytest.approx(plain_similarity(plain_shingles(a), plain_shingles(b)))
 
 
+def test_a_pair_is_compared_once(spark):
+    """One Python worker a task: a second comparison in the plan would hold another one, with its memory."""
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = spark.createDataFrame([(1, base), (2, base + " more"), (3, "other " * 9)], "node long, text string")
+    links = near._linked(spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long"), texts)
+    assert [tuple(r) for r in links.select("a", "b").collect()] == [(1, 2)]
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_strings_of_a_batch():
+    texts = [None, "", *(f"{i}ß" for i in range(200)), None]
+    for array in (pa.array(texts, pa.string()), pa.array(["cut", *texts], pa.string())[1:]):
+        assert list(strings(array)) == texts
+    assert list(strings(pa.array([], pa.string()))) == []
+
+
 def test_signatures_are_unbiased():
     draw, errors = np.random.default_rng(1), []
     for trial in range(150):

@@ -19,10 +19,11 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tributary.llm.common import in_lots
+from tributary.llm.common import in_lots, strings
 
 #: Name of the vocabulary that the queries use, in the installed package of public tokenizers.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -205,13 +206,14 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     with open(path, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 
-    @F.pandas_udf(T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(spec.value)
-        for series in batches:
-            for texts in in_lots(series):  # results leave lot by lot, so that a batch's are never held together
+        for batch in batches:
+            for texts in in_lots(strings(batch)):  # results leave lot by lot, so that a batch's are never held together
                 ids = [coder.encode(text) for text in texts]
-                yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(x) for x in ids]})
+                told = pa.array([coder.decode(x) for x in ids], pa.string())
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), told], ["ids", "decoded"])
 
     return docs.select("doc_id", both(F.col("text")).alias("b")).select("doc_id", "b.*")
 

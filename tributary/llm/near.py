@@ -20,9 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tributary.llm.common import in_lots, kept_rows, spread_join, text_key, written
+from tributary.llm.common import in_lots, kept_rows, spread_join, strings, text_key, written
 from tributary.llm.graph import components
 from tributary.llm.shingles import mix, multisets
 
@@ -38,6 +39,8 @@ TILE = 512
 #: Cells in which shingles are counted to order them: 4 MB, which the driver and each task hold.
 CELLS = 1 << 20
 AT_ONCE = 4096
+#: Counted cells leave a task so many at a time.
+CELLS_OUT = 1 << 16
 #: Bounds are lower by this share, so that rounding loses no pair.
 SLACK = 1e-9
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -114,18 +117,22 @@ _SKETCH = T.StructType([
 ])
 
 
-@F.pandas_udf(_SKETCH)
-def _sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for series in batches:
-        for texts in in_lots(series, TOGETHER):
-            rows = []
+@F.arrow_udf(_SKETCH)
+def _sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for texts in in_lots(strings(batch), TOGETHER):
+            weights, digests, bands = [], [], []
             values, counts, limits = multisets(texts)
             keys = band_keys(signatures(values, counts, limits))
             for i in range(len(texts)):
                 part = slice(limits[i], limits[i + 1])
-                digest = hashlib.sha256(values[part].tobytes() + counts[part].tobytes()).digest()[:16]
-                rows.append((int(counts[part].sum()), digest, keys[i] if limits[i] < limits[i + 1] else None))
-            yield pd.DataFrame(rows, columns=["weight", "digest", "bands"])
+                weights.append(int(counts[part].sum()))
+                digests.append(hashlib.sha256(values[part].tobytes() + counts[part].tobytes()).digest()[:16])
+                bands.append(keys[i] if limits[i] < limits[i + 1] else None)
+            yield pa.StructArray.from_arrays(
+                [pa.array(weights, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["weight", "digest", "bands"],
+            )
 
 
 def similarity(a: list[str], b: list[str]) -> np.ndarray:
@@ -141,16 +148,19 @@ def similarity(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-@F.pandas_udf(T.DoubleType())
-def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        at = 0
-        sizes = (a.str.len() + b.str.len()).cumsum()
-        while at < len(a):
-            before = sizes.iloc[at - 1] if at else 0
-            end = max(at + 1, int(sizes.searchsorted(before + TOGETHER)))
-            yield pd.Series(similarity(list(a.iloc[at:end]), list(b.iloc[at:end])))
-            at = end
+@F.arrow_udf(T.DoubleType())
+def _similarity(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for batch in batches:
+        a, b, size = [], [], 0
+        for x, y in zip(*map(strings, batch)):
+            a.append(x)
+            b.append(y)
+            size += len(x) + len(y)
+            if size >= TOGETHER:
+                yield pa.array(similarity(a, b))
+                a, b, size = [], [], 0
+        if a:
+            yield pa.array(similarity(a, b))
 
 
 def _close(x: Column, y: Column) -> Column:
@@ -215,8 +225,9 @@ def _heads(texts: DataFrame) -> DataFrame:
                 np.add.at(docs, cells, 1)
                 np.minimum.at(low, cells, labels)
                 np.maximum.at(high, cells, labels)
-        at = np.flatnonzero(docs)
-        yield pd.DataFrame({"cell": at, "docs": docs[at], "low": low[at], "high": high[at]})
+        filled = np.flatnonzero(docs)
+        for at in (filled[i:i + CELLS_OUT] for i in range(0, len(filled), CELLS_OUT)):
+            yield pd.DataFrame({"cell": at, "docs": docs[at], "low": low[at], "high": high[at]})
 
     cells = texts.mapInPandas(counted, "cell long, docs long, low long, high long").groupBy("cell").agg(
         F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")
@@ -282,11 +293,12 @@ def _apart(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b whose texts are similar."""
+    """The pairs a, b whose texts are similar. Only the filter names the function: with its value as a column too, each
+    task would compare all texts twice, in two Python workers at once that stay."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"
     )
-    return both.select("a", "b", _similarity("x", "y").alias("similarity")).filter(F.col("similarity") >= SIMILAR)
+    return both.filter(_similarity("x", "y") >= SIMILAR).select("a", "b")
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:

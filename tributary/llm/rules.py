@@ -11,10 +11,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tributary.llm.common import WORD, unused
+from tributary.llm.common import WORD, strings, unused
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words", "n_upper_words",
@@ -71,10 +72,11 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
-def _measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
+def _measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pd.DataFrame([measure(x) for x in texts], columns=list(MEASURES), dtype="int64")
+        rows = np.array([measure(x) for x in strings(texts)], np.int64).reshape(-1, len(MEASURES))
+        yield pa.StructArray.from_arrays([pa.array(column) for column in rows.T.copy()], list(MEASURES))
 
 
 def failed_bits(struct: str = "") -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WIDTH = 5
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
