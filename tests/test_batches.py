@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from landing import Landing
 from tributary.functions.scalars import steady
 from tributary.session import put_texts, side_by_side
+from tributary.sources.landing import LISTERS
 
 KV = {"id": "string", "v": "double"}
 
@@ -41,6 +42,16 @@ def test_jobs_of_a_batch(spark, tmp_path):
     assert land.state("id", "v", "sourceid", "deleted_flag")[:3] == [("0", 0.0, 2, "Y"), ("1", 0.0, 1, "N"), ("10", 1.0, 4, "Y")]
 
 
+def test_many_files_are_listed_by_few_tasks(spark, tmp_path):
+    """More than 32 files of a batch are not listed in a task each; the session that started the stream keeps its setting."""
+    land, before = Landing(spark, tmp_path, KV, max_files_per_trigger="70"), spark.conf.get(LISTERS)
+    for n in range(210):
+        land.put(f"{n:03d}.json", [{"id": str(n), "v": n}])
+    jobs = _jobs(spark, land.ingest())
+    assert sum(70 in tasks for tasks in jobs) <= 3  # the listing of the stream itself, by Spark
+    assert land.state("id", "sourceid") == sorted((str(n), n + 1) for n in range(210)) and spark.conf.get(LISTERS) == before
+
+
 def test_steady_constants_keep_generated_code(spark, tmp_path):
     compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME().getCount
     rows, took = spark.range(3).withColumn("x", F.xxhash64("id")), []
