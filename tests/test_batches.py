@@ -158,3 +158,29 @@ def test_marks_once(spark):
     marks = [newest_marks(rows, T.LongType(), once=once) for once in (False, True)]
     assert [sorted((r["_key_0"], r["_deleted_by"]) for r in m.collect()) for m in marks] == [[(1, 5)]] * 2
     assert "Exchange" not in marks[1]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_basename(spark):
+    """The last segment, without a pattern to be matched for each record."""
+    from tributary.functions.scalars import basename
+
+    paths = ["file:/a/b c.json", "b.json", "a/", "", None, "a//", "a/b\nc", "a/b\n", "a/ü.json", "/"]
+    found = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "k long, p string").select("k", basename(F.col("p")).alias("n"))
+    assert [r["n"] for r in found.orderBy("k").collect()] == ["b c.json", "b.json", "", "", None, "", "b\nc", "b\n", "ü.json", ""]
+    assert "regexp" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_types_of_lines_are_made_once(spark):
+    """Lines that are no objects, are broken or name a field twice take no part, and no line's type is made to tell."""
+    from tributary.sources import landing
+
+    lines = ['{"a": 1}', ' \t{"b": "x"} ', "[1]", '"{"', "{", "", None, '{"c": 1, "c": 2}', "null", "\ufeff{\"d\": null}", "7"]
+    texts = spark.createDataFrame([(t, 0) for t in lines], f"value string, {landing.SPLIT} long")
+    assert landing.typed_schema(texts).simpleString() == "struct<a:bigint,b:string,d:void>"
+    plans, first = [], type(texts).first
+    try:
+        type(texts).first = lambda frame: plans.append(frame._jdf.queryExecution().optimizedPlan().toString()) or first(frame)
+        landing.typed_schema(texts)
+    finally:
+        type(texts).first = first
+    assert plans and "schemaofvariant(" not in plans[0].lower().replace("_", "").replace("schemaofvariantagg(", "")
